@@ -76,7 +76,7 @@ def interval_shift(ts: Col, interval: str) -> Column:
 
 
 def run_time(value=None) -> Column:
-    """The run's time stamp: the given moment, else the query's start time."""
+    """The run's time stamp: the given moment or column, else the query's start time."""
     return F.current_timestamp() if value is None else F.lit(value)
 
 

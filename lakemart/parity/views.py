@@ -48,7 +48,7 @@ class Tables:
     def trips(self) -> DataFrame:
         """One trip per line item, both colours, unified names."""
         pickup = _shift(F.col("l_shipdate"), MINUTE=_mod("l_orderkey", 1440), SECOND=_mod("l_suppkey", 60))
-        dropoff = _shift(pickup, MINUTE=_mod("l_partkey", 90) - 5, SECOND=_mod("l_orderkey", 7) * 10)
+        dropoff = _shift(pickup, MINUTE=_mod("l_partkey", 90) - 5, SECOND=_mod("l_orderkey", 7) * 15)
         price = F.floor("l_extendedprice")
         return self.table("lineitem").select(
             F.col("l_orderkey").alias("order_key"), F.col("l_partkey").alias("part_key"),
@@ -234,7 +234,7 @@ _EDGES = ", ".join("'" + t.replace("'", "''") + "'" for t in EDGE_TEXTS)
 
 SQL_VIEWS = {
     "trips": """
-        SELECT *, pickup_datetime + to_minutes(part_key % 90 - 5) + to_seconds(order_key % 7 * 10) AS dropoff_datetime
+        SELECT *, pickup_datetime + to_minutes(part_key % 90 - 5) + to_seconds(order_key % 7 * 15) AS dropoff_datetime
         FROM (SELECT l_orderkey AS order_key, l_partkey AS part_key, l_suppkey AS vendor_id,
             l_suppkey % 30 AS pu_location_id, l_partkey % 30 AS do_location_id,
             CAST(l_linenumber AS BIGINT) AS ratecode_id, l_orderkey % 4 AS payment_type,
@@ -366,4 +366,5 @@ def with_views(body: str) -> str:
     if not needed:
         return body
     ctes = ",\n".join(f"{name} AS ({sql})" for name, sql in SQL_VIEWS.items() if name in needed)
-    return f"WITH {ctes}\n{body}"
+    own = re.match(r"\s*WITH\b", body)
+    return f"WITH {ctes},\n{body[own.end():]}" if own else f"WITH {ctes}\n{body}"
