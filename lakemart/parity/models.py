@@ -10,6 +10,8 @@ from lakemart.parity.relational import HOURLY_SQL, RUN_TIME, ZONE_DAYS_SQL, ZONE
 from lakemart.parity.row_level import SQL_ID, TRIP_ID
 from lakemart.parity.views import Tables
 from lakemart.plans import crime, players, taxi, trip_facts, warehouse
+from lakemart.session import scratch_database, scratch_path
+from lakemart.sources.sinks import keep_inline, keep_tables
 
 # --- zone reports -----------------------------------------------------------------------------
 
@@ -83,17 +85,16 @@ def _(t: Tables):
 # --- trip facts -------------------------------------------------------------------------------
 
 
-def _stage(t: Tables, colour: str):
+def _raw(t: Tables, colour: str):
     fee = {"yellow": "airport_fee", "green": "fee"}[colour]
     raw = t.trip_copies().filter(F.col("taxi_type") == colour).drop("taxi_type").withColumnsRenamed(
         {"vendor_id": "VendorID", "pu_location_id": "PULocationID", "do_location_id": "DOLocationID", "fee": fee})
-    if colour == "yellow":
-        raw = raw.withColumn("trip_type", F.lit(1.0))
-    return trip_facts.taxi_stage(raw, t.zones(), "location_id", "borough")
+    return raw.withColumn("trip_type", F.lit(1.0)) if colour == "yellow" else raw
 
 
-def _trips(t: Tables):
-    return trip_facts.trips(_stage(t, "green"), _stage(t, "yellow"), ["order_key", "part_key", "copy"])
+def _trip_tables(t: Tables, keep=keep_inline):
+    return trip_facts.trip_tables(_raw(t, "green"), _raw(t, "yellow"), t.zones(), ["order_key", "part_key", "copy"],
+                                  "location_id", "borough", keep)
 
 
 STAGE_SQL = """(SELECT t.*, p.borough AS pickup_borough, d.borough AS dropoff_borough, hour(pickup_datetime) AS pickup_hour,
@@ -117,12 +118,12 @@ def _fact_sql(grain: str, name: str) -> str:
 @query("taxi_stage", f"""SELECT {SQL_ID}, copy, pickup_borough, dropoff_borough, pickup_hour, trip_duration_minutes
     FROM {STAGE_SQL} WHERE taxi_type = 'yellow'""")
 def _(t: Tables):
-    return _stage(t, "yellow").select(*TRIP_ID, "copy", "pickup_borough", "dropoff_borough", "pickup_hour", "trip_duration_minutes")
+    return _trip_tables(t)["yellow_taxi_stage"].select(*TRIP_ID, "copy", "pickup_borough", "dropoff_borough", "pickup_hour", "trip_duration_minutes")
 
 
 @query("locations", "SELECT location_id, borough, zone, service_zone FROM zone_ids")
 def _(t: Tables):
-    return trip_facts.locations(t.zones())
+    return _trip_tables(t)["locations"]
 
 
 @query("trips", f"""SELECT vendor_id, pu_location_id, do_location_id, ratecode_id, payment_type, passenger_count, total_amount, fare_amount,
@@ -130,17 +131,22 @@ def _(t: Tables):
     strftime(dropoff_datetime, '%Y-%m-%d %H:%M:%S') AS dropoff_datetime, CASE WHEN taxi_type = 'yellow' THEN 1 END AS trip_type,
     store_and_fwd_flag, pickup_hour, taxi_type FROM {TRIPS_SQL}""")
 def _(t: Tables):
-    return _trips(t)
+    return _trip_tables(t)["trips"]
 
 
 @query("fact_trip_summary_daily", _fact_sql("strftime(pickup_datetime, '%Y-%m-%d')", "pickup_date"))
 def _(t: Tables):
-    return trip_facts.fact_trip_summary_daily(_trips(t), trip_facts.locations(t.zones()))
+    return _trip_tables(t)["fact_trip_summary_daily"]
 
 
 @query("fact_trip_summary_hourly", _fact_sql("pickup_hour", "pickup_hour"))
 def _(t: Tables):
-    return trip_facts.fact_trip_summary_hourly(_trips(t), trip_facts.locations(t.zones()))
+    return _trip_tables(t)["fact_trip_summary_hourly"]
+
+
+@query("trip_facts_kept", _fact_sql("pickup_hour", "pickup_hour"))
+def _(t: Tables):
+    return _trip_tables(t, keep_tables(scratch_database(t.spark)))["fact_trip_summary_hourly"]
 
 
 @query("trip_checks", """SELECT c AS "check", t AS "table", k AS "column", CAST(v AS BIGINT) AS violations FROM (VALUES
@@ -149,7 +155,7 @@ def _(t: Tables):
     ('not_null', 'trips', 'total_amount', 0), ('expression', 'trips', 'trip_duration_minutes > 0', 0),
     ('expression', 'trips', 'passenger_count BETWEEN 1 AND 6', 0), ('expression', 'trips', 'dropoff_datetime > pickup_datetime', 0)) x(c, t, k, v)""")
 def _(t: Tables):
-    return quality_report({"trips": _trips(t), "locations": trip_facts.locations(t.zones())}, trip_facts.TRIP_CHECKS)
+    return quality_report(_trip_tables(t), trip_facts.TRIP_CHECKS)
 
 
 # --- players ----------------------------------------------------------------------------------
@@ -316,3 +322,16 @@ def _(t: Tables):
               ("stg_crimes", "relationships", "iucr_code"), ("fact_crimes", "relationships", "location_key"),
               ("stg_ucr_codes", "unique", "iucr_code")}
     return quality_report(_gold(t), [c for c in crime.CRIME_CHECKS if (c.table, c.kind, c.column) in wanted])
+
+
+@query("run_crime", f"""SELECT {DAY('crime_date')}, primary_type, district_id, community_area_id, count(*) AS total_crimes,
+    count(*) FILTER (WHERE is_arrest) AS crimes_with_arrest, count(*) FILTER (WHERE is_domestic) AS domestic_crimes
+    FROM fact_crimes LEFT JOIN (SELECT location_key AS lk, district_id, community_area_id FROM dim_location) ON lk = location_key
+    GROUP BY crime_date, primary_type, district_id, community_area_id""")
+def _(t: Tables):
+    raw, out = scratch_path(t.spark, "raw"), scratch_path(t.spark, "bronze")
+    for name, frame in (("crimes", t.crimes_raw()), ("arrests", t.arrests_raw()), ("iucr", t.codes_raw())):
+        # Quoted in full, so that an empty text stays one and blanks around codes survive.
+        frame.write.options(header=True, quoteAll=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(f"{raw}/{name}")
+    crime.load_bronze(t.spark, f"{raw}/crimes", f"{raw}/arrests", f"{raw}/iucr", out)
+    return crime.run_crime(t.spark, out, scratch_database(t.spark), scratch_database(t.spark))["agg_daily_crimes"]

@@ -209,6 +209,23 @@ def _(t: Tables):
         s.day_name(s.day_of_week("ts")).alias("day_name"))
 
 
+TIME_FUNCTIONS = {
+    "hour_of": ("hour(ts)", s.hour_of), "day_of_week": ("dayofweek(ts) + 1", s.day_of_week), "month_of": ("month(ts)", s.month_of),
+    "year_of": ("year(ts)", s.year_of), "date_of": ("strftime(ts, '%Y-%m-%d')", s.date_of),
+    "day_name": ("dayname(ts)", lambda ts: s.day_name(s.day_of_week(ts))),
+}
+
+
+def _register_time(name, sql, function):
+    @query(name, f"SELECT event_id, {sql} AS part FROM events")
+    def _(t: Tables):
+        return t.events().select("event_id", function("ts").alias("part"))
+
+
+for _name, (_sql, _function) in TIME_FUNCTIONS.items():
+    _register_time(_name, _sql, _function)
+
+
 @query("duration_minutes", f"SELECT {SQL_ID}, duration_min FROM prepared")
 def _(t: Tables):
     return t.trips().select(*TRIP_ID, _minutes().alias("duration_min"))

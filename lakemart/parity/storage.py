@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
@@ -10,12 +9,13 @@ from pyspark.sql.types import StructType
 
 from lakemart.operators import changes as chg
 from lakemart.operators.columns import provenance_columns
+from lakemart.operators.unions import union_by_name
 from lakemart.parity.registry import query
 from lakemart.parity.relational import HOURLY_SQL, RUN_TIME
 from lakemart.parity.row_level import SQL_ID, TRIP_ID
 from lakemart.parity.views import Tables
 from lakemart.plans import crime, taxi
-from lakemart.session import scratch_path
+from lakemart.session import scratch_database, scratch_path
 from lakemart.sources import files, sinks
 
 ORDERS_SQL = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders"
@@ -46,6 +46,27 @@ def _(t: Tables):
     return files.scan_csv(t.spark, path)
 
 
+ORDERS_TEXT_SQL = "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus FROM orders"
+
+
+@query("scan_csv_many", f"{ORDERS_TEXT_SQL} UNION ALL {ORDERS_TEXT_SQL}")
+def _(t: Tables):
+    paths = [scratch_path(t.spark, "csv") for _ in range(2)]
+    for path in paths:
+        _orders(t).drop("o_totalprice").write.option("header", True).csv(path)
+    return files.scan_csv(t.spark, paths)
+
+
+@query("ingest_sample", """SELECT 'parts' AS "table", 'p_partkey' AS "column", 'int' AS type, least(count(*), 500) AS row_count FROM part
+    UNION ALL SELECT 'parts', 'p_name', 'string', least(count(*), 500) FROM part""")
+def _(t: Tables):
+    path = f"{scratch_path(t.spark, 'sample')}/parts"
+    t.table("part").select("p_partkey", "p_name").write.option("header", True).csv(path)
+    database = scratch_database(t.spark)
+    types = files.ingest_sample(t.spark, [path], rows=500, database=database)
+    return types.withColumn("row_count", F.lit(t.spark.table(f"{database}.parts").count()))
+
+
 @query("scan_csv_inferred", ORDERS_SQL)
 def _(t: Tables):
     path = scratch_path(t.spark, "csv")
@@ -130,11 +151,26 @@ def _(t: Tables):
 
 @query("save_table", ORDERS_SQL)
 def _(t: Tables):
-    name = f"saved_{uuid.uuid4().hex}"
+    name = f"{scratch_database(t.spark)}.saved"
     sinks.save_table(_orders(t), name, scratch_path(t.spark, "table"))
     return files.read_table(t.spark, name)
 
 
+@query("create_table_as", "SELECT o_orderstatus, count(*) AS orders FROM orders GROUP BY 1")
+def _(t: Tables):
+    name = f"{scratch_database(t.spark)}.made"
+    sinks.create_table_as(t.spark, name, "SELECT o_orderstatus, count(*) AS orders FROM {rows} GROUP BY 1", rows=_orders(t))
+    return files.read_table(t.spark, name)
+
+
+@query("materialize", """SELECT 'table' AS kind, count(*) AS row_count FROM orders UNION ALL SELECT 'view', count(*) FROM orders
+    UNION ALL SELECT 'inline', count(*) FROM orders""")
+def _(t: Tables):
+    layer = scratch_database(t.spark)
+    kept = {kind: sinks.materialize(_orders(t), f"orders_{kind}", kind, layer) for kind in ("table", "view", "inline")}
+    return union_by_name(*[df.agg(F.count("*").alias("row_count")).withColumn("kind", F.lit(k)) for k, df in kept.items()])
+
+
 @query("bronze_layers", """SELECT CAST(count(*) AS BIGINT) AS row_count, count(DISTINCT o_orderkey) AS ids, 1 AS stamps, TRUE AS named FROM (
     SELECT o_orderkey FROM orders UNION ALL SELECT o_orderkey FROM orders WHERE o_orderkey % 4 = 0)""")
 def _(t: Tables):
@@ -176,28 +212,28 @@ def _trip_table(t: Tables):
 KEPT = f"SELECT {SQL_ID}, pu_location_id, fee, taxi_type FROM trips"
 
 
-@query("history_delete_where", f"{KEPT} WHERE NOT coalesce(fee > 4 AND pu_location_id = 7, FALSE)")
+@query("delete_where", f"{KEPT} WHERE NOT coalesce(fee > 4 AND pu_location_id = 7, FALSE)")
 def _(t: Tables):
     table = _trip_table(t)
     table.delete_where((F.col("fee") > 4) & (F.col("pu_location_id") == 7))
     return table.read()
 
 
-@query("history_update_where", f"""SELECT {SQL_ID}, pu_location_id, CASE WHEN fee > 4 THEN fee * 2 ELSE fee END AS fee, taxi_type FROM trips""")
+@query("update_where", f"""SELECT {SQL_ID}, pu_location_id, CASE WHEN fee > 4 THEN fee * 2 ELSE fee END AS fee, taxi_type FROM trips""")
 def _(t: Tables):
     table = _trip_table(t)
     table.update_where(F.col("fee") > 4, {"fee": F.col("fee") * 2})
     return table.read()
 
 
-@query("history_insert", f"""{KEPT} UNION ALL SELECT s_suppkey, NULL, NULL, NULL, NULL, NULL, 'new' FROM supplier""")
+@query("insert_into_version", f"""{KEPT} UNION ALL SELECT s_suppkey, NULL, NULL, NULL, NULL, NULL, 'new' FROM supplier""")
 def _(t: Tables):
     table = _trip_table(t)
     table.insert(t.table("supplier").select(F.col("s_suppkey").alias("order_key"), F.lit("new").alias("taxi_type")))
     return table.read()
 
 
-@query("history_read_as_of", f"{KEPT}")
+@query("read_as_of", f"{KEPT}")
 def _(t: Tables):
     table = _trip_table(t)
     before = table.history().agg(F.max("committed_at")).first()[0]
@@ -205,7 +241,7 @@ def _(t: Tables):
     return table.read_as_of(moment=before)
 
 
-@query("history_restore", """SELECT count(*) AS row_count, 2 AS version, 'restore' AS operation FROM trips""")
+@query("restore_version", """SELECT count(*) AS row_count, 2 AS version, 'restore' AS operation FROM trips""")
 def _(t: Tables):
     table = _trip_table(t)
     table.delete_where(F.col("fee") > 4)
@@ -218,7 +254,7 @@ def _(t: Tables):
 CHANGED = "(fee > 4 AND pu_location_id = 7)"
 
 
-@query("history_changes", f"""SELECT {SQL_ID}, pu_location_id, fee, taxi_type, 'DELETE' AS action, TRUE AS is_update FROM trips WHERE {CHANGED}
+@query("version_changes", f"""SELECT {SQL_ID}, pu_location_id, fee, taxi_type, 'DELETE' AS action, TRUE AS is_update FROM trips WHERE {CHANGED}
     UNION ALL SELECT {SQL_ID}, pu_location_id, fee + 1, taxi_type, 'INSERT', TRUE FROM trips WHERE {CHANGED}
     UNION ALL SELECT {SQL_ID}, pu_location_id, fee, taxi_type, 'DELETE', FALSE FROM trips WHERE coalesce(fee < 1 AND pu_location_id = 8, FALSE)""")
 def _(t: Tables):
@@ -228,7 +264,7 @@ def _(t: Tables):
     return table.changes(0, key=TRIP_ID)
 
 
-@query("history_consume_changes", f"""SELECT CAST(s_suppkey AS BIGINT) AS order_key, 'INSERT' AS action, 1 AS until_version FROM supplier
+@query("consume_changes", f"""SELECT CAST(s_suppkey AS BIGINT) AS order_key, 'INSERT' AS action, 1 AS until_version FROM supplier
     UNION ALL SELECT s_suppkey, 'DELETE', 2 FROM supplier UNION ALL SELECT s_suppkey + 1000000, 'INSERT', 2 FROM supplier""")
 def _(t: Tables):
     table, log = _trip_table(t), scratch_path(t.spark, "log")
@@ -240,7 +276,7 @@ def _(t: Tables):
     return chg.read_change_log(t.spark, log).select("order_key", "action", "until_version")
 
 
-@query("history_guarded_insert", """SELECT o_orderkey, o_custkey, o_totalprice FROM orders
+@query("guarded_insert", """SELECT o_orderkey, o_custkey, o_totalprice FROM orders
     UNION ALL SELECT o_orderkey, o_custkey, o_totalprice + 1 FROM orders WHERE o_orderkey % 3 = 1""")
 def _(t: Tables):
     base = t.table("orders").select("o_orderkey", "o_custkey", "o_totalprice")
@@ -250,7 +286,7 @@ def _(t: Tables):
     return table.read()
 
 
-@query("history_clone", f"SELECT 'origin' AS side, count(*) AS row_count FROM trips UNION ALL SELECT 'copy', count(*) FROM trips WHERE fee <= 4 OR fee IS NULL")
+@query("clone_table", f"SELECT 'origin' AS side, count(*) AS row_count FROM trips UNION ALL SELECT 'copy', count(*) FROM trips WHERE fee <= 4 OR fee IS NULL")
 def _(t: Tables):
     table = _trip_table(t)
     copy = table.clone(scratch_path(t.spark, "clone"))
@@ -259,7 +295,7 @@ def _(t: Tables):
     return sides[0].unionByName(sides[1])
 
 
-@query("history_hourly_increment", f"{HOURLY_SQL} UNION ALL {HOURLY_SQL.replace(RUN_TIME, '2024-05-01 13:00:00')}")
+@query("hourly_increment", f"{HOURLY_SQL} UNION ALL {HOURLY_SQL.replace(RUN_TIME, '2024-05-01 13:00:00')}")
 def _(t: Tables):
     trips = t.trips().withColumn("pickup_hour", F.hour("pickup_datetime"))
     empty = t.spark.createDataFrame([], "ts timestamp, pickup_hour int, total_trips long, avg_trip_distance double, avg_total_amount double")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,10 +12,10 @@ from lakemart.operators import aggregates
 from lakemart.operators.columns import cast_columns, provenance_columns, rename_by_copy, snake_case_columns
 from lakemart.operators.filters import filter_flag, filter_nonblank, filter_required, filter_valid_date
 from lakemart.operators.joins import join_key_and_day, join_multi_key, join_using
-from lakemart.operators.quality import Check
+from lakemart.operators.quality import Check, quality_report
 from lakemart.operators.ranking import drop_duplicates, first_per_key
-from lakemart.sources.files import scan_csv
-from lakemart.sources.sinks import bronze_append, bronze_overwrite
+from lakemart.sources.files import scan_csv, scan_recursive
+from lakemart.sources.sinks import bronze_append, bronze_overwrite, keep_inline, keep_tables
 
 # Raw crime columns and the names they get.
 CRIME_NAMES = {
@@ -172,14 +172,31 @@ def agg_daily_crimes(crimes: DataFrame, places: DataFrame) -> DataFrame:
     return aggregates.merge_daily_crimes(join_using(per_place, area, "location_key"))
 
 
-def gold_tables(crimes: DataFrame, arrests: DataFrame, codes: DataFrame) -> dict[str, DataFrame]:
-    """Every gold model by name, from the three silver tables."""
-    out = {"stg_ucr_codes": stg_ucr_codes(codes)}
-    out["stg_crimes"] = stg_crimes(crimes, out["stg_ucr_codes"])
-    out["stg_arrests"] = stg_arrests(arrests)
-    out["dim_location"] = dim_location(out["stg_crimes"])
-    out["dim_crime_type"] = dim_crime_type(out["stg_ucr_codes"])
-    out["fact_crimes"] = fact_crimes(out["stg_crimes"], out["dim_location"], out["dim_crime_type"])
-    out["fact_arrests"] = fact_arrests(out["stg_arrests"], out["fact_crimes"], out["dim_crime_type"])
-    out["agg_daily_crimes"] = agg_daily_crimes(out["fact_crimes"], out["dim_location"])
+def gold_tables(crimes: DataFrame, arrests: DataFrame, codes: DataFrame,
+                keep: Callable[[str, DataFrame], DataFrame] = keep_inline) -> dict[str, DataFrame]:
+    """Every gold model by name, from the three silver tables; ``keep`` decides how models are kept."""
+    out: dict[str, DataFrame] = {}
+
+    def add(name: str, build: Callable[..., DataFrame], *inputs: DataFrame | str) -> None:
+        out[name] = keep(name, build(*[out[i] if isinstance(i, str) else i for i in inputs]))
+
+    add("stg_ucr_codes", stg_ucr_codes, codes)
+    add("stg_crimes", stg_crimes, crimes, "stg_ucr_codes")
+    add("stg_arrests", stg_arrests, arrests)
+    add("dim_location", dim_location, "stg_crimes")
+    add("dim_crime_type", dim_crime_type, "stg_ucr_codes")
+    add("fact_crimes", fact_crimes, "stg_crimes", "dim_location", "dim_crime_type")
+    add("fact_arrests", fact_arrests, "stg_arrests", "fact_crimes", "dim_crime_type")
+    add("agg_daily_crimes", agg_daily_crimes, "fact_crimes", "dim_location")
     return out
+
+
+def run_crime(spark: SparkSession, bronze: str, silver_layer: str = "silver",
+              gold_layer: str = "gold") -> dict[str, DataFrame]:
+    """From the bronze folders to the gold tables, each model written once; ends with the data checks' report."""
+    silver, gold = keep_tables(silver_layer), keep_tables(gold_layer)
+    crimes = silver("silver_crimes", silver_crimes(scan_recursive(spark, f"{bronze}/crimes")))
+    arrests = silver("silver_arrests", silver_arrests(scan_recursive(spark, f"{bronze}/arrests")))
+    codes = silver("silver_ucr_codes", silver_ucr_codes(scan_recursive(spark, f"{bronze}/iucr")))
+    tables = gold_tables(crimes, arrests, codes, gold)
+    return tables | {"checks": quality_report(tables, CRIME_CHECKS)}

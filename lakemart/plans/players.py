@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +15,7 @@ from lakemart.operators.quality import Check
 from lakemart.operators.ranking import latest_per_key
 from lakemart.operators.unions import union_suffixed
 from lakemart.sources.schemas import COACH_TYPES, PLAYER_TYPES, TEAM_TYPES
+from lakemart.sources.sinks import keep_inline
 
 # Columns the profile mart passes through.
 PROFILE_COLUMNS = ("player_id", "overall", "potential", "growth_gap", "age", "height_cm", "weight_kg", "value_eur",
@@ -100,18 +101,19 @@ def mart_team_dashboard(players: dict[str, DataFrame], teams: dict[str, DataFram
     })
 
 
-def player_tables(male_raw: DataFrame, female_raw: DataFrame,
-                  tie_break: Sequence[Column | str] = ()) -> dict[str, DataFrame]:
-    """Every model of the chain by name."""
-    male = int_players_male(stg_players(male_raw))
-    female = int_players_female(stg_players(female_raw), tie_break)
-    out = {"int_players_male": male, "int_players_female": female}
-    for gender, players in (("male", male), ("female", female)):
-        teams = int_team_profiles(players)
-        out |= {f"int_team_profiles_{gender}": teams,
-                f"int_league_insights_{gender}": int_league_insights(players, teams),
-                f"mart_player_profiles_{gender}": mart_player_profiles(players)}
-    out["mart_team_dashboard"] = mart_team_dashboard(
-        {"male": male, "female": female},
-        {g: out[f"int_team_profiles_{g}"] for g in ("male", "female")})
+def player_tables(male_raw: DataFrame, female_raw: DataFrame, tie_break: Sequence[Column | str] = (),
+                  keep: Callable[[str, DataFrame], DataFrame] = keep_inline) -> dict[str, DataFrame]:
+    """Every model of the chain by name; ``keep`` decides how models are kept."""
+    out = {"int_players_male": keep("int_players_male", int_players_male(stg_players(male_raw))),
+           "int_players_female": keep("int_players_female", int_players_female(stg_players(female_raw), tie_break))}
+    squads = {gender: out[f"int_players_{gender}"] for gender in ("male", "female")}
+    teams = {}
+    for gender, players in squads.items():
+        teams[gender] = keep(f"int_team_profiles_{gender}", int_team_profiles(players))
+        out[f"int_team_profiles_{gender}"] = teams[gender]
+        out[f"int_league_insights_{gender}"] = keep(
+            f"int_league_insights_{gender}", int_league_insights(players, teams[gender]))
+        # The marts are views: nothing else reads them.
+        out[f"mart_player_profiles_{gender}"] = mart_player_profiles(players)
+    out["mart_team_dashboard"] = mart_team_dashboard(squads, teams)
     return out

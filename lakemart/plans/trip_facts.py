@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +15,7 @@ from lakemart.operators.joins import join_dimensions_inner, join_zones
 from lakemart.operators.quality import Check
 from lakemart.operators.ranking import dedup_row_number
 from lakemart.operators.unions import union_tagged
+from lakemart.sources.sinks import keep_inline
 
 # Columns of the trips table.
 TRIP_COLUMNS = (
@@ -69,3 +70,16 @@ def fact_trip_summary_daily(trip_rows: DataFrame, location_rows: DataFrame) -> D
 
 def fact_trip_summary_hourly(trip_rows: DataFrame, location_rows: DataFrame) -> DataFrame:
     return trip_facts(trip_rows, location_rows, F.col("pickup_hour"), "pickup_hour")
+
+
+def trip_tables(green_raw: DataFrame, yellow_raw: DataFrame, zones: DataFrame, tie_break: Sequence[Column | str] = (),
+                zone_key: str = "LocationID", payload: str = "Borough",
+                keep: Callable[[str, DataFrame], DataFrame] = keep_inline) -> dict[str, DataFrame]:
+    """Every model of the chain by name, from raw trips with unified time columns; ``keep`` decides how models are kept."""
+    out = {f"{colour}_taxi_stage": keep(f"{colour}_taxi_stage", taxi_stage(raw, zones, zone_key, payload))
+           for colour, raw in (("green", green_raw), ("yellow", yellow_raw))}
+    out["locations"] = keep("locations", locations(snake_case_columns(zones)))
+    out["trips"] = keep("trips", trips(out["green_taxi_stage"], out["yellow_taxi_stage"], tie_break))
+    out["fact_trip_summary_daily"] = fact_trip_summary_daily(out["trips"], out["locations"])
+    out["fact_trip_summary_hourly"] = fact_trip_summary_hourly(out["trips"], out["locations"])
+    return out

@@ -116,6 +116,7 @@ def ingest_sample(spark: SparkSession, files: Sequence[str], rows: int = 8000, d
 
     The sample per file is the feature; the loop is over file names only.
     """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     types = []
     for path in files:
         table = path.rstrip("/").rsplit("/", 1)[-1].split(".")[0]

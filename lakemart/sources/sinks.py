@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,6 +64,19 @@ def materialize(df: DataFrame, name: str, kind: str = "table", layer: str | None
     return spark.table(full)
 
 
+def keep_inline(name: str, df: DataFrame) -> DataFrame:
+    """The default way plans keep a model: not at all, so that Spark plans the whole chain at once."""
+    return df
+
+
+def keep_tables(layer: str) -> Callable[[str, DataFrame], DataFrame]:
+    """A way for plans to keep models: each is written once, as a table of the layer, and read from there on.
+
+    For models that several others read, whose chain would otherwise be computed for each of them.
+    """
+    return lambda name, df: materialize(df, name, "table", layer)
+
+
 def bronze_append(df: DataFrame, path: str, by: str = "source_file") -> None:
     """Append raw rows grouped by source file: rebalanced, so a file holding most rows is still split."""
     df.hint("rebalance", F.col(by)).write.mode("append").parquet(path)
