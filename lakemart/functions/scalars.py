@@ -61,8 +61,15 @@ def date_of(ts: Col) -> Column:
 
 
 def duration_minutes(start: Col, end: Col, digits: int = 4) -> Column:
-    """Whole seconds between two timestamps, in minutes."""
-    return F.round((F.unix_timestamp(_c(end)) - F.unix_timestamp(_c(start))) / 60, digits)
+    """Whole seconds between two timestamps, in minutes, rounded to 2 or more digits.
+
+    ``round`` on doubles goes through big decimals for each row. With two digits or more a number of
+    seconds over 60 never lies half-way between two results, so flooring gives the same, faster.
+    """
+    if digits < 2:
+        raise ValueError("digits must be 2 or more")
+    seconds = F.unix_timestamp(_c(end)) - F.unix_timestamp(_c(start))
+    return F.floor(seconds * 10**digits / 60 + 0.5) / 10**digits
 
 
 def parse_us_timestamp(text: Col) -> Column:
