@@ -50,7 +50,7 @@ class VersionedTable:
         table = cls(df.sparkSession, path)
         if table._log_rows():
             raise ValueError(f"{path} already holds a table")
-        table._commit("create", [], df, df.schema, at)
+        table._commit(0, "create", [], df, df.schema, at)
         return table
 
     def history(self) -> DataFrame:
@@ -81,13 +81,15 @@ class VersionedTable:
                 return row
         raise ValueError(f"{self.path} has no version {wanted}")
 
-    def schema(self, version: int | None = None) -> StructType:
-        return StructType.fromJson(json.loads(self._entry(version)["schema"]))
-
-    def files(self, version: int | None = None) -> list[str]:
+    def _state(self, version: int | None = None) -> tuple[int, StructType, list[str]]:
+        """Number, schema and data files of a version."""
         entry = self._entry(version)
         listed = self.spark.read.schema("path string").parquet(f"{self.path}/files/{entry['version']}")
-        return sorted(r["path"] for r in listed.collect())
+        return (entry["version"], StructType.fromJson(json.loads(entry["schema"])),
+                sorted(r["path"] for r in listed.collect()))
+
+    def files(self, version: int | None = None) -> list[str]:
+        return self._state(version)[2]
 
     def _rows_of(self, files: Sequence[str], schema: StructType) -> DataFrame:
         if not files:
@@ -95,7 +97,8 @@ class VersionedTable:
         return self.spark.read.schema(schema).parquet(*files)
 
     def read(self, version: int | None = None) -> DataFrame:
-        return self._rows_of(self.files(version), self.schema(version))
+        _, schema, files = self._state(version)
+        return self._rows_of(files, schema)
 
     def read_as_of(self, seconds_ago: float | None = None, moment: datetime | None = None) -> DataFrame:
         """The table as it was some seconds ago, or at a moment."""
@@ -105,10 +108,8 @@ class VersionedTable:
 
     # --- committing ---------------------------------------------------------------------------
 
-    def _commit(self, operation: str, kept: Sequence[str], new: DataFrame | None, schema: StructType,
+    def _commit(self, version: int, operation: str, kept: Sequence[str], new: DataFrame | None, schema: StructType,
                 at: datetime | None = None) -> int:
-        rows = self._log_rows()
-        version = rows[-1]["version"] + 1 if rows else 0
         files = list(kept)
         if new is not None:
             folder = f"{self.path}/data/{version}-{uuid.uuid4().hex}"
@@ -134,11 +135,11 @@ class VersionedTable:
     # --- changing -----------------------------------------------------------------------------
 
     def _rewrite(self, operation: str, condition: Column, change, at: datetime | None) -> int:
-        schema, files = self.schema(), self.files()
+        version, schema, files = self._state()
         touched = self._holding(files, schema, condition)
         kept = [f for f in files if f not in touched]
         new = change(self._rows_of(sorted(touched), schema)) if touched else None
-        return self._commit(operation, kept, new, schema, at)
+        return self._commit(version + 1, operation, kept, new, schema, at)
 
     def delete_where(self, condition: Column, at: datetime | None = None) -> int:
         """Remove the rows for which the condition is true."""
@@ -150,11 +151,11 @@ class VersionedTable:
 
     def insert(self, rows: DataFrame, at: datetime | None = None, operation: str = "insert") -> int:
         """Add rows, columns matched by name; columns the rows lack become NULL."""
-        schema = self.schema()
+        version, schema, files = self._state()
         unknown = {c.lower() for c in rows.columns} - {f.name.lower() for f in schema}
         if unknown:
             raise ValueError(f"the table has no column {sorted(unknown)}")
-        return self._commit(operation, self.files(), conform(rows, schema, strict=True), schema, at)
+        return self._commit(version + 1, operation, files, conform(rows, schema, strict=True), schema, at)
 
     def guarded_insert(self, rows: DataFrame, on_duplicate: str = "raise", null_safe: bool = False,
                        at: datetime | None = None) -> int:
@@ -165,8 +166,9 @@ class VersionedTable:
         """
         if on_duplicate not in ("raise", "skip"):
             raise ValueError("on_duplicate must be 'raise' or 'skip'")
-        batch = conform(rows, self.schema(), strict=True)
-        fresh, known = split_new_rows(batch, self.read(), null_safe)
+        table = self.read()
+        batch = conform(rows, table.schema, strict=True)
+        fresh, known = split_new_rows(batch, table, null_safe)
         if on_duplicate == "raise":
             guarded = batch if null_safe else batch.dropna()
             twice = guarded.groupBy(*map(quoted, batch.columns)).count().filter("count > 1")
@@ -176,24 +178,26 @@ class VersionedTable:
 
     def restore(self, version: int, at: datetime | None = None) -> int:
         """Make an older version the current one; its files are listed again, not copied."""
-        return self._commit("restore", self.files(version), None, self.schema(version), at)
+        _, schema, files = self._state(version)
+        return self._commit(self.version() + 1, "restore", files, None, schema, at)
 
     def clone(self, path: str, version: int | None = None, at: datetime | None = None) -> VersionedTable:
         """A new table that starts from a version of this one and shares its files; later writes part ways."""
         copy = VersionedTable(self.spark, path)
         if copy._log_rows():
             raise ValueError(f"{path} already holds a table")
-        copy._commit("clone", self.files(version), None, self.schema(version), at)
+        _, schema, files = self._state(version)
+        copy._commit(0, "clone", files, None, schema, at)
         return copy
 
     # --- changes ------------------------------------------------------------------------------
 
     def changes(self, since: int, until: int | None = None, key: Sequence[str] = ()) -> DataFrame:
         """Net changes after version ``since`` up to ``until``; see :func:`table_changes`."""
-        schema = self.schema(until)
-        before, after = set(self.files(since)), set(self.files(until))
-        old = conform(self._rows_of(sorted(before - after), self.schema(since)), schema)
-        return table_changes(old, self._rows_of(sorted(after - before), schema), key)
+        _, old_schema, before = self._state(since)
+        _, schema, after = self._state(until)
+        old = conform(self._rows_of(sorted(set(before) - set(after)), old_schema), schema)
+        return table_changes(old, self._rows_of(sorted(set(after) - set(before)), schema), key)
 
     def consume_changes(self, log_path: str, key: Sequence[str] = (), start: int = 0) -> int:
         """Append the changes since the last call to a log folder and move the position; returns it.
