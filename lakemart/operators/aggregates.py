@@ -31,6 +31,42 @@ def zone_days(trips: DataFrame, zone: str = "pickup_zone", high_fare: float = 30
     return grouped.withColumn("pickup_day_of_week", day_name("pickup_day_of_week"))
 
 
+# Measures the zone reports average.
+_ZONE_SUMS = ("trip_distance", "total_amount", "tip_amount")
+
+
+def zone_totals(trips: DataFrame, by: Sequence[str], high_fare: float = 30) -> DataFrame:
+    """Sums and counts from which :func:`merge_zone_summary` and :func:`merge_zone_days` derive both reports."""
+    flags = {"yellow": F.col("taxi_type") == "yellow", "green": F.col("taxi_type") == "green",
+             "high_fare": F.col("fare_amount") > high_fare}
+    return trips.groupBy(*by).agg(
+        F.count("*").alias("trips"),
+        *[F.sum(c).alias(f"sum_{c}") for c in _ZONE_SUMS], *[F.count(c).alias(f"n_{c}") for c in _ZONE_SUMS],
+        *[F.count_if(c).alias(f"sum_{n}") for n, c in flags.items()], *[F.count(c).alias(f"n_{n}") for n, c in flags.items()],
+        F.max("trip_distance").alias("max_trip_distance"), F.min("tip_amount").alias("min_tip_amount"),
+    )
+
+
+def _merged_avg(name: str) -> Column:
+    return F.try_divide(F.sum(f"sum_{name}"), F.sum(f"n_{name}"))
+
+
+def merge_zone_summary(totals: DataFrame, zone: str = "pickup_zone") -> DataFrame:
+    """:func:`zone_summary` from finer totals."""
+    return totals.groupBy(zone).agg(
+        F.sum("trips").alias("total_trips"), *[_merged_avg(c).alias(f"avg_{c}") for c in _ZONE_SUMS],
+        *[(_merged_avg(c) * 100).alias(f"{c}_share") for c in ("yellow", "green")],
+        F.max("max_trip_distance").alias("max_trip_distance"), F.min("min_tip_amount").alias("min_tip_amount"),
+    )
+
+
+def merge_zone_days(totals: DataFrame, zone: str = "pickup_zone") -> DataFrame:
+    """:func:`zone_days` from finer totals."""
+    grouped = totals.groupBy("pickup_day_of_week", zone).agg(
+        F.sum("trips").alias("total_trips"), (_merged_avg("high_fare") * 100).alias("high_fare_share"))
+    return grouped.withColumn("pickup_day_of_week", day_name("pickup_day_of_week"))
+
+
 def zone_averages(trips: DataFrame, zone: str = "pickup_zone", with_count: bool = False,
                   with_total: bool = False) -> DataFrame:
     measures = [F.avg(c).alias(f"avg_{c}") for c in ("trip_distance", "total_amount", "tip_amount")]

@@ -2,8 +2,8 @@
 
 No broadcast hints: a lookup is broadcast by Spark when its size is under the session threshold, and
 shuffled otherwise (see ``session.py``). For a shuffled join, AQE splits a hot key's partition on the
-row-preserving side. Where both sides grow with the data and one key can be hot on either, the
-functions below spread the key themselves.
+row-preserving side, provided both sides come straight from a shuffle. Where one side is an aggregate
+on the join key, that does not hold, and the functions below deal a hot key's rows out themselves.
 """
 
 from __future__ import annotations
@@ -18,6 +18,20 @@ from pyspark.sql import functions as F
 from lakemart.operators.columns import quoted
 
 
+SALT = "_salt"
+
+
+def deal_out(left: DataFrame, right: DataFrame, salts: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with a salt column to join on as well: rows of ``left`` get one, rows of ``right`` all.
+
+    The salt depends on the row and on the number of its partition only, never on chance or on the order
+    of rows, so a task that is lost and run again deals its rows out the same way. Equal rows differ by
+    their partition.
+    """
+    dealt = F.pmod(F.xxhash64(F.spark_partition_id(), *map(quoted, left.columns)), F.lit(salts)).cast("int")
+    return left.withColumn(SALT, dealt), right.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+
+
 def lookup(df: DataFrame, key: str, names: Mapping[str, str], key_as: str, key_type: str = "bigint") -> DataFrame:
     """A lookup cut to its key (cast so that bad text matches nothing) and renamed payload columns."""
     return df.select(quoted(key).try_cast(key_type).alias(key_as),
@@ -53,11 +67,8 @@ def join_multi_key(left: DataFrame, right: DataFrame, on: Sequence[str], how: st
         return left.join(right, list(on), how)
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"salting cannot repeat the right side of a {how} join")
-    # The salt depends on the row's content only, so a lost and re-run task deals rows out the same way.
-    salt = F.pmod(F.xxhash64(*map(quoted, left.columns)), F.lit(salts)).cast("int")
-    salted = left.withColumn("_salt", salt)
-    repeated = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
+    salted, repeated = deal_out(left, right, salts)
+    return salted.join(repeated, [*on, SALT], how).drop(SALT)
 
 
 def join_using(left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str = "left") -> DataFrame:
@@ -108,27 +119,27 @@ def interval_join(left: DataFrame, right: DataFrame, key: str, left_time: str, r
     spread_right = right.withColumn("_bucket", F.floor(F.unix_timestamp(quoted(right_time)) / width))
     on = ["_bucket", key]
     if salts > 1:
-        spread_left = spread_left.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        spread_right = spread_right.withColumn(
-            "_salt", F.pmod(F.xxhash64(*map(quoted, right.columns)), F.lit(salts)).cast("int"))
-        on.append("_salt")
+        spread_right, spread_left = deal_out(spread_right, spread_left, salts)
+        on.append(SALT)
     spread_right = spread_right.withColumnsRenamed({c: f"_right_{c}" for c in on})
     condition = reduce(and_, [spread_left[c] == spread_right[f"_right_{c}"] for c in on])
     near = spread_right[right_time].between(spread_left[left_time] - tolerance, spread_left[left_time] + tolerance)
     return spread_left.join(spread_right, condition & near, "inner").drop(
-        "_bucket", "_salt", *[f"_right_{c}" for c in on])
+        "_bucket", SALT, *[f"_right_{c}" for c in on])
 
 
 def _complete(columns: Sequence[str]) -> Column:
     return reduce(and_, [quoted(c).isNotNull() for c in columns])
 
 
-def split_new_rows(new: DataFrame, existing: DataFrame, null_safe: bool = False) -> tuple[DataFrame, DataFrame]:
+def split_new_rows(new: DataFrame, existing: DataFrame, null_safe: bool = False,
+                   salts: int = 8) -> tuple[DataFrame, DataFrame]:
     """``(fresh, known)``: rows of ``new`` not yet / already in ``existing``, each counted once.
 
     With plain equality a row holding any NULL equals nothing, so it is always fresh and never merged
-    with its twins; ``null_safe`` treats NULL as a value. The large table is only semi-joined, reduced
-    to distinct rows before it meets the batch again, so repeated rows there cost one pass.
+    with its twins; ``null_safe`` treats NULL as a value. The large table is only semi-joined, dealt out
+    over ``salts`` in case one row fills much of it, and reduced to distinct rows before it meets the
+    batch again.
     """
     columns = new.columns
     table = existing.select(*map(quoted, columns))
@@ -139,10 +150,11 @@ def split_new_rows(new: DataFrame, existing: DataFrame, null_safe: bool = False)
         table = table.filter(_complete(columns))
 
     def same(a: DataFrame, b: DataFrame) -> Column:
-        return reduce(and_, [a[f"`{c}`"].eqNullSafe(b[f"`{c}`"]) if null_safe else a[f"`{c}`"] == b[f"`{c}`"]
-                             for c in columns])
+        pairs = [(a[f"`{c}`"], b[f"`{c}`"]) for c in columns]
+        return reduce(and_, [x.eqNullSafe(y) if null_safe else x == y for x, y in pairs])
 
-    known = table.join(candidates, same(table, candidates), "left_semi").distinct()
+    dealt, repeated = deal_out(table, candidates, salts)
+    known = dealt.join(repeated, same(dealt, repeated) & (dealt[SALT] == repeated[SALT]), "left_semi").drop(SALT).distinct()
     fresh = candidates.join(known, same(candidates, known), "left_anti")
     return (fresh if loose is None else fresh.unionByName(loose)), known
 
@@ -151,8 +163,12 @@ def insert_guard_anti(new: DataFrame, existing: DataFrame, null_safe: bool = Fal
     return split_new_rows(new, existing, null_safe)[0]
 
 
-def orphan_rows(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
-    """Child rows whose non-NULL key is missing in the parent."""
+def orphan_rows(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str, salts: int = 8) -> DataFrame:
+    """Child rows whose non-NULL key is missing in the parent.
+
+    The parent is reduced to distinct keys first, and the rows of a hot child key are dealt out over ``salts``.
+    """
     keys = parent.select(quoted(parent_key).alias("_parent_key")).distinct()
-    present = child.filter(quoted(child_key).isNotNull())
-    return present.join(keys, quoted(child_key) == F.col("_parent_key"), "left_anti")
+    dealt, repeated = deal_out(child.filter(quoted(child_key).isNotNull()), keys, salts)
+    same = (dealt[f"`{child_key}`"] == repeated["_parent_key"]) & (dealt[SALT] == repeated[SALT])
+    return dealt.join(repeated, same, "left_anti").drop(SALT)

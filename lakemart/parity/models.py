@@ -17,7 +17,8 @@ from lakemart.sources.sinks import keep_inline, keep_tables
 
 
 def _reports(t: Tables):
-    return taxi.zone_reports(taxi.unify_trips(t.raw_trips("yellow"), t.raw_trips("green")), t.zones(), "location_id", "zone")
+    trips = taxi.unify_trips(t.raw_trips("yellow"), t.raw_trips("green"))
+    return taxi.zone_reports(taxi.trip_zone_totals(trips, t.zones(), "location_id", "zone"))
 
 
 @query("report_zone_statistic", ZONE_SUMMARY_SQL)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.functions.scalars import day_of_week, duration_minutes, hour_of
-from lakemart.operators.aggregates import zone_days, zone_summary
+from lakemart.operators.aggregates import merge_zone_days, merge_zone_summary, zone_totals
 from lakemart.operators.columns import add_columns, rename_columns, snake_case_columns
 from lakemart.operators.filters import filter_anomalies
 from lakemart.operators.joins import join_zones
@@ -38,11 +38,20 @@ def prepare_trips(trips: DataFrame) -> DataFrame:
     }))
 
 
-def zone_reports(trips: DataFrame, zones: DataFrame, zone_key: str = "LocationID",
-                 payload: str = "Zone") -> dict[str, DataFrame]:
-    """Zone summary and weekday statistics of unified trips."""
-    enriched = join_zones(prepare_trips(trips), zones, payload, zone_key)
-    return {"zone_statistic": zone_summary(enriched), "zone_days_statistic": zone_days(enriched)}
+def trip_zone_totals(trips: DataFrame, zones: DataFrame, zone_key: str = "LocationID",
+                     payload: str = "Zone") -> DataFrame:
+    """What both zone reports need, per weekday and pair of zones, with the zone names.
+
+    Trips are summed by zone ids first: the trips are read once for both reports, never shuffled as
+    rows, and the lookups meet at most one row per weekday and pair.
+    """
+    totals = zone_totals(prepare_trips(trips), ["pickup_day_of_week", "pu_location_id", "do_location_id"])
+    return join_zones(totals, zones, payload, zone_key)
+
+
+def zone_reports(totals: DataFrame) -> dict[str, DataFrame]:
+    """Zone summary and weekday statistics."""
+    return {"zone_statistic": merge_zone_summary(totals), "zone_days_statistic": merge_zone_days(totals)}
 
 
 def run_zone_reports(spark: SparkSession, yellow_folders: list[str], green_folders: list[str], zone_csv: str,
@@ -50,11 +59,14 @@ def run_zone_reports(spark: SparkSession, yellow_folders: list[str], green_folde
     """From files to one Parquet file per report, below ``out/<report>/<run date>``."""
     yellow, green = (scan_drifted(spark, folders, trip_schema(colour))
                      for colour, folders in (("yellow", yellow_folders), ("green", green_folders)))
-    reports = zone_reports(unify_trips(yellow, green), scan_csv(spark, zone_csv))
+    totals = trip_zone_totals(unify_trips(yellow, green), scan_csv(spark, zone_csv)).persist()
     paths = {}
-    for name, report in reports.items():
-        paths[name] = f"{out}/{name}/{run_date.isoformat()}"
-        write_single_file(report, paths[name])
+    try:
+        for name, report in zone_reports(totals).items():
+            paths[name] = f"{out}/{name}/{run_date.isoformat()}"
+            write_single_file(report, paths[name])
+    finally:
+        totals.unpersist()
     return paths
 
 

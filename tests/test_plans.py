@@ -157,13 +157,14 @@ def test_trip_chain(spark):
 def test_shares_add_up_and_lookups_keep_rows(spark):
     trips = spark.range(200).select(
         (F.col("id") % 7).alias("pu_location_id"), (F.col("id") % 5).alias("do_location_id"), F.lit(1.0).alias("trip_distance"),
-        F.lit(9.0).alias("total_amount"), F.lit(1.0).alias("tip_amount"), F.lit(40.0).alias("fare_amount"), F.lit(2).alias("passenger_count"),
+        F.lit(9.0).alias("total_amount"), F.lit(None).cast("double").alias("tip_amount"), F.lit(40.0).alias("fare_amount"), F.lit(2).alias("passenger_count"),
         F.lit("2024-01-01 08:00:00").cast("timestamp_ntz").alias("pickup_datetime"),
         F.lit("2024-01-01 08:30:00").cast("timestamp_ntz").alias("dropoff_datetime"),
         F.when(F.col("id") % 3 == 0, "yellow").otherwise("green").alias("taxi_type"))
     zones = spark.createDataFrame([("1", "A"), ("2", "B")], ["LocationID", "Zone"])
-    summary = taxi.zone_reports(trips, zones)["zone_statistic"].collect()
+    summary = taxi.zone_reports(taxi.trip_zone_totals(trips, zones))["zone_statistic"].collect()
     assert sum(r["total_trips"] for r in summary) == 200
     assert all(abs(r["yellow_share"] + r["green_share"] - 100) < 1e-9 for r in summary)
+    assert {(r["avg_tip_amount"], r["min_tip_amount"], r["avg_total_amount"]) for r in summary} == {(None, None, 9.0)}
     enriched = warehouse.enriched(trips, zones, "LocationID", "Zone")
     assert warehouse.preprocessed(enriched).count() == 200
