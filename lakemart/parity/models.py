@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.operators.quality import quality_report
@@ -11,7 +14,7 @@ from lakemart.parity.row_level import SQL_ID, TRIP_ID
 from lakemart.parity.views import Tables
 from lakemart.plans import crime, players, taxi, trip_facts, warehouse
 from lakemart.session import scratch_database, scratch_path
-from lakemart.sources.sinks import keep_inline, keep_tables
+from lakemart.sources.sinks import keep_tables
 
 # --- zone reports -----------------------------------------------------------------------------
 
@@ -93,9 +96,23 @@ def _raw(t: Tables, colour: str):
     return raw.withColumn("trip_type", F.lit(1.0)) if colour == "yellow" else raw
 
 
-def _trip_tables(t: Tables, keep=keep_inline):
-    return trip_facts.trip_tables(_raw(t, "green"), _raw(t, "yellow"), t.zones(), ["order_key", "part_key", "copy"],
-                                  "location_id", "borough", keep)
+TIE_BREAK = ("order_key", "part_key", "copy")
+
+
+class Trips:
+    """The trip models, each built when asked for."""
+
+    def __init__(self, t: Tables):
+        self.t = t
+        self.zones = t.zones()
+        self.locations = trip_facts.locations(self.zones)
+
+    def stage(self, colour: str) -> DataFrame:
+        return trip_facts.taxi_stage(_raw(self.t, colour), self.zones, "location_id", "borough")
+
+    @cached_property
+    def trips(self) -> DataFrame:
+        return trip_facts.trips(self.stage("green"), self.stage("yellow"), TIE_BREAK)
 
 
 STAGE_SQL = """(SELECT t.*, p.borough AS pickup_borough, d.borough AS dropoff_borough, hour(pickup_datetime) AS pickup_hour,
@@ -119,12 +136,12 @@ def _fact_sql(grain: str, name: str) -> str:
 @query("taxi_stage", f"""SELECT {SQL_ID}, copy, pickup_borough, dropoff_borough, pickup_hour, trip_duration_minutes
     FROM {STAGE_SQL} WHERE taxi_type = 'yellow'""")
 def _(t: Tables):
-    return _trip_tables(t)["yellow_taxi_stage"].select(*TRIP_ID, "copy", "pickup_borough", "dropoff_borough", "pickup_hour", "trip_duration_minutes")
+    return Trips(t).stage("yellow").select(*TRIP_ID, "copy", "pickup_borough", "dropoff_borough", "pickup_hour", "trip_duration_minutes")
 
 
 @query("locations", "SELECT location_id, borough, zone, service_zone FROM zone_ids")
 def _(t: Tables):
-    return _trip_tables(t)["locations"]
+    return Trips(t).locations
 
 
 @query("trips", f"""SELECT vendor_id, pu_location_id, do_location_id, ratecode_id, payment_type, passenger_count, total_amount, fare_amount,
@@ -132,22 +149,26 @@ def _(t: Tables):
     strftime(dropoff_datetime, '%Y-%m-%d %H:%M:%S') AS dropoff_datetime, CASE WHEN taxi_type = 'yellow' THEN 1 END AS trip_type,
     store_and_fwd_flag, pickup_hour, taxi_type FROM {TRIPS_SQL}""")
 def _(t: Tables):
-    return _trip_tables(t)["trips"]
+    return Trips(t).trips
 
 
 @query("fact_trip_summary_daily", _fact_sql("strftime(pickup_datetime, '%Y-%m-%d')", "pickup_date"))
 def _(t: Tables):
-    return _trip_tables(t)["fact_trip_summary_daily"]
+    m = Trips(t)
+    return trip_facts.fact_trip_summary_daily(m.trips, m.locations)
 
 
 @query("fact_trip_summary_hourly", _fact_sql("pickup_hour", "pickup_hour"))
 def _(t: Tables):
-    return _trip_tables(t)["fact_trip_summary_hourly"]
+    m = Trips(t)
+    return trip_facts.fact_trip_summary_hourly(m.trips, m.locations)
 
 
 @query("trip_facts_kept", _fact_sql("pickup_hour", "pickup_hour"))
 def _(t: Tables):
-    return _trip_tables(t, keep_tables(scratch_database(t.spark)))["fact_trip_summary_hourly"]
+    kept = trip_facts.trip_tables(_raw(t, "green"), _raw(t, "yellow"), t.zones(), TIE_BREAK, "location_id", "borough",
+                                  keep_tables(scratch_database(t.spark)))
+    return kept["fact_trip_summary_hourly"]
 
 
 @query("trip_checks", """SELECT c AS "check", t AS "table", k AS "column", CAST(v AS BIGINT) AS violations FROM (VALUES
@@ -156,14 +177,27 @@ def _(t: Tables):
     ('not_null', 'trips', 'total_amount', 0), ('expression', 'trips', 'trip_duration_minutes > 0', 0),
     ('expression', 'trips', 'passenger_count BETWEEN 1 AND 6', 0), ('expression', 'trips', 'dropoff_datetime > pickup_datetime', 0)) x(c, t, k, v)""")
 def _(t: Tables):
-    return quality_report(_trip_tables(t), trip_facts.TRIP_CHECKS)
+    m = Trips(t)
+    return quality_report({"trips": m.trips, "locations": m.locations}, trip_facts.TRIP_CHECKS)
 
 
 # --- players ----------------------------------------------------------------------------------
 
 
-def _player_tables(t: Tables):
-    return players.player_tables(t.players_male(), t.players_female(), [F.col("row_no").cast("long")])
+class Players:
+    """The player models, each built when asked for."""
+
+    def __init__(self, t: Tables):
+        self.t = t
+
+    def staged(self, gender: str) -> DataFrame:
+        return players.stg_players(self.t.players_male() if gender == "male" else self.t.players_female())
+
+    def players(self, gender: str) -> DataFrame:
+        staged = self.staged(gender)
+        if gender == "male":
+            return players.int_players_male(staged)
+        return players.int_players_female(staged, [F.col("row_no").cast("long")])
 
 
 def _team_sql(source: str) -> str:
@@ -174,12 +208,12 @@ def _team_sql(source: str) -> str:
 def _register_gender(gender: str, source: str) -> None:
     @query(f"int_players_{gender}", f"SELECT player_id, club_team_id, overall, CAST(value_eur AS DOUBLE) AS value_eur, fifa_update_date, gender FROM {source}")
     def _(t: Tables):
-        return _player_tables(t)[f"int_players_{gender}"].select(
+        return Players(t).players(gender).select(
             "player_id", "club_team_id", "overall", "value_eur", "fifa_update_date", "gender")
 
     @query(f"int_team_profiles_{gender}", f"SELECT * REPLACE (round(avg_overall, 4) AS avg_overall, round(avg_age, 4) AS avg_age) FROM {_team_sql(source)}")
     def _(t: Tables):
-        return rounded(_player_tables(t)[f"int_team_profiles_{gender}"], "avg_overall", "avg_age")
+        return rounded(players.int_team_profiles(Players(t).players(gender)), "avg_overall", "avg_age")
 
     averages = ("avg_overall", "avg_potential", "avg_age", "avg_value_eur", "avg_wage_eur")
 
@@ -189,7 +223,9 @@ def _register_gender(gender: str, source: str) -> None:
         LEFT JOIN (SELECT league_id AS lid, round(avg(total_value), 4) AS avg_team_cost, round(avg(total_potential), 4) AS avg_team_potential
             FROM {_team_sql(source)} GROUP BY ALL) lt ON lt.lid = lp.league_id""")
     def _(t: Tables):
-        return rounded(_player_tables(t)[f"int_league_insights_{gender}"], *averages, "avg_team_cost", "avg_team_potential")
+        squad = Players(t).players(gender)
+        leagues = players.int_league_insights(squad, players.int_team_profiles(squad))
+        return rounded(leagues, *averages, "avg_team_cost", "avg_team_potential")
 
     @query(f"mart_player_profiles_{gender}", f"""SELECT player_id, overall, potential, potential - overall AS growth_gap, age, height_cm, weight_kg,
         CAST(value_eur AS DOUBLE) AS value_eur, CAST(wage_eur AS DOUBLE) AS wage_eur, release_clause_eur, pace, shooting, passing, dribbling, defending, physic, gender,
@@ -199,7 +235,7 @@ def _register_gender(gender: str, source: str) -> None:
              WHEN player_positions LIKE '%CM%' OR player_positions LIKE '%CDM%' THEN 'Regista' ELSE 'Other' END AS role_classification
         FROM {source}""")
     def _(t: Tables):
-        return _player_tables(t)[f"mart_player_profiles_{gender}"]
+        return players.mart_player_profiles(Players(t).players(gender))
 
 
 _register_gender("male", "male_clean")
@@ -224,7 +260,9 @@ DASHBOARD_SQL = f"""WITH squads AS (
 
 @query("mart_team_dashboard", DASHBOARD_SQL)
 def _(t: Tables):
-    return rounded(_player_tables(t)["mart_team_dashboard"], "avg_overall", "avg_potential", "avg_age")
+    squads = {g: Players(t).players(g) for g in ("male", "female")}
+    teams = {g: players.int_team_profiles(squad) for g, squad in squads.items()}
+    return rounded(players.mart_team_dashboard(squads, teams), "avg_overall", "avg_potential", "avg_age")
 
 
 @query("player_checks", """SELECT c AS "check", t AS "table", k AS "column", v AS violations FROM (
@@ -234,7 +272,8 @@ def _(t: Tables):
 def _(t: Tables):
     from lakemart.operators.quality import Check
 
-    tables = _player_tables(t) | {"stg_players_female": players.stg_players(t.players_female())}
+    m = Players(t)
+    tables = {f"int_players_{g}": m.players(g) for g in ("male", "female")} | {"stg_players_female": m.staged("female")}
     return quality_report(tables, [Check("int_players_male", "not_null", "overall"), Check("int_players_female", "unique", "player_id"),
                                    Check("stg_players_female", "unique", "player_id")])
 
@@ -245,12 +284,35 @@ DAY = "strftime({0}, '%Y-%m-%d') AS {0}".format
 TIME = "strftime({0}, '%Y-%m-%d %H:%M:%S') AS {0}".format
 
 
-def _silver(t: Tables):
-    return (crime.silver_crimes(t.crimes_raw()), crime.silver_arrests(t.arrests_raw()), crime.silver_ucr_codes(t.codes_raw()))
+class Crimes:
+    """The crime models, each built when asked for."""
+
+    def __init__(self, t: Tables):
+        self.t = t
+
+    @cached_property
+    def codes(self) -> DataFrame:
+        return crime.stg_ucr_codes(crime.silver_ucr_codes(self.t.codes_raw()))
+
+    @cached_property
+    def crimes(self) -> DataFrame:
+        return crime.stg_crimes(crime.silver_crimes(self.t.crimes_raw()), self.codes)
+
+    @cached_property
+    def arrests(self) -> DataFrame:
+        return crime.stg_arrests(crime.silver_arrests(self.t.arrests_raw()))
+
+    @cached_property
+    def places(self) -> DataFrame:
+        return crime.dim_location(self.crimes)
 
+    @cached_property
+    def types(self) -> DataFrame:
+        return crime.dim_crime_type(self.codes)
 
-def _gold(t: Tables):
-    return crime.gold_tables(*_silver(t))
+    @cached_property
+    def facts(self) -> DataFrame:
+        return crime.fact_crimes(self.crimes, self.places, self.types)
 
 
 @query("silver_crimes", f"SELECT * REPLACE ({TIME('crime_datetime')}) FROM silver_crimes")
@@ -270,37 +332,38 @@ def _(t: Tables):
 
 @query("stg_ucr_codes", "SELECT * FROM stg_codes")
 def _(t: Tables):
-    return _gold(t)["stg_ucr_codes"]
+    return Crimes(t).codes
 
 
 @query("stg_crimes", f"SELECT * REPLACE ({TIME('crime_datetime')}, {DAY('crime_date')}) FROM stg_crimes")
 def _(t: Tables):
-    return _gold(t)["stg_crimes"]
+    return Crimes(t).crimes
 
 
 @query("stg_arrests", f"SELECT * REPLACE ({TIME('arrest_date')}) FROM silver_arrests WHERE arrest_date IS NOT NULL")
 def _(t: Tables):
-    return _gold(t)["stg_arrests"]
+    return Crimes(t).arrests
 
 
 @query("dim_location", "SELECT * FROM dim_location")
 def _(t: Tables):
-    return _gold(t)["dim_location"]
+    return Crimes(t).places
 
 
 @query("dim_crime_type", "SELECT * FROM dim_crime_type")
 def _(t: Tables):
-    return _gold(t)["dim_crime_type"]
+    return Crimes(t).types
 
 
 @query("fact_crimes", f"SELECT * REPLACE ({TIME('crime_datetime')}, {DAY('crime_date')}) FROM fact_crimes")
 def _(t: Tables):
-    return _gold(t)["fact_crimes"]
+    return Crimes(t).facts
 
 
 @query("fact_arrests", f"SELECT * REPLACE ({TIME('arrest_date')}) FROM fact_arrests")
 def _(t: Tables):
-    return _gold(t)["fact_arrests"]
+    m = Crimes(t)
+    return crime.fact_arrests(m.arrests, m.facts, m.types)
 
 
 @query("agg_daily_crimes", f"""SELECT {DAY('crime_date')}, primary_type, district_id, community_area_id, count(*) AS total_crimes,
@@ -308,7 +371,8 @@ def _(t: Tables):
     FROM fact_crimes LEFT JOIN (SELECT location_key AS lk, district_id, community_area_id FROM dim_location) ON lk = location_key
     GROUP BY crime_date, primary_type, district_id, community_area_id""")
 def _(t: Tables):
-    return _gold(t)["agg_daily_crimes"]
+    m = Crimes(t)
+    return crime.agg_daily_crimes(m.facts, m.places)
 
 
 @query("crime_checks", """SELECT c AS "check", t AS "table", k AS "column", CAST(v AS BIGINT) AS violations FROM (
@@ -322,7 +386,9 @@ def _(t: Tables):
     wanted = {("fact_crimes", "unique", "crime_id"), ("fact_crimes", "not_null", "iucr_code"), ("fact_crimes", "not_null", "crime_date"),
               ("stg_crimes", "relationships", "iucr_code"), ("fact_crimes", "relationships", "location_key"),
               ("stg_ucr_codes", "unique", "iucr_code")}
-    return quality_report(_gold(t), [c for c in crime.CRIME_CHECKS if (c.table, c.kind, c.column) in wanted])
+    m = Crimes(t)
+    tables = {"fact_crimes": m.facts, "stg_crimes": m.crimes, "stg_ucr_codes": m.codes, "dim_location": m.places}
+    return quality_report(tables, [c for c in crime.CRIME_CHECKS if (c.table, c.kind, c.column) in wanted])
 
 
 @query("run_crime", f"""SELECT {DAY('crime_date')}, primary_type, district_id, community_area_id, count(*) AS total_crimes,

@@ -12,7 +12,7 @@ from lakemart.session import build_session  # noqa: E402
 def spark(tmp_path_factory):
     root = tmp_path_factory.mktemp("spark")
     session = build_session(
-        "tests", "local[8]", spark__sql__shuffle__partitions="4", spark__driver__memory="4g",
+        "tests", "local[8]", spark__sql__shuffle__partitions="2", spark__default__parallelism="2", spark__driver__memory="4g",
         spark__checkpoint__dir=str(root / "scratch"), spark__sql__warehouse__dir=str(root / "warehouse"),
         spark__driver__extraJavaOptions=f"-Dderby.system.home={root}")
     session.sparkContext.setLogLevel("ERROR")
