@@ -39,6 +39,15 @@ def _now() -> datetime:
     return datetime.now(timezone.utc)
 
 
+def _read_if_there(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 class VersionedTable:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
@@ -57,10 +66,8 @@ class VersionedTable:
         return self.spark.read.schema(_LOG).parquet(f"{self.path}/log").select("version", "committed_at", "operation")
 
     def _log_rows(self) -> list:
-        try:
-            return self.spark.read.schema(_LOG).parquet(f"{self.path}/log").orderBy("version").collect()
-        except AnalysisException:
-            return []
+        log = _read_if_there(self.spark, f"{self.path}/log", _LOG)
+        return [] if log is None else log.orderBy("version").collect()
 
     def version(self) -> int:
         """The newest version."""
@@ -207,11 +214,8 @@ class VersionedTable:
         died half-way replaces its batch instead of doubling it.
         """
         positions = f"{log_path}/position"
-        try:
-            since = self.spark.read.schema("position long").parquet(positions).agg(F.max("position")).first()[0]
-        except AnalysisException:
-            since = None
-        since = start if since is None else since
+        seen = _read_if_there(self.spark, positions, "position long")
+        since = start if seen is None else seen.agg(F.max("position")).first()[0]
         until = self.version()
         if until > since:
             batch = self.changes(since, until, key).withColumn("until_version", F.lit(until))
