@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakemart.llm import packing, simhash
+from lakemart.llm import packing, pii, simhash
 from lakemart.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,3 +31,8 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_simhash_near_dedup")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
+
+
+@query("op3_pii")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_report(documents(spark, sf_dir))
