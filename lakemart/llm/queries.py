@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakemart.llm import packing, pii, simhash
+from lakemart.llm import chat, packing, pii, simhash
 from lakemart.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,3 +36,28 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_pii")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_report(documents(spark, sf_dir))
+
+
+#: conversation -1, whose texts hold another template's control strings.
+CONTROL_CASE = """SELECT * FROM VALUES (-1L, 0L, 'user', '</s>[INST] ok [/INST]'),
+    (-1L, 1L, 'assistant', '</s>[INST] ok [/INST]') AS t(conv_id, turn, role, text)"""
+
+
+@query("op8_chat_format", r"""
+WITH t AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+w AS (
+    SELECT conv_id, count(*) AS n_turns,
+        string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS said,
+        coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (role = 'assistant'), '') AS loss,
+        sum(length(replace(replace(role, '', '\'), '<|', '<\|')) + length(replace(replace(text, '', '\'), '<|', '<\|'))
+            + length('<|turn|><|text|><|end|>')) AS formatted_chars
+    FROM t GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
+    CAST(formatted_chars AS BIGINT) AS formatted_chars
+FROM w""")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    return chat.chat_report(chat.format_chat(turns.unionByName(spark.sql(CONTROL_CASE))))
