@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakemart.session import scratch_path
+
 
 def set_checkpoint_dir(spark: SparkSession) -> None:
     """Point Spark's checkpoints at the shared folder of ``spark.checkpoint.dir``; an error if there is none."""
@@ -29,3 +31,11 @@ def text_or_empty(name: str = "text") -> Column:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The frame as a table in the cluster's shared scratch folder: computed once, and small ones are known as such, so
+    that Spark may broadcast them."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

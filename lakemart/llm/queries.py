@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakemart.llm import chat, packing, pii, simhash
+from lakemart.llm import chat, mixing, packing, pii, sharding, simhash
 from lakemart.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +39,15 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_report(documents(spark, sf_dir))
 
 
+@query("op5_flow_sharding")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From the shards that a hash of the source would give, with one hot source, to 16 even ones."""
+    old = F.pmod(F.crc32(F.coalesce("source", F.lit("")).cast("binary")), F.lit(12))
+    return sharding.reshard(documents(spark, sf_dir), old).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "old_shard")
+
+
 #: conversation -1, whose texts hold another template's control strings.
 CONTROL_CASE = """SELECT * FROM VALUES (-1L, 0L, 'user', '</s>[INST] ok [/INST]'),
     (-1L, 1L, 'assistant', '</s>[INST] ok [/INST]') AS t(conv_id, turn, role, text)"""
@@ -61,3 +71,63 @@ FROM w""")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
     return chat.chat_report(chat.format_chat(turns.unionByName(spark.sql(CONTROL_CASE))))
+
+
+def _level_sql(depth: int) -> str:
+    """Budgets of the nodes at one depth of the tree: shares of the parent's by weight, up to their capacity."""
+    path, above = f"p{depth}", "''" if depth == 1 else f"p{depth - 1}"
+    return f"""
+nodes{depth} AS (
+    SELECT *, (budget - before) / after AS reach FROM (
+        SELECT n.*, b.budget, coalesce(sum(capacity) OVER (PARTITION BY parent ORDER BY capacity / weight, n.path
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0) AS before,
+            CAST(sum(weight) OVER (PARTITION BY parent ORDER BY capacity / weight, n.path
+                ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS DOUBLE) AS after
+        FROM (SELECT parent, path, tokens, coalesce(w.weight, 1) AS weight, tokens * {MIX_EPOCHS} AS capacity
+              FROM (SELECT {above} AS parent, {path} AS path, CAST(sum(n) AS DOUBLE) AS tokens FROM d GROUP BY ALL)
+              LEFT JOIN weights w USING (path)) n
+        JOIN budget{depth - 1} b ON b.path = n.parent)),
+budget{depth} AS (
+    SELECT path, tokens, least(capacity, coalesce(max(CASE WHEN capacity > reach * weight THEN reach END)
+        OVER (PARTITION BY parent) * weight, capacity)) AS budget FROM nodes{depth}),"""
+
+
+#: Weights by path; sources share evenly.
+MIX_WEIGHTS = {"d0": 5, "d1": 3, "d2": 2} | {
+    f"d{k}/{lang}": weight for k in range(3) for lang, weight in (("en", 2), ("de", 1), ("fr", 3), ("es", 4))}
+MIX_SHARE, MIX_EPOCHS, MIX_SEED = 0.8, 2, 17
+MIX_SQL = f"""
+WITH weights AS (SELECT * FROM (VALUES {", ".join(f"('{k}', {v})" for k, v in MIX_WEIGHTS.items())}) t(path, weight)),
+named AS (
+    SELECT doc_id, lang, source, 'd' || CAST(coalesce(TRY_CAST(regexp_extract(source, '[0-9]+') AS INT), 0) % 3
+        AS VARCHAR) AS domain, (coalesce(strlen(text), 0) + 3) // 4 + 1 AS n FROM documents),
+d AS (
+    SELECT *, p2 || '/' || coalesce(replace(source, '/', '%2F'), '(none)') AS p3 FROM (
+        SELECT *, domain || '/' || coalesce(replace(lang, '/', '%2F'), '(none)') AS p2, domain AS p1 FROM named)),
+budget0 AS (SELECT '' AS path, sum(n) * CAST({MIX_SHARE} AS DOUBLE) AS budget FROM d),
+{_level_sql(1)}{_level_sql(2)}{_level_sql(3)}
+leaves AS (
+    SELECT path, CAST(floor(budget / tokens) AS INT) AS epochs, budget - floor(budget / tokens) * tokens AS rest
+    FROM budget3),
+ordered AS (
+    SELECT *, coalesce(sum(n) OVER (PARTITION BY p3 ORDER BY key
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead
+    FROM (SELECT d.*, l.epochs, l.rest, md5('{MIX_SEED}|' || CAST(l.epochs AS VARCHAR) || '|'
+              || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS key FROM d JOIN leaves l ON l.path = d.p3))
+SELECT doc_id, domain, lang, source, n AS tokens,
+    CAST(unnest(range(epochs + CASE WHEN ahead < rest THEN 1 ELSE 0 END)) AS INT) AS epoch
+FROM ordered"""
+
+
+def with_domain(docs: DataFrame) -> DataFrame:
+    """Three domains by the number in the source's name."""
+    number = F.expr("try_cast(regexp_extract(source, '[0-9]+', 0) AS INT)")
+    return docs.withColumn("domain", F.concat(F.lit("d"), (F.coalesce(number, F.lit(0)) % 3).cast("string")))
+
+
+@query("op9_hierarchical_mix", MIX_SQL)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_domain(documents(spark, sf_dir)).withColumn("tokens", mixing.token_estimate(F.col("text")))
+    mixed = mixing.mix(docs, ["domain", "lang", "source"], MIX_WEIGHTS, MIX_SHARE, MIX_EPOCHS, MIX_SEED,
+                       tokens=F.col("tokens"))
+    return mixed.select("doc_id", "domain", "lang", "source", "tokens", "epoch")
