@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import chat, mixing, packing, pii, sharding, simhash
+from lakemart.llm import chat, mixing, packing, pii, quality, sharding, simhash
 from lakemart.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +39,11 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_report(documents(spark, sf_dir))
 
 
+@query("op4_quality_votes")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_report(documents(spark, sf_dir))
+
+
 @query("op5_flow_sharding")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From the shards that a hash of the source would give, with one hot source, to 16 even ones."""
