@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import chat, mixing, packing, pii, quality, sharding, simhash
+from lakemart.llm import chat, language, mixing, packing, pii, quality, sharding, simhash
 from lakemart.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -136,3 +136,8 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(docs, ["domain", "lang", "source"], MIX_WEIGHTS, MIX_SHARE, MIX_EPOCHS, MIX_SEED,
                        tokens=F.col("tokens"))
     return mixed.select("doc_id", "domain", "lang", "source", "tokens", "epoch")
+
+
+@query("op10_language_codes")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language_report(documents(spark, sf_dir))
