@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import chat, language, mixing, packing, passages, pii, quality, sharding, simhash
+from lakemart.llm import chat, language, mixing, packing, passages, pii, quality, sharding, simhash, vectors
 from lakemart.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,6 +53,11 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"), "old_shard")
 
 
+@query("op6_nn_descent_dedup")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.linked_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 @query("op7_paragraph_dedup")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.repeated_passages(documents(spark, sf_dir))
