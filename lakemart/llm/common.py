@@ -2,12 +2,27 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.session import scratch_path
 
 
+def share_code(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, if that folder exists for them.
+
+    On a cluster, install the package on the executors or ship it with ``--py-files``.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, (root, known)))
+
+
 def set_checkpoint_dir(spark: SparkSession) -> None:
     """Point Spark's checkpoints at the shared folder of ``spark.checkpoint.dir``; an error if there is none."""
     context = spark.sparkContext

@@ -135,12 +135,9 @@ def _placed(columns: dict[str, np.ndarray], sizes: np.ndarray, first_id: int, ca
         if len(kept) <= used:
             bins, ids, offsets, used = inverse, old[0], old[1], len(kept)
     free = capacity - np.bincount(bins, weights=sizes, minlength=max(used, 1))
-    if used <= lower_bound(np.bincount(sizes, minlength=capacity + 1), capacity):
-        # Certified. Its bound is rounded up, so the emptiest bin may still find room elsewhere.
-        loose = np.arange(len(free)) == free.argmax()
-        loose &= free > 0
-    else:
-        loose = free > 0
+    # An exchanged share that meets its bound is done, but for bins with much room; others go on with every gap.
+    done = old is not None and used <= lower_bound(np.bincount(sizes, minlength=capacity + 1), capacity)
+    loose = free >= (max(1, capacity // 32) if done else 1)
     arrays = [pa.array(columns[n]) for n in ("doc_id", "piece", "start", "length", "ids_crc32")]
     arrays += [pa.array(ids), pa.array(offsets), pa.array(loose[bins] if len(bins) else np.zeros(0, bool))]
     return pa.RecordBatch.from_arrays(arrays, schema=PLACED_ARROW)
@@ -175,10 +172,10 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, bins_per_share: int
                 max_rounds: int = 8) -> DataFrame:
     """``pieces`` with sequence_id and offset; no sequence holds more than ``capacity`` tokens.
 
-    The first packing needs no shuffle: a partition packs what it holds. In each exchange, bins that are loose (those
-    with room in a partition above its bound; the emptiest bin of a certified one) go as a whole to fewer shares,
-    whose documents are packed anew; a share that gains nothing keeps its bins. It ends with a single share or when
-    nothing is gained. An empty frame gives an empty result.
+    The first packing needs no shuffle: a partition packs what it holds, which leaves most sequences full. In each
+    exchange, the loose ones (those with a gap; in a share that meets its lower bound, only those with a 32nd of the
+    capacity free) go as a whole to fewer shares, whose documents are packed anew; a share that gains nothing keeps its
+    sequences. It ends with a single share or when nothing is gained. An empty frame gives an empty result.
     """
     placed = cut(pieces.mapInArrow(_pack_partition(capacity), PLACED))
     parts, loose = [placed.where("not loose")], placed.where("loose")

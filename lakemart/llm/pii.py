@@ -82,14 +82,14 @@ def _spans(rank: int, kind: Kind) -> Column:
     return F.expr(f"if(size({m}) = 0, cast(array() as array<{SPAN}>), {kept})")
 
 
-def find_pii(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """``docs`` with ``pii``: an array of kind, start, stop, value, score, rank, ordered by start, then by kind.
+def find_pii(docs: DataFrame, threshold: float = 0.5, into: str = "pii") -> DataFrame:
+    """``docs`` with the column ``into``: an array of kind, start, stop, value, score, rank, ordered by start, then by kind.
 
     Kinds: email, ip (parts to 255), card (14 to 19 digits, Luhn), phone (10 to 15 digits); these always stay. iban
     (mod 97) and phone_local (no country code) are added where they score ``threshold`` or more and touch no base
     span. Words within 40 code points before and 20 behind a match raise or lower its score by 0.2.
 
-    A null or empty text has no spans. Other columns pass through (one named ``pii`` is replaced); repeated rows are
+    A null or empty text has no spans. Other columns pass through (one named as ``into`` is replaced); repeated rows are
     treated alike; very long texts are searched whole.
     """
     row = docs.select(F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row"),
@@ -110,8 +110,7 @@ def find_pii(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
         "base", lambda b: (b.start < s.stop) & (s.start < b.stop)))
     ordered = F.array_sort(F.concat("base", added), lambda x, y: F.when(x.start != y.start, x.start - y.start)
                            .otherwise(x["rank"] - y["rank"]))
-    return found.select("row.*", ordered.alias("pii")) if "pii" not in docs.columns else (
-        found.select(*(F.col(f"row.`{c}`") for c in docs.columns if c != "pii"), ordered.alias("pii")))
+    return found.select(*(F.col(f"row.`{c}`") for c in docs.columns if c != into), ordered.alias(into))
 
 
 def redact(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
@@ -119,16 +118,19 @@ def redact(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
 
     A null text stays null. ``n_chars``, where there is one, is counted anew for the changed texts.
     """
-    found = find_pii(docs, threshold)
-    swept = F.expr("""aggregate(pii, named_struct('pos', 0, 'out', cast(array() as array<string>)),
+    spans = "pii"
+    while spans in docs.columns:
+        spans += "_"
+    found = find_pii(docs, threshold, spans)
+    swept = F.expr(f"""aggregate({spans}, named_struct('pos', 0, 'out', cast(array() as array<string>)),
         (a, s) -> if(s.start < a.pos, named_struct('pos', greatest(a.pos, s.stop), 'out', a.out),
             named_struct('pos', s.stop, 'out',
                 concat(a.out, array(substring(text, a.pos + 1, s.start - a.pos), concat('[', upper(s.kind), ']'))))),
         a -> concat(array_join(a.out, ''), substring(text, a.pos + 1)))""")
-    clean = found.withColumn("text", F.when(F.size("pii") > 0, swept).otherwise(F.col("text")))
+    clean = found.withColumn("text", F.when(F.size(spans) > 0, swept).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         length = F.length("text").cast(docs.schema["n_chars"].dataType)
-        clean = clean.withColumn("n_chars", F.when(F.size("pii") > 0, length).otherwise(F.col("n_chars")))
+        clean = clean.withColumn("n_chars", F.when(F.size(spans) > 0, length).otherwise(F.col("n_chars")))
     return clean.select(*(f"`{c}`" for c in docs.columns))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.llm import chat, language, mixing, packing, passages, pii, quality, sharding, simhash, vectors
-from lakemart.llm.common import documents
+from lakemart.llm.common import documents, share_code
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -16,7 +16,11 @@ SQL: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def add(fn: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            share_code(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             SQL[name] = sql
         return fn

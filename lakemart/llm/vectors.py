@@ -272,9 +272,8 @@ def linked_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "e
     nodes = cut(base.where("usable").groupBy("vector").agg(
         F.min("uid").alias("node"), F.count("*").alias("copies"), F.min("id").alias("first_id")))
     count = nodes.count()
-    edges: DataFrame | None = None
-    links, component = None, None
-    tables = 0
+    edges, links, tables = None, None, 0
+    component = rows.sparkSession.createDataFrame([], "node long, component long")
     while count > 1:
         found = cut(bucket_edges(nodes, count, tables, TABLES, threshold, explore, neighbours))
         tables += TABLES
@@ -294,9 +293,6 @@ def linked_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "e
         held, total = audit_recall(nodes, component, threshold)
         if held >= recall * total or tables >= max_tables:
             break
-    if component is None:
-        return base.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"),
-                           F.col("id").alias("component_id"), F.lit(True).alias("kept"))
     counted = cut(count_links(nodes, component, threshold))
     named = cut(nodes.select("node", "vector", "copies", "first_id").join(component, "node", "left")
                 .withColumn("component", F.coalesce("component", "node")))

@@ -1,0 +1,146 @@
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
+
+from lakemart.llm import simhash
+from lakemart.llm.components import connected_components
+from tests.llm.helpers import clashing, empty, odd
+
+
+def plain_fingerprint(text):
+    words = [w for w in (text or "").encode().lower().replace(b"\x0b", b" ").replace(b"\x0c", b" ").split() if w]
+    if not words:
+        return 0
+    grams = [b" ".join(words[k:k + 4]) for k in range(len(words) - 3)] or [b" ".join(words)]
+    hashes = [xxh64_intdigest(g, 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def plain_components(edges, nodes):
+    root = {n: n for n in nodes}
+
+    def find(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    for a, b in edges:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+def plain_groups(rows):
+    """Smallest id reachable, per row, over all pairs."""
+    prints = [plain_fingerprint(t) for _, t in rows]
+    edges = [(i, j) for i in range(len(rows)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 4]
+    group = plain_components(edges, range(len(rows)))
+    least = {}
+    for k, (doc_id, _) in enumerate(rows):
+        if doc_id is not None:
+            least[group[k]] = min(doc_id, least.get(group[k], doc_id))
+    return [(i, f"{p:016x}", least.get(group[k])) for k, ((i, _), p) in enumerate(zip(rows, prints))]
+
+
+@given(st.text("ab É\n\t\x0b\x0c\x1c\x85 ", max_size=30))
+@settings(max_examples=200, deadline=None)
+def test_fingerprint(text):
+    assert simhash.fingerprint(text) == plain_fingerprint(text)
+
+
+def test_spark_agrees_on_the_hash(spark):
+    value = spark.range(1).select(F.xxhash64(F.lit("ein wort für vier"))).first()[0]
+    assert value % 2**64 == xxh64_intdigest("ein wort für vier".encode(), 42)
+
+
+@pytest.mark.parametrize("radius", [0, 2, 4, 7])
+def test_bit_sliced_links(radius):
+    rng = np.random.default_rng(radius)
+    fps = []
+    for base in rng.integers(0, 2**63, 60, dtype=np.uint64).tolist():
+        for _ in range(rng.integers(1, 9)):
+            for bit in rng.integers(0, 64, rng.integers(0, radius + 2)).tolist():
+                base ^= 1 << bit
+            fps.append(base)
+    fps = np.unique(np.array(fps, np.uint64))
+    starts = np.array([0, len(fps) // 3, len(fps) // 2])
+    group = np.searchsorted(starts, np.arange(len(fps)), side="right")
+    near = (np.bitwise_count(fps[:, None] ^ fps[None, :]) <= radius) & (group[:, None] == group[None, :])
+    expected = plain_components(np.argwhere(near).tolist(), range(len(fps)))
+    i, j = simhash.near_edges(fps, starts, radius, step=64)
+    assert plain_components(list(zip(i.tolist(), j.tolist())), range(len(fps))) == expected
+
+
+def test_dense_group_stays_small():
+    fps = np.unique(np.array([1 << a | 1 << b for a in range(64) for b in range(64)], np.uint64))
+    i, _ = simhash.near_edges(fps, np.array([0]), 4)
+    assert len(i) == len(fps) - 1
+
+
+def planted(spark):
+    rng = np.random.default_rng(5)
+    vocabulary = [f"w{k}" for k in range(500)]
+    rows = []
+    for k in range(40):
+        words = rng.choice(vocabulary, 150).tolist()
+        for c in range(rng.integers(1, 5)):
+            rows.append((1000 - 10 * k - c, " ".join(words)))
+            words[rng.integers(0, 150)] = "changed"
+    return rows, spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+
+
+def test_against_all_pairs(spark):
+    rows, docs = planted(spark)
+    got = [tuple(r) for r in simhash.near_duplicates(docs).collect()]
+    assert sorted(got) == sorted(plain_groups(rows))
+    assert len({g[2] for g in got}) < len({g[1] for g in got})
+
+
+def test_large_bands_go_by_pairs_of_parts(spark):
+    rows, docs = planted(spark)
+    prints = simhash.fingerprints(docs).select("fp").distinct()
+    few = simhash.near_links(prints, 4, band_limit=2).collect()
+    many = simhash.near_links(prints, 4).collect()
+    nodes = [r["fp"] for r in prints.collect()]
+    assert plain_components([tuple(r) for r in few], nodes) == plain_components([tuple(r) for r in many], nodes)
+
+
+def test_odd_rows(spark):
+    docs = odd(spark)
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    got = [tuple(r) for r in simhash.near_duplicates(clashing(docs)).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, plain_groups(rows)))
+
+
+def test_one_row_of_each_group_stays(spark):
+    docs = clashing(odd(spark))
+    kept = simhash.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    groups = {(i, f): g for i, f, g in plain_groups([(r["doc_id"], r["text"]) for r in docs.collect()])}
+    rows = [(r["doc_id"], f"{plain_fingerprint(r['text']):016x}") for r in kept.collect()]
+    stay = sorted({g for g in groups.values()}, key=str)
+    assert sorted((groups[r] for r in rows), key=str) == stay
+    assert all(r[0] == groups[r] for r in rows)
+
+
+def test_empty(spark):
+    assert simhash.near_duplicates(empty(spark)).collect() == []
+    assert simhash.drop_near_duplicates(empty(spark)).collect() == []
+
+
+@given(st.lists(st.tuples(st.integers(-5, 12), st.integers(-5, 12)), max_size=25))
+@settings(max_examples=8, deadline=None)
+def test_components(spark, edges):
+    frame = spark.createDataFrame(edges, "a long, b long")
+    nodes = {n for a, b in edges if a != b for n in (a, b)}
+    expected = plain_components([e for e in edges if e[0] != e[1]], nodes)
+    assert {r["node"]: r["component"] for r in connected_components(frame).collect()} == expected
+
+
+def test_long_path(spark):
+    frame = spark.range(300).selectExpr("(id * 7) % 300 AS a", "((id + 1) * 7) % 300 AS b")
+    found = connected_components(frame).collect()
+    assert len(found) == 300 and {r["component"] for r in found} == {0}
