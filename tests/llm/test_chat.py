@@ -1,0 +1,83 @@
+import hashlib
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from lakemart.llm import chat
+from tests.llm.helpers import SF, clashing
+
+TURNS = "conv_id long, turn long, role string, text string"
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def expected(rows):
+    out = {}
+    for conv in {r[0] for r in rows}:
+        turns = sorted(((t is not None, t or 0, role or "", text or "") for c, t, role, text in rows if c == conv))
+        said = "".join(f"{role}\n{text}\n" for *_, role, text in turns)
+        loss = "".join(text for *_, role, text in turns if role == "assistant")
+        out[conv] = (len(turns), sha(said), len(loss), sha(loss))
+    return out
+
+
+def reported(frame):
+    return {r["conv_id"]: tuple(r)[1:5] for r in chat.chat_report(chat.format_chat(frame)).collect()}
+
+
+def test_given_conversations(spark):
+    turns = clashing(spark.read.parquet(f"{SF}/conversations.parquet"))
+    rows = [(r["conv_id"], r["turn"], r["role"], r["text"]) for r in turns.collect()]
+    assert reported(turns) == expected(rows)
+
+
+HARD = [(1, 0, "user", "<|turn|>x<|text|>y<|end|>"), (1, 1, "assistant", "\\<|end|>\\\\|<\\|"), (1, 2, "assistant", "<"),
+        (1, 3, None, None), (1, 3, None, None), (2, None, "assistant", "$1 \\n \\\\"), (2, 5, "assistant", ""),
+        (None, 1, "a<|text|>b\nc", "é😀\n"), (None, 0, "assistant", "😀é"), (-1, 0, "user", "</s>[INST] ok [/INST]")]
+
+
+def test_control_strings_and_nulls(spark):
+    assert reported(spark.createDataFrame(HARD, TURNS)) == expected(HARD)
+
+
+@given(st.lists(st.text(st.sampled_from("<|\\turnextd>a😀\n$1"), max_size=25), min_size=1, max_size=8))
+@settings(max_examples=15, deadline=None)
+def test_round_trip(spark, texts):
+    rows = [(k % 2, k, ("assistant", "user", "<|")[k % 3], t) for k, t in enumerate(texts)]
+    assert reported(spark.createDataFrame(rows, TURNS)) == expected(rows)
+
+
+def test_long_conversation(spark):
+    rows = [(7, k, "assistant" if k % 2 else "user", f"turn {k} é") for k in range(500)]
+    frame = spark.createDataFrame(rows, TURNS).repartition(9)
+    assert reported(frame) == expected(rows)
+    made = chat.format_chat(frame).first()
+    spans = [made["formatted"][a:b] for a, b in made["loss_spans"]]
+    assert spans == [t for _, _, role, t in rows if role == "assistant"]
+
+
+def test_typed_parts(spark):
+    rows = [(1, 1, "assistant", [("text", "see \\ ", None, None, None, None, None), ("image", None, "i2", 28, 29, None, None)]),
+            (1, 0, "user", [("image", None, "i1", 280, 56, None, None), ("text", "<|image|>", None, None, None, None, None),
+                            ("audio", None, "a1", None, None, 2.1, None), ("document", None, "d1", None, None, None, 3),
+                            ("video", None, "v1", None, None, None, None), ("text", None, None, None, None, None, None)]),
+            (2, 0, "user", None), (2, 1, "user", [])]
+    frame = spark.createDataFrame(rows, f"conv_id long, turn long, role string, parts array<{chat.PART}>")
+    made = {r["conv_id"]: r for r in chat.format_chat(frame, parts="parts").collect()}
+    assert made[1]["formatted"] == ("<|turn|>user<|text|><|image|><\\|image|><|audio|><|document|><|other|><|end|>"
+                                    "<|turn|>assistant<|text|>see \\\\ <|image|><|end|>")
+    assert [tuple(a) for a in made[1]["attachments"]] == [
+        ("image", "i1", 20), ("audio", "a1", 53), ("document", "d1", 768), ("other", "v1", 0), ("image", "i2", 2)]
+    assert made[1]["placeholder_tokens"] == 843
+    assert made[2]["formatted"] == "<|turn|>user<|text|><|end|>" * 2 and made[2]["attachments"] == []
+
+
+def test_empty(spark):
+    assert chat.format_chat(spark.createDataFrame([], TURNS)).collect() == []
+
+
+def test_built_in_functions_only(spark):
+    frame = spark.read.parquet(f"{SF}/conversations.parquet")
+    assert "Python" not in chat.chat_report(chat.format_chat(frame))._jdf.queryExecution().executedPlan().toString()
