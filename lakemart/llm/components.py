@@ -24,10 +24,11 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     state = _state(star)
     while state[0]:
         both = star.unionByName(star.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m"))
-        large = (both.join(least, "u").where("v > u")
-                 .select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct())
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        # The sums are written first: with plain shuffles on both sides, Spark can split a hub's rows in the joins.
+        least = cut(both.groupBy("u").agg(F.min("v").alias("m")))
+        large = cut(both.join(least, "u").where("v > u")
+                    .select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct())
+        least = cut(large.groupBy("u").agg(F.min("v").alias("m")))
         small = (large.join(least, "u")
                  .select(F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")),
                                            F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
