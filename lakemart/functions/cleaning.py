@@ -61,10 +61,10 @@ def clean_timestamp(text: Col, tokens: Sequence[str] | None = None) -> Column:
                   F.try_to_timestamp(blank_form, F.lit("yyyy-MM-dd HH:mm[:ss]")))
 
 
-# Type names a type map may use -> (cleaner, Spark type). Unknown names mean trimmed text.
+# Type names a type map may use, with Spark types for numbers. Unknown names mean trimmed text.
 _INTEGERS = {"int": "int", "integer": "int", "bigint": "bigint", "smallint": "smallint"}
 _NUMBERS = {"numeric": "decimal(38,6)", "decimal": "decimal(38,6)", "float": "double", "double": "double",
-            "double precision": "double", "real": "float"}
+            "real": "float", "double precision": "double"}
 _BOOLEANS = ("boolean", "bool")
 _TIMESTAMPS = ("timestamp", "timestamptz", "timestamp with time zone", "timestamp without time zone")
 

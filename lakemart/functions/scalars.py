@@ -146,8 +146,15 @@ def full_text(*parts: Col) -> Column:
 
 
 def surrogate_key(*parts: Col) -> Column:
-    """md5 over the parts as text; NULL if any part is NULL."""
-    return F.md5(F.concat(*[_c(p).cast("string") for p in parts]))
+    """md5 over the parts as text; NULL if any part is NULL.
+
+    Doubles are written as plain decimals without trailing zeros (10000000, not 1.0E7), as databases do.
+    """
+    def text(part: Column) -> Column:
+        plain = F.regexp_replace(part.try_cast("decimal(38,10)").cast("string"), r"\.?0+$", "")
+        return F.when(F.typeof(part).isin("double", "float"), plain).otherwise(part.cast("string"))
+
+    return F.md5(F.concat(*[text(_c(p)) for p in parts]))
 
 
 def upper_trim(text: Col) -> Column:

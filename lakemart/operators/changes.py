@@ -1,233 +1,50 @@
-"""Tables with history over plain Parquet files.
+"""Changes of tables as functions of frames: deletes, updates, inserts, differences, states of the past.
 
-A table is a folder with three parts, all written by ordinary Spark jobs::
-
-    data/<commit>/part-*.parquet    rows; a file is never changed once written
-    files/<version>/                the data files that make up a version (one path per row)
-    log/                            one row per commit: version, committed_at, operation, schema
-
-Deleting and updating rewrite only the files that hold matching rows; inserting, restoring and cloning
-copy no existing row; the changes between two versions are read from the files the two do not share.
-A version exists once its log row does, so a job that dies half-way leaves the table as it was.
-One writer at a time is assumed. What reaches the driver is file names and log rows, never data.
+Nothing here keeps files or versions: frames come in and go out, and writing them is an ordinary Spark write, or the
+business of a table format that has transactions.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
 from collections.abc import Mapping, Sequence
-from datetime import datetime, timedelta, timezone
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from lakemart.operators.aggregates import hourly_stats
 from lakemart.operators.columns import conform, quoted
 from lakemart.operators.joins import split_new_rows
 
-_LOG = "version long, committed_at timestamp, operation string, schema string"
-
 
 class DuplicateRows(Exception):
     """Raised by a guarded insert that meets rows the table already holds."""
 
 
-def _now() -> datetime:
-    return datetime.now(timezone.utc)
-
-
-def _read_if_there(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-
-
-class VersionedTable:
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
-
-    # --- reading ------------------------------------------------------------------------------
-
-    @classmethod
-    def create(cls, df: DataFrame, path: str, at: datetime | None = None) -> VersionedTable:
-        table = cls(df.sparkSession, path)
-        if table._log_rows():
-            raise ValueError(f"{path} already holds a table")
-        table._commit(0, "create", [], df, df.schema, at)
-        return table
-
-    def history(self) -> DataFrame:
-        return self.spark.read.schema(_LOG).parquet(f"{self.path}/log").select("version", "committed_at", "operation")
-
-    def _log_rows(self) -> list:
-        log = _read_if_there(self.spark, f"{self.path}/log", _LOG)
-        return [] if log is None else log.orderBy("version").collect()
-
-    def version(self) -> int:
-        """The newest version."""
-        return self.history().agg(F.max("version")).first()[0]
-
-    def version_as_of(self, moment: datetime) -> int:
-        """The newest version committed at or before a moment."""
-        found = self.history().filter(F.col("committed_at") <= F.lit(moment)).agg(F.max("version")).first()[0]
-        if found is None:
-            raise ValueError(f"{self.path} did not exist at {moment}")
-        return found
-
-    def _entry(self, version: int | None):
-        rows = self._log_rows()
-        wanted = rows[-1]["version"] if version is None else version
-        for row in rows:
-            if row["version"] == wanted:
-                return row
-        raise ValueError(f"{self.path} has no version {wanted}")
-
-    def _state(self, version: int | None = None) -> tuple[int, StructType, list[str]]:
-        """Number, schema and data files of a version."""
-        entry = self._entry(version)
-        listed = self.spark.read.schema("path string").parquet(f"{self.path}/files/{entry['version']}")
-        return (entry["version"], StructType.fromJson(json.loads(entry["schema"])),
-                sorted(r["path"] for r in listed.collect()))
-
-    def files(self, version: int | None = None) -> list[str]:
-        return self._state(version)[2]
-
-    def _rows_of(self, files: Sequence[str], schema: StructType) -> DataFrame:
-        if not files:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*files)
-
-    def read(self, version: int | None = None) -> DataFrame:
-        _, schema, files = self._state(version)
-        return self._rows_of(files, schema)
-
-    def read_as_of(self, seconds_ago: float | None = None, moment: datetime | None = None) -> DataFrame:
-        """The table as it was some seconds ago, or at a moment."""
-        if moment is None:
-            moment = _now() - timedelta(seconds=seconds_ago or 0)
-        return self.read(self.version_as_of(moment))
-
-    # --- committing ---------------------------------------------------------------------------
-
-    def _commit(self, version: int, operation: str, kept: Sequence[str], new: DataFrame | None, schema: StructType,
-                at: datetime | None = None) -> int:
-        files = list(kept)
-        if new is not None:
-            folder = f"{self.path}/data/{version}-{uuid.uuid4().hex}"
-            new.write.parquet(folder)
-            files += self.spark.read.schema(schema).parquet(folder).inputFiles()
-        listed = self.spark.createDataFrame([(f,) for f in files], "path string")
-        listed.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/files/{version}")
-        entry = [(version, at or _now(), operation, schema.json())]
-        self.spark.createDataFrame(entry, _LOG).coalesce(1).write.mode("append").parquet(f"{self.path}/log")
-        return version
+def insert_rows(df: DataFrame, rows: DataFrame) -> DataFrame:
+    """The table with rows added, columns matched by name; columns the rows lack become NULL, unknown ones are refused."""
+    unknown = {c.lower() for c in rows.columns} - {c.lower() for c in df.columns}
+    if unknown:
+        raise ValueError(f"the table has no column {sorted(unknown)}")
+    return df.unionByName(conform(rows, df.schema, strict=True))
 
-    def _holding(self, files: Sequence[str], schema: StructType, condition: Column) -> set[str]:
-        """Which of the files hold rows that meet a condition; reads only the columns it names."""
-        if not files:
-            return set()
-        # Compared by folder and file name: the two ways Spark reports a path differ in their prefix.
-        tail = F.regexp_extract("path", r"([^/]+/[^/]+)$", 1)
-        rows = self._rows_of(files, schema).filter(condition)
-        found = rows.select(F.col("_metadata.file_path").alias("path")).distinct().select(tail.alias("tail")).collect()
-        tails = {r["tail"] for r in found}
-        return {f for f in files if "/".join(f.rsplit("/", 2)[-2:]) in tails}
 
-    # --- changing -----------------------------------------------------------------------------
+def guarded_rows(rows: DataFrame, table: DataFrame, on_duplicate: str = "raise", null_safe: bool = False) -> DataFrame:
+    """The rows that a guarded insert may add to the table.
 
-    def _rewrite(self, operation: str, condition: Column, change, at: datetime | None) -> int:
-        version, schema, files = self._state()
-        touched = self._holding(files, schema, condition)
-        kept = [f for f in files if f not in touched]
-        new = change(self._rows_of(sorted(touched), schema)) if touched else None
-        return self._commit(version + 1, operation, kept, new, schema, at)
-
-    def delete_where(self, condition: Column, at: datetime | None = None) -> int:
-        """Remove the rows for which the condition is true."""
-        return self._rewrite("delete", condition, lambda rows: delete_rows(rows, condition), at)
-
-    def update_where(self, condition: Column, values: Mapping[str, Column], at: datetime | None = None) -> int:
-        """Set columns in the rows for which the condition is true."""
-        return self._rewrite("update", condition, lambda rows: update_rows(rows, condition, values), at)
-
-    def insert(self, rows: DataFrame, at: datetime | None = None, operation: str = "insert") -> int:
-        """Add rows, columns matched by name; columns the rows lack become NULL."""
-        version, schema, files = self._state()
-        unknown = {c.lower() for c in rows.columns} - {f.name.lower() for f in schema}
-        if unknown:
-            raise ValueError(f"the table has no column {sorted(unknown)}")
-        return self._commit(version + 1, operation, files, conform(rows, schema, strict=True), schema, at)
-
-    def guarded_insert(self, rows: DataFrame, on_duplicate: str = "raise", null_safe: bool = False,
-                       at: datetime | None = None) -> int:
-        """Insert only rows the table does not hold yet.
-
-        ``raise``: any row that is in the table or twice in the batch refuses the batch. ``skip``: such
-        rows are left out. A row holding a NULL never counts as a duplicate unless ``null_safe``.
-        """
-        if on_duplicate not in ("raise", "skip"):
-            raise ValueError("on_duplicate must be 'raise' or 'skip'")
-        table = self.read()
-        batch = conform(rows, table.schema, strict=True)
-        fresh, known = split_new_rows(batch, table, null_safe)
-        if on_duplicate == "raise":
-            guarded = batch if null_safe else batch.dropna()
-            twice = guarded.groupBy(*map(quoted, batch.columns)).count().filter("count > 1")
-            if known.limit(1).count() or twice.limit(1).count():
-                raise DuplicateRows(f"the batch repeats rows of {self.path} or its own")
-            fresh = batch  # nothing to leave out: no need to join once more
-        return self.insert(fresh, at, "guarded insert")
-
-    def restore(self, version: int, at: datetime | None = None) -> int:
-        """Make an older version the current one; its files are listed again, not copied."""
-        _, schema, files = self._state(version)
-        return self._commit(self.version() + 1, "restore", files, None, schema, at)
-
-    def clone(self, path: str, version: int | None = None, at: datetime | None = None) -> VersionedTable:
-        """A new table that starts from a version of this one and shares its files; later writes part ways."""
-        copy = VersionedTable(self.spark, path)
-        if copy._log_rows():
-            raise ValueError(f"{path} already holds a table")
-        _, schema, files = self._state(version)
-        copy._commit(0, "clone", files, None, schema, at)
-        return copy
-
-    # --- changes ------------------------------------------------------------------------------
-
-    def changes(self, since: int, until: int | None = None, key: Sequence[str] = ()) -> DataFrame:
-        """Net changes after version ``since`` up to ``until``; see :func:`table_changes`."""
-        _, old_schema, before = self._state(since)
-        _, schema, after = self._state(until)
-        old = conform(self._rows_of(sorted(set(before) - set(after)), old_schema), schema)
-        return table_changes(old, self._rows_of(sorted(set(after) - set(before)), schema), key)
-
-    def consume_changes(self, log_path: str, key: Sequence[str] = (), start: int = 0) -> int:
-        """Append the changes since the last call to a log folder and move the position; returns it.
-
-        Each batch has its own folder named by the position it starts from, so repeating a call that
-        died half-way replaces its batch instead of doubling it.
-        """
-        positions = f"{log_path}/position"
-        seen = _read_if_there(self.spark, positions, "position long")
-        since = start if seen is None else seen.agg(F.max("position")).first()[0]
-        until = self.version()
-        if until > since:
-            batch = self.changes(since, until, key).withColumn("until_version", F.lit(until))
-            batch.write.mode("overwrite").parquet(f"{log_path}/batches/since_version={since}")
-            moved = self.spark.createDataFrame([(until,)], "position long")
-            moved.coalesce(1).write.mode("append").parquet(positions)
-        return until
-
-
-def read_change_log(spark: SparkSession, log_path: str) -> DataFrame:
-    """Everything :meth:`VersionedTable.consume_changes` has appended."""
-    return spark.read.parquet(f"{log_path}/batches")
+    ``raise``: any row that is in the table or twice in the batch refuses the batch. ``skip``: such rows are left out.
+    A row holding a NULL never counts as a duplicate unless ``null_safe``.
+    """
+    if on_duplicate not in ("raise", "skip"):
+        raise ValueError("on_duplicate must be 'raise' or 'skip'")
+    batch = conform(rows, table.schema, strict=True)
+    fresh, known = split_new_rows(batch, table, null_safe)
+    if on_duplicate == "skip":
+        return fresh
+    guarded = batch if null_safe else batch.dropna()
+    twice = guarded.groupBy(*map(quoted, batch.columns)).count().filter("count > 1")
+    if known.head(1) or twice.head(1):
+        raise DuplicateRows("the batch repeats rows of the table or its own")
+    return batch
 
 
 def delete_rows(df: DataFrame, condition: Column) -> DataFrame:
@@ -275,6 +92,22 @@ def table_changes(old: DataFrame, new: DataFrame, key: Sequence[str] = ()) -> Da
                            is_update.alias("is_update"))
 
 
-def append_hourly_stats(trips: DataFrame, stats: VersionedTable, at: datetime | None = None) -> int:
-    """Add the statistics of this run to their history; called once per period."""
-    return stats.insert(hourly_stats(trips, at), operation="hourly statistics")
+def rows_as_of(changes: DataFrame, moment: Column, time: str = "changed_at") -> DataFrame:
+    """A table as it was at a moment, from all its changes: rows with ``action`` (INSERT or DELETE) and their time.
+
+    What was inserted and not deleted up to then, in one grouping by all columns.
+    """
+    columns = [c for c in changes.columns if c not in ("action", "is_update", time)]
+    past = changes.filter(F.col(time) <= moment)
+    inserted, deleted = (past.filter(F.col("action") == a).select(*map(quoted, columns)) for a in ("INSERT", "DELETE"))
+    return table_changes(deleted, inserted).filter(F.col("action") == "INSERT").select(*map(quoted, columns))
+
+
+def changes_to_log(old: DataFrame, new: DataFrame, position, key: Sequence[str] = ()) -> DataFrame:
+    """The differences of two states with the ``position`` that the caller gives the newer one; to be appended to a log."""
+    return table_changes(old, new, key).withColumn("position", F.lit(position))
+
+
+def append_hourly_stats(trips: DataFrame, table: str, at=None) -> None:
+    """Add the statistics of this run to their history, a table that is made on the first run; once per period."""
+    hourly_stats(trips, at).write.mode("append").saveAsTable(table)

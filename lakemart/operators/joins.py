@@ -132,30 +132,22 @@ def _complete(columns: Sequence[str]) -> Column:
     return reduce(and_, [quoted(c).isNotNull() for c in columns])
 
 
-def split_new_rows(new: DataFrame, existing: DataFrame, null_safe: bool = False,
-                   salts: int = 8) -> tuple[DataFrame, DataFrame]:
+def split_new_rows(new: DataFrame, existing: DataFrame, null_safe: bool = False) -> tuple[DataFrame, DataFrame]:
     """``(fresh, known)``: rows of ``new`` not yet / already in ``existing``, each counted once.
 
     With plain equality a row holding any NULL equals nothing, so it is always fresh and never merged
-    with its twins; ``null_safe`` treats NULL as a value. The large table is only semi-joined, dealt out
-    over ``salts`` in case one row fills much of it, and reduced to distinct rows before it meets the
-    batch again.
+    with its twins; ``null_safe`` treats NULL as a value. Both sides go through one grouping by all columns, which
+    combines in the map tasks, so a row that fills much of the table meets no other in one place.
     """
     columns = new.columns
     table = existing.select(*map(quoted, columns))
-    if null_safe:
-        candidates, loose = new.distinct(), None
-    else:
-        candidates, loose = new.filter(_complete(columns)).distinct(), new.filter(~_complete(columns))
-        table = table.filter(_complete(columns))
-
-    def same(a: DataFrame, b: DataFrame) -> Column:
-        pairs = [(a[f"`{c}`"], b[f"`{c}`"]) for c in columns]
-        return reduce(and_, [x.eqNullSafe(y) if null_safe else x == y for x, y in pairs])
-
-    dealt, repeated = deal_out(table, candidates, salts)
-    known = dealt.join(repeated, same(dealt, repeated) & (dealt[SALT] == repeated[SALT]), "left_semi").drop(SALT).distinct()
-    fresh = candidates.join(known, same(candidates, known), "left_anti")
+    loose = None
+    if not null_safe:
+        table, loose, new = table.filter(_complete(columns)), new.filter(~_complete(columns)), new.filter(_complete(columns))
+    sides = new.withColumn("_new", F.lit(True)).unionByName(table.withColumn("_new", F.lit(False)))
+    seen = sides.groupBy(*map(quoted, columns)).agg(F.max("_new").alias("_new"), F.min("_new").alias("_only_new"))
+    fresh, known = (seen.filter(F.col("_new") & c).select(*map(quoted, columns))
+                    for c in (F.col("_only_new"), ~F.col("_only_new")))
     return (fresh if loose is None else fresh.unionByName(loose)), known
 
 
@@ -163,12 +155,12 @@ def insert_guard_anti(new: DataFrame, existing: DataFrame, null_safe: bool = Fal
     return split_new_rows(new, existing, null_safe)[0]
 
 
-def orphan_rows(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str, salts: int = 8) -> DataFrame:
+def orphan_rows(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """Child rows whose non-NULL key is missing in the parent.
 
-    The parent is reduced to distinct keys first, and the rows of a hot child key are dealt out over ``salts``.
+    Keys are compared once each; the child's rows then meet only the missing keys, which are few as a rule.
     """
-    keys = parent.select(quoted(parent_key).alias("_parent_key")).distinct()
-    dealt, repeated = deal_out(child.filter(quoted(child_key).isNotNull()), keys, salts)
-    same = (dealt[f"`{child_key}`"] == repeated["_parent_key"]) & (dealt[SALT] == repeated[SALT])
-    return dealt.join(repeated, same, "left_anti").drop(SALT)
+    keys = parent.select(quoted(parent_key).alias("_key")).distinct()
+    own = child.select(quoted(child_key).alias("_key")).filter("_key IS NOT NULL").distinct()
+    missing = own.join(keys, "_key", "left_anti")
+    return child.join(missing, child[f"`{child_key}`"] == missing["_key"], "left_semi")

@@ -74,33 +74,53 @@ def _label(check: Check) -> list[Column]:
     return [F.lit(check.kind).alias("check"), F.lit(check.table).alias("table"), F.lit(check.column).alias("column")]
 
 
-def _grouped_count(check: Check, tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Violations of a check that has to group or join, counted from one row per key."""
-    keys = tables[check.table].filter(quoted(check.column).isNotNull()).groupBy(
-        quoted(check.column).alias("key")).agg(F.count("*").alias("n"))
-    if check.kind == "unique":
-        bad = keys.filter("n > 1").agg(F.count("*").alias("violations"))
-    elif check.kind == "relationships":
-        parent = tables[check.parent].select(quoted(check.parent_column).alias("key")).distinct()
-        bad = keys.join(parent, "key", "left_anti").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("violations"))
-    else:
-        raise ValueError(f"unknown check kind {check.kind!r}")
-    return bad.select(*_label(check), "violations")
+def _key_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(column, key, n)``: how often each non-NULL value of the columns occurs, from one grouping of the table."""
+    pairs = [F.struct(F.lit(c).alias("column"), quoted(c).cast("string").alias("key")) for c in columns]
+    stacked = df.select(F.explode(F.array(*pairs)).alias("p")).select("p.*").filter("key IS NOT NULL")
+    return stacked.groupBy("column", "key").agg(F.count("*").alias("n"))
 
 
 def quality_report(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
-    """Rows ``(check, table, column, violations)``; all row-level checks of a table share one scan."""
+    """Rows ``(check, table, column, violations)``.
+
+    All row-level checks of a table share one scan, and all its unique and relationships checks one grouping. Give
+    kept tables: each scan of a table that is not kept computes its whole chain again.
+    """
     parts = []
     by_table = sorted((c for c in checks if c.row_condition() is not None), key=lambda c: c.table)
     for table, group in groupby(by_table, key=lambda c: c.table):
         listed = list(group)
         counts = tables[table].agg(*[F.count_if(c.row_condition()).alias(f"v{i}") for i, c in enumerate(listed)])
-        rows = F.array(*[F.struct(*_label(c), F.col(f"v{i}").alias("violations")) for i, c in enumerate(listed)])
-        parts.append(counts.select(F.inline(rows)))
-    parts += [_grouped_count(c, tables) for c in checks if c.row_condition() is None]
+        parts.append(_report_lines(counts, listed))
+    grouped = [c for c in checks if c.row_condition() is None]
+    if unknown := {c.kind for c in grouped} - {"unique", "relationships"}:
+        raise ValueError(f"unknown check kind {sorted(unknown)}")
+    columns: dict[str, list[str]] = {}
+    for table, column in [(c.table, c.column) for c in grouped] + [(c.parent, c.parent_column) for c in grouped if c.parent]:
+        if column not in columns.setdefault(table, []):
+            columns[table].append(column)
+    keys = {table: _key_counts(tables[table], names) for table, names in columns.items()}
+    for table in columns:
+        unique = [c for c in grouped if c.table == table and c.kind == "unique"]
+        if unique:
+            counts = keys[table].agg(*[F.count_if((F.col("column") == c.column) & (F.col("n") > 1)).alias(f"v{i}")
+                                       for i, c in enumerate(unique)])
+            parts.append(_report_lines(counts, unique))
+    for c in grouped:
+        if c.kind == "relationships":
+            child, parent = (keys[t].filter(F.col("column") == name).drop("column")
+                             for t, name in ((c.table, c.column), (c.parent, c.parent_column)))
+            bad = child.join(parent.select("key"), "key", "left_anti").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("v0"))
+            parts.append(_report_lines(bad, [c]))
     return union_by_name(*parts)
 
 
+def _report_lines(counts: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    rows = F.array(*[F.struct(*_label(c), F.col(f"v{i}").alias("violations")) for i, c in enumerate(checks)])
+    return counts.select(F.inline(rows))
+
+
 class QualityError(Exception):
     """Raised when a report holds violations."""
 
@@ -110,3 +130,11 @@ def assert_clean(report: DataFrame) -> None:
     failed = report.filter("violations > 0").collect()
     if failed:
         raise QualityError("; ".join(f"{r['table']}.{r['column']} {r['check']}: {r['violations']}" for r in failed))
+
+
+def checked(tables: Mapping[str, DataFrame], checks: Sequence[Check], strict: bool = True) -> dict[str, DataFrame]:
+    """The tables and their report under ``checks``; with ``strict``, any violation raises."""
+    report = quality_report(tables, checks)
+    if strict:
+        assert_clean(report)
+    return {**tables, "checks": report}

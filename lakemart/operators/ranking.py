@@ -33,7 +33,7 @@ TRIP_IDENTITY = ("vendor_id", "pu_location_id", "do_location_id", "pickup_dateti
 def dedup_row_number(df: DataFrame, tie_break: Sequence[Column | str] = (),
                      keys: Sequence[str] = TRIP_IDENTITY) -> DataFrame:
     """One row per trip, keeping the row number (always 1) as column ``rn``."""
-    return top_per_group(df, keys, ["pickup_datetime", *tie_break])
+    return top_per_group(df, keys, list(tie_break) or [quoted(keys[0])])
 
 
 def latest_per_key(df: DataFrame, key: str, updated: str, tie_break: Sequence[Column | str] = ()) -> DataFrame:

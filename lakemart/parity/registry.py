@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, FloatType, TimestampNTZType, TimestampType
 
 from lakemart.parity.views import Tables, with_views
+from lakemart.session import own_scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -34,7 +35,11 @@ def query(name: str, sql: str | None = None):
     def add(fn: Callable[[Tables], DataFrame]):
         if name in QUERIES:
             raise ValueError(f"query {name} is registered twice")
-        QUERIES[name] = lambda spark, sf_dir: comparable(fn(Tables(spark, sf_dir)))
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            own_scratch(spark)
+            return comparable(fn(Tables(spark, sf_dir)))
+
+        QUERIES[name] = run
         if sql is not None:
             SQL[name] = with_views(sql)
         return fn

@@ -213,10 +213,10 @@ def _(t: Tables):
     return rounded(agg.team_profiles(_female(t)), "avg_overall", "avg_age")
 
 
-@query("league_players", """SELECT league_id, league_name, count(DISTINCT player_id) AS total_players,
-    count(*) FILTER (WHERE age <= 23 OR age > 85) <> 0 AS has_talents, round(avg(overall), 4) AS avg_overall,
-    round(avg(potential), 4) AS avg_potential, round(avg(age), 4) AS avg_age,
-    round(avg(value_eur), 4) AS avg_value_eur, round(avg(wage_eur), 4) AS avg_wage_eur FROM female_clean GROUP BY ALL""")
+@query("league_players", f"""SELECT league_id, league_name, len(list_distinct(list(player_id))) AS total_players,
+    coalesce(max(CAST(age NOT BETWEEN 24 AND 85 AS INT)), 0) = 1 AS has_talents,
+    {", ".join(f"round(sum({c}) / count({c}), 4) AS avg_{c}" for c in ("overall", "potential", "age", "value_eur", "wage_eur"))}
+    FROM female_clean GROUP BY ALL""")
 def _(t: Tables):
     from lakemart.plans.players import stg_players
 
@@ -231,9 +231,10 @@ def _(t: Tables):
     return rounded(agg.league_teams(agg.team_profiles(_female(t))), "avg_team_cost", "avg_team_potential")
 
 
-CLUB_SQL = """SELECT {k} AS club_id, count(DISTINCT player_id) AS player_count, round(avg(overall), 4) AS avg_overall_players,
-    round(avg(potential), 4) AS avg_potential_players, CAST(sum(value_eur) AS DOUBLE) AS total_value_players,
-    CAST(sum(wage_eur) AS DOUBLE) AS total_wages, round(avg(age), 4) AS avg_age_players FROM female_clean GROUP BY 1"""
+CLUB_SQL = """SELECT {k} AS club_id, len(list_distinct(list(player_id))) AS player_count,
+    round(sum(overall) / count(overall), 4) AS avg_overall_players, round(sum(potential) / count(potential), 4) AS avg_potential_players,
+    CAST(sum(value_eur) AS DOUBLE) AS total_value_players, CAST(sum(wage_eur) AS DOUBLE) AS total_wages,
+    round(sum(age) / count(age), 4) AS avg_age_players FROM female_clean GROUP BY 1"""
 
 
 def _club_rows(t: Tables):
@@ -344,9 +345,12 @@ def _(t: Tables):
                                     ).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 
-@query("drop_duplicates", "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem")
+@query("drop_duplicates", """SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber FROM (SELECT *, row_number() OVER (
+    PARTITION BY l_orderkey, l_partkey % 3 ORDER BY l_shipdate DESC, l_linenumber, l_suppkey) AS rn FROM lineitem) WHERE rn = 1""")
 def _(t: Tables):
-    return rank.drop_duplicates(t.table("lineitem"), ["l_orderkey", "l_linenumber"]).select("l_orderkey", "l_linenumber")
+    rows = t.table("lineitem").withColumn("third", F.col("l_partkey") % 3)
+    kept = rank.drop_duplicates(rows, ["l_orderkey", "third"], [F.desc("l_shipdate"), "l_linenumber", "l_suppkey"])
+    return kept.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
 
 
 @query("sorted_output", "SELECT o_custkey, o_orderdate::DATE::VARCHAR AS day, o_orderkey FROM orders ORDER BY o_custkey, o_orderdate DESC, o_orderkey")
@@ -531,9 +535,3 @@ def _(t: Tables):
 def _(t: Tables):
     twice = t.activity().withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
     return ev.dedup_events(twice).select("event_id", "user_id")
-
-
-@query("dedup_events_hot_copies", "SELECT event_id, user_id FROM activity")
-def _(t: Tables):
-    twice = t.activity().withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
-    return ev.dedup_events(twice, hot_copies=True).select("event_id", "user_id")

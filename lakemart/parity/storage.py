@@ -11,12 +11,12 @@ from lakemart.operators import changes as chg
 from lakemart.operators.columns import provenance_columns
 from lakemart.operators.unions import union_by_name
 from lakemart.parity.registry import query
-from lakemart.parity.relational import HOURLY_SQL, RUN_TIME
+from lakemart.parity.relational import HOURLY_SQL, RUN_TIME, ZONE_DAYS_SQL, ZONE_SUMMARY_SQL
 from lakemart.parity.row_level import SQL_ID, TRIP_ID
 from lakemart.parity.views import Tables
 from lakemart.plans import crime, taxi
 from lakemart.session import scratch_database, scratch_path
-from lakemart.sources import files, sinks
+from lakemart.sources import files, schemas, sinks
 
 ORDERS_SQL = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders"
 ORDERS_DDL = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double"
@@ -27,13 +27,20 @@ def _orders(t: Tables):
 
 
 def _by_year(t: Tables) -> tuple[str, list[int]]:
-    """The orders in one folder per year."""
-    root = scratch_path(t.spark, "years")
-    dated = t.table("orders").withColumn("year", F.year("o_orderdate"))
-    years = [r[0] for r in dated.select("year").distinct().orderBy("year").collect()]
-    for year in years:
-        dated.filter(F.col("year") == year).drop("year").write.parquet(f"{root}/{year}")
-    return root, years
+    """The orders in one folder per year, from one write."""
+    parts, root = scratch_path(t.spark, "parts"), scratch_path(t.spark, "years")
+    t.table("orders").withColumn("year", F.year("o_orderdate")).hint("rebalance", "year").write.partitionBy("year").parquet(parts)
+    context = t.spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path
+    system = path(parts).getFileSystem(context._jsc.hadoopConfiguration())
+    system.mkdirs(path(root))
+    years = []
+    for status in system.listStatus(path(parts)):
+        name = status.getPath().getName()
+        if name.startswith("year="):
+            years.append(int(name.removeprefix("year=")))
+            system.rename(status.getPath(), path(f"{root}/{years[-1]}"))
+    return root, sorted(years)
 
 
 # --- files ------------------------------------------------------------------------------------
@@ -57,14 +64,22 @@ def _(t: Tables):
     return files.scan_csv(t.spark, paths)
 
 
-@query("ingest_sample", """SELECT 'parts' AS "table", 'p_partkey' AS "column", 'int' AS type, least(count(*), 500) AS row_count FROM part
-    UNION ALL SELECT 'parts', 'p_name', 'string', least(count(*), 500) FROM part""")
+@query("ingest_files", """SELECT p_partkey, p_name, 'p_partkey int, p_name string' AS types FROM part""")
 def _(t: Tables):
-    path = f"{scratch_path(t.spark, 'sample')}/parts"
+    path = f"{scratch_path(t.spark, 'ingest')}/parts"
     t.table("part").select("p_partkey", "p_name").write.option("header", True).csv(path)
     database = scratch_database(t.spark)
-    types = files.ingest_sample(t.spark, [path], rows=500, database=database)
-    return types.withColumn("row_count", F.lit(t.spark.table(f"{database}.parts").count()))
+    types = files.ingest_files(t.spark, [path], database)
+    listed = ", ".join(f"{r['column']} {r['type']}" for r in types.collect())
+    return t.spark.table(f"{database}.parts").withColumn("types", F.lit(listed))
+
+
+@query("schema_diff", """SELECT * FROM (VALUES ('passenger_count', 'bigint', 'double'), ('fee', 'double', NULL), ('surplus', NULL, 'string'))
+    x(name, left_type, right_type) WHERE (SELECT count(*) FROM lineitem) > 0""")
+def _(t: Tables):
+    trips = t.trips()
+    other = trips.drop("fee").withColumn("passenger_count", F.col("passenger_count").cast("double")).withColumn("surplus", F.lit("x"))
+    return schemas.schema_diff(trips, other)
 
 
 @query("scan_csv_inferred", ORDERS_SQL)
@@ -99,17 +114,14 @@ def _(t: Tables):
 
 
 def _drifted(t: Tables) -> list[str]:
-    """Three folders of customers whose column sets and types differ."""
+    """Two folders of customers; column sets and types differ between the files of the first one too."""
     root = scratch_path(t.spark, "drifted")
     base = t.table("customer").select("c_custkey", "c_nationkey", "c_acctbal")
-    parts = {
-        "a": base.filter("c_custkey % 3 = 0").drop("c_acctbal"),
-        "b": base.filter("c_custkey % 3 = 1").withColumn("c_nationkey", F.col("c_nationkey").cast("double")),
-        "c": base.filter("c_custkey % 3 = 2").withColumn("c_custkey", F.col("c_custkey").cast("int")),
-    }
-    for name, part in parts.items():
-        part.write.parquet(f"{root}/{name}")
-    return [f"{root}/{name}" for name in parts]
+    base.filter("c_custkey % 4 = 0").drop("c_acctbal").write.parquet(f"{root}/a")
+    base.filter("c_custkey % 4 = 1").write.mode("append").parquet(f"{root}/a")
+    base.filter("c_custkey % 4 = 2").withColumn("c_nationkey", F.col("c_nationkey").cast("double")).write.mode("append").parquet(f"{root}/a")
+    base.filter("c_custkey % 4 = 3").withColumn("c_custkey", F.col("c_custkey").cast("int")).write.parquet(f"{root}/b")
+    return [f"{root}/a", f"{root}/b"]
 
 
 @query("scan_merged", "SELECT c_custkey, c_nationkey, NULL AS c_acctbal FROM customer UNION ALL SELECT s_suppkey, s_nationkey, s_acctbal FROM supplier")
@@ -121,7 +133,7 @@ def _(t: Tables):
     return files.scan_merged(t.spark, [f"{root}/a", f"{root}/b"])
 
 
-@query("scan_drifted", "SELECT c_custkey, c_nationkey, CASE WHEN c_custkey % 3 <> 0 THEN c_acctbal END AS c_acctbal FROM customer")
+@query("scan_drifted", "SELECT c_custkey, c_nationkey, CASE WHEN c_custkey % 4 <> 0 THEN c_acctbal END AS c_acctbal FROM customer")
 def _(t: Tables):
     return files.scan_drifted(t.spark, _drifted(t), StructType.fromDDL("c_custkey long, c_nationkey long, c_acctbal double"))
 
@@ -134,6 +146,16 @@ def _(t: Tables):
     return files.bulk_load(files.scan_csv(t.spark, path), StructType.fromDDL("id long, amount double, absent string"))
 
 
+@query("load_report", """SELECT count(*) AS rows_parsed, count(*) FILTER (WHERE o_orderkey % 9 <> 0) AS rows_loaded,
+    count(*) FILTER (WHERE o_orderkey % 9 = 0) AS rows_rejected FROM orders""")
+def _(t: Tables):
+    path = scratch_path(t.spark, "load")
+    t.table("orders").select(F.when(F.col("o_orderkey") % 9 == 0, "bad").otherwise(F.col("o_orderkey").cast("string")).alias("ID")
+                             ).write.option("header", True).csv(path)
+    report = files.load_report(files.scan_csv(t.spark, path), StructType.fromDDL("id long"))
+    return report.agg(*[F.sum(c).alias(c) for c in ("rows_parsed", "rows_loaded", "rows_rejected")])
+
+
 @query("list_files", "SELECT year(o_orderdate) AS year, TRUE AS has_bytes FROM orders GROUP BY 1")
 def _(t: Tables):
     listed = files.list_files(t.spark, _by_year(t)[0], "*.parquet")
@@ -141,12 +163,11 @@ def _(t: Tables):
     return listed.groupBy(year.alias("year")).agg((F.sum("length") > 0).alias("has_bytes"))
 
 
-@query("write_single_file", "SELECT o_custkey, count(*) AS orders, 1 AS files FROM orders GROUP BY 1")
+@query("write_report", "SELECT o_custkey, count(*) AS orders FROM orders GROUP BY 1")
 def _(t: Tables):
     path = scratch_path(t.spark, "report")
-    sinks.write_single_file(t.table("orders").groupBy("o_custkey").agg(F.count("*").alias("orders")), path)
-    files_written = len(t.spark.read.parquet(path).inputFiles())
-    return t.spark.read.parquet(path).withColumn("files", F.lit(files_written))
+    sinks.write_parquet(t.table("orders").groupBy("o_custkey").agg(F.count("*").alias("orders")), path)
+    return t.spark.read.parquet(path)
 
 
 @query("save_table", ORDERS_SQL)
@@ -163,24 +184,41 @@ def _(t: Tables):
     return files.read_table(t.spark, name)
 
 
-@query("materialize", """SELECT 'table' AS kind, count(*) AS row_count FROM orders UNION ALL SELECT 'view', count(*) FROM orders
-    UNION ALL SELECT 'inline', count(*) FROM orders""")
+@query("materialize", " UNION ALL ".join(f"SELECT *, '{kind}' AS kind FROM ({ORDERS_SQL})" for kind in ("table", "view", "inline")))
 def _(t: Tables):
     layer = scratch_database(t.spark)
     kept = {kind: sinks.materialize(_orders(t), f"orders_{kind}", kind, layer) for kind in ("table", "view", "inline")}
-    return union_by_name(*[df.agg(F.count("*").alias("row_count")).withColumn("kind", F.lit(k)) for k, df in kept.items()])
+    return union_by_name(*[df.withColumn("kind", F.lit(k)) for k, df in kept.items()])
 
 
-@query("bronze_layers", """SELECT CAST(count(*) AS BIGINT) AS row_count, count(DISTINCT o_orderkey) AS ids, 1 AS stamps, TRUE AS named FROM (
-    SELECT o_orderkey FROM orders UNION ALL SELECT o_orderkey FROM orders WHERE o_orderkey % 4 = 0)""")
-def _(t: Tables):
-    raw, out = scratch_path(t.spark, "raw"), scratch_path(t.spark, "bronze")
+def raw_crime_files(t: Tables) -> str:
+    """The three raw tables as CSV; quoted in full, so that an empty text stays one and blanks around codes survive."""
+    raw = scratch_path(t.spark, "raw")
     for name, frame in (("crimes", t.crimes_raw()), ("arrests", t.arrests_raw()), ("iucr", t.codes_raw())):
-        frame.write.option("header", True).csv(f"{raw}/{name}")
+        frame.write.options(header=True, quoteAll=True, ignoreLeadingWhiteSpace=False,
+                            ignoreTrailingWhiteSpace=False).csv(f"{raw}/{name}")
+    return raw
+
+
+@query("bronze_layers", """SELECT 'crimes' AS layer, CAST(o_orderkey AS VARCHAR) AS id, 'D' || CAST(copy AS VARCHAR) AS detail,
+        '2024-05-01 12:00:00' AS load_timestamp, TRUE AS named
+    FROM (SELECT o_orderkey, unnest(CASE WHEN o_orderkey % 4 = 0 THEN [1, 2] ELSE [1] END) AS copy FROM orders)
+    UNION ALL SELECT 'arrests', CAST(l_orderkey * 8 + l_linenumber AS VARCHAR),
+        'P' || CAST(l_partkey AS VARCHAR) || '/' || CAST(CAST(l_quantity AS INTEGER) AS VARCHAR), '2024-05-01 12:00:00', TRUE
+    FROM (SELECT *, unnest(CASE WHEN l_suppkey % 5 = 0 THEN [1, 2] ELSE [1] END) FROM lineitem)
+    UNION ALL SELECT 'iucr', CASE WHEN k < 100 THEN ' a' || CAST(k AS VARCHAR) || ' ' WHEN k = 399 AND p_partkey % 800 >= 400 THEN ' A399'
+        ELSE 'A' || CAST(k AS VARCHAR) END, p_brand, '2024-05-01 12:00:00', TRUE FROM (SELECT *, p_partkey % 400 AS k FROM part)""")
+def _(t: Tables):
+    raw, out = raw_crime_files(t), scratch_path(t.spark, "bronze")
     crime.load_bronze(t.spark, f"{raw}/crimes", f"{raw}/arrests", f"{raw}/iucr", out, datetime(2024, 5, 1, 12))
-    return t.spark.read.parquet(f"{out}/crimes").agg(
-        F.count("*").alias("row_count"), F.count_distinct("ID").alias("ids"), F.count_distinct("load_timestamp").alias("stamps"),
-        F.bool_and(F.col("source_file").contains("/crimes/")).alias("named"))
+    layers = []
+    for name, key, detail in (("crimes", "ID", "Description"), ("arrests", "CB_NO", "CHARGE 1 DESCRIPTION"),
+                              ("iucr", "IUCR", "SECONDARY DESCRIPTION")):
+        rows = t.spark.read.parquet(f"{out}/{name}")
+        named = F.col("source_file").contains(f"/{name}/") if "source_file" in rows.columns else F.lit(True)
+        layers.append(rows.select(F.lit(name).alias("layer"), F.col(f"`{key}`").alias("id"), F.col(f"`{detail}`").alias("detail"),
+                                  F.to_timestamp_ntz(F.col("load_timestamp").cast("string")).alias("load_timestamp"), named.alias("named")))
+    return union_by_name(*layers)
 
 
 @query("provenance_columns", "SELECT o_orderkey, '2024-05-01 12:00:00' AS load_timestamp, 'orders.parquet' AS source_file FROM orders")
@@ -190,116 +228,140 @@ def _(t: Tables):
                           F.regexp_extract("source_file", "([^/]+)$", 1).alias("source_file"))
 
 
-@query("run_zone_reports", """SELECT pickup_zone, count(*) AS total_trips, max(trip_distance) AS max_trip_distance FROM joined GROUP BY pickup_zone""")
-def _(t: Tables):
+def raw_taxi_files(t: Tables) -> str:
+    """Both colours as Parquet, the zones as CSV; some yellow files hold passengers as doubles."""
     root = scratch_path(t.spark, "taxi")
-    for colour in ("yellow", "green"):
-        t.raw_trips(colour).write.parquet(f"{root}/{colour}")
-    t.zones().withColumnsRenamed({"location_id": "LocationID", "zone": "Zone"}).write.option("header", True).csv(f"{root}/zones")
-    paths = taxi.run_zone_reports(t.spark, [f"{root}/yellow"], [f"{root}/green"], f"{root}/zones", f"{root}/out",
-                                  datetime(2024, 5, 1).date())
-    return t.spark.read.parquet(paths["zone_statistic"]).select("pickup_zone", "total_trips", "max_trip_distance")
+    yellow = t.raw_trips("yellow")
+    yellow.filter("order_key % 2 = 0").write.parquet(f"{root}/yellow")
+    doubled = yellow.filter("order_key % 2 = 1").withColumn("passenger_count", F.col("passenger_count").cast("double"))
+    doubled.write.mode("append").parquet(f"{root}/yellow")
+    t.raw_trips("green").write.parquet(f"{root}/green")
+    t.zones().withColumnsRenamed({"location_id": "LocationID", "zone": "Zone", "borough": "Borough"}).write.option(
+        "header", True).csv(f"{root}/zones")
+    return root
 
 
-# --- table history ----------------------------------------------------------------------------
+def _zone_reports(t: Tables) -> dict[str, str]:
+    root = raw_taxi_files(t)
+    return taxi.run_zone_reports(t.spark, [f"{root}/yellow"], [f"{root}/green"], f"{root}/zones", f"{root}/out",
+                                 datetime(2024, 5, 1).date())
 
 
-def _trip_table(t: Tables):
-    rows = t.trips().select(*TRIP_ID, "pu_location_id", "fee", "taxi_type")
-    return chg.VersionedTable.create(rows, scratch_path(t.spark, "history"))
+@query("run_zone_reports", ZONE_SUMMARY_SQL)
+def _(t: Tables):
+    return t.spark.read.parquet(_zone_reports(t)["zone_statistic"])
+
+
+@query("run_zone_reports_days", ZONE_DAYS_SQL)
+def _(t: Tables):
+    return t.spark.read.parquet(_zone_reports(t)["zone_days_statistic"])
+
 
+# --- changes of tables ------------------------------------------------------------------------
 
+TRIP_ROWS = (*TRIP_ID, "pu_location_id", "fee", "taxi_type")
 KEPT = f"SELECT {SQL_ID}, pu_location_id, fee, taxi_type FROM trips"
 
 
+def _trip_table(t: Tables):
+    return t.trips().select(*TRIP_ROWS)
+
+
+def _suppliers(t: Tables):
+    return t.table("supplier").select(F.col("s_suppkey").alias("order_key"), F.lit("new").alias("taxi_type"))
+
+
 @query("delete_where", f"{KEPT} WHERE NOT coalesce(fee > 4 AND pu_location_id = 7, FALSE)")
 def _(t: Tables):
-    table = _trip_table(t)
-    table.delete_where((F.col("fee") > 4) & (F.col("pu_location_id") == 7))
-    return table.read()
+    return chg.delete_rows(_trip_table(t), (F.col("fee") > 4) & (F.col("pu_location_id") == 7))
 
 
 @query("update_where", f"""SELECT {SQL_ID}, pu_location_id, CASE WHEN fee > 4 THEN fee * 2 ELSE fee END AS fee, taxi_type FROM trips""")
 def _(t: Tables):
-    table = _trip_table(t)
-    table.update_where(F.col("fee") > 4, {"fee": F.col("fee") * 2})
-    return table.read()
+    return chg.update_rows(_trip_table(t), F.col("fee") > 4, {"fee": F.col("fee") * 2})
 
 
 @query("insert_into_version", f"""{KEPT} UNION ALL SELECT s_suppkey, NULL, NULL, NULL, NULL, NULL, 'new' FROM supplier""")
 def _(t: Tables):
-    table = _trip_table(t)
-    table.insert(t.table("supplier").select(F.col("s_suppkey").alias("order_key"), F.lit("new").alias("taxi_type")))
-    return table.read()
+    return chg.insert_rows(_trip_table(t), _suppliers(t))
 
 
-@query("read_as_of", f"{KEPT}")
-def _(t: Tables):
-    table = _trip_table(t)
-    before = table.history().agg(F.max("committed_at")).first()[0]
-    table.delete_where(F.col("fee") > 4)
-    return table.read_as_of(moment=before)
+CHANGED = "(fee > 4 AND pu_location_id = 7)"
+
 
+def _states(t: Tables) -> list:
+    """The trips as they were, after an update, and after a delete on top of it."""
+    first = _trip_table(t)
+    second = chg.update_rows(first, (F.col("fee") > 4) & (F.col("pu_location_id") == 7), {"fee": F.col("fee") + 1})
+    return [first, second, chg.delete_rows(second, (F.col("fee") < 1) & (F.col("pu_location_id") == 8))]
 
-@query("restore_version", """SELECT count(*) AS row_count, 2 AS version, 'restore' AS operation FROM trips""")
+
+def _history(t: Tables):
+    """All changes with their times: the first state as inserts, then an update at 13:00 and a delete at 14:00."""
+    states = [_trip_table(t).limit(0), *_states(t)]
+    return union_by_name(*[chg.table_changes(a, b).withColumn("changed_at", F.lit(f"2024-05-01 {12 + k}:00:00").cast("timestamp_ntz"))
+                           for k, (a, b) in enumerate(zip(states, states[1:]))])
+
+
+def _moment(text: str):
+    return F.lit(text).cast("timestamp_ntz")
+
+
+@query("read_as_of", f"""SELECT {SQL_ID}, pu_location_id, CASE WHEN {CHANGED} THEN fee + 1 ELSE fee END AS fee, taxi_type FROM trips""")
 def _(t: Tables):
-    table = _trip_table(t)
-    table.delete_where(F.col("fee") > 4)
-    table.restore(0)
-    last = table.history().orderBy(F.desc("version")).limit(1).select(F.col("version"), "operation")
-    counted = table.read().agg(F.count("*").alias("row_count"))
-    return counted.withColumn("version", F.lit(table.version())).join(last, "version")
+    return chg.rows_as_of(_history(t), _moment("2024-05-01 13:30:00"))
 
 
-CHANGED = "(fee > 4 AND pu_location_id = 7)"
+@query("restore_version", KEPT)
+def _(t: Tables):
+    current = _states(t)[-1]
+    back = chg.table_changes(current, chg.rows_as_of(_history(t), _moment("2024-05-01 12:00:00")))
+    removed, added = (back.filter(F.col("action") == a).select(*TRIP_ROWS) for a in ("DELETE", "INSERT"))
+    return chg.insert_rows(current.exceptAll(removed), added)
 
 
 @query("version_changes", f"""SELECT {SQL_ID}, pu_location_id, fee, taxi_type, 'DELETE' AS action, TRUE AS is_update FROM trips WHERE {CHANGED}
     UNION ALL SELECT {SQL_ID}, pu_location_id, fee + 1, taxi_type, 'INSERT', TRUE FROM trips WHERE {CHANGED}
     UNION ALL SELECT {SQL_ID}, pu_location_id, fee, taxi_type, 'DELETE', FALSE FROM trips WHERE coalesce(fee < 1 AND pu_location_id = 8, FALSE)""")
 def _(t: Tables):
-    table = _trip_table(t)
-    table.update_where((F.col("fee") > 4) & (F.col("pu_location_id") == 7), {"fee": F.col("fee") + 1})
-    table.delete_where((F.col("fee") < 1) & (F.col("pu_location_id") == 8))
-    return table.changes(0, key=TRIP_ID)
+    states = _states(t)
+    return chg.table_changes(states[0], states[-1], key=TRIP_ID)
 
 
-@query("consume_changes", f"""SELECT CAST(s_suppkey AS BIGINT) AS order_key, 'INSERT' AS action, 1 AS until_version FROM supplier
+@query("consume_changes", f"""SELECT CAST(s_suppkey AS BIGINT) AS order_key, 'INSERT' AS action, 1 AS position FROM supplier
     UNION ALL SELECT s_suppkey, 'DELETE', 2 FROM supplier UNION ALL SELECT s_suppkey + 1000000, 'INSERT', 2 FROM supplier""")
 def _(t: Tables):
-    table, log = _trip_table(t), scratch_path(t.spark, "log")
-    table.insert(t.table("supplier").select(F.col("s_suppkey").alias("order_key"), F.lit("new").alias("taxi_type")))
-    table.consume_changes(log)
-    table.consume_changes(log)
-    table.update_where(F.col("taxi_type") == "new", {"order_key": F.col("order_key") + 1_000_000})
-    table.consume_changes(log)
-    return chg.read_change_log(t.spark, log).select("order_key", "action", "until_version")
+    log = scratch_path(t.spark, "log")
+    first = _trip_table(t)
+    second = chg.insert_rows(first, _suppliers(t))
+    third = chg.update_rows(second, F.col("taxi_type") == "new", {"order_key": F.col("order_key") + 1_000_000})
+    for position, (old, new) in enumerate(((first, second), (second, third)), 1):
+        chg.changes_to_log(old, new, position).write.mode("append").parquet(log)
+    return t.spark.read.parquet(log).select("order_key", "action", "position")
 
 
 @query("guarded_insert", """SELECT o_orderkey, o_custkey, o_totalprice FROM orders
     UNION ALL SELECT o_orderkey, o_custkey, o_totalprice + 1 FROM orders WHERE o_orderkey % 3 = 1""")
 def _(t: Tables):
     base = t.table("orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    table = chg.VersionedTable.create(base, scratch_path(t.spark, "guarded"))
     raised = base.withColumn("o_totalprice", F.col("o_totalprice") + F.when(F.col("o_orderkey") % 3 == 1, 1).otherwise(0))
-    table.guarded_insert(raised.unionByName(raised), on_duplicate="skip")
-    return table.read()
+    return chg.insert_rows(base, chg.guarded_rows(raised.unionByName(raised), base, on_duplicate="skip"))
 
 
-@query("clone_table", f"SELECT 'origin' AS side, count(*) AS row_count FROM trips UNION ALL SELECT 'copy', count(*) FROM trips WHERE fee <= 4 OR fee IS NULL")
+@query("clone_table", f"""{KEPT.replace("SELECT", "SELECT 'origin' AS side,", 1)} UNION ALL
+    {KEPT.replace("SELECT", "SELECT 'copy' AS side,", 1)} WHERE fee <= 4 OR fee IS NULL""")
 def _(t: Tables):
-    table = _trip_table(t)
-    copy = table.clone(scratch_path(t.spark, "clone"))
-    copy.delete_where(F.col("fee") > 4)
-    sides = [x.read().agg(F.count("*").alias("row_count")).withColumn("side", F.lit(n)) for n, x in (("origin", table), ("copy", copy))]
-    return sides[0].unionByName(sides[1])
+    layer = scratch_database(t.spark)
+    origin = sinks.materialize(_trip_table(t), "origin", "table", layer)
+    sinks.create_table_as(t.spark, f"{layer}.copy", "SELECT * FROM {rows}", rows=origin)
+    copy = chg.delete_rows(t.spark.table(f"{layer}.copy"), F.col("fee") > 4)
+    return union_by_name(origin.withColumn("side", F.lit("origin")), copy.withColumn("side", F.lit("copy")))
 
 
 @query("hourly_increment", f"{HOURLY_SQL} UNION ALL {HOURLY_SQL.replace(RUN_TIME, '2024-05-01 13:00:00')}")
 def _(t: Tables):
     trips = t.trips().withColumn("pickup_hour", F.hour("pickup_datetime"))
-    empty = t.spark.createDataFrame([], "ts timestamp, pickup_hour int, total_trips long, avg_trip_distance double, avg_total_amount double")
-    stats = chg.VersionedTable.create(empty, scratch_path(t.spark, "stats"))
+    table = f"{scratch_database(t.spark)}.stats"
     for hour in (12, 13):
-        chg.append_hourly_stats(trips, stats, datetime(2024, 5, 1, hour, tzinfo=timezone.utc))
-    return stats.read()
+        chg.append_hourly_stats(trips, table, datetime(2024, 5, 1, hour, tzinfo=timezone.utc))
+    return t.spark.table(table)

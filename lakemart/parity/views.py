@@ -136,13 +136,14 @@ class Tables:
         return F.date_format(_shift(start, DAY=day % 1461, SECOND=second), "MM/dd/yyyy hh:mm:ss a")
 
     def crimes_raw(self) -> DataFrame:
-        """One or two rows per order, all text, under the file's column names."""
+        """One or two rows per order, all text, under the file's column names; some first copies have no readable date."""
         k, c = F.col("o_orderkey"), F.col("o_custkey")
         place = c % 500
         copy = F.explode(F.sequence(F.lit(1), F.when(k % 4 == 0, 2).otherwise(1)))
         return self.table("orders").withColumn("copy", copy).select(
             _text(k).alias("ID"), F.concat(F.lit("HX"), _text(k)).alias("Case Number"),
-            F.when(k % 101 == 0, "unknown").otherwise(self._us_time(k, c * 37 % 86400)).alias("Date"),
+            F.when((k % 101 == 0) | ((k % 8 == 0) & (F.col("copy") == 1)), "unknown")
+             .otherwise(self._us_time(k, c * 37 % 86400)).alias("Date"),
             F.concat(F.lit("BLOCK "), _text(place)).alias("Block"),
             _unless(k % 103 == 0, F.concat(F.when(c % 50 == 0, "a").otherwise("A"), _text(c % 400))).alias("IUCR"),
             F.col("o_orderpriority").alias("Primary Type"), F.concat(F.lit("D"), _text("copy")).alias("Description"),
@@ -159,14 +160,18 @@ class Tables:
         )
 
     def arrests_raw(self) -> DataFrame:
-        """One row per line item; arrest ids repeat, every third arrest is a day late."""
+        """One row per line item; arrest ids repeat, every third arrest is a day late.
+
+        Some arrests come twice, once without a readable date.
+        """
         k, n = F.col("l_orderkey"), F.col("l_linenumber")
         case = F.when(_mod("l_partkey", 97) == 0, "  ").otherwise(F.concat(F.lit("HX"), _text(k)))
         late = k + F.when(n % 3 == 0, 1).otherwise(0)
         kind = F.when(n % 4 == 0, "F").when(n % 4 == 1, "M").when(n % 4 == 2, "X")
-        return self.table("lineitem").select(
+        broken = F.explode(F.when(_mod("l_suppkey", 5) == 0, F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(False))))
+        return self.table("lineitem").withColumn("broken", broken).select(
             _text(k * 8 + n).alias("CB_NO"), case.alias("CASE NUMBER"),
-            F.when(_mod("l_partkey", 101) == 0, "").otherwise(
+            F.when(F.col("broken"), "soon").when(_mod("l_partkey", 101) == 0, "").otherwise(
                 self._us_time(late, F.col("l_suppkey") * 61 % 86400)).alias("ARREST DATE"),
             F.col("l_returnflag").alias("RACE"), F.concat(F.lit("S"), _text("l_suppkey")).alias("CHARGE 1 STATUTE"),
             F.concat(F.lit("P"), _text("l_partkey"), F.lit("/"), _text(F.col("l_quantity").cast("int")))
@@ -195,9 +200,9 @@ class Tables:
 
     @staticmethod
     def as_transactions(events: DataFrame) -> DataFrame:
-        """Purchases and sign-ups as payments."""
+        """Every event as a payment."""
         merchant = F.get(F.array(*map(F.lit, ("Amazon", "Paypal", "Ebay", "Etsy"))), (F.col("event_id") % 4).cast("int"))
-        return events.filter(F.col("event_type").isin("purchase", "signup")).select(
+        return events.select(
             _text("event_id").alias("transaction_id"), _text("user_id").alias("user_id"),
             (F.floor(F.col("value") * 64) / 8).cast("float").alias("amount"), merchant.alias("merchant"),
             F.lit("USD").alias("currency"), F.col("ts").cast("timestamp").alias("timestamp"),
@@ -230,6 +235,11 @@ def _sql_us_time(day: str, second: str) -> str:
     return f"TIMESTAMP '2020-01-01 00:00:00' + to_days(CAST(({day}) % 1461 AS INTEGER)) + to_seconds({second})"
 
 
+def number_text(name: str) -> str:
+    """A double as a plain decimal without trailing zeros."""
+    return rf"regexp_replace(CAST(CAST({name} AS DECIMAL(38, 10)) AS VARCHAR), '\.?0+$', '')"
+
+
 _EDGES = ", ".join("'" + t.replace("'", "''") + "'" for t in EDGE_TEXTS)
 
 SQL_VIEWS = {
@@ -255,6 +265,7 @@ SQL_VIEWS = {
             'S' || CAST(n_regionkey AS VARCHAR) AS service_zone
         FROM nation JOIN region ON n_regionkey = r_regionkey""",
     "zone_ids": "SELECT TRY_CAST(location_id AS BIGINT) AS location_id, borough, zone, service_zone FROM zones",
+    "known_zones": "SELECT location_id FROM zone_ids WHERE location_id IS NOT NULL",
     "prepared": """
         SELECT *, hour(pickup_datetime) AS pickup_hour, dayofweek(pickup_datetime) + 1 AS pickup_day_of_week,
             round(date_diff('second', pickup_datetime, dropoff_datetime) / 60.0, 4)::DOUBLE AS duration_min
@@ -280,7 +291,8 @@ SQL_VIEWS = {
             CASE WHEN o_orderkey % 101 <> 0 THEN {_sql_us_time('o_orderkey', 'o_custkey * 37 % 86400')} END AS crime_datetime,
             'BLOCK ' || CAST(o_custkey % 500 AS VARCHAR) AS block,
             (CASE WHEN o_custkey % 50 = 0 THEN 'a' ELSE 'A' END) || CAST(o_custkey % 400 AS VARCHAR) AS iucr_code,
-            o_orderpriority AS primary_type, 'D1' AS description,
+            o_orderpriority AS primary_type,
+            CASE WHEN o_orderkey % 8 = 0 AND o_orderkey % 101 <> 0 THEN 'D2' ELSE 'D1' END AS description,
             CASE WHEN o_orderkey % 7 = 0 THEN 'Unknown' WHEN o_orderkey % 2 = 0 THEN 'STREET' ELSE 'HOME' END AS location_description,
             CASE o_orderstatus WHEN 'F' THEN TRUE WHEN 'O' THEN FALSE END AS is_arrest, o_orderkey % 3 = 0 AS is_domestic,
             o_custkey % 500 % 90 AS beat_id, o_custkey % 500 % 45 AS ward_id,
@@ -293,14 +305,15 @@ SQL_VIEWS = {
             '(' || CAST(o_custkey % 500 AS VARCHAR) || ')' AS location_geo_point, o_custkey % 500 % 22 AS district_id
         FROM orders WHERE o_orderkey % 89 <> 0 AND o_orderkey % 103 <> 0""",
     "silver_arrests": f"""
-        SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY arrest_id ORDER BY case_number,
-                arrest_date NULLS FIRST, arrestee_race, charge_one_statue, charge_one_description, charge_one_type) AS rn
+        SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY arrest_id ORDER BY arrest_date NULLS LAST,
+                case_number, arrestee_race, charge_one_statue, charge_one_description, charge_one_type) AS rn
             FROM (SELECT CAST(l_orderkey * 8 + l_linenumber AS VARCHAR) AS arrest_id, 'HX' || CAST(l_orderkey AS VARCHAR) AS case_number,
-                CASE WHEN l_partkey % 101 <> 0 THEN {_sql_us_time('l_orderkey + CASE WHEN l_linenumber % 3 = 0 THEN 1 ELSE 0 END', 'l_suppkey * 61 % 86400')}
+                CASE WHEN l_partkey % 101 <> 0 AND NOT broken THEN {_sql_us_time('l_orderkey + CASE WHEN l_linenumber % 3 = 0 THEN 1 ELSE 0 END', 'l_suppkey * 61 % 86400')}
                 END AS arrest_date, l_returnflag AS arrestee_race, 'S' || CAST(l_suppkey AS VARCHAR) AS charge_one_statue,
                 'P' || CAST(l_partkey AS VARCHAR) || '/' || CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS charge_one_description,
                 CASE l_linenumber % 4 WHEN 0 THEN 'felony' WHEN 1 THEN 'misdemeanor' ELSE 'other' END AS charge_one_type
-                FROM lineitem WHERE l_partkey % 97 <> 0))
+                FROM (SELECT *, unnest(CASE WHEN l_suppkey % 5 = 0 THEN [TRUE, FALSE] ELSE [FALSE] END) AS broken FROM lineitem)
+                WHERE l_partkey % 97 <> 0))
         WHERE rn = 1""",
     "silver_codes": """
         SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY iucr_code
@@ -321,25 +334,41 @@ SQL_VIEWS = {
             month(crime_datetime) AS crime_month, year(crime_datetime) AS crime_year
         FROM silver_crimes c LEFT JOIN stg_codes i ON i.iucr_code = c.iucr_code""",
     "dim_location": """
-        SELECT md5(block || latitude || longitude || x_coordinate || y_coordinate) AS location_key, block,
-            location_description, latitude, longitude, x_coordinate, y_coordinate, beat_id, district_id, ward_id,
-            community_area_id, concat_ws(' ', block, location_description) AS location_full_text
-        FROM (SELECT *, row_number() OVER (PARTITION BY block, latitude, longitude, x_coordinate, y_coordinate
-            ORDER BY crime_id) AS rn FROM stg_crimes) WHERE rn = 1""",
+        WITH places AS (
+            SELECT block, latitude, longitude, x_coordinate, y_coordinate, arg_min({'location_description': location_description,
+                'beat_id': beat_id, 'district_id': district_id, 'ward_id': ward_id, 'community_area_id': community_area_id},
+                crime_id) AS of_first
+            FROM stg_crimes GROUP BY ALL)
+        SELECT md5(block || """ + " || ".join(map(number_text, ("latitude", "longitude", "x_coordinate", "y_coordinate"))) + """
+                ) AS location_key,
+            block, of_first.location_description, latitude, longitude, x_coordinate, y_coordinate, of_first.beat_id,
+            of_first.district_id, of_first.ward_id, of_first.community_area_id,
+            concat_ws(' ', block, of_first.location_description) AS location_full_text
+        FROM places""",
     "dim_crime_type": """
         SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY iucr_code
             ORDER BY primary_description, secondary_description, index_code) AS rn FROM stg_codes) WHERE rn = 1""",
+    # Facts by lists: all place keys of a spot, and all codes of a case's day, are gathered and then unnested.
+    "spots": """
+        SELECT block, latitude, longitude, list(location_key) AS keys FROM dim_location
+        WHERE block IS NOT NULL AND latitude IS NOT NULL AND longitude IS NOT NULL GROUP BY ALL""",
     "fact_crimes": """
-        SELECT a.crime_id, a.case_number, a.crime_datetime, a.crime_date, a.crime_hour, a.crime_day_of_week, a.crime_month,
-            a.crime_year, coalesce(a.is_arrest, FALSE) AS is_arrest, coalesce(a.is_domestic, FALSE) AS is_domestic,
-            a.primary_type, a.fbi_code, r.location_key, dc.*
-        FROM stg_crimes a LEFT JOIN dim_location r
-            ON r.block = a.block AND r.latitude = a.latitude AND r.longitude = a.longitude
-        LEFT JOIN dim_crime_type dc ON dc.iucr_code = a.iucr_code""",
+        WITH keyed AS (
+            SELECT crime_id, case_number, crime_datetime, crime_date, crime_hour, crime_day_of_week, crime_month, crime_year,
+                is_arrest IS NOT DISTINCT FROM TRUE AS is_arrest, is_domestic IS NOT DISTINCT FROM TRUE AS is_domestic,
+                primary_type, fbi_code, iucr_code AS raw_code, unnest(coalesce(keys, [NULL])) AS location_key
+            FROM stg_crimes LEFT JOIN spots USING (block, latitude, longitude))
+        SELECT keyed.* EXCLUDE (raw_code), t.iucr_code, t.primary_description, t.secondary_description, t.index_code
+        FROM keyed LEFT JOIN dim_crime_type t ON t.iucr_code = raw_code""",
+    "case_days": """
+        SELECT case_number, crime_date, list(coalesce(iucr_code, '?')) AS found FROM fact_crimes GROUP BY ALL""",
     "fact_arrests": """
-        SELECT sa.*, ct.* FROM (SELECT * FROM silver_arrests WHERE year(arrest_date) IS NOT NULL) sa
-        LEFT JOIN fact_crimes cr ON sa.case_number = cr.case_number AND CAST(sa.arrest_date AS DATE) = cr.crime_date
-        LEFT JOIN dim_crime_type ct ON ct.iucr_code = cr.iucr_code""",
+        WITH coded AS (
+            SELECT a.*, unnest(coalesce(found, ['?'])) AS found_code FROM silver_arrests a
+            LEFT JOIN case_days d ON d.case_number = a.case_number AND d.crime_date = date_trunc('day', a.arrest_date)
+            WHERE a.arrest_date IS NOT NULL)
+        SELECT coded.* EXCLUDE (found_code), t.iucr_code, t.primary_description, t.secondary_description, t.index_code
+        FROM coded LEFT JOIN dim_crime_type t ON t.iucr_code = found_code""",
     "activity": """
         SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS user_id, event_type,
             (['mobile', 'desktop', 'tablet'])[1 + event_id % 3] AS device, ts AS "timestamp" FROM events""",
@@ -348,7 +377,7 @@ SQL_VIEWS = {
             CAST(CAST(floor(value * 64) / 8 AS FLOAT) AS DOUBLE) AS amount,
             (['Amazon', 'Paypal', 'Ebay', 'Etsy'])[1 + event_id % 4] AS merchant, 'USD' AS currency,
             ts AS "timestamp", event_id % 3 <> 1 AS is_fraud
-        FROM events WHERE event_type IN ('purchase', 'signup')""",
+        FROM events""",
 }
 
 

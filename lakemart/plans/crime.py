@@ -12,7 +12,7 @@ from lakemart.operators import aggregates
 from lakemart.operators.columns import cast_columns, provenance_columns, rename_by_copy, snake_case_columns
 from lakemart.operators.filters import filter_flag, filter_nonblank, filter_required, filter_valid_date
 from lakemart.operators.joins import join_key_and_day, join_multi_key, join_using
-from lakemart.operators.quality import Check, quality_report
+from lakemart.operators.quality import Check, checked
 from lakemart.operators.ranking import drop_duplicates, first_per_key
 from lakemart.sources.files import scan_csv, scan_recursive
 from lakemart.sources.sinks import bronze_append, bronze_overwrite, keep_inline, keep_tables
@@ -34,6 +34,7 @@ ARREST_NAMES = {
 }
 # Columns of the code table.
 CODE_COLUMNS = ("iucr_code", "primary_description", "secondary_description", "index_code")
+# Types of the crime columns, columns that make a place, and the bounds of the checks below.
 CRIME_TYPES = {
     **dict.fromkeys(("is_arrest", "is_domestic"), "boolean"),
     **dict.fromkeys(("latitude", "longitude", "x_coordinate", "y_coordinate"), "double"),
@@ -83,23 +84,25 @@ def load_bronze(spark: SparkSession, crimes: Sequence[str] | str, arrests: Seque
 
 
 def silver_crimes(raw: DataFrame) -> DataFrame:
-    """Typed crimes that have a place, a code and a type; one row per id, the earliest first."""
+    """Typed crimes that have a place, a code and a type; one row per id: the earliest, unreadable dates last."""
     typed = cast_columns(rename_by_copy(raw, CRIME_NAMES), CRIME_TYPES).withColumns({
         "crime_datetime": s.parse_us_timestamp("crime_datetime"),
         "location_description": s.coalesce_default("location_description", "Unknown"),
     })
     located = filter_required(typed, ["latitude", "longitude", "iucr_code", "primary_type"])
-    return drop_duplicates(located, ["crime_id"], ["crime_datetime", *[c for c in located.columns if c not in
-                                                                      ("crime_id", "crime_datetime")]])
+    rest = [c for c in located.columns if c not in ("crime_id", "crime_datetime")]
+    return drop_duplicates(located, ["crime_id"], [F.asc_nulls_last("crime_datetime"), *rest])
 
 
 def silver_arrests(raw: DataFrame) -> DataFrame:
+    """Typed arrests with a case number; one row per id: the earliest, so a copy with an unreadable date never wins."""
     typed = rename_by_copy(raw, ARREST_NAMES).withColumns({
         "arrest_date": s.parse_us_timestamp("arrest_date"),
         "charge_one_type": s.charge_type("charge_one_type"),
     })
     named = filter_nonblank(typed, "case_number")
-    return drop_duplicates(named, ["arrest_id"], [c for c in named.columns if c != "arrest_id"])
+    rest = [c for c in named.columns if c not in ("arrest_id", "arrest_date")]
+    return drop_duplicates(named, ["arrest_id"], [F.asc_nulls_last("arrest_date"), *rest])
 
 
 def silver_ucr_codes(raw: DataFrame) -> DataFrame:
@@ -191,12 +194,33 @@ def gold_tables(crimes: DataFrame, arrests: DataFrame, codes: DataFrame,
     return out
 
 
-def run_crime(spark: SparkSession, bronze: str, silver_layer: str = "silver",
-              gold_layer: str = "gold") -> dict[str, DataFrame]:
-    """From the bronze folders to the gold tables, each model written once; ends with the data checks' report."""
-    silver, gold = keep_tables(silver_layer), keep_tables(gold_layer)
-    crimes = silver("silver_crimes", silver_crimes(scan_recursive(spark, f"{bronze}/crimes")))
-    arrests = silver("silver_arrests", silver_arrests(scan_recursive(spark, f"{bronze}/arrests")))
-    codes = silver("silver_ucr_codes", silver_ucr_codes(scan_recursive(spark, f"{bronze}/iucr")))
-    tables = gold_tables(crimes, arrests, codes, gold)
-    return tables | {"checks": quality_report(tables, CRIME_CHECKS)}
+def run_crime(spark: SparkSession, bronze: str, silver_layer: str = "silver", gold_layer: str = "gold",
+              strict: bool = False) -> dict[str, DataFrame]:
+    """From the bronze folders to the gold tables, each model written once; ends with the data checks.
+
+    Crimes and arrests are appended to their silver tables: only rows whose load time is newer than the last run's are
+    read, and ids that are there already are left out. Codes and gold tables are replaced. ``strict`` raises on
+    violations, after the tables are written; otherwise ``checks`` holds the report.
+    """
+    keep = keep_tables(silver_layer)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {silver_layer}")
+    crimes, arrests = (
+        _append_silver(scan_recursive(spark, f"{bronze}/{folder}"), f"{silver_layer}.silver_{folder}", build, key)
+        for folder, build, key in (("crimes", silver_crimes, "crime_id"), ("arrests", silver_arrests, "arrest_id")))
+    codes = keep("silver_ucr_codes", silver_ucr_codes(scan_recursive(spark, f"{bronze}/iucr")))
+    tables = gold_tables(crimes, arrests, codes, keep_tables(gold_layer))
+    return checked(tables, CRIME_CHECKS, strict)
+
+
+def _append_silver(raw: DataFrame, name: str, build: Callable[[DataFrame], DataFrame], key: str) -> DataFrame:
+    """Append the typed new rows to a silver table, with the load time they came with."""
+    spark = raw.sparkSession
+    newest = raw.agg(F.max("load_timestamp")).first()[0]
+    if spark.catalog.tableExists(name):
+        last = spark.table(name).agg(F.max("load_timestamp")).first()[0]
+        new = raw.filter(F.col("load_timestamp") > F.lit(last)) if last is not None else raw
+        rows = build(new).join(spark.table(name).select(key), key, "left_anti")
+    else:
+        rows = build(raw)
+    rows.withColumn("load_timestamp", F.lit(newest)).write.mode("append").saveAsTable(name)
+    return spark.table(name).drop("load_timestamp")

@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.functions.scalars import age_group, growth_gap, role_class
 from lakemart.operators import aggregates
 from lakemart.operators.columns import clean_table, tag_literal
 from lakemart.operators.joins import join_group_metrics, join_with_fallback
-from lakemart.operators.quality import Check
+from lakemart.operators.quality import Check, assert_clean, check_shared_ids, quality_report
 from lakemart.operators.ranking import latest_per_key
 from lakemart.operators.unions import union_suffixed
 from lakemart.sources.schemas import COACH_TYPES, PLAYER_TYPES, TEAM_TYPES
-from lakemart.sources.sinks import keep_inline
+from lakemart.sources.files import scan_csv
+from lakemart.sources.sinks import keep_inline, keep_tables
 
 # Columns the profile mart passes through.
 PROFILE_COLUMNS = ("player_id", "overall", "potential", "growth_gap", "age", "height_cm", "weight_kg", "value_eur",
@@ -117,3 +118,33 @@ def player_tables(male_raw: DataFrame, female_raw: DataFrame, tie_break: Sequenc
         out[f"mart_player_profiles_{gender}"] = mart_player_profiles(players)
     out["mart_team_dashboard"] = mart_team_dashboard(squads, teams)
     return out
+
+
+def player_report(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """All player checks, and how many ids the male and the female players share."""
+    shared = check_shared_ids(tables["int_players_male"], tables["int_players_female"], "player_id")
+    counted = shared.agg(F.count("*").alias("violations")).select(
+        F.lit("shared_ids").alias("check"), F.lit("int_players").alias("table"), F.lit("player_id").alias("column"),
+        "violations")
+    return quality_report(tables, PLAYER_CHECKS).unionByName(counted)
+
+
+def run_players(spark: SparkSession, files: Mapping[str, str], layer: str, tie_break: Sequence[Column | str] = (),
+                strict: bool = True) -> dict[str, DataFrame]:
+    """From CSV files to the tables of ``layer``; ends with the data checks.
+
+    ``files``: paths by ``male_players``, ``female_players`` and, where there are any, ``male_teams``, ``female_teams``,
+    ``male_coaches``, ``female_coaches``. ``strict`` raises on violations, after the tables are written; otherwise
+    ``checks`` holds the report.
+    """
+    keep = keep_tables(layer)
+    raw = {name: scan_csv(spark, path) for name, path in files.items()}
+    stages = {"teams": stg_teams, "coaches": stg_coaches}
+    tables = {f"stg_{name}": keep(f"stg_{name}", stages[name.split("_")[1]](df))
+              for name, df in raw.items() if name.split("_")[1] in stages}
+    tables |= player_tables(raw["male_players"], raw["female_players"], tie_break, keep)
+    tables["mart_team_dashboard"] = keep("mart_team_dashboard", tables["mart_team_dashboard"])
+    report = player_report(tables)
+    if strict:
+        assert_clean(report)
+    return tables | {"checks": report}

@@ -15,7 +15,7 @@ from lakemart.operators.joins import join_zones
 from lakemart.operators.unions import union_tagged
 from lakemart.sources.files import scan_csv, scan_drifted
 from lakemart.sources.schemas import trip_renames, trip_schema
-from lakemart.sources.sinks import write_single_file
+from lakemart.sources.sinks import write_parquet
 
 
 def unify_trips(yellow: DataFrame, green: DataFrame) -> DataFrame:
@@ -56,7 +56,7 @@ def zone_reports(totals: DataFrame) -> dict[str, DataFrame]:
 
 def run_zone_reports(spark: SparkSession, yellow_folders: list[str], green_folders: list[str], zone_csv: str,
                      out: str, run_date: date) -> dict[str, str]:
-    """From files to one Parquet file per report, below ``out/<report>/<run date>``."""
+    """From files to one Parquet folder per report, ``out/<report>/<run date>``."""
     yellow, green = (scan_drifted(spark, folders, trip_schema(colour))
                      for colour, folders in (("yellow", yellow_folders), ("green", green_folders)))
     totals = trip_zone_totals(unify_trips(yellow, green), scan_csv(spark, zone_csv)).persist()
@@ -64,7 +64,7 @@ def run_zone_reports(spark: SparkSession, yellow_folders: list[str], green_folde
     try:
         for name, report in zone_reports(totals).items():
             paths[name] = f"{out}/{name}/{run_date.isoformat()}"
-            write_single_file(report, paths[name])
+            write_parquet(report, paths[name])
     finally:
         totals.unpersist()
     return paths

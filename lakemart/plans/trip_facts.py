@@ -4,18 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.functions.scalars import date_of, duration_minutes, hour_of
 from lakemart.operators.aggregates import finish_trip_facts, trip_totals
-from lakemart.operators.columns import add_columns, cast_columns, snake_case_columns
+from lakemart.operators.columns import add_columns, cast_columns, rename_columns, snake_case_columns
 from lakemart.operators.filters import filter_consistent_trips, filter_sql
 from lakemart.operators.joins import join_dimensions_inner, join_zones
-from lakemart.operators.quality import Check
+from lakemart.operators.quality import Check, checked
 from lakemart.operators.ranking import dedup_row_number
 from lakemart.operators.unions import union_tagged
-from lakemart.sources.sinks import keep_inline
+from lakemart.sources.files import scan_csv, scan_drifted
+from lakemart.sources.schemas import trip_schema
+from lakemart.sources.sinks import keep_inline, keep_tables
 
 # Columns of the trips table.
 TRIP_COLUMNS = (
@@ -33,22 +35,37 @@ TRIP_CHECKS = (
 )
 
 
-def taxi_stage(raw: DataFrame, zones: DataFrame, zone_key: str = "LocationID", payload: str = "Borough") -> DataFrame:
-    """Plausible trips of one colour under snake-case names, with hour, minutes and boroughs."""
-    timed = add_columns(snake_case_columns(filter_sql(raw)), {
+def taxi_clean(raw: DataFrame, max_total: float = 500, passengers: tuple[int, int] = (0, 6)) -> DataFrame:
+    """Plausible trips of one colour under snake-case names, with hour and minutes; raw file names of times are unified."""
+    times = {c: c.split("_", 1)[1] for c in raw.columns if c.lower().startswith(("tpep_", "lpep_"))}
+    plausible = filter_sql(
+        rename_columns(raw, times),
+        "trip_distance > 0 AND total_amount > 0 AND total_amount <= :most AND passenger_count BETWEEN :fewest AND :full",
+        most=max_total, fewest=passengers[0], full=passengers[1])
+    return add_columns(snake_case_columns(plausible), {
         "pickup_hour": hour_of("pickup_datetime"),
         "trip_duration_minutes": duration_minutes("pickup_datetime", "dropoff_datetime"),
     })
-    return join_zones(timed, zones, payload, zone_key)
+
+
+def taxi_stage(clean: DataFrame, zones: DataFrame, zone_key: str = "LocationID", payload: str = "Borough") -> DataFrame:
+    """Clean trips of one colour with the boroughs of their zones."""
+    return join_zones(clean, zones, payload, zone_key)
 
 
 def locations(zones: DataFrame) -> DataFrame:
     return cast_columns(zones, {"location_id": "int"}).select("location_id", "borough", "zone", "service_zone")
 
 
-def trips(green_stage: DataFrame, yellow_stage: DataFrame, tie_break: Sequence[Column | str] = ()) -> DataFrame:
-    """Deduplicated consistent trips of both colours."""
-    sides = {"green": dedup_row_number(green_stage, tie_break), "yellow": dedup_row_number(yellow_stage, tie_break)}
+def trips(green_clean: DataFrame, yellow_clean: DataFrame, tie_break: Sequence[Column | str] = ()) -> DataFrame:
+    """Deduplicated consistent trips of both colours, from the clean ones: no borough is read here.
+
+    Tests on the columns that identify a trip come before the deduplication, which they cannot change.
+    """
+    sides = {}
+    for colour, clean in (("green", green_clean), ("yellow", yellow_clean)):
+        forward = clean.filter("dropoff_datetime > pickup_datetime AND trip_duration_minutes > 0")
+        sides[colour] = dedup_row_number(forward, tie_break)
     return filter_consistent_trips(union_tagged(
         sides, "taxi_type", {"yellow": {"airport_fee": "fee"}, "green": {"ehail_fee": "fee"}}, TRIP_COLUMNS))
 
@@ -75,11 +92,29 @@ def fact_trip_summary_hourly(trip_rows: DataFrame, location_rows: DataFrame) ->
 def trip_tables(green_raw: DataFrame, yellow_raw: DataFrame, zones: DataFrame, tie_break: Sequence[Column | str] = (),
                 zone_key: str = "LocationID", payload: str = "Borough",
                 keep: Callable[[str, DataFrame], DataFrame] = keep_inline) -> dict[str, DataFrame]:
-    """Every model of the chain by name, from raw trips with unified time columns; ``keep`` decides how models are kept."""
-    out = {f"{colour}_taxi_stage": keep(f"{colour}_taxi_stage", taxi_stage(raw, zones, zone_key, payload))
+    """Every model of the chain by name, from raw trips; ``keep`` decides how models are kept."""
+    out = {f"{colour}_taxi_clean": keep(f"{colour}_taxi_clean", taxi_clean(raw))
            for colour, raw in (("green", green_raw), ("yellow", yellow_raw))}
+    for colour in ("green", "yellow"):
+        # A view: the boroughs are for readers of the stage only.
+        out[f"{colour}_taxi_stage"] = taxi_stage(out[f"{colour}_taxi_clean"], zones, zone_key, payload)
     out["locations"] = keep("locations", locations(snake_case_columns(zones)))
-    out["trips"] = keep("trips", trips(out["green_taxi_stage"], out["yellow_taxi_stage"], tie_break))
+    out["trips"] = keep("trips", trips(out["green_taxi_clean"], out["yellow_taxi_clean"], tie_break))
     out["fact_trip_summary_daily"] = fact_trip_summary_daily(out["trips"], out["locations"])
     out["fact_trip_summary_hourly"] = fact_trip_summary_hourly(out["trips"], out["locations"])
     return out
+
+
+def run_trip_facts(spark: SparkSession, yellow_paths: Sequence[str], green_paths: Sequence[str], zone_csv: str,
+                   layer: str, tie_break: Sequence[Column | str] = (), strict: bool = True) -> dict[str, DataFrame]:
+    """From files to the tables of ``layer``, each model written once; ends with the data checks.
+
+    ``strict`` raises on violations, after the tables are written; otherwise ``checks`` holds the report.
+    """
+    keep = keep_tables(layer)
+    yellow, green = (scan_drifted(spark, paths, trip_schema(colour))
+                     for colour, paths in (("yellow", yellow_paths), ("green", green_paths)))
+    tables = trip_tables(green, yellow, scan_csv(spark, zone_csv), tie_break, keep=keep)
+    tables |= {n: keep(n, tables[n]) for n in ("green_taxi_stage", "yellow_taxi_stage", "fact_trip_summary_daily",
+                                               "fact_trip_summary_hourly")}
+    return checked(tables, TRIP_CHECKS, strict)

@@ -26,11 +26,9 @@ CLUSTER_DEFAULTS = {
 
 
 def shuffle_partitions(input_bytes: int, target_bytes: int = 128 << 20) -> int:
-    """How many partitions a shuffle of the input starts with; AQE merges those that turn out small.
-
-    Clamped, as below some hundreds nothing is gained and above 100 000 the bookkeeping costs more.
-    """
-    return max(200, min(100_000, -(-input_bytes // target_bytes)))
+    """How many partitions a shuffle of the input starts with, so that a task gets about ``target_bytes`` at every size;
+    AQE merges those that turn out small."""
+    return max(200, -(-input_bytes // target_bytes))
 
 
 def build_session(name: str, master: str | None = None, input_bytes: int | None = None, **conf: str) -> SparkSession:
@@ -50,22 +48,42 @@ def build_session(name: str, master: str | None = None, input_bytes: int | None
     return builder.getOrCreate()
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder name under the cluster's shared ``spark.checkpoint.dir``.
+_DATABASES: dict[str, set[str]] = {}
 
-    Where that is unset, a machine-local folder is used, and only if the session is local.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+
+def own_scratch(spark: SparkSession) -> None:
+    """For local sessions without ``spark.checkpoint.dir``, such as tests: a temporary folder in its place."""
+    context = spark.sparkContext
+    if not spark.conf.get("spark.checkpoint.dir", None) and context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="lakemart-"))
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="lakemart-")
-    return f"{base.rstrip('/')}/lakemart/{name}-{uuid.uuid4().hex}"
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{base.rstrip('/')}/lakemart/{spark.sparkContext.applicationId}"
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder name under the shared ``spark.checkpoint.dir``; :func:`drop_scratch` removes it."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def scratch_database(spark: SparkSession) -> str:
-    """A new database whose tables live in a scratch folder."""
+    """A new database whose tables live in a scratch folder; :func:`drop_scratch` removes it."""
     path = scratch_path(spark, "db")
     name = path.rsplit("/", 1)[-1].replace("-", "_")
     spark.sql(f"CREATE DATABASE {name} LOCATION '{path}'")
+    _DATABASES.setdefault(spark.sparkContext.applicationId, set()).add(name)
     return name
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove this application's scratch folders and databases; call it when the results that read them are done."""
+    for name in _DATABASES.pop(spark.sparkContext.applicationId, set()):
+        spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)

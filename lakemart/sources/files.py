@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
@@ -44,17 +45,53 @@ def scan_merged(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
     return scan_parquet(spark, paths, mergeSchema="true")
 
 
-def scan_drifted(spark: SparkSession, folders: Sequence[str], target: StructType) -> DataFrame:
-    """Folders whose files agree within each folder but not across them, as one table of type ``target``.
+def data_files(spark: SparkSession, paths: str | Iterable[str], pattern: str = "*.parquet") -> list[str]:
+    """Names of the files below the paths; nothing is read."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
+    return sorted(listed.load(_list(paths)).inputFiles())
 
-    One footer is read per folder; folders of equal schema share a single scan, so the plan has as many
-    branches as there are schemas, not files.
+
+def _merged_schema(spark: SparkSession, files: Sequence[str]) -> StructType | None:
+    """All columns of the files, by Spark's own job over their footers; None where a column's type differs."""
+    try:
+        return spark.read.option("mergeSchema", "true").parquet(*files).schema
+    except (PySparkException, Py4JJavaError) as e:
+        if "CANNOT_MERGE" not in str(e):
+            raise
+        return None
+
+
+def schema_groups(spark: SparkSession, files: Sequence[str]) -> list[tuple[StructType, list[str]]]:
+    """Files by schema: within a group, columns may be missing but none has two types.
+
+    Footers are read on the executors, many files a job. Files that do not agree are halved until they do, so a drift
+    over time costs a few jobs for each change, not one for each file; then groups that agree are put together.
+    """
+    schema = _merged_schema(spark, files)
+    if schema is not None:
+        return [(schema, list(files))]
+    half = len(files) // 2
+    groups: list[tuple[StructType, list[str]]] = []
+    for found, own in schema_groups(spark, files[:half]) + schema_groups(spark, files[half:]):
+        for k, (known, others) in enumerate(groups):
+            types = {f.name: f.dataType for f in known}
+            if all(types.get(f.name, f.dataType) == f.dataType for f in found):
+                wider = StructType([*known, *(f for f in found if f.name not in types)])
+                groups[k] = (wider, others + own)
+                break
+        else:
+            groups.append((found, own))
+    return groups
+
+
+def scan_drifted(spark: SparkSession, paths: str | Iterable[str], target: StructType) -> DataFrame:
+    """Files below the paths as one table of type ``target``, whatever columns and types each file has.
+
+    Every file is read by its own types and cast; the plan has as many branches as there are conflicting schemas, not
+    as there are files or folders.
     """
-    groups: dict[str, list[str]] = {}
-    for folder in folders:
-        groups.setdefault(spark.read.parquet(folder).schema.json(), []).append(folder)
-    return unify_schema(
-        [scan_parquet(spark, paths, StructType.fromJson(json.loads(s))) for s, paths in groups.items()], target)
+    groups = schema_groups(spark, data_files(spark, paths))
+    return unify_schema([scan_parquet(spark, files, schema) for schema, files in groups], target)
 
 
 def scan_csv(spark: SparkSession, paths: str | Iterable[str], **options) -> DataFrame:
@@ -85,22 +122,36 @@ def trim_text(df: DataFrame) -> DataFrame:
                        for f in df.schema])
 
 
+def _misfits(df: DataFrame, target: StructType) -> Column:
+    """Whether a row holds a value that does not fit its column."""
+    by_name = {c.lower(): c for c in df.columns}
+    bad = F.lit(False)
+    for f in target:
+        source = by_name.get(f.name.lower())
+        if source is not None:
+            bad = bad | (quoted(source).isNotNull() & quoted(source).try_cast(f.dataType).isNull())
+    return bad
+
+
 def bulk_load(df: DataFrame, target: StructType, on_error: str = "continue") -> DataFrame:
     """Fit read rows into a declared table, matching columns by name without case.
 
-    ``continue`` leaves out rows holding a value that does not fit its column; ``abort`` raises on one.
+    ``continue`` leaves out rows holding a value that does not fit its column (see :func:`load_report`); ``abort``
+    raises on one. Files that cannot be read at all are left out when the reader is given ``ignoreCorruptFiles``.
     """
     if on_error == "abort":
         return conform(df, target, strict=True)
     if on_error != "continue":
         raise ValueError("on_error must be 'continue' or 'abort'")
-    by_name = {c.lower(): c for c in df.columns}
-    bad = F.lit(False)
-    for f in target:
-        source = by_name.get(f.name.lower())
-        if source is not None:
-            bad = bad | (quoted(source).isNotNull() & quoted(source).try_cast(f.dataType).isNull())
-    return conform(df.filter(~bad), target)
+    return conform(df.filter(~_misfits(df, target)), target)
+
+
+def load_report(df: DataFrame, target: StructType) -> DataFrame:
+    """``(file, rows_parsed, rows_loaded, rows_rejected)`` of what :func:`bulk_load` makes of a frame read from files."""
+    bad = _misfits(df, target)
+    return df.select(F.col("_metadata.file_path").alias("file"), bad.alias("bad")).groupBy("file").agg(
+        F.count("*").alias("rows_parsed"), F.count_if(~F.col("bad")).alias("rows_loaded"),
+        F.count_if("bad").alias("rows_rejected"))
 
 
 def list_files(spark: SparkSession, location: str, pattern: str | None = None) -> DataFrame:
@@ -111,18 +162,15 @@ def list_files(spark: SparkSession, location: str, pattern: str | None = None) -
     return reader.load(location).select("path", "length", F.col("modificationTime").alias("modified"))
 
 
-def ingest_sample(spark: SparkSession, files: Sequence[str], rows: int = 8000, database: str = "default") -> DataFrame:
-    """Save at most ``rows`` rows of each CSV file as a table named after it; returns the column types.
-
-    The sample per file is the feature; the loop is over file names only.
-    """
+def ingest_files(spark: SparkSession, files: Sequence[str], database: str = "default") -> DataFrame:
+    """Save each CSV file, whole, as a table named after it; returns the column types. The loop is over names only."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     types = []
     for path in files:
         table = path.rstrip("/").rsplit("/", 1)[-1].split(".")[0]
-        sample = scan_csv_inferred(spark, path).limit(rows)
-        sample.write.mode("overwrite").saveAsTable(f"{database}.{table}")
-        types += [(table, f.name, f.dataType.simpleString()) for f in sample.schema]
+        rows = scan_csv_inferred(spark, path)
+        rows.write.mode("overwrite").saveAsTable(f"{database}.{table}")
+        types += [(table, f.name, f.dataType.simpleString()) for f in rows.schema]
     return spark.createDataFrame(types, "table string, column string, type string")
 
 

@@ -20,21 +20,35 @@ def _fields(kind, *names: str) -> list[StructField]:
     return [StructField(n, kind(), True) for n in names]
 
 
-# Columns both taxi colours share.
+# Columns both taxi colours share, in the order of their files.
 TRIP_COMMON = StructType([
-    *_fields(LongType, "VendorID", "PULocationID", "DOLocationID"),
-    *_fields(DoubleType, "trip_distance"),
-    *_fields(StringType, "store_and_fwd_flag"),
-    *_fields(DoubleType, "fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount", "improvement_surcharge",
-             "total_amount", "congestion_surcharge", "trip_type"),
+    StructField("VendorID", LongType(), True),
+    StructField("PULocationID", LongType(), True),
+    StructField("trip_distance", DoubleType(), True),
+    StructField("store_and_fwd_flag", StringType(), True),
+    StructField("DOLocationID", LongType(), True),
+    StructField("fare_amount", DoubleType(), True),
+    StructField("extra", DoubleType(), True),
+    StructField("mta_tax", DoubleType(), True),
+    StructField("tip_amount", DoubleType(), True),
+    StructField("tolls_amount", DoubleType(), True),
+    StructField("improvement_surcharge", DoubleType(), True),
+    StructField("total_amount", DoubleType(), True),
+    StructField("congestion_surcharge", DoubleType(), True),
+    StructField("trip_type", DoubleType(), True),
 ])
 
 
 def trip_schema(colour: str, times=TimestampNTZType) -> StructType:
-    """Raw trip files of one colour: the two differ in the prefix of their times and the name of a fee."""
+    """Raw trips of one colour: the two differ in the prefix of their times and the name of a fee.
+
+    The one type all files are cast to: passengers are doubles, as some files hold them so. Read files with
+    :func:`lakemart.sources.files.scan_drifted`, by their own types.
+    """
     prefix, fee = {"yellow": ("tpep", "airport_fee"), "green": ("lpep", "ehail_fee")}[colour]
     return StructType([
-        *_fields(LongType, "RatecodeID", "payment_type", "passenger_count"),
+        *_fields(LongType, "RatecodeID", "payment_type"),
+        *_fields(DoubleType, "passenger_count"),
         *_fields(times, f"{prefix}_pickup_datetime", f"{prefix}_dropoff_datetime"),
         *_fields(DoubleType, fee),
         *TRIP_COMMON,

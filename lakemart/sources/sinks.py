@@ -8,21 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_single_file(df: DataFrame, path: str, max_rows: int = 5_000_000) -> None:
-    """Overwrite a Parquet folder with exactly one part file. For reports, which must be small.
-
-    The result is computed in parallel and counted first, so only its finished rows pass one task; a
-    larger frame is refused, as its writer should use normal part files.
-    """
-    done = df.persist()
-    try:
-        if done.limit(max_rows + 1).count() > max_rows:
-            raise ValueError(f"more than {max_rows} rows are no report: write them as several files")
-        done.coalesce(1).write.mode("overwrite").parquet(path)
-    finally:
-        done.unpersist()
-
-
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> None:
     """Plain parallel write. With partition columns, rows are rebalanced by them, oversized ones split."""
     if partition_by:

@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from lakemart.session import build_session  # noqa: E402
+from lakemart.session import build_session, drop_scratch  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -17,6 +17,7 @@ def spark(tmp_path_factory):
         spark__driver__extraJavaOptions="-XX:TieredStopAtLevel=1")  # short jobs: compile fast, not well
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    drop_scratch(session)
     session.stop()
 
 

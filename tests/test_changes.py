@@ -1,165 +1,106 @@
-from datetime import datetime, timedelta, timezone
+from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
-from lakemart.operators.changes import DuplicateRows, VersionedTable, read_change_log, table_changes
+from lakemart.operators import changes as chg
 from tests.conftest import rows
 
-NOON = datetime(2024, 1, 1, 12, tzinfo=timezone.utc)
+DDL = "id int, name string, price double"
 
 
-def at(minutes):
-    return NOON + timedelta(minutes=minutes)
+@pytest.fixture
+def table(spark):
+    return spark.createDataFrame([(i, f"n{i}", i * 1.5) for i in range(10)], DDL)
 
 
-@pytest.fixture
-def table(spark, folder):
-    df = spark.createDataFrame([(i, f"n{i}", i * 1.5) for i in range(10)], "id int, name string, price double")
-    return VersionedTable.create(df.repartitionByRange(5, "id"), folder("t"), at(0))
-
-
-def test_delete_read_back_and_restore(table):
-    assert table.delete_where(F.col("id") < 3, at(10)) == 1
-    assert table.read().count() == 7
-    assert table.read_as_of(moment=at(5)).count() == 10
-    assert table.read_as_of(moment=at(10)).count() == 7
-    table.restore(0, at(20))
-    assert table.read().count() == 10
-    assert [tuple(r) for r in table.history().orderBy("version").select("version", "operation").collect()] == [
-        (0, "create"), (1, "delete"), (2, "restore")]
-    with pytest.raises(ValueError):
-        table.read_as_of(moment=at(-1))
-    with pytest.raises(ValueError):
-        table.read(99)
+def test_unknown_condition_is_not_deleted(spark, table):
+    more = chg.insert_rows(table, spark.createDataFrame([(99,)], "ID int"))
+    assert rows(more.filter("id = 99")) == [(99, None, None)]
+    assert rows(chg.delete_rows(more, F.col("price") >= 0), "id") == [(99,)]
+    assert chg.delete_rows(more, F.lit(True)).count() == 0
 
 
-def test_seconds_ago(table):
-    assert table.read_as_of(seconds_ago=1).count() == 10
-    with pytest.raises(ValueError):
-        table.read_as_of(seconds_ago=100 * 365 * 86400)
-
-
-def test_changes_rewrite_only_the_files_concerned(table):
-    before = set(table.files())
-    assert len(before) == 5
-    table.update_where(F.col("id") == 0, {"name": F.lit("zero")})
-    after = set(table.files())
-    assert len(before & after) == 4
-    assert rows(table.read().filter("id = 0")) == [(0, "zero", 0.0)]
-    table.restore(0)
-    assert set(table.files()) == before
-
-
-def test_unknown_condition_is_not_deleted(table):
-    table.insert(table.spark.createDataFrame([(99,)], "id int"))
-    assert rows(table.read().filter("id = 99")) == [(99, None, None)]
-    table.delete_where(F.col("price") >= 0)
-    assert rows(table.read(), "id") == [(99,)]
-    table.delete_where(F.lit(True))
-    assert table.read().count() == 0
-    assert table.read().columns == ["id", "name", "price"]
-    table.delete_where(F.lit(True))
-    table.insert(table.spark.createDataFrame([(1,)], "ID long"))
-    assert rows(table.read()) == [(1, None, None)]
-
-
-def test_insert_refuses_unknown_columns(table):
+def test_insert_refuses_unknown_columns(spark, table):
     with pytest.raises(ValueError, match="colour"):
-        table.insert(table.spark.createDataFrame([(1, "x")], "id int, colour string"))
+        chg.insert_rows(table, spark.createDataFrame([(1, "x")], "id int, colour string"))
 
 
 def test_update_uses_old_values(table):
-    table.update_where(F.col("id") == 2, {"id": F.lit(20), "price": F.col("id") * 100.0})
-    assert rows(table.read().filter("id = 20")) == [(20, "n2", 200.0)]
-
-
-def test_net_changes(table):
-    new = table.spark.createDataFrame([(100, "a", 1.0), (200, "b", 2.0)], "id int, name string, price double")
-    table.insert(new)
-    table.update_where(F.col("id") == 100, {"name": F.lit("A")})
-    table.update_where(F.col("id") == 5, {"name": F.lit("five")})
-    table.delete_where(F.col("id").isin(200, 7))
-    assert rows(table.changes(0, key=["id"])) == sorted([
-        (100, "A", 1.0, "INSERT", False), (5, "n5", 7.5, "DELETE", True), (5, "five", 7.5, "INSERT", True),
+    new = chg.update_rows(table, F.col("id") == 2, {"id": F.lit(20), "price": F.col("id") * 100.0})
+    assert rows(new.filter("id = 20")) == [(20, "n2", 200.0)]
+    assert new.count() == 10
+
+
+def test_net_changes(spark, table):
+    new = chg.insert_rows(table, spark.createDataFrame([(100, "a", 1.0)], DDL))
+    new = chg.update_rows(new, F.col("id").isin(5, 100), {"name": F.lit("A")})
+    new = chg.delete_rows(new, F.col("id") == 7)
+    assert rows(chg.table_changes(table, new, key=["id"])) == sorted([
+        (100, "A", 1.0, "INSERT", False), (5, "n5", 7.5, "DELETE", True), (5, "A", 7.5, "INSERT", True),
         (7, "n7", 10.5, "DELETE", False)], key=str)
-    assert table.changes(0, 0).count() == 0
+    assert chg.table_changes(table, table).count() == 0
 
 
-def test_changes_applied_to_the_old_version_give_the_new(table):
-    table.delete_where(F.col("id") % 2 == 0)
-    table.insert(table.read().limit(2))
-    change = table.changes(0)
-    old = table.read(0)
+def test_changes_applied_to_the_old_state_give_the_new(table):
+    new = chg.delete_rows(table, F.col("id") % 2 == 0)
+    new = new.unionAll(new.filter("id < 4"))
+    change = chg.table_changes(table, new)
     removed, added = (change.filter(F.col("action") == a).drop("action", "is_update") for a in ("DELETE", "INSERT"))
-    assert rows(old.exceptAll(removed).unionAll(added)) == rows(table.read())
+    assert rows(table.exceptAll(removed).unionAll(added)) == rows(new)
 
 
 def test_many_equal_rows_all_show(spark):
     old = spark.range(25_001).select(F.lit("x").alias("v"))
-    got = table_changes(old, old.limit(1))
+    got = chg.table_changes(old, old.limit(1))
     assert got.count() == 25_000
     assert rows(got.distinct()) == [("x", "DELETE", False)]
 
 
-def test_consuming_twice_adds_nothing_and_a_lost_position_repeats_the_batch(table, folder):
+def test_states_of_the_past(table):
+    states = [table.limit(0), table, chg.delete_rows(table, F.col("id") < 3), table]
+    history = None
+    for hour, (old, new) in enumerate(zip(states, states[1:]), 12):
+        step = chg.table_changes(old, new).withColumn("changed_at", F.lit(f"2024-01-01 {hour}:00:00").cast("timestamp"))
+        history = step if history is None else history.unionByName(step)
+
+    def count(clock):
+        return chg.rows_as_of(history, F.lit(f"2024-01-01 {clock}").cast("timestamp")).count()
+
+    assert [count(c) for c in ("11:59:59", "12:00:00", "13:30:00", "14:00:00")] == [0, 10, 7, 10]
+    assert rows(chg.rows_as_of(history, F.lit("2024-01-02").cast("timestamp"))) == rows(table)
+
+
+def test_log_of_changes(spark, table, folder):
     log = folder("log")
-    table.insert(table.spark.createDataFrame([(50,)], "id int"))
-    assert table.consume_changes(log) == 1
-    assert table.consume_changes(log) == 1
-    assert rows(read_change_log(table.spark, log), "id", "action") == [(50, "INSERT")]
-    table.insert(table.spark.createDataFrame([(51,)], "id int"))
-    # As if the job had died after writing its batch: the batch is there, the position is not.
-    table.changes(1, 2).withColumn("until_version", F.lit(2)).write.parquet(f"{log}/batches/since_version=1")
-    assert table.consume_changes(log) == 2
-    assert rows(read_change_log(table.spark, log), "id", "until_version") == [(50, 1), (51, 2)]
-
-
-def test_a_commit_that_dies_leaves_the_table_as_it_was(table, monkeypatch):
-    real = table.spark.createDataFrame
-
-    def fail_on_log(data, schema=None, **kw):
-        if isinstance(schema, str) and "operation" in schema:
-            raise RuntimeError("lost")
-        return real(data, schema, **kw)
-
-    monkeypatch.setattr(table.spark, "createDataFrame", fail_on_log, raising=False)
-    with pytest.raises(RuntimeError):
-        table.delete_where(F.col("id") < 5)
-    monkeypatch.undo()
-    assert table.version() == 0 and table.read().count() == 10
-    assert table.delete_where(F.col("id") < 5) == 1
-    assert table.read().count() == 5
-
-
-def test_guarded_insert(table):
-    spark = table.spark
-    schema = "id int, name string, price double"
-    fresh = spark.createDataFrame([(70, "new", 1.0)], schema)
-    table.guarded_insert(fresh)
-    with pytest.raises(DuplicateRows):
-        table.guarded_insert(fresh)
-    assert table.read().count() == 11
-    with_null = spark.createDataFrame([(71, None, 1.0)], schema)
-    table.guarded_insert(with_null)
-    table.guarded_insert(with_null)
-    assert table.read().filter("id = 71").count() == 2
-    with pytest.raises(DuplicateRows):
-        table.guarded_insert(with_null, null_safe=True)
-    twice = spark.createDataFrame([(72, "t", 1.0)] * 2, schema)
-    with pytest.raises(DuplicateRows):
-        table.guarded_insert(twice)
-    table.guarded_insert(twice, on_duplicate="skip")
-    assert table.read().filter("id = 72").count() == 1
-
-
-def test_clone_parts_ways(table, folder):
-    copy = table.clone(folder("dev"))
-    assert set(copy.files()) == set(table.files())
-    copy.delete_where(F.col("id") > 4)
-    table.insert(table.spark.createDataFrame([(500,)], "id int"))
-    assert copy.read().count() == 5 and table.read().count() == 11
+    states = [table, chg.insert_rows(table, spark.createDataFrame([(50,)], "id int")), table]
+    for position, (old, new) in enumerate(zip(states, states[1:]), 1):
+        chg.changes_to_log(old, new, position).write.mode("append").parquet(log)
+    assert rows(spark.read.parquet(log), "id", "action", "position") == [(50, "DELETE", 2), (50, "INSERT", 1)]
+
+
+def test_guarded_rows(spark, table):
+    fresh = spark.createDataFrame([(70, "new", 1.0)], DDL)
+    assert rows(chg.guarded_rows(fresh, table)) == [(70, "new", 1.0)]
+    more = chg.insert_rows(table, fresh)
+    with pytest.raises(chg.DuplicateRows):
+        chg.guarded_rows(fresh, more)
+    with_null = spark.createDataFrame([(71, None, 1.0)], DDL)
+    more = chg.insert_rows(more, with_null)
+    assert chg.guarded_rows(with_null, more).count() == 1
+    with pytest.raises(chg.DuplicateRows):
+        chg.guarded_rows(with_null, more, null_safe=True)
+    twice = spark.createDataFrame([(72, "t", 1.0)] * 2, DDL)
+    with pytest.raises(chg.DuplicateRows):
+        chg.guarded_rows(twice, more)
+    assert rows(chg.guarded_rows(twice.unionByName(fresh), more, on_duplicate="skip")) == [(72, "t", 1.0)]
     with pytest.raises(ValueError):
-        table.clone(folder("dev"))
-    with pytest.raises(ValueError):
-        VersionedTable.create(table.read(), table.path)
+        chg.guarded_rows(twice, more, on_duplicate="keep")
+
+
+def test_hourly_history(spark):
+    trips = spark.createDataFrame([(8, 1.0, 2.0), (8, 3.0, 4.0)], "pickup_hour int, trip_distance double, total_amount double")
+    for hour in (9, 10):
+        chg.append_hourly_stats(trips, "hourly_history", datetime(2024, 1, 1, hour, tzinfo=timezone.utc))
+    assert rows(spark.table("hourly_history"), "pickup_hour", "total_trips", "avg_trip_distance") == [(8, 2, 2.0)] * 2
+    assert spark.table("hourly_history").select("ts").distinct().count() == 2

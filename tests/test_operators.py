@@ -26,7 +26,9 @@ def test_anomaly_edges(spark):
 def test_stage_filter_edges(spark):
     df = spark.createDataFrame([(0.1, 500.0, 0), (0.1, 500.01, 1), (0.1, 0.0, 1), (0.1, 1.0, 7), (0.0, 1.0, 1), (1.0, 1.0, None)],
                                "trip_distance double, total_amount double, passenger_count int")
-    assert rows(flt.filter_sql(df)) == [(0.1, 500.0, 0)]
+    got = flt.filter_sql(df, "trip_distance > 0 AND total_amount > 0 AND total_amount <= :most AND passenger_count BETWEEN 0 AND :full",
+                         most=500, full=6)
+    assert rows(got) == [(0.1, 500.0, 0)]
 
 
 def test_remove_keeps_unknown(spark):

@@ -48,6 +48,15 @@ def test_silver_arrests_and_codes(spark):
     assert rows(crime.stg_arrests(a), "arrest_id") == [("9",)]
 
 
+def test_a_broken_copy_never_wins(spark):
+    good, bad = "01/07/2024 11:00:00 PM", "soon"
+    crimes = [crime_row(1, Date=bad, Description="A"), crime_row(1, Description="Z")]
+    arrests = [("9", "HX1", bad, "R", "S", "D", "F"), ("9", "HX1", good, "R", "S", "D", "F")]
+    c, a, _ = silver(spark, crimes, arrests)
+    assert rows(c, "crime_datetime", "description") == [(datetime(2024, 1, 7, 14, 5), "Z")]
+    assert rows(crime.stg_arrests(a), "arrest_id") == [("9",)]
+
+
 def test_gold(spark):
     crimes = [crime_row(1), crime_row(2, Arrest=None, IUCR="0110 "), crime_row(3, X_Coordinate=None)]
     arrests = [("9", "HX1", "01/07/2024 11:00:00 PM", "R", "S", "D", "F"), ("7", "HX1", "01/08/2024 11:00:00 PM", "R", "S", "D", "M")]
@@ -93,6 +102,20 @@ def test_whole_crime_run_with_kept_tables(spark, folder):
     assert spark.table("t_silver.silver_arrests").count() == 1
 
 
+def test_second_load_is_appended(spark, folder):
+    codes = [("0110", "Theft", "x", "i", "true")]
+    for load, ids in enumerate(((1, 2), (2, 3))):
+        for name, data, columns in (("crimes", [crime_row(i) for i in ids], CRIME_COLUMNS),
+                                    ("arrests", [(str(i), f"HX{i}", "01/07/2024 11:00:00 PM", "R", "S", "D", "F") for i in ids], list(crime.ARREST_NAMES)),
+                                    ("iucr", codes, ["IUCR", "PRIMARY DESCRIPTION", "SECONDARY DESCRIPTION", "INDEX CODE", "ACTIVE"])):
+            spark.createDataFrame(data, columns).write.option("header", True).csv(folder(f"in{load}", name))
+        crime.load_bronze(spark, *(folder(f"in{load}", n) for n in ("crimes", "arrests", "iucr")), folder("bronze"), datetime(2024, 5, 1, 12 + load))
+        out = crime.run_crime(spark, folder("bronze"), "a_silver", "a_gold", strict=True)
+    assert rows(spark.table("a_silver.silver_crimes").groupBy(F.hour("load_timestamp").alias("h")).count(), "count") == [(1,), (2,)]
+    assert rows(out["fact_crimes"], "crime_id") == [("1",), ("2",), ("3",)]
+    assert rows(out["fact_arrests"], "arrest_id") == [("1",), ("2",), ("3",)]
+
+
 PLAYER_DDL = ("player_id string, club_team_id string, club_name string, league_id string, league_name string, overall string, "
               "potential string, age string, value_eur string, wage_eur string, player_positions string, fifa_update_date string, "
               "height_cm string, weight_kg string, release_clause_eur string, pace string, shooting string, passing string, "
@@ -123,6 +146,16 @@ def test_player_chain(spark):
         assert_clean(quality_report(out, players.PLAYER_CHECKS))
 
 
+def test_violations_stop_a_run(spark, folder):
+    spark.createDataFrame([player(1, "10", "-", "85")], PLAYER_DDL).write.option("header", True).csv(folder("m"))
+    spark.createDataFrame([player(1, "10", "80", "85")], PLAYER_DDL).write.option("header", True).csv(folder("f"))
+    files = {"male_players": folder("m"), "female_players": folder("f")}
+    report = {(r["table"], r["check"]): r["violations"] for r in players.run_players(spark, files, "v_players", strict=False)["checks"].collect()}
+    assert report["int_players", "shared_ids"] == 1
+    with pytest.raises(QualityError, match="shared_ids"):
+        players.run_players(spark, files, "v_players")
+
+
 def test_coach_and_team_types(spark):
     raw = spark.createDataFrame([("7", "1980-02-03", "Ann", "x")], ["coach_id", "dob", "long_name", "nationality_id"])
     assert rows(players.stg_coaches(raw)) == [(7, date(1980, 2, 3), "Ann", None)]
@@ -154,6 +187,29 @@ def test_trip_chain(spark):
     assert_clean(quality_report(out, trip_facts.TRIP_CHECKS))
 
 
+def joins_of(df):
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return [line for line in plan.splitlines() if "Join " in line]
+
+
+def test_trip_facts_read_no_borough(spark):
+    from lakemart.parity import models
+    from lakemart.parity.views import Tables
+
+    m = models.Trips(Tables(spark, "/root/testdata/sf0.001"))
+    assert not any("Outer" in j for j in joins_of(trip_facts.fact_trip_summary_daily(m.trips, m.locations)))
+
+
+def test_key_checks_of_a_table_share_one_grouping(spark):
+    from lakemart.operators.quality import Check
+
+    table = spark.range(5).selectExpr("id AS a", "id % 2 AS b")
+    checks = [Check("t", "unique", "a"), Check("t", "unique", "b"), Check("t", "not_null", "a")]
+    report = quality_report({"t": table}, checks)
+    assert rows(report, "column", "check", "violations") == sorted([("a", "not_null", 0), ("a", "unique", 0), ("b", "unique", 2)], key=str)
+    assert report._jdf.queryExecution().optimizedPlan().toString().count("Range (0, 5") == 2
+
+
 def test_shares_add_up_and_lookups_keep_rows(spark):
     trips = spark.range(200).select(
         (F.col("id") % 7).alias("pu_location_id"), (F.col("id") % 5).alias("do_location_id"), F.lit(1.0).alias("trip_distance"),

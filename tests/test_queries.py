@@ -7,11 +7,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from lakemart.parity import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
           "conversations").split()
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="no test tables here")
 

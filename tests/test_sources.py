@@ -37,6 +37,32 @@ def test_years_globs_and_nested_folders(spark, folder):
     assert len(rows(files.scan_recursive(spark, folder("green"), schema))) == 4
 
 
+def test_columns_and_types_may_differ_between_the_files_of_a_folder(spark, folder):
+    spark.sql("SELECT 1L AS id").write.parquet(folder("2023-01"))
+    spark.sql("SELECT 2L AS id, 5.0D AS fee").write.parquet(folder("2023-02"))
+    spark.sql("SELECT 3L AS id, 7L AS n").write.mode("append").parquet(folder("2023-02"))
+    spark.sql("SELECT 4 AS id, 7.5D AS n").write.mode("append").parquet(folder("2023-01"))
+    target = StructType.fromDDL("id long, fee double, n double")
+    got = files.scan_drifted(spark, [folder("2023-01"), folder("2023-02")], target)
+    assert rows(got) == sorted([(1, None, None), (2, 5.0, None), (3, None, 7.0), (4, None, 7.5)], key=str)
+    groups = files.schema_groups(spark, files.data_files(spark, [folder("2023-01"), folder("2023-02")]))
+    assert len(groups) == 2
+
+
+def test_load_report(spark, folder):
+    put(folder("a.csv"), "id\n1\nx\n")
+    put(folder("b.csv"), "id\n2\n")
+    report = files.load_report(files.scan_csv(spark, [folder("a.csv"), folder("b.csv")]), StructType.fromDDL("id long"))
+    assert rows(report.drop("file")) == [(1, 1, 0), (2, 1, 1)]
+
+
+def test_unreadable_files_are_left_out(spark, folder):
+    spark.range(3).write.parquet(folder("good"))
+    put(folder("good", "part-broken.parquet"), "no parquet at all")
+    read = files.scan_parquet(spark, folder("good"), "id long", ignoreCorruptFiles="true")
+    assert files.bulk_load(read, StructType.fromDDL("id int")).count() == 3
+
+
 def test_drifted_folders_share_scans(spark, folder):
     spark.range(2).selectExpr("cast(id as int) as VendorID", "cast(1 as bigint) as passenger_count").write.parquet(folder("d1"))
     spark.range(2, 3).selectExpr("id as VendorID", "2.0D as passenger_count").write.parquet(folder("d2"))
@@ -78,11 +104,11 @@ def test_listing_and_trimming(spark, folder):
     assert rows(files.trim_text(spark.createDataFrame([(" a ", 1)], ["t", "n"]))) == [("a", 1)]
 
 
-def test_sample_tables(spark, folder):
+def test_whole_files_as_tables(spark, folder):
     put(folder("raw", "coaches.csv"), "coach_id,dob\n" + "".join(f"{i},1980-01-01\n" for i in range(30)))
-    types = files.ingest_sample(spark, [folder("raw", "coaches.csv")], rows=10, database="samples")
+    types = files.ingest_files(spark, [folder("raw", "coaches.csv")], database="samples")
     assert rows(types) == [("coaches", "coach_id", "int"), ("coaches", "dob", "date")]
-    assert files.read_table(spark, "samples.coaches").count() == 10
+    assert files.read_table(spark, "samples.coaches").count() == 30
 
 
 def test_schema_diff(spark):
@@ -94,14 +120,6 @@ def test_schema_diff(spark):
     assert rows(schemas.schema_diff(yellow, other)) == [("RatecodeID", "bigint", "double")]
 
 
-def test_single_file_and_its_limit(spark, folder):
-    wide = spark.range(0, 1000, 1, 8).groupBy((F.col("id") % 10).alias("k")).count()
-    sinks.write_single_file(wide, folder("r"))
-    assert len(spark.read.parquet(folder("r")).inputFiles()) == 1
-    with pytest.raises(ValueError):
-        sinks.write_single_file(wide, folder("r2"), max_rows=9)
-
-
 def test_partitioned_write(spark, folder):
     sinks.write_parquet(spark.range(100).withColumn("year", F.col("id") % 2), folder("p"), partition_by=["year"])
     pruned = spark.read.parquet(folder("p")).filter("year = 1")
@@ -170,15 +188,18 @@ class Recorder:
 
 
 def test_jdbc_options():
-    frame = type("F", (), {"write": Recorder()})()
-    jdbc.write_jdbc(frame, "silver_crimes", "jdbc:postgresql://h/db", "u", "p", mode="append")
+    frame = type("F", (), {"write": Recorder(), "repartition": lambda self, n: self})()
+    jdbc.write_jdbc(frame, "silver_crimes", "jdbc:postgresql://h/db", "u", "p", connections=4, mode="append")
     seen = frame.write.seen
+    assert seen["numPartitions"] == 4
     assert seen["saved"] and seen["mode"] == "append" and seen["dbtable"] == "silver_crimes" and seen["batchsize"] == 10_000
     session_like = type("S", (), {"read": Recorder()})()
     got = jdbc.read_jdbc(session_like, "t", "jdbc:x", "u", "p", partition_column="id", bounds=(0, 9), connections=3)
     assert got["partitionColumn"] == "id" and got["lowerBound"] == 0 and got["numPartitions"] == 3
     with pytest.raises(ValueError):
-        jdbc.read_jdbc(session_like, "t", "jdbc:x", "u", "p", partition_column="id")
+        jdbc.read_jdbc(session_like, "t", "jdbc:x", "u", "p", connections=3, partition_column="id")
+    with pytest.raises(ValueError):
+        jdbc.read_jdbc(session_like, "t", "jdbc:x", "u", "p", connections=3)
 
 
 def test_scratch_folder_follows_the_session(spark):
@@ -186,16 +207,41 @@ def test_scratch_folder_follows_the_session(spark):
 
     class Cluster:
         conf = type("C", (), {"get": staticmethod(lambda key, default=None: default)})
-        sparkContext = type("X", (), {"master": "yarn"})
+        sparkContext = type("X", (), {"master": "yarn", "getCheckpointDir": staticmethod(lambda: None)})
 
-    with pytest.raises(ValueError):
-        session.scratch_path(Cluster, "x")
+    for needs_folder in (lambda: session.scratch_path(Cluster, "x"), lambda: session.own_scratch(Cluster)):
+        with pytest.raises(ValueError):
+            needs_folder()
+
+
+def test_local_sessions_without_a_setting_get_a_folder():
+    given = []
+
+    class Local:
+        conf = type("C", (), {"get": staticmethod(lambda key, default=None: default)})
+        sparkContext = type("X", (), {"master": "local[2]", "applicationId": "app", "setCheckpointDir": staticmethod(given.append),
+                                      "getCheckpointDir": staticmethod(lambda: given[0] if given else None)})
+
+    session.own_scratch(Local)
+    session.own_scratch(Local)
+    assert len(given) == 1 and session.scratch_path(Local, "x").startswith(f"{given[0]}/lakemart/app/x-")
+
+
+def test_dropped_scratch(spark, monkeypatch):
+    root = session._scratch_root(spark)
+    monkeypatch.setattr(session, "_scratch_root", lambda _: f"{root}/dropped")
+    monkeypatch.setattr(session, "_DATABASES", {})
+    name, path = session.scratch_database(spark), session.scratch_path(spark, "rows")
+    spark.range(3).write.saveAsTable(f"{name}.t")
+    spark.range(3).write.parquet(path)
+    session.drop_scratch(spark)
+    assert not spark.catalog.databaseExists(name) and not Path(f"{root}/dropped").exists()
 
 
 def test_shuffle_sizing():
     assert session.shuffle_partitions(0) == 200
     assert session.shuffle_partitions(1 << 40) == 8192
-    assert session.shuffle_partitions(100 << 40) == 100_000
+    assert session.shuffle_partitions(100 << 40) == 819_200
 
 
 def test_zone_report_run_from_drifting_files(spark, folder):
