@@ -115,21 +115,21 @@ def held_out(doc_id: Column) -> Column:
 def fit(docs: DataFrame, sample_texts: int = SAMPLE_TEXTS) -> LanguageModel:
     """A model of the languages in ``lang``, from texts that are not held out and have a letter.
 
-    Each language gives its share of ``sample_texts`` (one at least): the rows with the smallest hashes of doc_id,
-    found without moving a text. Features are made on the executors.
+    Each language gives its share of ``sample_texts`` (one at least): the rows with the smallest hashes of doc_id and
+    text. A bound on the hash, from the language's number of rows, leaves few more than that to be put in order.
+    Features are made on the executors.
     """
     hashed = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))).select(
         F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"),
-        F.xxhash64("doc_id").alias("hash"))
-    languages = hashed.select("lang").distinct()
-    each = max(1, sample_texts // max(1, languages.count()))
+        F.xxhash64("doc_id", "text").alias("hash"))
+    counts = stored(hashed.groupBy("lang").agg(F.count("*").alias("rows"), F.min("hash").alias("first")),
+                    "language-counts")
+    each = max(1, sample_texts // max(1, counts.count()))
+    share = F.least(F.lit(1.0), F.lit(each + 5 * each**0.5 + 5) / F.col("rows"))
+    bound = F.greatest(F.col("first"), ((share - 0.5) * 2.0**64).cast("long"))
+    near = hashed.join(counts.select("lang", bound.alias("bound")), "lang").where("hash <= bound")
     by_hash = Window.partitionBy("lang").orderBy("hash")
-    last = (hashed.select("lang", "hash", F.row_number().over(by_hash).alias("k")).where(F.col("k") <= each)
-            .groupBy("lang").agg(F.max("hash").alias("last")))
-    # Rows without an id share a hash: the text's hash decides among them.
-    near = hashed.join(stored(last, "language-sample"), "lang").where(F.col("hash") <= F.col("last"))
-    ties = Window.partitionBy("lang").orderBy("hash", F.xxhash64("text"))
-    sample = near.withColumn("k", F.row_number().over(ties)).where(F.col("k") <= each).select("lang", "text")
+    sample = near.withColumn("k", F.row_number().over(by_hash)).where(F.col("k") <= each).select("lang", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
