@@ -81,6 +81,27 @@ def anchors(grams: np.ndarray, choice: int = CHOICE) -> np.ndarray:
     return np.unique(np.concatenate(found))
 
 
+def band_keys(grams: np.ndarray, start: np.ndarray, stop: np.ndarray, bands: int) -> np.ndarray:
+    """MinHash keys of stretches of shingle hashes, a row per stretch and a column per band.
+
+    The hashes are well mixed, so an exclusive or and an odd factor give another order each time.
+    """
+    if not len(start):
+        return np.zeros((0, bands), np.uint64)
+    edges = np.stack([start, stop], axis=1).ravel()
+    edges = edges[:-1] if edges[-1] >= len(grams) else edges
+    number = np.arange(1, bands * BAND_ROWS + 1, dtype=np.uint64)
+    seed, factor = mix(number), mix(~number) | np.uint64(1)
+    step = max(1, (1 << 20) // len(grams))
+    least = np.concatenate([
+        np.minimum.reduceat((grams ^ seed[k:k + step, None]) * factor[k:k + step, None], edges, axis=1)[:, ::2]
+        for k in range(0, len(number), step)])
+    key = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64)[:, None], (bands, len(start)))
+    for row in range(BAND_ROWS):
+        key = mix(key * np.uint64(0x9E3779B97F4A7C15) + least[row::BAND_ROWS])
+    return np.ascontiguousarray(key.T)
+
+
 def units(text: str, bands: int) -> tuple[np.ndarray, ...] | None:
     """kind, start, stop (code points), words, two content hashes and band keys of a text's lines and windows."""
     data = text.encode().lower()
@@ -106,16 +127,7 @@ def units(text: str, bands: int) -> tuple[np.ndarray, ...] | None:
     stop = np.append(start[1:], n)
     long = stop - start >= PARAGRAPH_WORDS
     start, stop = start[long], stop[long]
-    keys = np.zeros((len(start), bands), np.uint64)
-    if len(start):
-        edges = np.stack([start, stop - SHINGLE + 1], axis=1).ravel()
-        edges = edges[:-1] if edges[-1] >= len(grams) else edges
-        for band in range(bands):
-            key = np.full(len(start), band + 1, np.uint64)
-            for row in range(BAND_ROWS):
-                seed = np.uint64((2 * (band * BAND_ROWS + row) + 1) * 0xA0761D6478BD642F & 0xFFFFFFFFFFFFFFFF)
-                key = mix(key * np.uint64(0x9E3779B97F4A7C15) + np.minimum.reduceat(mix(grams ^ seed), edges)[::2])
-            keys[:, band] = key
+    keys = band_keys(grams, start, stop - SHINGLE + 1, bands)
 
     at = anchors(grams)
     at = at[at + WINDOW_WORDS <= n]
