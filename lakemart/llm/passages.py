@@ -22,8 +22,8 @@ from lakemart.llm.common import cut, stored
 from lakemart.llm.components import connected_components
 
 SHINGLE, THRESHOLD = 5, 0.8
-#: Words of a line that is compared as a paragraph.
-PARAGRAPH_WORDS = 12
+#: Words of a line that is compared as a paragraph; shorter ones are as often licence lines and phrases as copies.
+PARAGRAPH_WORDS = 20
 #: Words of a window, and shingles among which the smallest hash chooses where one starts.
 WINDOW_WORDS, CHOICE = 20, 30
 SURE_WORDS = WINDOW_WORDS + CHOICE - 1
