@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lakemart.llm import chat, language, mixing, packing, passages, pii, quality, sharding, simhash, vectors
 from lakemart.llm.common import documents, share_code
+from lakemart.session import own_scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -17,6 +18,7 @@ SQL: dict[str, str] = {}
 def query(name: str, sql: str | None = None):
     def add(fn: Callable[[SparkSession, str], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            own_scratch(spark)
             share_code(spark)
             return fn(spark, sf_dir)
 
