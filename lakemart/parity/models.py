@@ -461,11 +461,15 @@ TIME = "strftime({0}, '%Y-%m-%d %H:%M:%S') AS {0}".format
 
 
 class Crimes:
-    """The crime models, each built when asked for."""
+    """The crime models, each built when asked for; those that several others read are kept."""
 
     def __init__(self, t: Tables):
         self.t = t
 
+    @cached_property
+    def keep(self):
+        return keep_tables(scratch_database(self.t.spark))
+
     @cached_property
     def codes(self) -> DataFrame:
         return crime.stg_ucr_codes(crime.silver_ucr_codes(self.t.codes_raw()))
@@ -474,13 +478,21 @@ class Crimes:
     def crimes(self) -> DataFrame:
         return crime.stg_crimes(crime.silver_crimes(self.t.crimes_raw()), self.codes)
 
+    @cached_property
+    def kept_crimes(self) -> DataFrame:
+        return self.keep("stg_crimes", self.crimes)
+
     @cached_property
     def arrests(self) -> DataFrame:
         return crime.stg_arrests(crime.silver_arrests(self.t.arrests_raw()))
 
     @cached_property
     def places(self) -> DataFrame:
-        return crime.dim_location(self.crimes)
+        return crime.dim_location(self.kept_crimes)
+
+    @cached_property
+    def kept_places(self) -> DataFrame:
+        return self.keep("dim_location", self.places)
 
     @cached_property
     def types(self) -> DataFrame:
@@ -488,7 +500,11 @@ class Crimes:
 
     @cached_property
     def facts(self) -> DataFrame:
-        return crime.fact_crimes(self.crimes, self.places, self.types)
+        return crime.fact_crimes(self.kept_crimes, self.kept_places, self.types)
+
+    @cached_property
+    def kept_facts(self) -> DataFrame:
+        return self.keep("fact_crimes", self.facts)
 
 
 @query("silver_crimes", f"SELECT * REPLACE ({TIME('crime_datetime')}) FROM silver_crimes")
@@ -539,7 +555,7 @@ def _(t: Tables):
 @query("fact_arrests", f"SELECT * REPLACE ({TIME('arrest_date')}) FROM fact_arrests")
 def _(t: Tables):
     m = Crimes(t)
-    return crime.fact_arrests(m.arrests, m.facts, m.types)
+    return crime.fact_arrests(m.arrests, m.kept_facts, m.types)
 
 
 DAILY_SQL = f"""SELECT {DAY('crime_date')}, primary_type, district_id, community_area_id, count(*) AS total_crimes,
@@ -551,7 +567,7 @@ DAILY_SQL = f"""SELECT {DAY('crime_date')}, primary_type, district_id, community
 @query("agg_daily_crimes", DAILY_SQL)
 def _(t: Tables):
     m = Crimes(t)
-    return crime.agg_daily_crimes(m.facts, m.places)
+    return crime.agg_daily_crimes(m.kept_facts, m.kept_places)
 
 
 CHARGES = "(charge_one_type IN ('felony', 'misdemeanor', 'other'))"

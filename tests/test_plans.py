@@ -200,6 +200,14 @@ def test_trip_facts_read_no_borough(spark):
     assert not any("Outer" in j for j in joins_of(trip_facts.fact_trip_summary_daily(m.trips, m.locations)))
 
 
+def test_arrest_facts_read_each_table_once(spark):
+    from lakemart.parity import QUERIES
+
+    plan = QUERIES["fact_arrests"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("fact_crimes") <= 2 and "orders" not in plan
+    assert len([line for line in plan.splitlines() if "Relation" in line]) == 3
+
+
 def test_key_checks_of_a_table_share_one_grouping(spark):
     from lakemart.operators.quality import Check
 
