@@ -75,7 +75,7 @@ def format_chat(turns: DataFrame, parts: str | None = None, trained_role: str =
     head = F.concat(F.lit(TURN), escape(F.col("role")), F.lit(TEXT))
     row = turns.select("conv_id", F.col("turn").cast("long").alias("turn"), role.alias("role"),
                        F.coalesce(content, F.lit("")).alias("body"), attachments.alias("attachments"))
-    row = row.select("conv_id", F.floor(F.coalesce("turn", F.lit(0)) / CHUNK).alias("chunk"), F.struct(
+    row = row.select("conv_id", F.floor(F.col("turn") / CHUNK).alias("chunk"), F.struct(
         "turn", "role", "body", head.alias("head"), "attachments").alias("r"))
     chunks = (row.groupBy("conv_id", "chunk").agg(F.sort_array(F.collect_list("r")).alias("pieces"))
               .select("conv_id", F.struct(

@@ -138,7 +138,8 @@ def bucket_edges(nodes: DataFrame, count: int, first_table: int, tables: int, th
             yield pa.RecordBatch.from_arrays(
                 [batch["node"], batch["vector"], pa.array(list(keys), pa.list_(pa.int64()))], ["node", "vector", "keys"])
 
-    signed = nodes.select("node", "vector").mapInArrow(sign, "node long, vector array<double>, keys array<long>")
+    kind = nodes.schema["vector"].dataType.simpleString()
+    signed = nodes.select("node", "vector").mapInArrow(sign, f"node long, vector {kind}, keys array<long>")
     keyed = cut(signed).select("node", "vector", F.explode("keys").alias("key"))
     large = cut(keyed.groupBy("key").agg(F.ceil(F.count("*") / F.lit(PART)).cast("int").alias("parts"))
                 .where("parts > 1"))
@@ -266,7 +267,9 @@ def linked_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "e
     Tables are added until the audit finds ``recall`` or ``max_tables`` are made. Within a component all links are
     found, so a link can only be lost between components.
     """
-    vector = F.col(f"`{vector_col}`").cast("array<double>")
+    # Floats are moved as they are, half the size of doubles; cosines are computed in doubles.
+    floats = rows.schema[vector_col].dataType.simpleString() == "array<float>"
+    vector = F.col(f"`{vector_col}`").cast("array<float>" if floats else "array<double>")
     base = cut(rows.select(F.col(f"`{id_col}`").alias("id"), vector.alias("vector"), F.monotonically_increasing_id()
                            .alias("uid")).withColumn("usable", usable(F.col("vector"))))
     nodes = cut(base.where("usable").groupBy("vector").agg(
