@@ -106,7 +106,8 @@ def mix(docs: DataFrame, levels: list[str], weights: Mapping[str, int] | None =
     cuts = stored(keyed.join(last, [leaf, "bucket"])
                   .withColumn("ahead", F.col("before") + F.coalesce(inside, F.lit(0))).where("ahead < rest")
                   .groupBy(leaf).agg(F.max("key").alias("last_key")), "mix-cuts")
-    plan = budgets.join(cuts, leaf, "left").select(leaf, "epochs", "last_key")
+    # Written so that its size is known: the rows meet it without a shuffle as long as it is small.
+    plan = stored(budgets.join(cuts, leaf, "left").select(leaf, "epochs", "last_key"), "mix-plan")
     times = F.col("epochs") + F.when(key <= F.col("last_key"), 1).otherwise(0)
     epochs = F.when(F.col("times") > 0, F.sequence(F.lit(0), F.col("times") - 1)).otherwise(F.array().cast("array<int>"))
     taken = row.join(plan, leaf).withColumn("times", times).select("row", F.explode(epochs).alias("epoch"))
