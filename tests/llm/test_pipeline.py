@@ -1,0 +1,78 @@
+"""The pipeline's stages against plain versions, each on its own input."""
+
+import pytest
+
+import corpus_pipeline
+from lakemart.llm import quality
+from lakemart.llm.queries import MIX_EPOCHS, MIX_SEED, MIX_SHARE, MIX_WEIGHTS, with_domain
+from tests.llm.helpers import SF, empty, odd
+from tests.llm.test_mixing import plain as plain_mix
+from tests.llm.test_packing import check as check_packing
+from tests.llm.test_packing import tokenizer  # noqa: F401
+from tests.llm.test_pii import base_spans
+from tests.llm.test_simhash import plain_groups
+
+
+@pytest.fixture(scope="module")
+def stages(spark, tmp_path_factory):
+    """Input and output of every stage, as the driver runs them."""
+    root, docs, out = tmp_path_factory.mktemp("stages"), spark.read.parquet(f"{SF}/documents.parquet"), []
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, docs, SF).write.parquet(f"{root}/{k}")
+        after = spark.read.parquet(f"{root}/{k}")
+        out.append((docs, after))
+        docs = after
+    return out
+
+
+def test_columns(stages):
+    assert len(stages) == 5
+    assert all(before.columns == after.columns for before, after in stages[:-1])
+
+
+def test_quality_stage(stages):
+    before, after = stages[0]
+    kept = {r["doc_id"] for r in quality.quality_report(before).where("kept").collect()}
+    assert sorted(r["doc_id"] for r in after.collect()) == sorted(kept)
+    assert sorted(after.collect()) == sorted(r for r in before.collect() if r["doc_id"] in kept)
+
+
+def test_near_dedup_stage(stages):
+    before, after = stages[1]
+    groups = plain_groups([(r["doc_id"], r["text"]) for r in before.collect()])
+    assert sorted(r["doc_id"] for r in after.collect()) == sorted({g for _, _, g in groups})
+
+
+def test_personal_data_stage(stages):
+    before, after = stages[2]
+    assert sorted(r["doc_id"] for r in after.collect()) == sorted(r["doc_id"] for r in before.collect())
+    texts = {r["doc_id"]: r["text"] for r in before.collect()}
+    assert any(base_spans(t) for t in texts.values())
+    for r in after.collect():
+        assert not base_spans(r["text"]) and r["n_chars"] == len(r["text"])
+        assert base_spans(texts[r["doc_id"]]) or "[IBAN]" in r["text"] or "[PHONE_LOCAL]" in r["text"] or r["text"] == texts[r["doc_id"]]
+
+
+def test_mixing_stage(stages):
+    before, after = stages[3]
+    rows = [(r["doc_id"], (r["domain"], r["lang"], r["source"]), (len(r["text"].encode()) + 3) // 4 + 1)
+            for r in with_domain(before).collect()]
+    expected = plain_mix(rows, MIX_WEIGHTS, MIX_SHARE, MIX_EPOCHS, MIX_SEED)
+    assert sorted(r["doc_id"] for r in after.collect()) == sorted(i for i, _ in expected)
+
+
+def test_packing_stage(stages, tokenizer):  # noqa: F811
+    before, after = stages[4]
+    check_packing(after.collect(), [(r["doc_id"], r["text"]) for r in before.collect()], tokenizer)
+
+
+def test_whole_run(spark, stages):
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    got = corpus_pipeline.run(spark, SF).select(*columns)
+    assert sorted(got.collect()) == sorted(stages[-1][1].select(*columns).collect())
+
+
+def test_stages_take_any_input(spark):
+    for _, stage in corpus_pipeline.STAGES:
+        for docs in (odd(spark), empty(spark)):
+            assert stage(spark, docs, SF).count() <= 2 * docs.count() + 100
