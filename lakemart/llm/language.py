@@ -95,12 +95,11 @@ def train(x: np.ndarray, languages: list[str], seed: int = 7, rounds: int = 150,
     row = np.array([names.index(v) for v in languages], int)
     target = code[row]
     weight = (1 / np.bincount(row, minlength=len(names))[row])[:, None] / max(1, len(names))
-    x = np.hstack([x, np.ones((len(x), 1), np.float32)])
-    w = np.zeros((x.shape[1], code.shape[1]), np.float32)
+    w = np.zeros((x.shape[1] + 1, code.shape[1]), np.float32)
     first, second = np.zeros_like(w), np.zeros_like(w)
     for t in range(1, rounds + 1 if len(names) > 1 else 1):
-        z = target * (x @ w)
-        gradient = x.T @ (-target * weight / (1 + np.exp(z))).astype(np.float32) + decay * w
+        pull = (-target * weight / (1 + np.exp(target * (x @ w[:-1] + w[-1])))).astype(np.float32)
+        gradient = np.vstack([x.T @ pull, pull.sum(axis=0)]) + decay * w
         first += 0.1 * (gradient - first)
         second += 0.001 * (gradient**2 - second)
         w -= 0.5 * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.999**t)) + 1e-8)
@@ -139,9 +138,11 @@ def fit(docs: DataFrame, sample_texts: int = SAMPLE_TEXTS) -> LanguageModel:
                                               pa.array([r[1] for r in rows], pa.binary())], ["lang", "features"])
 
     rows = sample.mapInArrow(run, "lang string, features binary").collect()
-    rows.sort(key=lambda r: (r["lang"], bytes(r["features"])))
-    x = np.frombuffer(b"".join(bytes(r["features"]) for r in rows), np.float32).reshape(-1, BUCKETS)
-    return train(x, [r["lang"] for r in rows])
+    rows.sort(key=lambda r: (r["lang"], r["features"]))
+    x, names = np.empty((len(rows), BUCKETS), np.float32), [r["lang"] for r in rows]
+    for k in range(len(rows) - 1, -1, -1):
+        x[k] = np.frombuffer(rows.pop()["features"], np.float32)
+    return train(x, names)
 
 
 def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:

@@ -90,7 +90,7 @@ STATS = StructType([*(StructField(c, LongType()) for c in COUNTS), StructField("
 @F.arrow_udf(STATS)
 def _measured(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for texts in batches:
-        columns = list(zip(*(measure(t) for t in texts.to_pylist()), strict=True)) or [[]] * (len(COUNTS) + 1)
+        columns = list(zip(*(measure(t.as_py()) for t in texts), strict=True)) or [[]] * (len(COUNTS) + 1)
         yield pa.StructArray.from_arrays(
             [pa.array(c, pa.string() if k == len(COUNTS) else pa.int64()) for k, c in enumerate(columns)],
             names=[*COUNTS, "votes"])
