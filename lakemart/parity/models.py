@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime, timezone
-from functools import cached_property
+from functools import cached_property, wraps
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +20,21 @@ from lakemart.session import scratch_database, scratch_path
 from lakemart.sources.files import scan_csv
 from lakemart.sources.sinks import keep_tables
 
+_RUNS: dict[tuple, dict[str, DataFrame]] = {}
+
+
+def one_run(build):
+    """A run from files whose tables several queries read: made once for a session and a folder of tables."""
+    @wraps(build)
+    def tables(t: Tables) -> dict[str, DataFrame]:
+        key = (t.spark.sparkContext.applicationId, t.sf_dir, build.__name__)
+        if key not in _RUNS:
+            _RUNS[key] = build(t)
+        return _RUNS[key]
+
+    return tables
+
+
 # --- zone reports -----------------------------------------------------------------------------
 
 
@@ -103,6 +118,7 @@ def _(t: Tables):
                        "pickup_zone", "dropoff_zone", "fee", "taxi_color", "total_amount")
 
 
+@one_run
 def _warehouse(t: Tables) -> dict[str, DataFrame]:
     """Two runs over files; the second one finds the zones as they were and no trip of the first order."""
     root, layer = raw_taxi_files(t), scratch_database(t.spark)
@@ -279,6 +295,7 @@ RUN_TRIPS_SQL = TRIPS_SQL.replace("trip_copies t", "trips t").replace(
     "order_key, part_key, copy)", ", ".join(f"{c} NULLS FIRST" for c in FILE_ORDER) + ")")
 
 
+@one_run
 def _trip_run(t: Tables) -> dict[str, DataFrame]:
     root = raw_taxi_files(t)
     return trip_facts.run_trip_facts(t.spark, [f"{root}/yellow"], [f"{root}/green"], f"{root}/zones", scratch_database(t.spark),
@@ -408,6 +425,7 @@ PLAYER_CHECKS_SQL = _violations(*[line for g, source in PLAYER_SOURCES for line
     "UNION ALL SELECT player_id FROM female_latest) GROUP BY 1 HAVING count(*) > 1)")
 
 
+@one_run
 def _player_run(t: Tables) -> dict[str, DataFrame]:
     """From files; teams and coaches are suppliers and customers under other names."""
     root = scratch_path(t.spark, "players")
@@ -599,6 +617,7 @@ def _(t: Tables):
     return quality_report(crime.gold_tables(*silver, keep), crime.CRIME_CHECKS)
 
 
+@one_run
 def _crime_run(t: Tables) -> dict[str, DataFrame]:
     """Two loads, each followed by a run: first the even ids of crimes and arrests, then the odd ones with the even again."""
     raw, out = raw_crime_files(t), scratch_path(t.spark, "bronze")
