@@ -43,7 +43,7 @@ def test_control_strings_and_nulls(spark):
 
 
 @given(st.lists(st.text(st.sampled_from("<|\\turnextd>a😀\n$1"), max_size=25), min_size=1, max_size=8))
-@settings(max_examples=15, deadline=None)
+@settings(max_examples=6, deadline=None)
 def test_round_trip(spark, texts):
     rows = [(k % 2, k, ("assistant", "user", "<|")[k % 3], t) for k, t in enumerate(texts)]
     assert reported(spark.createDataFrame(rows, TURNS)) == expected(rows)

@@ -137,7 +137,7 @@ def test_empty(spark):
 
 
 @given(st.lists(st.tuples(st.integers(-5, 12), st.integers(-5, 12)), max_size=25))
-@settings(max_examples=8, deadline=None)
+@settings(max_examples=4, deadline=None)
 def test_components(spark, edges):
     frame = spark.createDataFrame(edges, "a long, b long")
     nodes = {n for a, b in edges if a != b for n in (a, b)}
