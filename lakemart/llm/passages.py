@@ -1,9 +1,9 @@
 """Repeated passages: near-equal paragraphs by MinHash bands, and equal runs of words wherever they stand.
 
-Paragraphs are lines. Their signatures are banded, paragraphs that meet in a band are compared by exact Jaccard
-similarity of their word shingles, and linked ones form components of which one member stays. As a passage may also
-begin or end within a line, word windows that start at content-chosen places are compared for equality; any run of
-SURE_WORDS words that two texts share holds at least one such window in common.
+Paragraphs are lines. Their signatures are banded, lines that meet in a band are compared by exact Jaccard similarity of
+their word shingles, and linked ones form components of which one member stays. As a passage may also begin or end within a line, word windows that start at
+content-chosen places are compared for equality; any run of SURE_WORDS words that two texts share holds at least one
+such window in common.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from lakemart.llm.common import cut, stored
 from lakemart.llm.components import connected_components
 
 SHINGLE, THRESHOLD = 5, 0.8
-#: Words of a line that is compared as a paragraph; shorter ones are as often licence lines and phrases as copies.
+#: Words of the shortest line and text that are compared if a call names no others; the registered query takes all.
 PARAGRAPH_WORDS = 20
 #: Words of a window, and shingles among which the smallest hash chooses where one starts.
 WINDOW_WORDS, CHOICE = 20, 30
@@ -102,12 +102,12 @@ def band_keys(grams: np.ndarray, start: np.ndarray, stop: np.ndarray, bands: int
     return np.ascontiguousarray(key.T)
 
 
-def units(text: str, bands: int) -> tuple[np.ndarray, ...] | None:
+def units(text: str, bands: int, shortest: int) -> tuple[np.ndarray, ...] | None:
     """kind, start, stop (code points), words, two content hashes and band keys of a text's lines and windows."""
     data = text.encode().lower()
     words = data.split()
     n = len(words)
-    if n < PARAGRAPH_WORDS:
+    if n < max(1, shortest):
         return None
     raw = np.frombuffer(data, np.uint8)
     space = SPACE[raw]
@@ -119,13 +119,13 @@ def units(text: str, bands: int) -> tuple[np.ndarray, ...] | None:
         points = np.cumsum((raw & 0xC0) != 0x80)
         begin, end = points[first] - 1, points[last]
     run = Runs(np.fromiter(map(xxh64_intdigest, words), np.uint64, n))
-    place = np.arange(n - SHINGLE + 1)
+    place = np.arange(max(0, n - SHINGLE + 1))
     grams = run(place, place + SHINGLE)
 
     line = np.cumsum(raw == 10)[first]
     start = np.concatenate([[0], np.flatnonzero(line[1:] != line[:-1]) + 1])
     stop = np.append(start[1:], n)
-    long = stop - start >= PARAGRAPH_WORDS
+    long = stop - start >= max(SHINGLE, shortest)
     start, stop = start[long], stop[long]
     keys = band_keys(grams, start, stop - SHINGLE + 1, bands)
 
@@ -139,13 +139,13 @@ def units(text: str, bands: int) -> tuple[np.ndarray, ...] | None:
 UNITS = "doc_id long, text_hash long, kind int, start long, stop long, words long, c1 long, c2 int, bands array<long>"
 
 
-def text_units(docs: DataFrame, bands: int) -> DataFrame:
+def text_units(docs: DataFrame, bands: int, shortest: int) -> DataFrame:
     """All lines and windows of all texts, with a number ``uid``; written once to the shared folder."""
     names = ("kind", "start", "stop", "words")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [(k, u) for k, t in enumerate(batch["text"]) if (u := units(t.as_py() or "", bands)) is not None]
+            found = [(k, u) for k, t in enumerate(batch["text"]) if (u := units(t.as_py() or "", bands, shortest)) is not None]
             if not found:
                 continue
             row = pa.array(np.concatenate([np.full(len(u[0]), k) for k, u in found]))
@@ -248,19 +248,19 @@ def _near_lines(docs: DataFrame, lines: DataFrame, threshold: float, band_limit:
 
 
 def repeated_passages(docs: DataFrame, threshold: float = THRESHOLD, recall: float = 0.999,
-                      band_limit: int = BAND_LIMIT) -> DataFrame:
+                      band_limit: int = BAND_LIMIT, shortest: int = PARAGRAPH_WORDS) -> DataFrame:
     """One row per repeated unit: doc_id, kind, start, stop, words, component_id, removed.
 
-    ``kind``: "line" (of PARAGRAPH_WORDS words or more, in a component of lines with a Jaccard similarity of
-    ``threshold`` or more of their 5-word shingles) or "window" (of WINDOW_WORDS words, equal to another one). Places
-    are code points; case of A-Z and the kind of white space do not count. Of each component, the unit with the smallest
+    ``kind``: "line" (of ``shortest`` words or more and one shingle at least, in a component of lines with a Jaccard
+    similarity of ``threshold`` or more of their 5-word shingles), or "window" (of WINDOW_WORDS words, equal to another
+    one). Places are code points; case of A-Z and the kind of white space do not count. Of each component, the unit with the smallest
     doc_id, then place, stays and the others are to be removed. Two texts that share SURE_WORDS words in a row always
     show at least one common window.
 
-    Null, empty and short texts have no units. Repeated rows and repeats within one text count as repeats. Texts are
+    Null and empty texts and those of fewer than ``shortest`` words have no units; 1 leaves no text out. Repeated rows and repeats within one text count as repeats. Texts are
     read whole; columns other than doc_id and text are not read; an empty table gives no rows.
     """
-    all_units = text_units(docs, band_count(threshold, BAND_ROWS, recall))
+    all_units = text_units(docs, band_count(threshold, BAND_ROWS, recall), shortest)
     lines = all_units.where(F.col("kind") == LINE)
     linked = stored(_near_lines(docs, lines, threshold, band_limit), "passage-links")
     repeated = (all_units.groupBy("kind", "c1", "c2").agg(F.count("*").alias("n"), F.min("uid").alias("node"))

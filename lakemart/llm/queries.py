@@ -66,7 +66,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op7_paragraph_dedup")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return passages.repeated_passages(documents(spark, sf_dir))
+    return passages.repeated_passages(documents(spark, sf_dir), shortest=1)
 
 
 #: conversation -1, whose texts hold another template's control strings.

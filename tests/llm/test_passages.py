@@ -7,6 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lakemart.llm import passages
+from lakemart.llm.queries import QUERIES
 from tests.llm.helpers import SF, clashing, empty, odd
 from tests.llm.test_simhash import plain_components
 
@@ -95,6 +96,19 @@ def test_near_copies_of_a_paragraph(spark):
         same_partition(found_lines(dict(enumerate(texts)), rows), plain_lines(dict(enumerate(texts))))
 
 
+def test_query_compares_short_lines(spark, folder):
+    wrapped = [words(12) for _ in range(6)]
+    line = words(19)
+    texts = [f"{words(15)}\n{line}", f"{words(3)}\n{line} end", *["\n".join(wrapped[:2])] * 2,
+             "\n".join([words(14), *wrapped[2:], words(14)]), "\n".join([words(13), *wrapped[2:], words(13)]),
+             "two words", "Two  WORDS", "alone", f"{words(11)}\n{words(12)}", "", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(folder("documents.parquet"))
+    rows = QUERIES["op7_paragraph_dedup"](spark, folder()).collect()
+    lines = {(r["doc_id"], texts[r["doc_id"]][r["start"]:r["stop"]]) for r in rows if r["kind"] == "line"}
+    assert lines == {(0, line), (1, f"{line} end"), *((k, w) for k in (2, 3) for w in wrapped[:2]),
+                     *((k, w) for k in (4, 5) for w in wrapped[2:])}
+
+
 def test_odd_rows_and_empty_tables(spark):
     rows = passages.repeated_passages(clashing(odd(spark))).collect()
     assert {r["doc_id"] for r in rows} == {9}
