@@ -1,7 +1,8 @@
 """Repeated passages: near-equal paragraphs by MinHash bands, and equal runs of words wherever they stand.
 
 Paragraphs are lines. Their signatures are banded, lines that meet in a band are compared by exact Jaccard similarity of
-their word shingles, and linked ones form components of which one member stays. As a passage may also begin or end within a line, word windows that start at
+their word shingles, and linked ones form components of which one member stays. Whole texts are compared for equality,
+so copies of any length meet. As a passage may also begin or end within a line, word windows that start at
 content-chosen places are compared for equality; any run of SURE_WORDS words that two texts share holds at least one
 such window in common.
 """
@@ -29,7 +30,7 @@ WINDOW_WORDS, CHOICE = 20, 30
 SURE_WORDS = WINDOW_WORDS + CHOICE - 1
 #: Rows of a band, and paragraphs of a band that meet in one task; larger bands go to tasks by pairs of their parts.
 BAND_ROWS, BAND_LIMIT = 2, 2048
-LINE, WINDOW = 0, 1
+LINE, WINDOW, TEXT = 0, 1, 2
 
 SPACE = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
 #: Odd factors of the running hashes, with their inverses modulo 2^64.
@@ -103,7 +104,8 @@ def band_keys(grams: np.ndarray, start: np.ndarray, stop: np.ndarray, bands: int
 
 
 def units(text: str, bands: int, shortest: int) -> tuple[np.ndarray, ...] | None:
-    """kind, start, stop (code points), words, two content hashes and band keys of a text's lines and windows."""
+    """kind, start, stop (code points), words, two content hashes and band keys of a text's lines and windows and of
+    the text itself."""
     data = text.encode().lower()
     words = data.split()
     n = len(words)
@@ -129,10 +131,10 @@ def units(text: str, bands: int, shortest: int) -> tuple[np.ndarray, ...] | None
     start, stop = start[long], stop[long]
     keys = band_keys(grams, start, stop - SHINGLE + 1, bands)
 
-    at = anchors(grams)
-    at = at[at + WINDOW_WORDS <= n]
-    start, stop = np.concatenate([start, at]), np.concatenate([stop, at + WINDOW_WORDS])
-    kind = np.repeat([LINE, WINDOW], [len(keys), len(at)])
+    # A window that would leave the text is moved back to its last words.
+    at = np.unique(np.minimum(anchors(grams), n - WINDOW_WORDS)) if n >= WINDOW_WORDS else place[:0]
+    start, stop = np.concatenate([start, at, [0]]), np.concatenate([stop, at + WINDOW_WORDS, [n]])
+    kind = np.repeat([LINE, WINDOW, TEXT], [len(keys), len(at), 1])
     return kind, begin[start], end[stop - 1], stop - start, run(start, stop), run(start, stop, 1), keys
 
 
@@ -140,12 +142,13 @@ UNITS = "doc_id long, text_hash long, kind int, start long, stop long, words lon
 
 
 def text_units(docs: DataFrame, bands: int, shortest: int) -> DataFrame:
-    """All lines and windows of all texts, with a number ``uid``; written once to the shared folder."""
+    """All lines and windows of all texts and the texts, with a number ``uid``; written once to the shared folder."""
     names = ("kind", "start", "stop", "words")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [(k, u) for k, t in enumerate(batch["text"]) if (u := units(t.as_py() or "", bands, shortest)) is not None]
+            every = ((k, units(t.as_py() or "", bands, shortest)) for k, t in enumerate(batch["text"]))
+            found = [(k, u) for k, u in every if u is not None]
             if not found:
                 continue
             row = pa.array(np.concatenate([np.full(len(u[0]), k) for k, u in found]))
@@ -252,13 +255,14 @@ def repeated_passages(docs: DataFrame, threshold: float = THRESHOLD, recall: flo
     """One row per repeated unit: doc_id, kind, start, stop, words, component_id, removed.
 
     ``kind``: "line" (of ``shortest`` words or more and one shingle at least, in a component of lines with a Jaccard
-    similarity of ``threshold`` or more of their 5-word shingles), or "window" (of WINDOW_WORDS words, equal to another
-    one). Places are code points; case of A-Z and the kind of white space do not count. Of each component, the unit with the smallest
-    doc_id, then place, stays and the others are to be removed. Two texts that share SURE_WORDS words in a row always
-    show at least one common window.
-
-    Null and empty texts and those of fewer than ``shortest`` words have no units; 1 leaves no text out. Repeated rows and repeats within one text count as repeats. Texts are
-    read whole; columns other than doc_id and text are not read; an empty table gives no rows.
+    similarity of ``threshold`` or more of their 5-word shingles), "window" (of WINDOW_WORDS words, equal to another
+    one) or "text" (a whole text of ``shortest`` words or more, equal to another one). Places are code
+    points; case of A-Z and the kind of white space do not count. Of each component, the unit with the smallest doc_id,
+    then place, stays and the others are to be removed. Two texts that share SURE_WORDS words in a row always show at
+    least one common window, and equal texts always meet as texts.
+
+    Null and empty texts and those of fewer than ``shortest`` words have no units; 1 leaves no text out.
+    Repeated rows and repeats within one text count as repeats. Texts are read whole; columns other than doc_id and text are not read; an empty table gives no rows.
     """
     all_units = text_units(docs, band_count(threshold, BAND_ROWS, recall), shortest)
     lines = all_units.where(F.col("kind") == LINE)
@@ -273,9 +277,9 @@ def repeated_passages(docs: DataFrame, threshold: float = THRESHOLD, recall: flo
     members = cut(all_units.drop("bands", "text_hash").join(wanted, ["kind", "c1", "c2"]).drop("c1", "c2"))
     first = cut(members.groupBy("component_id", "kind").agg(
         F.min_by("uid", F.struct(F.col("doc_id").isNull(), "doc_id", "start", "uid")).alias("first")))
+    kind = F.element_at(F.array(*map(F.lit, ("line", "window", "text"))), F.col("kind") + 1)
     return members.join(first, ["component_id", "kind"]).select(
-        "doc_id", F.when(F.col("kind") == LINE, "line").otherwise("window").alias("kind"), "start", "stop", "words",
-        "component_id", (F.col("uid") != F.col("first")).alias("removed"))
+        "doc_id", kind.alias("kind"), "start", "stop", "words", "component_id", (F.col("uid") != F.col("first")).alias("removed"))
 
 
 def without_repeats(docs: DataFrame, found: DataFrame) -> DataFrame:

@@ -96,7 +96,7 @@ def test_near_copies_of_a_paragraph(spark):
         same_partition(found_lines(dict(enumerate(texts)), rows), plain_lines(dict(enumerate(texts))))
 
 
-def test_query_compares_short_lines(spark, folder):
+def test_query_compares_short_lines_and_texts(spark, folder):
     wrapped = [words(12) for _ in range(6)]
     line = words(19)
     texts = [f"{words(15)}\n{line}", f"{words(3)}\n{line} end", *["\n".join(wrapped[:2])] * 2,
@@ -107,6 +107,16 @@ def test_query_compares_short_lines(spark, folder):
     lines = {(r["doc_id"], texts[r["doc_id"]][r["start"]:r["stop"]]) for r in rows if r["kind"] == "line"}
     assert lines == {(0, line), (1, f"{line} end"), *((k, w) for k in (2, 3) for w in wrapped[:2]),
                      *((k, w) for k in (4, 5) for w in wrapped[2:])}
+    whole = {(r["doc_id"], r["removed"]) for r in rows if r["kind"] == "text"}
+    assert whole == {(2, False), (3, True), (6, False), (7, True)}
+
+
+def test_equal_texts_meet_at_any_length(spark):
+    texts = [t for n in range(20, 50) for t in ["\n".join([words(n // 2), words(n - n // 2)])] * 2]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = passages.repeated_passages(docs).collect()
+    for kind in ("text", "window"):
+        assert {r["doc_id"] for r in rows if r["kind"] == kind} == set(range(len(texts)))
 
 
 def test_odd_rows_and_empty_tables(spark):
