@@ -215,14 +215,12 @@ def count_links(nodes: DataFrame, component: DataFrame, threshold: float) -> Dat
             .groupBy("node").agg(F.sum("linked").alias("linked")))
 
 
-def audit_recall(nodes: DataFrame, component: DataFrame, threshold: float, sample: int = AUDIT) -> tuple[int, int]:
-    """Links of a fixed number of vectors that the components hold, and all their links by brute force.
+def _audit(labelled: DataFrame, among: DataFrame, threshold: float, sample: int) -> list[tuple[int, int]]:
+    """For a fixed number of vectors of ``among``: links that the components hold, and all links by brute force.
 
     The sample (smallest hashes) goes to every task, where it meets the vectors in blocks: work in proportion to them.
     """
-    labelled = nodes.join(component, "node", "left").select(
-        "node", "vector", F.coalesce("component", "node").alias("component"))
-    chosen = labelled.orderBy(F.xxhash64("node", F.lit(99)), "node").limit(sample).collect()
+    chosen = among.orderBy(F.xxhash64("node", F.lit(99)), "node").limit(sample).collect()
     by_size: dict[int, tuple[np.ndarray, ...]] = {}
     for size in {len(r["vector"]) for r in chosen}:
         rows = [r for r in chosen if len(r["vector"]) == size]
@@ -231,7 +229,6 @@ def audit_recall(nodes: DataFrame, component: DataFrame, threshold: float, sampl
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            held = total = 0
             sizes = np.diff(batch["vector"].offsets.to_numpy())
             for size in np.unique(sizes):
                 if int(size) not in by_size:
@@ -240,12 +237,37 @@ def audit_recall(nodes: DataFrame, component: DataFrame, threshold: float, sampl
                 at = pa.array(np.flatnonzero(sizes == size))
                 near = q @ matrix(batch["vector"].take(at)).T >= threshold
                 near &= node[:, None] != batch["node"].take(at).to_numpy()[None, :]
-                total += int(near.sum())
-                held += int((near & (own[:, None] == batch["component"].take(at).to_numpy()[None, :])).sum())
-            yield pa.RecordBatch.from_arrays([pa.array([held]), pa.array([total])], ["held", "total"])
+                held = near & (own[:, None] == batch["component"].take(at).to_numpy()[None, :])
+                some = near.any(axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(node[some]), pa.array(held.sum(axis=1)[some]),
+                                                  pa.array(near.sum(axis=1)[some])], ["node", "held", "total"])
+
+    found = labelled.mapInArrow(run, "node long, held long, total long").groupBy("node")
+    return [(r[1], r[2]) for r in found.agg(F.sum("held"), F.sum("total")).collect()]
+
+
+def _labelled(nodes: DataFrame, component: DataFrame) -> DataFrame:
+    return nodes.join(component, "node", "left").select(
+        "node", "vector", F.coalesce("component", "node").alias("component"))
+
+
+def audit_recall(nodes: DataFrame, component: DataFrame, threshold: float, sample: int = AUDIT) -> tuple[int, int]:
+    """Links of a fixed number of vectors that the components hold, and all their links by brute force."""
+    labelled = _labelled(nodes, component)
+    found = _audit(labelled, labelled, threshold, sample)
+    return sum(held for held, _ in found), sum(total for _, total in found)
+
 
-    found = labelled.mapInArrow(run, "held long, total long").agg(F.sum("held"), F.sum("total")).first()
-    return found[0] or 0, found[1] or 0
+def vector_recalls(nodes: DataFrame, component: DataFrame, threshold: float, sample: int = AUDIT,
+                   large: int = BUCKET) -> list[float]:
+    """The mean share of a vector's links that the components hold: over a sample of all vectors, and over one of those
+    outside components of more than ``large`` members, if there are such. Vectors without links do not count."""
+    labelled = _labelled(nodes, component)
+    crowds = cut(component.groupBy("component").count().where(F.col("count") > large).select("component"))
+    among = [labelled] + ([labelled.join(crowds, "component", "left_anti").select("node", "vector", "component")]
+                          if crowds.head(1) else [])
+    found = [_audit(labelled, vectors, threshold, sample) for vectors in among]
+    return [float(np.mean([held / total for held, total in f])) if f else 1.0 for f in found]
 
 
 def usable(vector: Column) -> Column:
@@ -264,7 +286,8 @@ def linked_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "e
     Repeated ids are rows of their own; a null id is a member without ever being the component_id, unless there is no
     other. ``kept``: the id is the component_id. Other columns are not read; an empty table gives no rows.
 
-    Tables are added until the audit finds ``recall`` or ``max_tables`` are made. Within a component all links are
+    Tables are added until the audit finds ``recall`` of a vector's links in the mean, over all vectors and over those
+    outside large components; it is an error if ``max_tables`` do not reach it. Within a component all links are
     found, so a link can only be lost between components.
     """
     # Floats are moved as they are, half the size of doubles; cosines are computed in doubles.
@@ -293,9 +316,11 @@ def linked_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "e
             edges = cut(keep_nearest(edges.unionByName(new), neighbours))
             links = cut(links.unionByName(more).distinct())
             component = cut(connected_components(links))
-        held, total = audit_recall(nodes, component, threshold)
-        if held >= recall * total or tables >= max_tables:
+        recalls = vector_recalls(nodes, component, threshold)
+        if min(recalls) >= recall:
             break
+        if tables >= max_tables:
+            raise RuntimeError(f"{tables} tables hold {min(recalls):.4f} of a vector's links, less than {recall}")
     counted = cut(count_links(nodes, component, threshold))
     named = cut(nodes.select("node", "vector", "copies", "first_id").join(component, "node", "left")
                 .withColumn("component", F.coalesce("component", "node")))

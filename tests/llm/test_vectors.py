@@ -1,5 +1,8 @@
+import collections
+
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from lakemart.llm import vectors
@@ -103,6 +106,24 @@ def test_audit_counts_missing_links(spark):
     assert vectors.audit_recall(nodes, none, 0.9) == (0, sum(n for n, _ in expected(rows).values()))
 
 
+def test_recall_is_audited_by_vector(spark):
+    rows = clusters([120, *[2] * 15], noise=0.05)
+    nodes = spark.createDataFrame(rows, "node long, vector array<double>")
+    held = collections.Counter(c for _, c in expected(rows).values())
+    hot = max(held, key=held.get)
+    component = spark.createDataFrame([(k, c) for k, (_, c) in expected(rows).items() if c == hot],
+                                      "node long, component long")
+    found, total = vectors.audit_recall(nodes, component, 0.9)
+    assert found >= 0.995 * total  # pooled over links, the lost pairs are not seen
+    assert vectors.vector_recalls(nodes, component, 0.9, large=100) == [pytest.approx(0.8), 0.0]
+
+
+def test_too_few_tables_are_an_error(spark):
+    frame = spark.createDataFrame(clusters([2] * 3), ROWS)
+    with pytest.raises(RuntimeError, match="12 tables"):
+        vectors.linked_vectors(frame, recall=1.1, max_tables=12).collect()
+
+
 def test_descent_finds_neighbours_of_neighbours(spark):
     angles = [0.0, 0.3, 0.6]
     nodes = spark.createDataFrame([(k, [float(np.cos(a)), float(np.sin(a))]) for k, a in enumerate(angles)],
