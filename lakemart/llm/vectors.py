@@ -121,7 +121,8 @@ def _in_bucket(threshold: float, explore: float, neighbours: int):
 
 def bucket_edges(nodes: DataFrame, count: int, first_table: int, tables: int, threshold: float, explore: float,
                  neighbours: int) -> DataFrame:
-    """Edges from ``tables`` tables of random projections; a larger bucket is dealt out at random, anew in each table."""
+    """Edges from ``tables`` tables of random projections; buckets larger than a part are compared by pairs of parts, so
+    that all vectors of a bucket meet and a task holds two parts at most."""
     bits = max(1, int(np.ceil(np.log2(max(2, count / BUCKET)))))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,8 +145,12 @@ def bucket_edges(nodes: DataFrame, count: int, first_table: int, tables: int, th
     large = cut(keyed.groupBy("key").agg(F.ceil(F.count("*") / F.lit(PART)).cast("int").alias("parts"))
                 .where("parts > 1"))
     dealt = (keyed.join(large, "key", "left")
-             .withColumn("part", F.pmod(F.xxhash64("node", "key"), F.coalesce("parts", F.lit(1))).cast("long"))
-             .select("key", "part", "node", "vector"))
+             .withColumn("parts", F.coalesce("parts", F.lit(1)))
+             .withColumn("own", F.pmod(F.xxhash64("node", "key"), F.col("parts")).cast("int")))
+    others = F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda k: k != F.col("own"))
+    tasks = F.when(F.col("parts") == 1, F.array(F.lit(0))).otherwise(
+        F.transform(others, lambda k: F.least(k, "own") * F.col("parts") + F.greatest(k, "own")))
+    dealt = dealt.select("key", F.explode(tasks).alias("part"), "node", "vector")
     return (dealt.repartition("key", "part").sortWithinPartitions("key", "part")
             .mapInArrow(_in_bucket(threshold, explore, neighbours), EDGES))
 

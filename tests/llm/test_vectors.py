@@ -76,6 +76,20 @@ def test_parts_of_a_large_component(spark, monkeypatch):
     assert got == dict(enumerate((near @ copies).tolist()))
 
 
+def test_all_of_a_crowded_bucket_meet(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "PART", 4)
+    rng = np.random.default_rng(5)
+    topic = rng.standard_normal(24)
+    rows = [v + 0.1 * rng.standard_normal(24) for v in topic + 0.6 * rng.standard_normal((30, 24)) for _ in range(2)]
+    nodes = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(rows)], "node long, vector array<double>")
+    edges = vectors.bucket_edges(nodes, 2, 0, 1, 0.9, 0.6, 8).where("cosine >= 0.9").collect()
+    x = np.array(rows) / np.linalg.norm(rows, axis=1, keepdims=True)
+    side = (x @ np.random.default_rng([0, 24]).standard_normal((24, 1)) > 0).ravel()
+    links = [(a, b) for a in range(60) for b in range(a) if side[a] == side[b] and x[a] @ x[b] >= 0.9]
+    assert len(links) >= 20
+    assert plain_components([(r["a"], r["b"]) for r in edges], range(60)) == plain_components(links, range(60))
+
+
 def test_copies_and_unusable_vectors(spark):
     one, two = [1.0, 2.0, 0.5], [-3.0, 1.0, 0.25]
     rows = [(k, one) for k in range(5, 45)] + [(50, two), (51, [v * 4 for v in two]), (52, None), (53, []), (54, [0.0] * 3),
