@@ -1,8 +1,9 @@
 """Near-duplicate embeddings by a neighbour graph in the way of NN-descent.
 
 Random projections give a first graph: within a bucket of a table, every vector keeps its nearest neighbours. Rounds of
-neighbours-of-neighbours joins look for links that the graph does not connect yet. Lists that are full of links are
-saturated; they are enlarged to the vector's whole component, which is compared block by block and only counted. A
+neighbours-of-neighbours joins look for links that the graph does not connect yet, until no list changes. Lists that are
+full of links are saturated; a second list holds the nearest neighbours outside the vector's component, and for counting
+they are enlarged to the whole component, which is compared block by block. A
 recall audit against brute force on a fixed number of vectors decides whether further tables are needed.
 """
 
@@ -20,7 +21,7 @@ from lakemart.llm.common import cut
 from lakemart.llm.components import connected_components
 
 THRESHOLD = 0.9
-#: Similarity from which a pair is an edge of the neighbour graph, and edges that a vector keeps.
+#: Similarity from which a pair is an edge of the neighbour graph, and edges that a vector keeps in each of its lists.
 EXPLORE, NEIGHBOURS = 0.6, 8
 #: Tables made at a time, and vectors that a bucket is meant to hold.
 TABLES, BUCKET = 12, 256
@@ -97,7 +98,8 @@ def _edges(a: np.ndarray, b: np.ndarray, cosine: np.ndarray) -> pa.RecordBatch:
 
 
 def _in_bucket(threshold: float, explore: float, neighbours: int):
-    """The nearest neighbours of each vector within a bucket, and pairs that connect all its links."""
+    """The nearest neighbours of each vector within a bucket, those that no links of the bucket connect with it, and
+    pairs that connect all its links."""
     def run(rows: pa.Table) -> pa.RecordBatch | None:
         if rows.num_rows < 2:
             return None
@@ -108,13 +110,18 @@ def _in_bucket(threshold: float, explore: float, neighbours: int):
         if cosine.max() < explore:
             return None
         a, b = forest(cosine >= threshold)
+        group = np.arange(len(node))
+        for pivot, other in zip(a, b, strict=True):
+            group[other] = group[pivot]
         k = min(neighbours, len(node) - 1)
-        best = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
         row = np.repeat(np.arange(len(node)), k)
-        a, b = np.concatenate([a, row]), np.concatenate([b, best.ravel()])
-        value = cosine[a, b]
-        use = value >= explore
-        return _edges(node[a[use]], node[b[use]], value[use])
+        found = [(a, b, cosine[a, b])]
+        for near in (cosine, np.where(group[:, None] == group[None, :], -1, cosine)):
+            best = np.argpartition(-near, k - 1, axis=1)[:, :k].ravel()
+            use = near[row, best] >= explore
+            found.append((row[use], best[use], near[row, best][use]))
+        a, b, value = (np.concatenate(c) for c in zip(*found, strict=True))
+        return _edges(node[a], node[b], value)
 
     return grouped(run, ["key", "part"])
 
@@ -155,12 +162,16 @@ def bucket_edges(nodes: DataFrame, count: int, first_table: int, tables: int, th
             .mapInArrow(_in_bucket(threshold, explore, neighbours), EDGES))
 
 
-def keep_nearest(edges: DataFrame, neighbours: int) -> DataFrame:
-    """Each vector's nearest neighbours over both directions of ``edges``."""
+def keep_nearest(edges: DataFrame, component: DataFrame, neighbours: int) -> DataFrame:
+    """Each vector's nearest neighbours over both directions of ``edges``: a list of those in its own component and one
+    of those outside, so that a vector of a dense group still leads out of it."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"), "cosine"))
     once = both.groupBy("a", "b").agg(F.max("cosine").alias("cosine"))
-    order = Window.partitionBy("a").orderBy(F.desc("cosine"), "b")
-    return once.withColumn("k", F.row_number().over(order)).where(F.col("k") <= neighbours).drop("k")
+    of = component.select(F.col("node").alias("a"), F.col("component").alias("ca"))
+    once = once.join(of, "a", "left").join(of.select(F.col("a").alias("b"), F.col("ca").alias("cb")), "b", "left")
+    order = Window.partitionBy("a", F.coalesce(F.col("ca") == F.col("cb"), F.lit(False))).orderBy(F.desc("cosine"), "b")
+    near = once.withColumn("k", F.row_number().over(order)).where(F.col("k") <= neighbours)
+    return near.select("a", "b", "cosine")
 
 
 def _cosines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -311,16 +322,19 @@ def linked_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "e
         near = found.where(F.col("cosine") >= threshold).select("a", "b")
         links = cut((links.unionByName(near) if links is not None else near)
                     .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-        edges = cut(keep_nearest(found if edges is None else found.unionByName(edges), neighbours))
         component = cut(connected_components(links))
+        edges = cut(keep_nearest(found if edges is None else found.unionByName(edges), component, neighbours))
         while True:
             new = cut(descend(nodes, edges, component, explore))
             more = new.where(F.col("cosine") >= threshold).select("a", "b")
-            if not more.head(1):
+            linked = bool(more.head(1))
+            if linked:
+                links = cut(links.unionByName(more).distinct())
+                component = cut(connected_components(links))
+            before, edges = edges, cut(keep_nearest(edges.unionByName(new), component, neighbours))
+            # Lists only get nearer while the components stay, so this ends.
+            if not linked and not edges.join(before, ["a", "b"], "left_anti").head(1):
                 break
-            edges = cut(keep_nearest(edges.unionByName(new), neighbours))
-            links = cut(links.unionByName(more).distinct())
-            component = cut(connected_components(links))
         recalls = vector_recalls(nodes, component, threshold)
         if min(recalls) >= recall:
             break

@@ -147,6 +147,26 @@ def test_descent_finds_neighbours_of_neighbours(spark):
     assert [(r["a"], r["b"]) for r in vectors.descend(nodes, edges, none, 0.6).collect()] == [(0, 2)]
 
 
+def test_full_lists_still_lead_outside(spark):
+    edges = spark.createDataFrame([*((0, k, 0.99) for k in range(1, 10)), (0, 20, 0.7), (0, 21, 0.65)], vectors.EDGES)
+    component = spark.createDataFrame([(k, 0) for k in range(10)], "node long, component long")
+    kept = {(r["a"], r["b"]) for r in vectors.keep_nearest(edges, component, 8).collect()}
+    assert {b for a, b in kept if a == 0} == {*range(1, 9), 20, 21}
+
+
+def test_rounds_go_on_while_lists_get_nearer(spark, monkeypatch):
+    # Only 0 and 3 link; the first round finds the diagonals, the second can join them.
+    plane = [(-0.2, -0.3), (-0.3, 0.3), (0.3, 0.3), (0.2, -0.3)]
+    rows = [(k, (np.array([p, q, 1.0]) / np.linalg.norm([p, q, 1.0])).tolist()) for k, (p, q) in enumerate(plane)]
+    x = np.array([v for _, v in rows])
+    monkeypatch.setattr(vectors, "bucket_edges", lambda nodes, *_: spark.createDataFrame(
+        [(a, b, float(x[a] @ x[b])) for a, b in [(0, 1), (1, 2), (2, 3)]], vectors.EDGES))
+    truth = expected(rows)
+    assert [n for n, _ in truth.values()] == [1, 0, 0, 1]
+    one = spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1)  # numbers nodes as the edges do
+    assert found(one) == truth
+
+
 def test_given_vectors(spark):
     frame = spark.read.parquet(f"{SF}/embeddings.parquet")
     x = np.array([r["embedding"] for r in frame.orderBy("vec_id").collect()], float)
