@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import chat, language, mixing, packing, passages, pii, quality, sharding, simhash, vectors
+from lakemart.llm import (
+    chat, language, licenses, manifest, mixing, packing, passages, pii, quality, sharding, simhash, vectors, whitening,
+)
 from lakemart.llm.common import documents, share_code
 from lakemart.session import own_scratch
 
@@ -157,3 +159,119 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_language_codes")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_report(documents(spark, sf_dir))
+
+
+def _licenses_sql() -> str:
+    """Every block against every template, by counting the different words that they share."""
+    templates = licenses.prepare(licenses.TEMPLATES, licenses.CONTAINMENT)
+    words = ", ".join(f"({k}, '{t.label}', '{w}', {t.stride}, {t.least}, {len(t.words)})"
+                      for k, t in enumerate(templates) for w in t.words)
+    phrases = " ".join("WHEN " + " AND ".join(
+        f"{'word' if k == 0 else f'lead(word, {k}) OVER text'} = '{w}'" for k, w in enumerate(phrase.split()))
+        + f" THEN '{label}'" for phrase, label in licenses.PHRASES.items())
+    return rf"""
+WITH t AS (SELECT * FROM (VALUES {words}) t(template, label, word, stride, least, size)),
+d AS (
+    SELECT row_number() OVER () AS uid, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM documents),
+w AS (SELECT uid, unnest(words) AS word, unnest(range(len(words))) AS pos FROM d),
+base AS (
+    SELECT uid, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word, list(DISTINCT label) AS base_labels
+    FROM (SELECT uid, pos, CASE {phrases} END AS label FROM w WINDOW text AS (PARTITION BY uid ORDER BY pos))
+    WHERE label IS NOT NULL GROUP BY uid),
+met AS (
+    SELECT uid, label, count(DISTINCT word) / any_value(size) AS containment
+    FROM (SELECT uid, t.*, unnest([pos // stride - 1, pos // stride]) AS block FROM w JOIN t USING (word))
+    WHERE block >= 0 GROUP BY uid, template, label, block HAVING count(DISTINCT word) >= any_value(least)),
+more AS (SELECT uid, list(DISTINCT label) AS labels, max(containment) AS best FROM met GROUP BY uid)
+SELECT doc_id, len(words) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+    coalesce(array_to_string(list_sort(base_labels), ','), '') AS base_labels,
+    coalesce(array_to_string(list_sort(list_distinct(list_concat(base_labels, labels))), ','), '') AS labels,
+    CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(best, 0.0) END::DOUBLE AS score
+FROM d LEFT JOIN base USING (uid) LEFT JOIN more USING (uid)"""
+
+
+@query("op11_license_scan", _licenses_sql())
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_report(documents(spark, sf_dir))
+
+
+@query("op12_polar_whitening")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return rows.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def _crc32_sql(text: str) -> str:
+    """CRC-32 of ASCII text, half a byte at a time with the table of its polynomial."""
+    table = []
+    for value in range(16):
+        for _ in range(4):
+            value = value >> 1 ^ (0xEDB88320 if value & 1 else 0)
+        table.append(str(value))
+    half = "xor(({0}) >> 4, [" + ", ".join(table) + "][(({0}) & 15) + 1])"
+    codes = f"list_transform(string_split({text}, ''), lambda x: ascii(x)::BIGINT)"
+    return (f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), "
+            f"lambda c, b: {half.format(half.format('xor(c, b)'))}), 4294967295)")
+
+
+#: Levels that the SQL has: 16^5 rows of a source, 16^3 sources.
+SQL_LEVELS = {"leaf": 5, "source": 3}
+
+
+def _manifest_sql() -> str:
+    def field(value: str) -> str:
+        return f"coalesce(strlen({value})::VARCHAR || ':' || {value}, '-')"
+
+    def leaf(text: str) -> str:
+        values = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
+        return "sha256(" + " || ".join(map(field, values)) + ")"
+
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    parts = [f"""
+d AS (
+    SELECT doc_id, source, {leaf("text")} AS leaf,
+        CASE WHEN {_crc32_sql("CAST(doc_id AS VARCHAR)")} % 5 = 0 THEN {leaf(lower)} END AS changed FROM documents),
+leaf0 AS (
+    SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS r,
+        count(*) OVER (PARTITION BY source) AS n FROM (SELECT source, doc_id, leaf AS digest, leaf, changed FROM d)),
+proof_leaf0 AS (SELECT source, r, doc_id, leaf, coalesce(changed, leaf) AS folded, '' AS proof FROM leaf0)"""]
+
+    def level(kind: str, group: str, same: str, k: int, number: str) -> str:
+        return f"""
+around_{kind}{k} AS (
+    SELECT *, coalesce(string_agg(digest, '') OVER (PARTITION BY {group}r // 16 ORDER BY r
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+        coalesce(string_agg(digest, '') OVER (PARTITION BY {group}r // 16 ORDER BY r
+            ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS behind FROM {kind}{k}),
+proof_{kind}{k + 1} AS (
+    SELECT p.* REPLACE (CASE WHEN n > 1 THEN sha256(before || folded || behind) ELSE folded END AS folded,
+        CASE WHEN n > 1 THEN proof || before || behind ELSE proof END AS proof)
+    FROM proof_{kind}{k} p JOIN around_{kind}{k} a ON {same}a.r = p.{number} // {16 ** k}),
+{kind}{k + 1} AS (
+    SELECT {group}r // 16 AS r, CASE WHEN n > 1 THEN sha256(string_agg(digest, '' ORDER BY r)) ELSE min(digest) END AS digest,
+        (n + 15) // 16 AS n FROM {kind}{k} GROUP BY {group}r // 16, n)"""
+
+    for k in range(SQL_LEVELS["leaf"]):
+        parts.append(level("leaf", "source, ", "a.source IS NOT DISTINCT FROM p.source AND ", k, "r"))
+    last = SQL_LEVELS["leaf"]
+    parts.append(f"""
+source0 AS (
+    SELECT source, digest, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS r, count(*) OVER () AS n FROM leaf{last}),
+proof_source0 AS (
+    SELECT p.*, s.r AS s, s.digest AS subroot FROM proof_leaf{last} p
+    JOIN source0 s ON s.source IS NOT DISTINCT FROM p.source)""")
+    for k in range(SQL_LEVELS["source"]):
+        parts.append(level("source", "", "", k, "s"))
+    last = SQL_LEVELS["source"]
+    return "WITH" + ",".join(parts) + f"""
+SELECT doc_id, leaf, subroot, (SELECT digest FROM source{last}) AS root, sha256(proof) AS proof_sha256,
+    folded AS folded_root, folded = (SELECT digest FROM source{last}) AS verified FROM proof_source{last}"""
+
+
+@query("op13_merkle_descent", _manifest_sql())
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    return manifest.manifest_report(documents(spark, sf_dir), tampered)

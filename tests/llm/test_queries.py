@@ -19,10 +19,17 @@ COLUMNS = {
     "op8_chat_format": "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long",
     "op9_hierarchical_mix": "doc_id long, domain string, lang string, source string, tokens long, epoch int",
     "op10_language_codes": "doc_id long, held_out boolean, lang_pred string, score double",
+    "op11_license_scan": "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, "
+                         "labels string, score double",
+    "op12_polar_whitening": "vec_id long, component int, n long, deviation long, whitened double, explained double, "
+                            "identity_error double",
+    "op13_merkle_descent": "doc_id long, leaf string, subroot string, root string, proof_sha256 string, folded_root string, "
+                           "verified boolean",
 }
 #: Queries with one row per row of their table.
 WHOLE = {"op2_simhash_near_dedup": "documents", "op3_pii": "documents", "op4_quality_votes": "documents",
-         "op5_flow_sharding": "documents", "op6_nn_descent_dedup": "embeddings", "op10_language_codes": "documents"}
+         "op5_flow_sharding": "documents", "op6_nn_descent_dedup": "embeddings", "op10_language_codes": "documents",
+         "op11_license_scan": "documents", "op13_merkle_descent": "documents"}
 
 
 def test_all_are_registered():
