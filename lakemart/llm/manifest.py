@@ -135,28 +135,26 @@ def prove(manifest: Manifest, requests: DataFrame, name: str = "manifest") -> Da
         passed = met if passed is None else passed.unionByName(met)
         if level + 1 == manifest.depth:
             break
-        wanted = (asked.where(F.length("run") > level).select(F.substring("run", 1, level + 1).alias("path")).distinct())
-        children = met.select("path", "children", "group_digest", "segments", F.posexplode("children").alias("at", "digest"))
-        path = F.concat("path", F.hex("at"))
+        # Only digits that some request follows are opened, so that runs of leaves stay one row here.
+        wanted = (asked.where(F.length("run") > level).groupBy(F.substring("run", 1, level).alias("path"))
+                  .agg(F.collect_set(F.substring("run", level + 1, 1)).alias("digits")))
+        children = _chosen(met.join(wanted, "path").select("*", F.explode("digits").alias("digit")))
         frontier = children.select(
-            path.alias("path"), "digest", F.when(F.lit(level + 1 == manifest.top), F.col("digest"))
-            .otherwise(F.col("group_digest")).alias("group_digest"),
-            F.array_append("segments", _around(F.col("children"), F.col("at"))).alias("segments"),
-        ).join(wanted, "path", "left_semi")
-    one = asked.join(passed, asked["run"] == passed["path"]).select(
-        F.explode("requests").alias("r"), "children", "group_digest", "segments")
-    at = F.conv(F.substring("r.path", -1, 1), 16, 10).cast("int")
-    one = one.withColumn("at", at).where(F.col("at") < F.size("children"))
-    leaf = F.col("children")[F.col("at")]
-    return one.select(
-        "r.*", leaf.alias("leaf_digest"), F.coalesce("group_digest", leaf).alias("group_digest"),
-        F.reverse(F.array_append("segments", _around(F.col("children"), F.col("at")))).alias("segments"))
-
-
-def _around(children: Column, at: Column) -> Column:
-    """The children before and behind one, each side as one text."""
-    return F.struct(F.array_join(F.slice(children, 1, at), "").alias("left"),
-                    F.array_join(F.slice(children, at + 2, F.lit(FANOUT)), "").alias("right"))
+            F.concat("path", "digit").alias("path"), F.col("chosen").alias("digest"),
+            (F.col("chosen") if level + 1 == manifest.top else F.col("group_digest")).alias("group_digest"), "segments")
+    one = _chosen(asked.join(passed, asked["run"] == passed["path"]).drop("path").select("*", F.explode("requests").alias("r"))
+                  .withColumn("digit", F.substring("r.path", -1, 1)))
+    return one.select("r.*", F.col("chosen").alias("leaf_digest"), F.coalesce("group_digest", "chosen").alias("group_digest"),
+                      F.reverse("segments").alias("segments"))
+
+
+def _chosen(nodes: DataFrame) -> DataFrame:
+    """Nodes with the child that ``digit`` chooses, and the others added to the segments; no row if there is no such child."""
+    at, children = F.conv("digit", 16, 10).cast("int"), F.col("children")
+    around = F.struct(F.array_join(F.slice(children, 1, at), "").alias("left"),
+                      F.array_join(F.slice(children, at + 2, F.lit(FANOUT)), "").alias("right"))
+    return (nodes.where(at < F.size("children")).withColumn("chosen", children[at])
+            .withColumn("segments", F.array_append("segments", around)))
 
 
 def fold(leaf: Column, segments: Column) -> Column:
@@ -179,8 +177,8 @@ def manifest_report(docs: DataFrame, tampered: Column, name: str = "manifest") -
     def leaf(text: Column) -> Column:
         return digest(*(field(text if c == "text" else F.col(c)) for c in FIELDS))
 
-    rows = docs.select("doc_id", "source", leaf(F.col("text")).alias("leaf"),
-                       F.when(tampered, leaf(lowered(F.col("text").cast("string")))).alias("changed"))
+    rows = stored(docs.select("doc_id", "source", leaf(F.col("text")).alias("leaf"),
+                              F.when(tampered, leaf(lowered(F.col("text").cast("string")))).alias("changed")), f"{name}-rows")
     manifest = build(rows, "source", ["doc_id"], name)
     proved = prove(manifest, manifest.leaves.select("path", "doc_id", "changed"), name)
     root = F.lit(manifest.root).cast("string")
