@@ -49,13 +49,22 @@ def _tokens(p: Column) -> Column:
 
 
 def _flattened(parts: Column) -> tuple[Column, Column]:
-    """The content of a turn and its attachments, both in the order of its parts."""
-    def content(p: Column) -> Column:
-        return F.when(p["type"] == "text", escape(F.coalesce(p["text"], F.lit("")))).otherwise(
-            F.concat(F.lit("<|"), _placeholder(p), F.lit("|>")))
+    """The content of a turn and its attachments, both in the order of its parts.
 
+    Neighbouring text parts are escaped as the one text that they make: ``<`` at the end of one and ``|`` at the start of
+    the next get the same backslash between them as within a text.
+    """
+    kept = F.filter(parts, lambda p: ~(p["type"].eqNullSafe("text") & (F.coalesce(p["text"], F.lit("")) == "")))
+
+    def content(p: Column, before: Column) -> Column:
+        split = before["type"].eqNullSafe("text") & before["text"].endswith("<") & p["text"].startswith("|")
+        return F.when(p["type"] == "text", F.concat(F.when(split, F.lit("\\")).otherwise(F.lit("")), escape(p["text"]))
+                      ).otherwise(F.concat(F.lit("<|"), _placeholder(p), F.lit("|>")))
+
+    # Each part with the one before it; the last pair has no part of its own.
+    pairs = F.zip_with(kept, F.concat(F.array(F.lit(None).cast(PART)), kept), content)
     others = F.filter(parts, lambda p: ~p["type"].eqNullSafe("text"))
-    return F.array_join(F.transform(parts, content), ""), F.transform(others, lambda p: F.struct(
+    return F.array_join(F.slice(pairs, F.lit(1), F.size(kept)), ""), F.transform(others, lambda p: F.struct(
         _placeholder(p).alias("type"), p["ref"].alias("ref"), _tokens(p).alias("tokens")))
 
 
@@ -66,7 +75,8 @@ def format_chat(turns: DataFrame, parts: str | None = None, trained_role: str =
     ``loss_spans`` are start and stop, in code points of ``formatted``, of the contents of ``trained_role``;
     ``attachments`` are type, ref and tokens in order, a part of an unknown or null type counting as "other" with
     no tokens. Rows go by turn, then role, then content; nulls first, repeated rows all kept. A null text is empty, a
-    null role an empty role, a null conv_id a conversation of its own. Other columns are not read.
+    null role an empty role, a null conv_id a conversation of its own; null and empty parts arrays are an empty content. Other
+    columns are not read. Texts of any length are kept whole, within what a string may hold; an empty table gives no rows.
 
     Turns are joined in chunks of their numbers first, so a long conversation is put together from a few strings.
     """

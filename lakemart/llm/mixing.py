@@ -17,6 +17,8 @@ from lakemart.llm.common import stored
 
 #: Hex digits of the order key that make a bucket: 4096 for each leaf.
 BUCKET_DIGITS = 3
+#: What stands in a path for null.
+NONE = "%null"
 
 
 def token_estimate(text: Column) -> Column:
@@ -32,8 +34,9 @@ def _weight(path: Column, weights: Mapping[str, int]) -> Column:
 
 
 def _paths(levels: list[str]) -> list[Column]:
-    parts = [F.coalesce(F.replace(F.col(f"`{c}`").cast("string"), F.lit("/"), F.lit("%2F")), F.lit("(none)"))
-             for c in levels]
+    """Paths from the root. In a name, % is written %25 and a slash %2F, so that NONE is no name."""
+    names = [F.replace(F.col(f"`{c}`").cast("string"), F.lit("%"), F.lit("%25")) for c in levels]
+    parts = [F.coalesce(F.replace(name, F.lit("/"), F.lit("%2F")), F.lit(NONE)) for name in names]
     return [F.concat_ws("/", *parts[:k + 1]) for k in range(len(levels))]
 
 
@@ -42,15 +45,19 @@ def leaf_budgets(leaves: DataFrame, depth: int, weights: Mapping[str, int], budg
     """path, tokens, budget for each leaf, from columns path_0 ... path_<depth - 1> and tokens.
 
     Water-filling in closed form: siblings in order of capacity by weight are full as long as their capacity is under
-    the level that the remaining budget would reach over the remaining weights; the others share that level.
+    the level that the remaining budget would reach over the remaining weights; the others share that level. Nodes of
+    weight 0 go with all below them before any sum is taken, so their tokens are nobody's capacity; the whole budget
+    still counts them.
     """
     parent = leaves.select(F.lit("").alias("path"), "tokens").groupBy("path").agg(
         (F.sum("tokens") * F.lit(budget_share)).alias("budget"))
+    for k in range(depth):
+        leaves = leaves.where(_weight(F.col(f"path_{k}"), weights) > 0)
     for k in range(depth):
         above = F.lit("") if k == 0 else F.col(f"path_{k - 1}")
         nodes = leaves.groupBy(above.alias("parent"), F.col(f"path_{k}").alias("path")).agg(
             F.sum("tokens").cast("double").alias("tokens"))
-        nodes = (nodes.withColumn("weight", _weight(F.col("path"), weights)).where("weight > 0")
+        nodes = (nodes.withColumn("weight", _weight(F.col("path"), weights))
                  .withColumn("capacity", F.col("tokens") * max_epochs)
                  .join(parent.select(F.col("path").alias("parent"), "budget"), "parent"))
         siblings = Window.partitionBy("parent").orderBy(F.col("capacity") / F.col("weight"), "path")
@@ -69,8 +76,8 @@ def mix(docs: DataFrame, levels: list[str], weights: Mapping[str, int] | None =
     """The chosen rows of ``docs``, once for each epoch they are in, with the number of that ``epoch``.
 
     ``levels``: columns from the root to the leaf; null is a branch of its own. ``weights``: whole numbers by path
-    ("en", "en/src1"; a slash in a name is written %2F), 1 where not named, 0 leaves the branch out. The budget is ``budget_share`` of all tokens;
-    no row is taken more than ``max_epochs`` times. ``tokens``: each row's, by default estimated from ``text`` (null:
+    ("en", "en/src1"; in a name % is written %25 and a slash %2F, null is %null), 1 where not named, 0 leaves the branch
+    out. The budget is ``budget_share`` of all tokens; no row is taken more than ``max_epochs`` times. ``tokens``: each row's, by default estimated from ``text`` (null:
     the end token alone).
 
     Epoch e orders a leaf by md5 of seed, e and id. Rows are taken while the tokens before them are under what the

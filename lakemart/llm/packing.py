@@ -1,14 +1,16 @@
 """Packing documents into sequences of a fixed token capacity with as few sequences as possible.
 
 Every partition packs its pieces by best-fit decreasing and computes a lower bound of its bin count from dual
-feasible functions. A partition that meets its bound is certified; the others exchange the documents of their bins
-with free room, through ever fewer partitions, and run best-fit decreasing again.
+feasible functions. A partition that meets its bound is certified: no packing of its documents has fewer bins. Partitions
+with gaps exchange the documents of the bins that have them, through ever fewer shares, and run best-fit decreasing
+again, with a bound for each share.
 """
 
 from __future__ import annotations
 
 import base64
 import functools
+import json
 import zlib
 from collections.abc import Iterator
 
@@ -25,22 +27,24 @@ CAPACITY = 2048
 BINS_PER_SHARE = 4096
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-PLACED = PIECES + ", sequence_id long, offset long, loose boolean"
+PLACED = PIECES + ", sequence_id long, offset long, share_sequences long, share_bound long, loose boolean"
 
 
 @functools.cache
 def encoder(vocabulary: str):
-    """Byte-level BPE over a rank file; special tokens' strings in a text are ordinary text."""
+    """Byte-level BPE over a rank file, with the added tokens of the JSON file of the same vocabulary."""
     import public_tokenizers
     import tiktoken
 
     with open(public_tokenizers.path(vocabulary), "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    with open(public_tokenizers.path(vocabulary.removesuffix(".tiktoken") + ".json"), encoding="utf-8") as file:
+        added = {token["content"]: token["id"] for token in json.load(file)["added_tokens"]}
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added)
 
 
 def token_ids(text: str | None, vocabulary: str, end_id: int) -> np.ndarray:
-    ids = encoder(vocabulary).encode_to_numpy(text or "", disallowed_special=())
+    ids = encoder(vocabulary).encode_to_numpy(text or "", allowed_special="all")
     return np.append(ids, np.uint32(end_id)).astype("<u4")
 
 
@@ -55,7 +59,7 @@ def token_pieces(docs: DataFrame, vocabulary: str = "byte_bpe_50k.tiktoken", cap
     """Each document's pieces of at most ``capacity`` tokens: doc_id, piece, start, length, ids_crc32 (and ids).
 
     A null or empty text has one piece, the end token. The rank file holds the vocabulary of ``byte_bpe_50k.json``
-    and gives the same ids three times as fast. Repeated rows and null doc_ids are packed like any other; further
+    and gives the same ids three times as fast; an added token's string in a text is that token, as there. Repeated rows and null doc_ids are packed like any other; further
     columns of ``docs`` are not read.
     """
     fields = [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
@@ -135,17 +139,19 @@ def _placed(columns: dict[str, np.ndarray], sizes: np.ndarray, first_id: int, ca
         if len(kept) <= used:
             bins, ids, offsets, used = inverse, old[0], old[1], len(kept)
     free = capacity - np.bincount(bins, weights=sizes, minlength=max(used, 1))
-    # An exchanged share that meets its bound is done, but for bins with much room; others go on with every gap.
-    done = old is not None and used <= lower_bound(np.bincount(sizes, minlength=capacity + 1), capacity)
-    loose = free >= (max(1, capacity // 32) if done else 1)
+    # Certified shares of an exchange are done, but for bins with much room. Partitions go on with every gap: certified or
+    # not, the gaps of many partitions together may hold whole sequences.
+    bound = lower_bound(np.bincount(sizes, minlength=capacity + 1), capacity)
+    loose = free >= (max(1, capacity // 32) if old is not None and used <= bound else 1)
     arrays = [pa.array(columns[n]) for n in ("doc_id", "piece", "start", "length", "ids_crc32")]
-    arrays += [pa.array(ids), pa.array(offsets), pa.array(loose[bins] if len(bins) else np.zeros(0, bool))]
+    arrays += [pa.array(ids), pa.array(offsets), *(pa.array(np.full(len(bins), v, np.int64)) for v in (used, bound))]
+    arrays += [pa.array(loose[bins] if len(bins) else np.zeros(0, bool))]
     return pa.RecordBatch.from_arrays(arrays, schema=PLACED_ARROW)
 
 
 PLACED_ARROW = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
                           ("ids_crc32", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()),
-                          ("loose", pa.bool_())])
+                          ("share_sequences", pa.int64()), ("share_bound", pa.int64()), ("loose", pa.bool_())])
 
 
 def _pack_partition(capacity: int):
@@ -170,11 +176,13 @@ def _repack(round_number: int, capacity: int):
 
 def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, bins_per_share: int = BINS_PER_SHARE,
                 max_rounds: int = 8) -> DataFrame:
-    """``pieces`` with sequence_id and offset; no sequence holds more than ``capacity`` tokens.
+    """``pieces`` with sequence_id, offset, share_sequences and share_bound; no sequence holds more than ``capacity`` tokens.
+
+    ``share_bound`` is what any packing of the share (a partition, or a share of an exchange) needs that placed the piece, and
+    ``share_sequences`` what it has; the share is certified where they are equal.
 
     The first packing needs no shuffle: a partition packs what it holds, which leaves most sequences full. In each
-    exchange, the loose ones (those with a gap; in a share that meets its lower bound, only those with a 32nd of the
-    capacity free) go as a whole to fewer shares, whose documents are packed anew; a share that gains nothing keeps its
+    exchange, the loose ones (those with a gap; from a certified share of an exchange, those with a 32nd of the capacity free) go as a whole to fewer shares, whose documents are packed anew; a share that gains nothing keeps its
     sequences. It ends with a single share or when nothing is gained. An empty frame gives an empty result.
     """
     placed = cut(pieces.mapInArrow(_pack_partition(capacity), PLACED))
@@ -200,7 +208,8 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, bins_per_share: int
 
 def pack_documents(docs: DataFrame, vocabulary: str = "byte_bpe_50k.tiktoken", capacity: int = CAPACITY,
                    end_id: int = 0) -> DataFrame:
-    """One row per piece of every document: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
+    """One row per piece of every document: doc_id, piece, start, length, ids_crc32, sequence_id, offset, share_sequences,
+    share_bound.
 
     Nulls, empty texts, repeated rows and further columns: see :func:`token_pieces`. Texts of any length are packed
     whole.

@@ -124,10 +124,13 @@ WITH weights AS (SELECT * FROM (VALUES {", ".join(f"('{k}', {v})" for k, v in MI
 named AS (
     SELECT doc_id, lang, source, 'd' || CAST(coalesce(TRY_CAST(regexp_extract(source, '[0-9]+') AS INT), 0) % 3
         AS VARCHAR) AS domain, (coalesce(strlen(text), 0) + 3) // 4 + 1 AS n FROM documents),
-d AS (
-    SELECT *, p2 || '/' || coalesce(replace(source, '/', '%2F'), '(none)') AS p3 FROM (
-        SELECT *, domain || '/' || coalesce(replace(lang, '/', '%2F'), '(none)') AS p2, domain AS p1 FROM named)),
-budget0 AS (SELECT '' AS path, sum(n) * CAST({MIX_SHARE} AS DOUBLE) AS budget FROM d),
+every AS (
+    SELECT *, p2 || '/' || coalesce(replace(replace(source, '%', '%25'), '/', '%2F'), '{mixing.NONE}') AS p3 FROM (
+        SELECT *, domain || '/' || coalesce(replace(replace(lang, '%', '%25'), '/', '%2F'), '{mixing.NONE}') AS p2,
+            domain AS p1 FROM named)),
+budget0 AS (SELECT '' AS path, sum(n) * CAST({MIX_SHARE} AS DOUBLE) AS budget FROM every),
+d AS (SELECT * FROM every e WHERE NOT EXISTS (
+    SELECT 1 FROM weights w WHERE w.weight = 0 AND (w.path = e.p1 OR w.path = e.p2 OR w.path = e.p3))),
 {_level_sql(1)}{_level_sql(2)}{_level_sql(3)}
 leaves AS (
     SELECT path, CAST(floor(budget / tokens) AS INT) AS epochs, budget - floor(budget / tokens) * tokens AS rest

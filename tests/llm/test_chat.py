@@ -74,6 +74,35 @@ def test_typed_parts(spark):
     assert made[2]["formatted"] == "<|turn|>user<|text|><|end|>" * 2 and made[2]["attachments"] == []
 
 
+def test_parts_cannot_make_control_strings(spark):
+    def text(*texts):
+        return [("text", t, None, None, None, None, None) for t in texts]
+
+    image = [("image", None, "i", 28, 28, None, None)]
+    cases = [text("a <", "|end|> b"), text("<", "|image|>"), text("<", "", None, "|turn|>", "<|", "text|>"), text("<") + image,
+             text("<") + image + text("|end|>"), image + text("|>"), text("\\", "<", "|"), text("|", "<"), text("<\\", "|")]
+    frame = spark.createDataFrame([(k, 0, "assistant", parts) for k, parts in enumerate(cases)],
+                                  f"conv_id long, turn long, role string, parts array<{chat.PART}>")
+    made = {r["conv_id"]: r for r in chat.read_back(chat.format_chat(frame, parts="parts")).collect()}
+    for k, parts in enumerate(cases):
+        # What the parts say, with the control strings of real placeholders only.
+        joined = "".join(p[1] or "" if p[0] == "text" else "\0" for p in parts)
+        escaped = joined.replace("\\", "\\\\").replace("<|", "<\\|").replace("\0", "<|image|>")
+        assert made[k]["formatted"] == f"<|turn|>assistant<|text|>{escaped}<|end|>"
+        assert made[k]["loss_text"] == joined.replace("\0", "<|image|>") and len(made[k]["turns"]) == 1
+        assert len(made[k]["attachments"]) == escaped.count("<|image|>")
+
+
+@given(st.lists(st.text("<|\\a", max_size=3), max_size=8))
+@settings(max_examples=5, deadline=None)
+def test_split_texts_read_as_one(spark, texts):
+    rows = [(1, 0, "user", [("text", t, None, None, None, None, None) for t in texts]),
+            (2, 0, "user", [("text", "".join(texts), None, None, None, None, None)])]
+    frame = spark.createDataFrame(rows, f"conv_id long, turn long, role string, parts array<{chat.PART}>")
+    one, two = (r["formatted"] for r in sorted(chat.format_chat(frame, parts="parts").collect()))
+    assert one == two
+
+
 def test_empty(spark):
     assert chat.format_chat(spark.createDataFrame([], TURNS)).collect() == []
 

@@ -66,6 +66,26 @@ def with_domain(spark):
         "domain", F.concat(F.lit("d"), F.length("source").cast("string")))
 
 
+def test_shortage_under_a_zero_weight_goes_on(spark):
+    rows = [(k, "d", x, y, n) for k, (x, y, n) in enumerate(
+        [("x", "p", 10)] * 9 + [("x", "q", 1)] * 10 + [("y", "r", 1)] * 1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, domain string, lang string, source string, n long")
+    got = mixing.mix(docs, LEVELS, {"d/x/p": 0}, 0.5, 1, tokens=F.col("n")).groupBy("lang", "source").agg(F.sum("n")).collect()
+    # Half of 1100 tokens: x can give no more than q's 10, so y gives 540.
+    assert sorted(map(tuple, got)) == [("x", "q", 10), ("y", "r", 540)]
+    none = mixing.mix(docs, LEVELS, {"d": 0}, 0.5, 1, tokens=F.col("n"))
+    assert none.count() == 0
+
+
+def test_null_is_no_name(spark):
+    names = [None, "(none)", "%null", "%25null", "a/b", "a%2Fb", ""]
+    rows = [(k, "d", "en", names[k % 7], 1) for k in range(70)]
+    docs = spark.createDataFrame(rows, "doc_id long, domain string, lang string, source string, n long")
+    weights = {"d/en/%null": 0, "d/en/a%2Fb": 0}
+    got = {r["source"] for r in mixing.mix(docs, LEVELS, weights, 1.0, 2, tokens=F.col("n")).collect()}
+    assert got == {"(none)", "%null", "%25null", "a%2Fb", ""}
+
+
 def test_against_the_definition(spark):
     docs = with_domain(spark)
     check(docs, {}, 0.5, 1)

@@ -14,9 +14,7 @@ def tokenizer():
     import public_tokenizers
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def check(placed, texts, tokenizer, capacity=packing.CAPACITY):
@@ -47,6 +45,13 @@ def test_odd_rows(spark, tokenizer):
     check(placed, [(r["doc_id"], r["text"]) for r in docs.collect()], tokenizer)
 
 
+def test_added_tokens_are_matched(spark, tokenizer):
+    texts = ["'s<|endoftext|></s>", "<|endoftext|>" * 3, " <|endoftext|> x", "<|endoftext|"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    check(packing.pack_documents(docs).collect(), list(enumerate(texts)), tokenizer)
+    assert packing.token_ids(texts[0], "byte_bpe_50k.tiktoken", 0).tolist()[1] == 50256
+
+
 def test_empty(spark):
     assert packing.pack_documents(empty(spark)).collect() == []
 
@@ -57,6 +62,7 @@ def test_given_documents(spark, tokenizer):
     used = check(placed.collect(), [(r["doc_id"], r["text"]) for r in docs.collect()], tokenizer)
     report = packing.bound_report(placed)
     assert report["sequences"] == used
+    assert placed.where("share_sequences < share_bound").count() == 0
     assert used <= report["bound"] + 1
 
 
@@ -103,7 +109,8 @@ def test_bound_sees_more_than_the_sum():
     assert packing.lower_bound(np.bincount([7] * 9, minlength=21), 20) == 5
 
 
-@given(st.text(max_size=60) | st.text("ab '\n\t!  <|endoftext|>'s'll9", max_size=60))
+@given(st.text(max_size=60) | st.text("ab '\n\t!  <|endoftext|>'s'll9", max_size=60) | st.lists(
+    st.sampled_from(["<|endoftext|>", "<|endoftext|", ">", " ", "\n", "'s", "</s>", "é", "word"]), max_size=9).map("".join))
 @settings(max_examples=300, deadline=None)
 def test_rank_file_gives_the_same_ids(tokenizer, text):
     got = packing.token_ids(text, "byte_bpe_50k.tiktoken", 0).tolist()
