@@ -182,8 +182,9 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, bins_per_share: int
     ``share_sequences`` what it has; the share is certified where they are equal.
 
     The first packing needs no shuffle: a partition packs what it holds, which leaves most sequences full. In each
-    exchange, the loose ones (those with a gap; from a certified share of an exchange, those with a 32nd of the capacity free) go as a whole to fewer shares, whose documents are packed anew; a share that gains nothing keeps its
-    sequences. It ends with a single share or when nothing is gained. An empty frame gives an empty result.
+    exchange, the loose ones (those with a gap; from a certified share of an exchange, those with a 32nd of the capacity
+    free) go as a whole to fewer shares, whose documents are packed anew; a share that gains nothing keeps its sequences.
+    It ends with a single share or when nothing is gained. An empty frame gives an empty result.
     """
     placed = cut(pieces.mapInArrow(_pack_partition(capacity), PLACED))
     parts, loose = [placed.where("not loose")], placed.where("loose")
