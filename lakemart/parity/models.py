@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import datetime, timezone
 from functools import cached_property, wraps
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,18 +17,24 @@ from lakemart.parity.row_level import AGE_SQL, ROLE_SQL, SQL_ID, TRIP_ID
 from lakemart.parity.storage import raw_crime_files, raw_taxi_files
 from lakemart.parity.views import Tables
 from lakemart.plans import crime, players, taxi, trip_facts, warehouse
-from lakemart.session import scratch_database, scratch_path
-from lakemart.sources.files import scan_csv
+from lakemart.session import ON_DROP, scratch_database, scratch_path
+from lakemart.sources.files import list_files, scan_csv
+from lakemart.sources.increments import append_new_keys, consume_files, consumed_path
 from lakemart.sources.sinks import keep_tables
 
 _RUNS: dict[tuple, dict[str, DataFrame]] = {}
+ON_DROP.append(_RUNS.clear)
 
 
 def one_run(build):
-    """A run from files whose tables several queries read: made once for a session and a folder of tables."""
+    """A run from files whose tables several queries read: made once for a session and the given tables' files as they are.
+
+    It is forgotten when the files change and when the scratch folder is dropped.
+    """
     @wraps(build)
     def tables(t: Tables) -> dict[str, DataFrame]:
-        key = (t.spark.sparkContext.applicationId, t.sf_dir, build.__name__)
+        files = tuple(sorted(map(tuple, list_files(t.spark, t.sf_dir, "*.parquet").collect())))
+        key = (t.spark.sparkContext.applicationId, t.sf_dir, files, build.__name__)
         if key not in _RUNS:
             _RUNS[key] = build(t)
         return _RUNS[key]
@@ -617,22 +624,50 @@ def _(t: Tables):
     return quality_report(crime.gold_tables(*silver, keep), crime.CRIME_CHECKS)
 
 
-@one_run
-def _crime_run(t: Tables) -> dict[str, DataFrame]:
-    """Two loads, each followed by a run: first the even ids of crimes and arrests, then the odd ones with the even again."""
-    raw, out = raw_crime_files(t), scratch_path(t.spark, "bronze")
-    silver, gold = scratch_database(t.spark), scratch_database(t.spark)
-    for load, parity in enumerate(("0", None)):
+def _loads(t: Tables, out: str, times: list[datetime]):
+    """Bronze loads, one after another: first the even ids of crimes and arrests, then the odd ones with the even again."""
+    raw = raw_crime_files(t)
+    for load, at in enumerate(times):
         half = scratch_path(t.spark, "half")
         for name, key in (("crimes", "ID"), ("arrests", "CB_NO")):
             rows = scan_csv(t.spark, f"{raw}/{name}", emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
-            kept = rows.filter(F.col(key).cast("long") % 2 == int(parity)) if parity else rows
+            kept = rows if load else rows.filter(F.col(key).cast("long") % 2 == 0)
             kept.write.options(header=True, quoteAll=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(f"{half}/{name}")
-        crime.load_bronze(t.spark, f"{half}/crimes", f"{half}/arrests", f"{raw}/iucr", out, datetime(2024, 5, 1, 12 + load))
+        crime.load_bronze(t.spark, f"{half}/crimes", f"{half}/arrests", f"{raw}/iucr", out, at)
+        yield load
+
+
+@one_run
+def _crime_run(t: Tables) -> dict[str, DataFrame]:
+    """Two loads, each followed by a run; the second is stamped earlier than the first."""
+    out, silver, gold = scratch_path(t.spark, "bronze"), scratch_database(t.spark), scratch_database(t.spark)
+    for _ in _loads(t, out, [datetime(2024, 5, 1, 12), datetime(2024, 5, 1, 11)]):
         tables = crime.run_crime(t.spark, out, silver, gold)
     return tables
 
 
+@query("run_crime_exactly_once", f"""SELECT crime_id, {TIME('crime_datetime')}, description, is_arrest, latitude FROM silver_crimes""")
+def _(t: Tables):
+    """Three loads of one time; the second increment breaks off after its write, before the stream has noted it."""
+    out, table = scratch_path(t.spark, "bronze"), f"{scratch_database(t.spark)}.silver_crimes"
+
+    def take(raw: DataFrame, number: int) -> None:
+        append_new_keys(crime.silver_crimes(raw), table, "crime_id", number)
+
+    def breaks_off(raw: DataFrame, number: int) -> None:
+        take(raw, number)
+        raise OSError("the driver is lost here")
+
+    for load in _loads(t, out, [datetime(2024, 5, 1, 12)] * 3):
+        if load == 1:
+            try:
+                consume_files(t.spark, f"{out}/crimes", consumed_path(t.spark, table), breaks_off)
+            except StreamingQueryException:
+                continue
+        consume_files(t.spark, f"{out}/crimes", consumed_path(t.spark, table), take)
+    return t.spark.table(table).select("crime_id", "crime_datetime", "description", "is_arrest", "latitude")
+
+
 @query("run_crime", DAILY_SQL)
 def _(t: Tables):
     return _crime_run(t)["agg_daily_crimes"]

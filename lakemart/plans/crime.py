@@ -15,6 +15,7 @@ from lakemart.operators.joins import join_key_and_day, join_multi_key, join_usin
 from lakemart.operators.quality import Check, checked
 from lakemart.operators.ranking import drop_duplicates, first_per_key
 from lakemart.sources.files import scan_csv, scan_recursive
+from lakemart.sources.increments import append_new_keys, consume_files, consumed_path
 from lakemart.sources.sinks import bronze_append, bronze_overwrite, keep_inline, keep_tables
 
 # Raw crime columns and the names they get.
@@ -195,32 +196,30 @@ def gold_tables(crimes: DataFrame, arrests: DataFrame, codes: DataFrame,
 
 
 def run_crime(spark: SparkSession, bronze: str, silver_layer: str = "silver", gold_layer: str = "gold",
-              strict: bool = False) -> dict[str, DataFrame]:
+              strict: bool = False, buckets: int = 8) -> dict[str, DataFrame]:
     """From the bronze folders to the gold tables, each model written once; ends with the data checks.
 
-    Crimes and arrests are appended to their silver tables: only rows whose load time is newer than the last run's are
-    read, and ids that are there already are left out. Codes and gold tables are replaced. ``strict`` raises on
-    violations, after the tables are written; otherwise ``checks`` holds the report.
+    Crimes and arrests are added to their silver tables: every bronze file is read once, whenever it was committed and
+    whatever its load time, and ids that are there already are left out; a run that breaks off is taken up again without
+    loss or repeats. Silver is bucketed by id. Codes and gold tables are replaced. ``strict`` raises on violations, after
+    the tables are written; otherwise ``checks`` holds the report.
     """
     keep = keep_tables(silver_layer)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {silver_layer}")
     crimes, arrests = (
-        _append_silver(scan_recursive(spark, f"{bronze}/{folder}"), f"{silver_layer}.silver_{folder}", build, key)
+        _consume_bronze(spark, f"{bronze}/{folder}", f"{silver_layer}.silver_{folder}", build, key, buckets)
         for folder, build, key in (("crimes", silver_crimes, "crime_id"), ("arrests", silver_arrests, "arrest_id")))
     codes = keep("silver_ucr_codes", silver_ucr_codes(scan_recursive(spark, f"{bronze}/iucr")))
     tables = gold_tables(crimes, arrests, codes, keep_tables(gold_layer))
     return checked(tables, CRIME_CHECKS, strict)
 
 
-def _append_silver(raw: DataFrame, name: str, build: Callable[[DataFrame], DataFrame], key: str) -> DataFrame:
-    """Append the typed new rows to a silver table, with the load time they came with."""
-    spark = raw.sparkSession
-    newest = raw.agg(F.max("load_timestamp")).first()[0]
-    if spark.catalog.tableExists(name):
-        last = spark.table(name).agg(F.max("load_timestamp")).first()[0]
-        new = raw.filter(F.col("load_timestamp") > F.lit(last)) if last is not None else raw
-        rows = build(new).join(spark.table(name).select(key), key, "left_anti")
-    else:
-        rows = build(raw)
-    rows.withColumn("load_timestamp", F.lit(newest)).write.mode("append").saveAsTable(name)
-    return spark.table(name).drop("load_timestamp")
+def _consume_bronze(spark: SparkSession, folder: str, name: str, build: Callable[[DataFrame], DataFrame], key: str,
+                    buckets: int) -> DataFrame:
+    """Add the typed rows of the bronze files that the silver table has not seen, with the newest load time among them."""
+    def take(raw: DataFrame, number: int) -> None:
+        newest = raw.agg(F.max("load_timestamp")).first()[0]
+        append_new_keys(build(raw).withColumn("load_timestamp", F.lit(newest)), name, key, number, buckets)
+
+    consume_files(spark, folder, consumed_path(spark, name), take)
+    return spark.table(name).drop("load_timestamp", "increment")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import SparkSession
 
@@ -81,8 +82,14 @@ def scratch_database(spark: SparkSession) -> str:
     return name
 
 
+#: Called by :func:`drop_scratch`, for what is remembered about scratch tables.
+ON_DROP: list[Callable[[], None]] = []
+
+
 def drop_scratch(spark: SparkSession) -> None:
     """Remove this application's scratch folders and databases; call it when the results that read them are done."""
+    for forget in ON_DROP:
+        forget()
     for name in _DATABASES.pop(spark.sparkContext.applicationId, set()):
         spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
     root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
