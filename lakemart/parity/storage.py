@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 from lakemart.operators import changes as chg
 from lakemart.operators.columns import provenance_columns
 from lakemart.operators.unions import union_by_name
-from lakemart.parity.registry import query
+from lakemart.parity.registry import query, rounded
 from lakemart.parity.relational import HOURLY_SQL, RUN_TIME, ZONE_DAYS_SQL, ZONE_SUMMARY_SQL
 from lakemart.parity.row_level import SQL_ID, TRIP_ID
 from lakemart.parity.views import Tables
@@ -314,10 +314,9 @@ def _(t: Tables):
 
 @query("restore_version", KEPT)
 def _(t: Tables):
-    current = _states(t)[-1]
-    back = chg.table_changes(current, chg.rows_as_of(_history(t), _moment("2024-05-01 12:00:00")))
-    removed, added = (back.filter(F.col("action") == a).select(*TRIP_ROWS) for a in ("DELETE", "INSERT"))
-    return chg.insert_rows(current.exceptAll(removed), added)
+    history = _history(t)
+    back = chg.restore_version(history, _moment("2024-05-01 12:00:00"), _moment("2024-05-01 15:00:00"))
+    return chg.rows_as_of(history.unionByName(back), _moment("2024-05-01 15:00:00"))
 
 
 @query("version_changes", f"""SELECT {SQL_ID}, pu_location_id, fee, taxi_type, 'DELETE' AS action, TRUE AS is_update FROM trips WHERE {CHANGED}
@@ -331,13 +330,16 @@ def _(t: Tables):
 @query("consume_changes", f"""SELECT CAST(s_suppkey AS BIGINT) AS order_key, 'INSERT' AS action, 1 AS position FROM supplier
     UNION ALL SELECT s_suppkey, 'DELETE', 2 FROM supplier UNION ALL SELECT s_suppkey + 1000000, 'INSERT', 2 FROM supplier""")
 def _(t: Tables):
-    log = scratch_path(t.spark, "log")
+    """Every position is consumed twice, and the second one breaks off once after its write."""
+    log = f"{scratch_database(t.spark)}.log"
     first = _trip_table(t)
     second = chg.insert_rows(first, _suppliers(t))
-    third = chg.update_rows(second, F.col("taxi_type") == "new", {"order_key": F.col("order_key") + 1_000_000})
-    for position, (old, new) in enumerate(((first, second), (second, third)), 1):
-        chg.changes_to_log(old, new, position).write.mode("append").parquet(log)
-    return t.spark.read.parquet(log).select("order_key", "action", "position")
+    states = [first, second, chg.update_rows(second, F.col("taxi_type") == "new", {"order_key": F.col("order_key") + 1_000_000})]
+    for position in (1, 1, 2, 2):
+        chg.consume_changes(t.spark, states.__getitem__, position, log)
+    again = chg.table_changes(states[1], states[2])  # as a run does that never saw its own write
+    chg.log_changes(again, log, 2)
+    return t.spark.table(log).select("order_key", "action", "position")
 
 
 @query("guarded_insert", """SELECT o_orderkey, o_custkey, o_totalprice FROM orders
@@ -360,8 +362,24 @@ def _(t: Tables):
 
 @query("hourly_increment", f"{HOURLY_SQL} UNION ALL {HOURLY_SQL.replace(RUN_TIME, '2024-05-01 13:00:00')}")
 def _(t: Tables):
+    """Each period is run twice."""
     trips = t.trips().withColumn("pickup_hour", F.hour("pickup_datetime"))
     table = f"{scratch_database(t.spark)}.stats"
-    for hour in (12, 13):
-        chg.append_hourly_stats(trips, table, datetime(2024, 5, 1, hour, tzinfo=timezone.utc))
-    return t.spark.table(table)
+    for hour in (12, 13, 12, 13):
+        chg.save_hourly_stats(trips, table, datetime(2024, 5, 1, hour, tzinfo=timezone.utc))
+    return t.spark.table(table).select("ts", "pickup_hour", "total_trips", "avg_trip_distance", "avg_total_amount")
+
+
+@query("hourly_history", f"""SELECT strftime(pickup_datetime, '%Y-%m-%d') AS "day", pickup_hour, count(*) AS total_trips,
+    round(avg(trip_distance), 4) AS avg_trip_distance, round(avg(total_amount), 4) AS avg_total_amount,
+    count(DISTINCT vendor_id) AS distinct_values FROM prepared GROUP BY ALL""")
+def _(t: Tables):
+    """Three loads; the second is run twice, and the third brings trips of days that the others have already."""
+    trips = t.trips().withColumn("pickup_hour", F.hour("pickup_datetime"))
+    table = f"{scratch_database(t.spark)}.states"
+    part = F.pmod(F.xxhash64("order_key", "part_key"), F.lit(3))
+    for load in (0, 1, 1, 2):
+        chg.save_hourly_states(trips.filter(part == load), table, f"load {load}")
+    return rounded(chg.finished_hourly_stats(t.spark.table(table)), "avg_trip_distance", "avg_total_amount")
+
+

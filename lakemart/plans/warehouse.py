@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lakemart.functions.scalars import hour_of, trip_category
 from lakemart.operators.aggregates import hourly_stats, zone_averages
-from lakemart.operators.changes import append_hourly_stats, changes_to_log
+from lakemart.operators.changes import log_changes, save_hourly_stats, table_changes
 from lakemart.operators.columns import add_columns, conform, rename_columns, snake_case_columns
 from lakemart.operators.filters import filter_valid_trips
 from lakemart.operators.joins import join_zones
@@ -49,8 +49,9 @@ def run_warehouse(spark: SparkSession, yellow_paths: Sequence[str], green_paths:
                   position, at=None) -> dict[str, DataFrame]:
     """From files to the tables of ``layer``: per colour enriched, preprocessed, averaged and hourly figures; all trips.
 
-    Each run appends its hourly figures to their history and, under the caller's ``position``, what changed in all trips
-    since the run before to ``all_trips_changes``; the other tables are replaced.
+    Each run adds its hourly figures to their history, under its time ``at``, and what changed in all trips since the run
+    before to ``all_trips_changes``, under the caller's ``position``; both replace what an earlier try of the same run left.
+    The other tables are replaced.
     """
     keep = keep_tables(layer)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
@@ -63,11 +64,11 @@ def run_warehouse(spark: SparkSession, yellow_paths: Sequence[str], green_paths:
         ready = keep(f"{colour}_preprocessed", preprocessed(out[f"{colour}_enriched"]))
         out[f"{colour}_preprocessed"] = ready
         out[f"{colour}_zone_aggregated"] = keep(f"{colour}_zone_aggregated", zone_aggregated(ready))
-        append_hourly_stats(ready, f"{layer}.{colour}_hourly_stats", at)
+        save_hourly_stats(ready, f"{layer}.{colour}_hourly_stats", at)
         out[f"{colour}_hourly_stats"] = spark.table(f"{layer}.{colour}_hourly_stats")
     both = all_trips(out["yellow_enriched"], out["green_enriched"])
     known = spark.catalog.tableExists(f"{layer}.all_trips")
     before = conform(spark.table(f"{layer}.all_trips"), both.schema) if known else spark.createDataFrame([], both.schema)
-    changes_to_log(before, both, position).write.mode("append").saveAsTable(f"{layer}.all_trips_changes")
+    log_changes(table_changes(before, both), f"{layer}.all_trips_changes", position)
     save_table(both, f"{layer}.all_trips")
     return out | {n: spark.table(f"{layer}.{n}") for n in ("all_trips", "all_trips_changes")}

@@ -71,12 +71,91 @@ def test_states_of_the_past(table):
     assert rows(chg.rows_as_of(history, F.lit("2024-01-02").cast("timestamp"))) == rows(table)
 
 
-def test_log_of_changes(spark, table, folder):
-    log = folder("log")
-    states = [table, chg.insert_rows(table, spark.createDataFrame([(50,)], "id int")), table]
-    for position, (old, new) in enumerate(zip(states, states[1:]), 1):
-        chg.changes_to_log(old, new, position).write.mode("append").parquet(log)
-    assert rows(spark.read.parquet(log), "id", "action", "position") == [(50, "DELETE", 2), (50, "INSERT", 1)]
+@pytest.mark.parametrize("key", [(), ("id",)])
+def test_digests_give_the_same_changes(spark, key):
+    old = spark.createDataFrame([(i % 40, f"n{i % 7}", None if i % 5 == 0 else float(i % 3)) for i in range(400)], DDL)
+    new = chg.update_rows(old.filter("id <> 3"), F.col("id") == 5, {"name": F.lit("new")}).unionAll(old.filter("id = 9"))
+    expected = rows(chg.table_changes(old, new, key, buckets=0))
+    assert len(expected) == 40 and expected == rows(chg.table_changes(old, new, key, buckets=16))
+    assert rows(chg.table_changes(old, new, key)) == expected
+    # One value for another, twice each: no sum of counts can tell.
+    pair = spark.createDataFrame([(1, "a", 0.0)] * 2, DDL)
+    other = spark.createDataFrame([(1, "b", -0.0)] * 2, DDL)
+    assert chg.table_changes(pair, other, key, buckets=1).count() == 4
+    assert chg.table_changes(pair, pair.withColumn("price", -F.col("price")), key).count() == 0
+
+
+def shuffled_rows(df):
+    """Rows that the exchanges of an executed frame wrote, one number each."""
+    out, open_ = [], [df._jdf.queryExecution().executedPlan()]
+    while open_:
+        node = open_.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            open_.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            open_.append(node.plan())
+        else:
+            if kind == "ShuffleExchangeExec":
+                out.append(node.metrics().apply("shuffleRecordsWritten").value())
+            children = node.children()
+            open_ += [children.apply(k) for k in range(children.size())]
+    return out
+
+
+def test_what_is_shuffled_follows_the_change(spark):
+    old = spark.range(50_000).select("id", F.md5(F.col("id").cast("string")).alias("v"))
+    new = old.filter("id <> 17").withColumn("v", F.when(F.col("id") == 4711, "x").otherwise(F.col("v")))
+    changes = chg.table_changes(old, new, buckets=512)
+    assert sorted((r["id"], r["action"]) for r in changes.collect()) == [(17, "DELETE"), (4711, "DELETE"), (4711, "INSERT")]
+    written = sorted(shuffled_rows(changes))
+    assert 512 <= written[-1] <= 16 * 512  # a digest for each bucket and task
+    assert written[-2] < 2_500  # rows of three of 512 buckets, twice
+
+
+def test_many_renamed_columns_are_planned(spark):
+    wide = spark.range(20).select(*[(F.col("id") + k).alias(f"c{k}") for k in range(60)])
+    changes = chg.table_changes(wide, wide.filter("c0 <> 3"))
+    assert rows(changes.toDF(*[f"d{k}" for k in range(62)]).filter("d1 > 0"), "d0", "d60") == [(3, "DELETE")]
+
+
+def test_log_holds_each_position_once(spark, table, folder, monkeypatch):
+    spark.sql(f"CREATE DATABASE logs LOCATION '{folder('logs')}'")
+    more = chg.insert_rows(table, spark.createDataFrame([(50,)], "id int"))
+    states = [table, more, table, table, chg.insert_rows(more, spark.createDataFrame([(51,)], "id int"))]
+    expected = [(50, "INSERT", 1), (50, "DELETE", 2), (50, "INSERT", 4), (51, "INSERT", 4)]
+
+    def run(position):
+        return chg.consume_changes(spark, states.__getitem__, position, "logs.log")
+
+    assert [run(1), run(1), run(2), run(3), run(1)] == [True, False, True, False, False]
+    write, failures = chg.replace_partitions, iter([True])
+
+    def breaks_off(*args):
+        write(*args)
+        if next(failures, False):
+            raise OSError("after the write")
+
+    monkeypatch.setattr(chg, "replace_partitions", breaks_off)
+    with pytest.raises(OSError):
+        run(4)
+    assert run(4) is False
+    chg.log_changes(chg.table_changes(states[3], states[4]), "logs.log", 4)  # a run that never saw its write
+    assert rows(spark.table("logs.log"), "id", "action", "position") == sorted(expected, key=str)
+    spark.sql("DROP DATABASE logs CASCADE")
+
+
+def test_restore_is_a_change(table):
+    gone = chg.delete_rows(table, F.col("id") < 3)
+
+    def at(text):
+        return F.lit(f"2024-01-01 {text}").cast("timestamp")
+
+    history = chg.table_changes(table.limit(0), table).withColumn("changed_at", at("12:00:00")).unionByName(
+        chg.table_changes(table, gone).withColumn("changed_at", at("13:00:00")))
+    after = history.unionByName(chg.restore_version(history, at("12:30:00"), at("14:00:00")))
+    assert rows(chg.rows_as_of(after, at("14:00:00"))) == rows(table)
+    assert rows(chg.rows_as_of(after, at("13:30:00"))) == rows(gone)
 
 
 def test_guarded_rows(spark, table):
@@ -100,7 +179,20 @@ def test_guarded_rows(spark, table):
 
 def test_hourly_history(spark):
     trips = spark.createDataFrame([(8, 1.0, 2.0), (8, 3.0, 4.0)], "pickup_hour int, trip_distance double, total_amount double")
-    for hour in (9, 10):
-        chg.append_hourly_stats(trips, "hourly_history", datetime(2024, 1, 1, hour, tzinfo=timezone.utc))
+    for hour in (9, 10, 9):
+        chg.save_hourly_stats(trips, "hourly_history", datetime(2024, 1, 1, hour, tzinfo=timezone.utc))
     assert rows(spark.table("hourly_history"), "pickup_hour", "total_trips", "avg_trip_distance") == [(8, 2, 2.0)] * 2
     assert spark.table("hourly_history").select("ts").distinct().count() == 2
+
+
+def test_states_of_loads_are_merged(spark):
+    ddl = "pickup_hour int, trip_distance double, total_amount double, vendor_id int, pickup_datetime timestamp"
+    first = [(8, 1.0, 2.0, 1, datetime(2024, 1, 1, 8)), (8, None, 4.0, 2, datetime(2024, 1, 1, 8)), (None, 9.0, 9.0, 9, datetime(2024, 1, 1, 8))]
+    late = [(8, 5.0, 6.0, 1, datetime(2024, 1, 1, 8)), (9, 1.0, 1.0, 1, datetime(2024, 1, 2, 9))]
+    for load, trips in (("a", first), ("b", late), ("a", first)):
+        chg.save_hourly_states(spark.createDataFrame(trips, ddl), "hourly_states", load)
+    by_day = chg.finished_hourly_stats(spark.table("hourly_states"))
+    assert rows(by_day, F.date_format("day", "MM-dd"), "pickup_hour", "total_trips", "avg_trip_distance", "avg_total_amount", "distinct_values") == [
+        ("01-01", 8, 3, 3.0, 4.0, 2), ("01-02", 9, 1, 1.0, 1.0, 1)]
+    by_hour = chg.finished_hourly_stats(spark.table("hourly_states"), ["pickup_hour"])
+    assert rows(by_hour, "pickup_hour", "total_trips") == [(8, 3), (9, 1)]
