@@ -2,9 +2,10 @@
 
 Random projections give a first graph: within a bucket of a table, every vector keeps its nearest neighbours. Rounds of
 neighbours-of-neighbours joins look for links that the graph does not connect yet, until no list changes. Lists that are
-full of links are saturated; a second list holds the nearest neighbours outside the vector's component, and for counting
-they are enlarged to the whole component, which is compared block by block. A
-recall audit against brute force on a fixed number of vectors decides whether further tables are needed.
+full of links are saturated: a second list holds the nearest neighbours outside the vector's component, and for counting
+they are enlarged to the whole component, which is compared block by block. A recall audit against brute force on a fixed
+number of vectors decides whether further tables are needed, with lists of twice the length; beyond a number of tables, all
+vectors are compared block by block.
 """
 
 from __future__ import annotations
@@ -18,15 +19,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lakemart.llm.common import cut
-from lakemart.llm.components import connected_components
+from lakemart.llm.components import connected_components, union
 
 THRESHOLD = 0.9
 #: Similarity from which a pair is an edge of the neighbour graph, and edges that a vector keeps in each of its lists.
 EXPLORE, NEIGHBOURS = 0.6, 8
+#: Up to where saturated lists are enlarged; beyond it there are more tables, and in the end the exact way.
+LONGEST = 64
 #: Tables made at a time, and vectors that a bucket is meant to hold.
 TABLES, BUCKET = 12, 256
 #: Vectors that meet in one task: parts of a bucket, and of a component.
 PART = 1024
+#: Links that one task labels; more are labelled by joins. Two longs each, so a few megabytes.
+SMALL = 1 << 17
 #: Vectors that the audit compares with all others: 64 dimensions make half a megabyte.
 AUDIT = 1024
 
@@ -128,9 +133,10 @@ def _in_bucket(threshold: float, explore: float, neighbours: int):
 
 def bucket_edges(nodes: DataFrame, count: int, first_table: int, tables: int, threshold: float, explore: float,
                  neighbours: int) -> DataFrame:
-    """Edges from ``tables`` tables of random projections; buckets larger than a part are compared by pairs of parts, so
-    that all vectors of a bucket meet and a task holds two parts at most."""
-    bits = max(1, int(np.ceil(np.log2(max(2, count / BUCKET)))))
+    """Edges from ``tables`` tables of random projections, for ``count`` vectors; buckets larger than a part are compared by
+    pairs of parts, so that all vectors of a bucket meet and a task holds two parts at most. With a count of 1 there is one
+    bucket, and all vectors meet."""
+    bits = 0 if count < 2 else max(1, int(np.ceil(np.log2(max(2, count / BUCKET)))))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -231,59 +237,104 @@ def count_links(nodes: DataFrame, component: DataFrame, threshold: float) -> Dat
             .groupBy("node").agg(F.sum("linked").alias("linked")))
 
 
-def _audit(labelled: DataFrame, among: DataFrame, threshold: float, sample: int) -> list[tuple[int, int]]:
-    """For a fixed number of vectors of ``among``: links that the components hold, and all links by brute force.
+def label(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """node, component (the smallest node reachable) of the given links, which must be written already."""
+    if links.count() > SMALL:
+        return connected_components(links, a, b)
 
-    The sample (smallest hashes) goes to every task, where it meets the vectors in blocks: work in proportion to them.
-    """
-    chosen = among.orderBy(F.xxhash64("node", F.lit(99)), "node").limit(sample).collect()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs = [(batch[0].to_numpy(), batch[1].to_numpy()) for batch in batches if batch.num_rows]
+        if pairs:
+            i, j = (np.concatenate(side) for side in zip(*pairs, strict=True))
+            node, at = np.unique(np.concatenate([i, j]), return_inverse=True)
+            roots = union(np.arange(len(node)), at[:len(i)], at[len(i):])
+            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(node[roots])], ["node", "component"])
+
+    return links.select(a, b).coalesce(1).mapInArrow(run, "node long, component long")
+
+
+def relabel(component: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after new links: these only join roots, so the graph to label has a node for each component they touch."""
+    of = component.select(F.col("node").alias("a"), F.col("component").alias("ca"))
+    ends = links.join(of, "a", "left").join(of.select(F.col("a").alias("b"), F.col("ca").alias("cb")), "b", "left")
+    ends = cut(ends.select("a", "b", F.coalesce("ca", "a").alias("ra"), F.coalesce("cb", "b").alias("rb")))
+    joined = cut(label(cut(ends.select("ra", "rb").where("ra <> rb").distinct()), "ra", "rb")).select(
+        F.col("node").alias("root"), F.col("component").alias("now"))
+    # Vectors that had no link so far are their own roots.
+    alone = ends.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("ra").alias("component")),
+                                          F.struct(F.col("b").alias("node"), F.col("rb").alias("component")))).alias("e"))
+    every = component.unionByName(alone.select("e.*").where("node = component").distinct()).distinct()
+    return every.join(joined, every["component"] == joined["root"], "left").select(
+        "node", F.coalesce("now", "component").alias("component"))
+
+
+def _samples(labelled: DataFrame, sample: int, kinds: list[bool]) -> dict[int, tuple[np.ndarray, ...]]:
+    """By dimension: unit vectors, nodes, components and whether they are in a crowd; for each kind (in a crowd or not, or
+    not in one) the ``sample`` vectors with the smallest hashes."""
+    chosen = {}
+    for outside in kinds:
+        among = labelled.where("not crowd") if outside else labelled
+        chosen |= {r["node"]: r for r in among.orderBy(F.xxhash64("node", F.lit(99)), "node").limit(sample).collect()}
     by_size: dict[int, tuple[np.ndarray, ...]] = {}
-    for size in {len(r["vector"]) for r in chosen}:
-        rows = [r for r in chosen if len(r["vector"]) == size]
+    for size in {len(r["vector"]) for r in chosen.values()}:
+        rows = [r for r in chosen.values() if len(r["vector"]) == size]
         by_size[size] = (matrix(pa.array([r["vector"] for r in rows], pa.list_(pa.float64()))),
-                         np.array([r["node"] for r in rows]), np.array([r["component"] for r in rows]))
+                         *(np.array([r[c] for r in rows]) for c in ("node", "component", "crowd")))
+    return by_size
+
 
+def _audit(labelled: DataFrame, by_size: dict[int, tuple[np.ndarray, ...]],
+           threshold: float) -> list[tuple[bool, int, int]]:
+    """For the sampled vectors: whether in a crowd, links that the components hold, and all links by brute force.
+
+    The sample goes to every task, where it meets the vectors in blocks: work in proportion to them.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes = np.diff(batch["vector"].offsets.to_numpy())
             for size in np.unique(sizes):
                 if int(size) not in by_size:
                     continue
-                q, node, own = by_size[int(size)]
+                q, node, own, crowd = by_size[int(size)]
                 at = pa.array(np.flatnonzero(sizes == size))
                 near = q @ matrix(batch["vector"].take(at)).T >= threshold
                 near &= node[:, None] != batch["node"].take(at).to_numpy()[None, :]
                 held = near & (own[:, None] == batch["component"].take(at).to_numpy()[None, :])
                 some = near.any(axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(node[some]), pa.array(held.sum(axis=1)[some]),
-                                                  pa.array(near.sum(axis=1)[some])], ["node", "held", "total"])
+                yield pa.RecordBatch.from_arrays([pa.array(node[some]), pa.array(crowd[some]), pa.array(held.sum(axis=1)[some]),
+                                                  pa.array(near.sum(axis=1)[some])], ["node", "crowd", "held", "total"])
 
-    found = labelled.mapInArrow(run, "node long, held long, total long").groupBy("node")
-    return [(r[1], r[2]) for r in found.agg(F.sum("held"), F.sum("total")).collect()]
+    found = labelled.mapInArrow(run, "node long, crowd boolean, held long, total long").groupBy("node")
+    return [tuple(r)[1:] for r in found.agg(F.first("crowd"), F.sum("held"), F.sum("total")).collect()]
 
 
-def _labelled(nodes: DataFrame, component: DataFrame) -> DataFrame:
-    return nodes.join(component, "node", "left").select(
+def _labelled(nodes: DataFrame, component: DataFrame, large: int) -> DataFrame:
+    """Nodes with their component and whether it has more than ``large`` members, written."""
+    crowds = cut(component.groupBy("component").count().where(F.col("count") > large).select(
+        "component", F.lit(True).alias("crowd")))
+    every = nodes.join(component, "node", "left").select(
         "node", "vector", F.coalesce("component", "node").alias("component"))
+    return cut(every.join(crowds, "component", "left").withColumn("crowd", F.coalesce("crowd", F.lit(False))))
 
 
 def audit_recall(nodes: DataFrame, component: DataFrame, threshold: float, sample: int = AUDIT) -> tuple[int, int]:
     """Links of a fixed number of vectors that the components hold, and all their links by brute force."""
-    labelled = _labelled(nodes, component)
-    found = _audit(labelled, labelled, threshold, sample)
-    return sum(held for held, _ in found), sum(total for _, total in found)
+    labelled = _labelled(nodes, component, BUCKET)
+    found = _audit(labelled, _samples(labelled, sample, [False]), threshold)
+    return sum(held for _, held, _ in found), sum(total for *_, total in found)
 
 
 def vector_recalls(nodes: DataFrame, component: DataFrame, threshold: float, sample: int = AUDIT,
                    large: int = BUCKET) -> list[float]:
     """The mean share of a vector's links that the components hold: over a sample of all vectors, and over one of those
-    outside components of more than ``large`` members, if there are such. Vectors without links do not count."""
-    labelled = _labelled(nodes, component)
-    crowds = cut(component.groupBy("component").count().where(F.col("count") > large).select("component"))
-    among = [labelled] + ([labelled.join(crowds, "component", "left_anti").select("node", "vector", "component")]
-                          if crowds.head(1) else [])
-    found = [_audit(labelled, vectors, threshold, sample) for vectors in among]
-    return [float(np.mean([held / total for held, total in f])) if f else 1.0 for f in found]
+    outside components of more than ``large`` members. Vectors without links do not count.
+
+    The first sample counts all vectors that either chose, so that one pass serves both.
+    """
+    labelled = _labelled(nodes, component, large)
+    found = _audit(labelled, _samples(labelled, sample, [False, True]), threshold)
+    return [float(np.mean([held / total for _, held, total in f])) if f else 1.0
+            for f in (found, [x for x in found if not x[0]])]
 
 
 def usable(vector: Column) -> Column:
@@ -302,9 +353,9 @@ def linked_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "e
     Repeated ids are rows of their own; a null id is a member without ever being the component_id, unless there is no
     other. ``kept``: the id is the component_id. Other columns are not read; an empty table gives no rows.
 
-    Tables are added until the audit finds ``recall`` of a vector's links in the mean, over all vectors and over those
-    outside large components; it is an error if ``max_tables`` do not reach it. Within a component all links are
-    found, so a link can only be lost between components.
+    Tables are added, and lists doubled, until the audit finds ``recall`` of a vector's links in the mean, over all vectors
+    and over those outside large components; if ``max_tables`` do not reach it, all vectors are compared by pairs of parts,
+    which misses nothing. Within a component all links are found, so a link can only be lost between components.
     """
     # Floats are moved as they are, half the size of doubles; cosines are computed in doubles.
     floats = rows.schema[vector_col].dataType.simpleString() == "array<float>"
@@ -314,38 +365,38 @@ def linked_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "e
     nodes = cut(base.where("usable").groupBy("vector").agg(
         F.min("uid").alias("node"), F.count("*").alias("copies"), F.min("id").alias("first_id")))
     count = nodes.count()
-    edges, links, tables = None, None, 0
+    edges, tables = None, 0
     component = rows.sparkSession.createDataFrame([], "node long, component long")
     while count > 1:
-        found = cut(bucket_edges(nodes, count, tables, TABLES, threshold, explore, neighbours))
+        whole = tables >= max_tables  # the exact way: one bucket, whose parts are compared by pairs
+        found = cut(bucket_edges(nodes, 1 if whole else count, tables, 1 if whole else TABLES, threshold, explore, neighbours))
+        near = cut(found.where(F.col("cosine") >= threshold).select(
+            F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        component = cut(label(near) if edges is None else relabel(component, near))
+        if whole:
+            break
         tables += TABLES
-        near = found.where(F.col("cosine") >= threshold).select("a", "b")
-        links = cut((links.unionByName(near) if links is not None else near)
-                    .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-        component = cut(connected_components(links))
         edges = cut(keep_nearest(found if edges is None else found.unionByName(edges), component, neighbours))
         while True:
             new = cut(descend(nodes, edges, component, explore))
             more = new.where(F.col("cosine") >= threshold).select("a", "b")
             linked = bool(more.head(1))
             if linked:
-                links = cut(links.unionByName(more).distinct())
-                component = cut(connected_components(links))
+                component = cut(relabel(component, more))
+            elif not new.head(1):
+                break
             before, edges = edges, cut(keep_nearest(edges.unionByName(new), component, neighbours))
             # Lists only get nearer while the components stay, so this ends.
             if not linked and not edges.join(before, ["a", "b"], "left_anti").head(1):
                 break
-        recalls = vector_recalls(nodes, component, threshold)
-        if min(recalls) >= recall:
+        if min(vector_recalls(nodes, component, threshold)) >= recall:
             break
-        if tables >= max_tables:
-            raise RuntimeError(f"{tables} tables hold {min(recalls):.4f} of a vector's links, less than {recall}")
-    counted = cut(count_links(nodes, component, threshold))
-    named = cut(nodes.select("node", "vector", "copies", "first_id").join(component, "node", "left")
-                .withColumn("component", F.coalesce("component", "node")))
+        neighbours = min(2 * neighbours, LONGEST)  # full lists hid something; others hold no more than they have
+    named = cut(nodes.join(component, "node", "left").join(count_links(nodes, component, threshold), "node", "left").select(
+        "vector", "first_id", F.coalesce("component", "node").alias("component"),
+        (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
     roots = cut(named.groupBy("component").agg(F.min("first_id").alias("component_id")))
-    facts = cut(named.join(roots, "component").join(counted, "node", "left").select(
-        "vector", "component_id", (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
+    facts = named.join(roots, "component").select("vector", "component_id", "n_links")
     joined = base.join(facts, base["usable"] & (base["vector"] == facts["vector"]), "left")
     component_id = F.when(F.col("usable"), F.col("component_id")).otherwise(F.col("id"))
     return joined.select(
