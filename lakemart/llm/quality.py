@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from lakemart.llm.common import cut
+from lakemart.llm.common import cut, stored
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 SYMBOLS = b"#*$%&|<>"
@@ -168,11 +168,12 @@ def quality_report(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` that :func:`quality_report` keeps, unchanged.
+    """The rows of ``docs`` that :func:`quality_report` keeps, unchanged; edge cases as there.
 
-    Texts are measured twice, for the model and for the choice, which spares a shuffle of the texts.
+    Texts are measured once: votes are written with the rows that pass the base rules, and the model then picks among these.
     """
-    model = fit_votes(docs.select(stats(F.col("text")).alias("s")).select("s.votes"))
-    row = docs.select(F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row"), stats(docs["text"]).alias("s"))
-    good = ~_base_failed("s.") & (model.posterior(F.col("s.votes")) >= threshold)
-    return row.where(good).select("row.*")
+    row = F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row")
+    measured = docs.select(row, stats(docs["text"]).alias("s"))
+    written = stored(measured.select(F.when(~_base_failed("s."), F.col("row")).alias("row"), "s.votes"), "quality-votes")
+    model = fit_votes(written)
+    return written.where(F.col("row").isNotNull() & (model.posterior(F.col("votes")) >= threshold)).select("row.*")
