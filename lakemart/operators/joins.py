@@ -10,10 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from math import ceil
 from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from lakemart.operators.columns import quoted
 
@@ -32,6 +34,50 @@ def deal_out(left: DataFrame, right: DataFrame, salts: int) -> tuple[DataFrame,
     return left.withColumn(SALT, dealt), right.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
 
 
+#: Share of a side's rows from which a key counts as hot, and keys that each task's sketch has room for.
+HOT_SHARE, TRACKED = 0.01, 4096
+
+
+def _key_hash(df: DataFrame, on: Sequence[str], types: Mapping[str, DataType]) -> Column:
+    """One number for a row's key, the same on both sides of a join: key columns in the left side's types."""
+    return F.xxhash64(*[quoted(c).cast(types[c]) for c in on])
+
+
+def hot_keys(df: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> dict[int, int]:
+    """Hashes of the keys that hold ``share`` of the rows or more, with how many times that share each holds, rounded up.
+
+    One pass over the key columns. Each task keeps a frequent-items sketch and sends nothing else, so no key is brought
+    together anywhere; the sketches find every key over one in about ``TRACKED`` rows. The answer has 1 / share keys at most.
+    """
+    most = max(1, int(1 / share))
+    types = {c: df.schema[c].dataType for c in on}
+    counted = df.select(_key_hash(df, on, types).alias("h")).agg(
+        F.count("*").alias("n"), F.expr(f"approx_top_k(h, {most}, {max(TRACKED, 4 * most)})").alias("top")).first()
+    least = max(2.0, share * counted["n"])
+    return {r["item"]: ceil(r["count"] / least) for r in counted["top"] or [] if r["count"] > least}
+
+
+def deal_out_hot(left: DataFrame, right: DataFrame, on: Sequence[str], share: float = HOT_SHARE
+                 ) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides, and the columns to join them on: rows of a hot key of ``left`` get one of as many salts as the key needs,
+    and the rows of ``right`` with that key, and no others, are repeated for each. Without hot keys, the sides as they are.
+
+    Salts depend on the row and its partition's number only, as in :func:`deal_out`.
+    """
+    hot = hot_keys(left, on, share)
+    if not hot:
+        return left, right, list(on)
+    types = {c: left.schema[c].dataType for c in on}
+    table = F.create_map(*[F.lit(x) for pair in hot.items() for x in pair])
+
+    def salts(df: DataFrame) -> Column:
+        return F.coalesce(F.try_element_at(table, _key_hash(df, on, types)), F.lit(1))
+
+    dealt = F.pmod(F.xxhash64(F.spark_partition_id(), *map(quoted, left.columns)), salts(left)).cast("int")
+    return (left.withColumn(SALT, dealt),
+            right.withColumn(SALT, F.explode(F.sequence(F.lit(0), salts(right) - 1))), [*on, SALT])
+
+
 def lookup(df: DataFrame, key: str, names: Mapping[str, str], key_as: str, key_type: str = "bigint") -> DataFrame:
     """A lookup cut to its key (cast so that bad text matches nothing) and renamed payload columns."""
     return df.select(quoted(key).try_cast(key_type).alias(key_as),
@@ -57,16 +103,20 @@ def join_dimensions_inner(facts: DataFrame, dimension: DataFrame, dimension_key:
 
 
 def join_multi_key(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left",
-                   salts: int = 1) -> DataFrame:
+                   salts: int = 1, hot_share: float | None = None) -> DataFrame:
     """Equi join on several columns.
 
-    ``salts`` > 1 spreads each key of ``left`` over that many tasks and repeats the rows of ``right``
-    accordingly: for a right side that is too large to broadcast and keys that are known to be hot.
+    For a right side that is too large to broadcast, and hot keys: with ``hot_share``, the keys that hold that share of
+    ``left`` are found first, by a pass over its key columns, and only they are dealt out, with only their rows of ``right``
+    repeated. ``salts`` > 1 deals every key out over that many tasks without a pass, and repeats all of ``right``.
     """
-    if salts == 1:
+    if salts == 1 and hot_share is None:
         return left.join(right, list(on), how)
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"salting cannot repeat the right side of a {how} join")
+    if hot_share is not None:
+        salted, repeated, keys = deal_out_hot(left, right, on, hot_share)
+        return salted.join(repeated, keys, how).drop(SALT)
     salted, repeated = deal_out(left, right, salts)
     return salted.join(repeated, [*on, SALT], how).drop(SALT)
 
@@ -101,14 +151,15 @@ def join_group_metrics(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
 
 
 def interval_join(left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str,
-                  minutes: int = 5, salts: int = 1) -> DataFrame:
+                  minutes: int = 5, salts: int = 1, hot_share: float | None = None) -> DataFrame:
     """Inner join of two event sets: same key, times at most ``minutes`` apart, both ends included.
 
     Joining on the key alone would compare every pair of a key's events, so both sides also get a time
     bucket twice as wide as the tolerance: a right row lies in one bucket, a left row reaches into two.
     Each match meets exactly once. Works for batch and, given watermarks on both sides, for
     streaming frames: the time-range condition stays in the join, and bounds the state.
-    ``salts`` spreads a bucket that is itself too hot.
+    ``salts`` spreads a bucket that is itself too hot. For batch frames, ``hot_share`` finds the keys and buckets that hold
+    that share of ``right``, and deals out only these.
     """
     width = 2 * 60 * minutes
     tolerance = F.expr(f"INTERVAL {minutes} MINUTES")
@@ -118,7 +169,9 @@ def interval_join(left: DataFrame, right: DataFrame, key: str, left_time: str, r
     spread_left = left.withColumn("_bucket", F.explode(F.sequence(first, last)))
     spread_right = right.withColumn("_bucket", F.floor(F.unix_timestamp(quoted(right_time)) / width))
     on = ["_bucket", key]
-    if salts > 1:
+    if hot_share is not None:
+        spread_right, spread_left, on = deal_out_hot(spread_right, spread_left, on, hot_share)
+    elif salts > 1:
         spread_right, spread_left = deal_out(spread_right, spread_left, salts)
         on.append(SALT)
     spread_right = spread_right.withColumnsRenamed({c: f"_right_{c}" for c in on})

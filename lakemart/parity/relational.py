@@ -120,6 +120,30 @@ def _(t: Tables):
     return ev.join_activity(t.transactions(), t.activity(), salts=3).select(*INTERVAL_OUT)
 
 
+@query("interval_join_hot_user", f"""SELECT transaction_id, event_id, t.user_id
+    FROM (SELECT * REPLACE (CASE WHEN CAST(transaction_id AS BIGINT) % 3 = 0 THEN 'busy' ELSE user_id END AS user_id) FROM transactions) t
+    JOIN (SELECT * REPLACE (CASE WHEN CAST(event_id AS BIGINT) % 3 = 0 THEN 'busy' ELSE user_id END AS user_id) FROM activity) a
+    ON a.user_id = t.user_id AND a."timestamp" BETWEEN t."timestamp" - INTERVAL 5 MINUTES AND t."timestamp" + INTERVAL 5 MINUTES""")
+def _(t: Tables):
+    """A third of all events are one user's; the spans of time that are hot with them are found, not given."""
+    def busy(df, key: str):
+        return df.withColumn("user_id", F.when(F.col(key).cast("long") % 3 == 0, "busy").otherwise(F.col("user_id")))
+
+    joined = ev.join_activity(busy(t.transactions(), "transaction_id"), busy(t.activity(), "event_id"), hot_share=0.0005)
+    return joined.select("transaction_id", "event_id", "user_id")
+
+
+@query("join_hot_keys", """SELECT l_orderkey, l_linenumber, c_name FROM (
+        SELECT *, CASE WHEN l_linenumber = 1 THEN 7 WHEN l_linenumber = 2 THEN NULL ELSE l_suppkey END AS k FROM lineitem)
+    LEFT JOIN customer ON c_custkey = k""")
+def _(t: Tables):
+    """Some key holds a fourth of all rows, and NULL another; nobody says which."""
+    k = F.when(F.col("l_linenumber") == 1, 7).when(F.col("l_linenumber") != 2, F.col("l_suppkey"))
+    left = t.table("lineitem").select("l_orderkey", "l_linenumber", k.alias("k"))
+    right = t.table("customer").select(F.col("c_custkey").cast("int").alias("k"), "c_name")
+    return joins.join_multi_key(left, right, ["k"], hot_share=joins.HOT_SHARE).drop("k")
+
+
 # New rows: a third known, a third changed, a third with a NULL (known but for it), every fifth twice.
 NEW_ROWS_SQL = """SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 2 THEN NULL ELSE o_custkey END AS o_custkey,
         o_totalprice + CASE WHEN o_orderkey % 3 = 1 THEN 1 ELSE 0 END AS o_totalprice

@@ -58,6 +58,27 @@ def test_interval_join_edges(spark):
     assert len(interval_case(spark, [("u", 1, T0)], right)) == 3
 
 
+def test_hot_keys_are_found_and_only_they_are_repeated(spark):
+    # Keys 0 and NULL hold a third of the rows each; the other third are 2 000 keys. Types differ between the sides.
+    left = spark.range(6_000).select(F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 3 == 1, F.col("id")).alias("k"),
+                                     F.col("id").cast("string").alias("v")).repartition(6)
+    right = spark.range(0, 6_000, 2).select(F.col("id").cast("int").alias("k"), F.col("id").alias("w"))
+    found = joins.hot_keys(left, ["k"], 0.1)
+    assert sorted(found.values()) == [4, 4]
+    dealt, repeated, on = joins.deal_out_hot(left, right, ["k"], 0.1)
+    assert on == ["k", joins.SALT]
+    assert repeated.count() == right.count() + 3  # the one row of key 0, four times
+    assert dealt.filter("k = 0").select(joins.SALT).distinct().count() == 4
+    assert dealt.filter(f"k > 0 AND {joins.SALT} > 0").count() == 0
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        assert rows(joins.join_multi_key(left, right, ["k"], how, hot_share=0.1)) == rows(left.join(right, "k", how))
+    even = spark.range(1_000).withColumnRenamed("id", "k")
+    assert joins.hot_keys(even, ["k"]) == {} and joins.hot_keys(even.limit(0), ["k"]) == {}
+    assert joins.deal_out_hot(even, right, ["k"])[2] == ["k"]
+    with pytest.raises(ValueError, match="full"):
+        joins.join_multi_key(left, right, ["k"], "full", hot_share=0.1)
+
+
 @pytest.mark.parametrize("salts", [1, 4])
 def test_interval_join_with_hot_user(spark, salts):
     rng = random.Random(7)
@@ -67,6 +88,7 @@ def test_interval_join_with_hot_user(spark, salts):
                  T0 + timedelta(microseconds=rng.randrange(7_200_000_000))) for i in range(n)]
 
     assert interval_case(spark, events(300), events(400), salts=salts)
+    assert interval_case(spark, events(300), events(400), hot_share=0.05)
 
 
 def test_salted_join_equals_plain_for_hot_key(spark):
