@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+import json
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.fs
+import pyarrow.parquet as pq
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -61,27 +65,79 @@ def _merged_schema(spark: SparkSession, files: Sequence[str]) -> StructType | No
         return None
 
 
-def schema_groups(spark: SparkSession, files: Sequence[str]) -> list[tuple[StructType, list[str]]]:
-    """Files by schema: within a group, columns may be missing but none has two types.
+#: Where Spark's writer leaves the schema in a Parquet footer.
+SPARK_SCHEMA = b"org.apache.spark.sql.parquet.row.metadata"
+
+
+def _footers() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Each file's schema as text, from its footer alone; null where only Spark can open the file."""
+    def signature(path: str) -> str | None:
+        try:
+            system, name = pyarrow.fs.FileSystem.from_uri(path)
+            with system.open_input_file(name) as file:
+                schema = pq.read_schema(file)
+        except (OSError, ValueError):  # also what pyarrow raises for a scheme that it does not know
+            return None
+        own = (schema.metadata or {}).get(SPARK_SCHEMA)
+        return own.decode() if own else str(schema.remove_metadata())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = pa.array([signature(p) for p in batch["path"].to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([batch["number"], texts], ["number", "signature"])
+
+    return run  # travels by value, so workers need not have this package
 
-    Footers are read on the executors, many files a job. Files that do not agree are halved until they do, so a drift
-    over time costs a few jobs for each change, not one for each file; then groups that agree are put together.
+
+def footer_census(spark: SparkSession, files: Sequence[str]) -> tuple[list[tuple[StructType, list[str]]], list[str]]:
+    """Files by the exact schema in their footers, and the files whose footers only Spark can open.
+
+    One job reads all footers on the executors, whatever order the schemas come in; files that Spark did not write cost one
+    more, small, for each schema.
     """
-    schema = _merged_schema(spark, files)
-    if schema is not None:
-        return [(schema, list(files))]
-    half = len(files) // 2
-    groups: list[tuple[StructType, list[str]]] = []
-    for found, own in schema_groups(spark, files[:half]) + schema_groups(spark, files[half:]):
-        for k, (known, others) in enumerate(groups):
+    listed = spark.createDataFrame(list(enumerate(files)), "number int, path string")
+    found: dict[str | None, list[str]] = {}
+    for number, signature in listed.mapInArrow(_footers(), "number int, signature string").collect():
+        found.setdefault(signature, []).append(files[number])
+    unread = found.pop(None, [])
+    return [(StructType.fromJson(json.loads(signature)) if signature.startswith("{") else
+             spark.read.parquet(own[0]).schema, own) for signature, own in found.items()], unread
+
+
+def _agreeing(groups: Iterable[tuple[StructType, list[str]]]) -> list[tuple[StructType, list[str]]]:
+    """Groups of files put together as long as no column has two types."""
+    out: list[tuple[StructType, list[str]]] = []
+    for found, own in groups:
+        for k, (known, others) in enumerate(out):
             types = {f.name: f.dataType for f in known}
             if all(types.get(f.name, f.dataType) == f.dataType for f in found):
                 wider = StructType([*known, *(f for f in found if f.name not in types)])
-                groups[k] = (wider, others + own)
+                out[k] = (wider, others + own)
                 break
         else:
-            groups.append((found, own))
-    return groups
+            out.append((found, own))
+    return out
+
+
+def _halved(spark: SparkSession, files: Sequence[str]) -> list[tuple[StructType, list[str]]]:
+    """Files by schema, halved until Spark can merge each part: a few jobs for each change of the schema."""
+    if not files:
+        return []
+    schema = _merged_schema(spark, files)
+    if schema is not None:
+        return [(schema, list(files))]
+    half = len(files) // 2
+    return _agreeing(_halved(spark, files[:half]) + _halved(spark, files[half:]))
+
+
+def schema_groups(spark: SparkSession, files: Sequence[str]) -> list[tuple[StructType, list[str]]]:
+    """Files by schema: within a group, columns may be missing but none has two types.
+
+    A census of the footers tells the schemas apart in one job; where only Spark can open the files, Spark's own merge does,
+    over halves of the files until they agree.
+    """
+    known, unread = footer_census(spark, files)
+    return _agreeing(known + _halved(spark, unread))
 
 
 def scan_drifted(spark: SparkSession, paths: str | Iterable[str], target: StructType) -> DataFrame:

@@ -1,4 +1,6 @@
 import gzip
+import os
+import uuid
 from datetime import datetime
 from pathlib import Path
 
@@ -73,6 +75,60 @@ def test_drifted_folders_share_scans(spark, folder):
     assert got._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 2
 
 
+def interleaved(spark, folder, count):
+    """Files whose schemas take turns: whole numbers, doubles, and one without the column."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    os.makedirs(folder("f"))
+    for k in range(count):
+        columns = {"id": pa.array([k], pa.int64())}
+        if k % 3 < 2:
+            columns["n"] = pa.array([k], pa.int64() if k % 3 == 0 else pa.float64())
+        pq.write_table(pa.table(columns), folder("f", f"{k:04}.parquet"))
+    return [f"file://{folder('f')}/{k:04}.parquet" for k in range(count)]
+
+
+def jobs_of(spark, run):
+    """What ``run`` returns, and the number of Spark jobs that it took."""
+    group = f"census-{uuid.uuid4()}"
+    spark.sparkContext.setJobGroup(group, "counted")
+    try:
+        out = run()
+        return out, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+
+
+def test_interleaved_schemas_cost_a_few_jobs(spark, folder):
+    names = interleaved(spark, folder, 500)
+    groups, jobs = jobs_of(spark, lambda: files.schema_groups(spark, names))
+    assert jobs <= 4  # the census, and one for each schema that Spark did not write
+    assert sorted(len(own) for _, own in groups) == [167, 333]
+    target = StructType.fromDDL("id bigint, n double")
+    got = files.scan_drifted(spark, folder("f"), target)
+    assert rows(got) == sorted(((k, float(k) if k % 3 < 2 else None) for k in range(500)), key=str)
+
+
+def test_files_that_only_spark_opens(spark, folder, monkeypatch):
+    names = interleaved(spark, folder, 7)
+    target = StructType.fromDDL("id bigint, n double")
+    expected = rows(files.scan_drifted(spark, folder("f"), target))
+    monkeypatch.setattr(files, "footer_census", lambda _, paths: ([], list(paths)))
+    assert rows(files.scan_drifted(spark, folder("f"), target)) == expected and len(expected) == 7
+    assert sorted(f for _, own in files.schema_groups(spark, names) for f in own) == names
+    unknown = spark.createDataFrame([(0, "viewfs://store/a.parquet"), (1, folder("f", "none.parquet"))], "number int, path string")
+    assert rows(unknown.mapInArrow(files._footers(), "number int, signature string")) == [(0, None), (1, None)]
+
+
+def test_schemas_of_spark_writers_need_no_more_jobs(spark, folder):
+    for k in range(4):
+        spark.range(1).selectExpr("id", f"cast(1 as {'bigint' if k % 2 else 'double'}) as n").coalesce(1).write.parquet(folder("s", str(k)))
+    names = files.data_files(spark, folder("s"))
+    groups, jobs = jobs_of(spark, lambda: files.schema_groups(spark, names))
+    assert jobs == 1 and sorted(len(own) for _, own in groups) == [2, 2]
+
+
 def test_csv_dialect(spark, folder):
     put(folder("z", "a.csv.gz"), 'id|name|note\n1| x |"a|b"\n2|y\n3|z|n|surplus\n')
     got = files.scan_csv_dialect(spark, folder("z"), "id int, name string, note string", sep="|")
