@@ -103,6 +103,18 @@ def _(t: Tables):
     return files.scan_years(t.spark, root, years, StructType.fromDDL(ORDERS_DDL), skip=(1996, 1999))
 
 
+@query("scan_days", """SELECT o_orderkey, o_totalprice, strftime(o_orderdate, '%Y-%m') AS month FROM orders
+    WHERE year(o_orderdate) = 1996 AND month(o_orderdate) <= 3""")
+def _(t: Tables):
+    """Orders by year; the days come from a calendar table, whose filter prunes the years."""
+    root = scratch_path(t.spark, "by-year")
+    orders = t.table("orders").select("o_orderkey", "o_totalprice", F.col("o_orderdate").cast("timestamp_ntz").alias("ordered"))
+    sinks.write_by_year(orders, f"{root}/orders", "ordered")
+    orders.select(F.to_date("ordered").alias("date")).distinct().withColumn("quarter", F.quarter("date")).write.parquet(f"{root}/days")
+    days = t.spark.read.parquet(f"{root}/days").filter("quarter = 1 AND year(date) = 1996").withColumn("month", F.date_format("date", "yyyy-MM"))
+    return files.scan_days(t.spark.read.parquet(f"{root}/orders"), days, "ordered").select("o_orderkey", "o_totalprice", "month")
+
+
 @query("scan_glob", f"{ORDERS_SQL} WHERE year(o_orderdate) BETWEEN 1996 AND 1998")
 def _(t: Tables):
     return files.scan_glob(t.spark, f"{_by_year(t)[0]}/199[6-8]", StructType.fromDDL(ORDERS_DDL))
@@ -146,6 +158,25 @@ def _(t: Tables):
     return files.bulk_load(files.scan_csv(t.spark, path), StructType.fromDDL("id long, amount double, absent string"))
 
 
+@query("load_or_quarantine", """SELECT CASE WHEN o_orderkey % 11 = 0 THEN 'malformed line' WHEN o_orderkey % 9 = 0 AND o_orderkey % 5 = 0 THEN 'not a bigint, not a double'
+        WHEN o_orderkey % 9 = 0 THEN 'not a bigint' WHEN o_orderkey % 5 = 0 THEN 'not a double' ELSE 'loaded' END AS status,
+    CASE WHEN o_orderkey % 11 <> 0 AND o_orderkey % 9 = 0 THEN 'bad' || CAST(o_orderkey AS VARCHAR) END AS value,
+    CASE WHEN o_orderkey % 11 <> 0 AND o_orderkey % 9 <> 0 AND o_orderkey % 5 <> 0 THEN o_orderkey END AS id FROM orders""")
+def _(t: Tables):
+    """Orders as lines of text: some ids and amounts are no numbers, some lines have a field too many."""
+    path, key = scratch_path(t.spark, "load"), F.col("o_orderkey")
+    line = F.concat_ws(",", F.when(key % 9 == 0, F.concat(F.lit("bad"), key)).otherwise(key.cast("string")),
+                       F.when(key % 5 == 0, "dear").otherwise(F.col("o_totalprice").cast("string")), F.when(key % 11 == 0, "surplus"))
+    t.table("orders").select(line.alias("value")).write.text(f"{path}/in")
+    rows = files.scan_csv_lines(t.spark, f"{path}/in", ["id", "amount"], header="false")
+    loaded, kept = files.load_or_quarantine(rows, StructType.fromDDL("id long, amount double"), f"{path}/out")
+    none = F.lit(None)
+    return loaded.select(F.lit("loaded").alias("status"), none.cast("string").alias("value"), "id").unionByName(kept.select(
+        F.when(F.array_contains("problems.reason", "malformed line"), "malformed line").otherwise(F.array_join("problems.reason", ", "))
+        .alias("status"), F.when(~F.array_contains("problems.reason", "malformed line"), F.get(F.filter(
+            "problems", lambda p: p["column"] == "id"), F.lit(0))["value"]).alias("value"), none.cast("long").alias("id")))
+
+
 @query("load_report", """SELECT count(*) AS rows_parsed, count(*) FILTER (WHERE o_orderkey % 9 <> 0) AS rows_loaded,
     count(*) FILTER (WHERE o_orderkey % 9 = 0) AS rows_rejected FROM orders""")
 def _(t: Tables):
@@ -166,7 +197,7 @@ def _(t: Tables):
 @query("write_report", "SELECT o_custkey, count(*) AS orders FROM orders GROUP BY 1")
 def _(t: Tables):
     path = scratch_path(t.spark, "report")
-    sinks.write_parquet(t.table("orders").groupBy("o_custkey").agg(F.count("*").alias("orders")), path)
+    sinks.write_report(t.table("orders").groupBy("o_custkey").agg(F.count("*").alias("orders")), path)
     return t.spark.read.parquet(path)
 
 

@@ -15,7 +15,7 @@ from lakemart.operators.joins import join_zones
 from lakemart.operators.unions import union_tagged
 from lakemart.sources.files import scan_csv, scan_drifted
 from lakemart.sources.schemas import trip_renames, trip_schema
-from lakemart.sources.sinks import write_parquet
+from lakemart.sources.sinks import write_report
 
 
 def unify_trips(yellow: DataFrame, green: DataFrame) -> DataFrame:
@@ -64,7 +64,7 @@ def run_zone_reports(spark: SparkSession, yellow_folders: list[str], green_folde
     try:
         for name, report in zone_reports(totals).items():
             paths[name] = f"{out}/{name}/{run_date.isoformat()}"
-            write_parquet(report, paths[name])
+            write_report(report, paths[name])
     finally:
         totals.unpersist()
     return paths

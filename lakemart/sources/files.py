@@ -12,7 +12,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from lakemart.operators.columns import conform, quoted, unify_schema
 
@@ -40,6 +40,17 @@ def scan_glob(spark: SparkSession, pattern: str, schema: StructType | None = Non
     return scan_parquet(spark, pattern, schema)
 
 
+def scan_days(facts: DataFrame, days: DataFrame, time: str, year: str = "year", date: str = "date") -> DataFrame:
+    """The rows of a table partitioned by ``year`` that fall on the given days, with the days' other columns.
+
+    The join is on the year too, so that a filter on the days prunes the years that are read while the query runs; ``days``
+    has one row per date. Rows without a time fall on no day.
+    """
+    calendar = days.withColumn("_day", quoted(date)).withColumn("_year", F.year(quoted(date))).drop(date)
+    same = (facts[year] == calendar["_year"]) & (F.to_date(facts[time]) == calendar["_day"])
+    return facts.join(calendar, same).drop("_day", "_year")
+
+
 def scan_recursive(spark: SparkSession, root: str, schema: StructType | None = None) -> DataFrame:
     return scan_parquet(spark, root, schema, recursiveFileLookup="true")
 
@@ -202,6 +213,58 @@ def bulk_load(df: DataFrame, target: StructType, on_error: str = "continue") ->
     return conform(df.filter(~_misfits(df, target)), target)
 
 
+#: Column that holds a line which is no row of its file, as it stands there.
+MALFORMED = "_corrupt_record"
+
+
+def scan_csv_lines(spark: SparkSession, paths: str | Iterable[str], columns: Sequence[str], **options) -> DataFrame:
+    """CSV with a header and known columns, every column as text; a line with too few or too many fields is kept whole in
+    :data:`MALFORMED`, which is NULL for all others."""
+    schema = StructType([StructField(c, StringType()) for c in (*columns, MALFORMED)])
+    settings = {"header": "true", **options, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED}
+    reader = spark.read.options(**settings)
+    return reader.schema(schema).csv(_list(paths))
+
+
+def load_or_quarantine(df: DataFrame, target: StructType, path: str) -> tuple[DataFrame, DataFrame]:
+    """Split read rows, in one pass and one write, into those that fit a declared table and those that do not.
+
+    The first frame has the target's columns. The second has ``problems``, an array of (column, value, reason), and
+    ``row``, the whole row as JSON text; a malformed line (see :func:`scan_csv_lines`) has no column and is its own value.
+    Every row is in exactly one of them. Both are read from ``path``, where other columns of ``df`` are not kept.
+    """
+    spark, by_name = df.sparkSession, {c.lower(): c for c in df.columns}
+
+    def problem(bad: Column, column: str | None, value: Column, reason: str) -> Column:
+        return F.when(bad, F.struct(F.lit(column).cast("string").alias("column"), value.cast("string").alias("value"),
+                                    F.lit(reason).alias("reason")))
+
+    found = [problem(quoted(MALFORMED).isNotNull(), None, quoted(MALFORMED), "malformed line")] * (MALFORMED in df.columns)
+    for f in target:
+        if (source := by_name.get(f.name.lower())) is not None:
+            value = quoted(source)
+            misfit = value.isNotNull() & value.try_cast(f.dataType).isNull()
+            found.append(problem(misfit, f.name, value, f"not a {f.dataType.simpleString()}"))
+        if not f.nullable:
+            missing = F.lit(True) if source is None else quoted(source).isNull()
+            found.append(problem(missing, f.name, F.lit(None), "missing"))
+    problems = F.filter(F.array(*found), lambda p: p.isNotNull()) if found else F.expr(
+        "cast(array() as array<struct<column: string, value: string, reason: string>>)")
+    whole = [quoted(c) for c in df.columns if c != MALFORMED]
+    fitted = conform(df, target).schema
+    # Names of the target may be those of the source, so both travel in structs of their own.
+    split = df.select(problems.alias("problems"), F.to_json(F.struct(*whole)).alias("row"), F.struct(*[
+        F.lit(None).cast(f.dataType).alias(f.name) if (source := by_name.get(f.name.lower())) is None
+        else quoted(source).try_cast(f.dataType).alias(f.name) for f in fitted]).alias("fitted"))
+    good = F.size("problems") == 0
+    split.select(F.when(good, F.col("fitted")).alias("fitted"), F.when(~good, F.col("problems")).alias("problems"),
+                 F.when(~good, F.col("row")).alias("row"), good.alias("loaded")
+                 ).write.mode("overwrite").partitionBy("loaded").parquet(path)
+    kept = f"fitted {fitted.simpleString()}, problems array<struct<column: string, value: string, reason: string>>, row string"
+    written = spark.read.schema(f"{kept}, loaded boolean").parquet(path)
+    return written.filter("loaded").select("fitted.*"), written.filter("NOT loaded").select("problems", "row")
+
+
 def load_report(df: DataFrame, target: StructType) -> DataFrame:
     """``(file, rows_parsed, rows_loaded, rows_rejected)`` of what :func:`bulk_load` makes of a frame read from files."""
     bad = _misfits(df, target)

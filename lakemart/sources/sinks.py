@@ -16,6 +16,17 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_b
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
+def write_by_year(df: DataFrame, path: str, time: str, mode: str = "overwrite") -> None:
+    """One folder per year of an event time, for readers that want some years only (see ``files.scan_days``)."""
+    write_parquet(df.withColumn("year", F.year(F.col(f"`{time}`"))), path, mode, ["year"])
+
+
+def write_report(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """As few files as the measured size asks for: a small report is one file, a large one is many of the session's
+    advisory size. Nothing but the last, small shuffle of a small report goes through one task."""
+    df.hint("rebalance").write.mode(mode).parquet(path)
+
+
 def save_table(df: DataFrame, name: str, path: str | None = None, file_format: str = "parquet",
                mode: str = "overwrite") -> None:
     """Save as a named catalog table, at an external path if one is given."""

@@ -1,4 +1,5 @@
 import gzip
+import json
 import os
 import uuid
 from datetime import datetime
@@ -314,3 +315,61 @@ def test_zone_report_run_from_drifting_files(spark, folder):
     assert got == [("One", 2, 100.0, 0.0), (None, 1, 0.0, 100.0)]
     assert rows(spark.read.parquet(paths["zone_days_statistic"])) == [("Sunday", "One", 2, 100.0), ("Sunday", None, 1, 100.0)]
     assert paths["zone_statistic"].endswith("zone_statistic/2024-05-01")
+
+
+def test_quarantine_holds_what_is_not_loaded(spark, folder):
+    put(folder("q", "a.csv"), "ID,amount,note\n1,1.5,a\nx,y,b\n3\n4,,c\n5,2.5,d,surplus\n,1,e\n")
+    read = files.scan_csv_lines(spark, folder("q"), ["ID", "amount", "note"])
+    target = StructType.fromDDL("id bigint NOT NULL, amount double, absent string")
+    loaded, kept = files.load_or_quarantine(read, target, folder("out"))
+    assert loaded.dtypes == [("id", "bigint"), ("amount", "double"), ("absent", "string")]
+    assert rows(loaded) == [(1, 1.5, None), (4, None, None)]
+    got = {json.loads(r["row"]).get("ID"): [tuple(p) for p in r["problems"]] for r in kept.collect()}
+    assert got == {"x": [("id", "x", "not a bigint"), ("amount", "y", "not a double")],
+                   "3": [(None, "3", "malformed line")], "5": [(None, "5,2.5,d,surplus", "malformed line")],
+                   None: [("id", None, "missing")]}
+    assert loaded.count() + kept.count() == read.count() == 6
+    plan = loaded._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(loaded" in plan
+
+
+def test_only_the_years_asked_for_are_read(spark, folder):
+    trips = spark.range(4_000).select("id", F.expr("timestamp_ntz'2018-01-01 05:00:00' + make_interval(0, 0, 0, int(id))").alias("at"))
+    sinks.write_by_year(trips.unionByName(spark.createDataFrame([(-1, None)], "id long, at timestamp_ntz")), folder("t"), "at")
+    spark.range(4_000).select(F.expr("date'2018-01-01' + int(id)").alias("date")).write.parquet(folder("d"))
+    days = spark.read.parquet(folder("d")).filter("date BETWEEN '2021-12-30' AND '2022-01-02'").withColumn("name", F.date_format("date", "EEE"))
+    got = files.scan_days(spark.read.parquet(folder("t")), days, "at")
+    assert sorted((r["at"].year, r["name"]) for r in got.collect()) == [(2021, "Fri"), (2021, "Thu"), (2022, "Sat"), (2022, "Sun")]
+    assert "dynamicpruning" in got._jdf.queryExecution().executedPlan().toString()
+    read = [n.metrics().apply("numPartitions").value() for n in nodes(got) if n.metrics().contains("numPartitions")
+            and n.metrics().apply("numPartitions").value()]
+    assert read == [2]  # of twelve
+
+
+def nodes(df):
+    """The nodes of an executed plan."""
+    open_ = [df._jdf.queryExecution().executedPlan()]
+    while open_:
+        node = open_.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            open_.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            open_.append(node.plan())
+        else:
+            yield node
+            children = node.children()
+            open_ += [children.apply(k) for k in range(children.size())]
+
+
+def test_reports_have_as_many_files_as_their_size_asks_for(spark, folder):
+    sinks.write_report(spark.range(100).repartition(7), folder("small"))
+    assert len(list(Path(folder("small")).glob("part-*"))) == 1
+    limit = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        wide = spark.range(40_000).select("id", F.sha2(F.col("id").cast("string"), 512).alias("v")).repartition(2)
+        sinks.write_report(wide, folder("large"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", limit)
+    assert len(list(Path(folder("large")).glob("part-*"))) >= 3
