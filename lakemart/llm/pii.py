@@ -90,7 +90,7 @@ def find_pii(docs: DataFrame, threshold: float = 0.5, into: str = "pii") -> Data
     span. Words within 40 code points before and 20 behind a match raise or lower its score by 0.2.
 
     A null or empty text has no spans. Other columns pass through (one named as ``into`` is replaced); repeated rows are
-    treated alike; very long texts are searched whole.
+    treated alike; very long texts are searched whole; an empty table gives no rows.
     """
     row = docs.select(F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row"),
                       text_or_empty("text").alias("t"))

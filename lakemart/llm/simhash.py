@@ -198,7 +198,8 @@ def near_duplicates(docs: DataFrame, words: int = 4, radius: int = 4) -> DataFra
 
     Null, empty and white-space texts have fingerprint zero and link like any other; a text with fewer words than a
     shingle is one shingle. Repeated rows appear as often as they come. Null doc_ids are members, but never the
-    component_id unless a component has no other. Further columns are not read; an empty table gives no rows.
+    component_id unless a component has no other. Texts of any length are read whole. Further columns are not read; an
+    empty table gives no rows.
     """
     prints = cut(fingerprints(docs, words))
     found = near_components(prints, radius)
