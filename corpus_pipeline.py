@@ -2,6 +2,9 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a frame that is written as Parquet and read again as the next one's
 ``docs``; all but the last return the columns of ``documents``.
+
+Stages take null and repeated ids, null, empty and very long texts and empty tables: empty tables give no rows, other cases
+are those of the operator that a stage calls. Further columns pass through all stages but the last.
 """
 
 from __future__ import annotations

@@ -62,6 +62,7 @@ def trip_renames(colour: str) -> dict[str, str]:
             fee: "fee"}
 
 
+# Columns of the zone lookup and of the two event streams.
 ZONE_LOOKUP = StructType([*_fields(LongType, "LocationID"), *_fields(StringType, "Borough", "Zone", "service_zone")])
 
 TRANSACTIONS = StructType([
@@ -83,7 +84,7 @@ PLAYER_TYPES = {"player_id": "int", "club_team_id": "int", "league_id": "int", "
 COACH_TYPES = {"coach_id": "int", "nationality_id": "int", "dob": "date"}
 TEAM_TYPES = {"team_id": "int", "league_id": "int", "nationality_id": "int", "coach_id": "int"}
 
-# The unified trip table of the warehouse plan.
+# Columns of the unified trip table of the warehouse plan, in its order.
 ALL_TRIPS_COLUMNS = (
     "pickup_zone", "passenger_count", "congestion_surcharge", "tolls_amount", "tip_amount", "mta_tax", "fee",
     "dropoff_datetime", "improvement_surcharge", "do_location_id", "pickup_datetime", "vendor_id",
