@@ -4,17 +4,19 @@ Paragraphs are lines. Their signatures are banded, lines that meet in a band are
 their word shingles, and linked ones form components of which one member stays. Whole texts are compared for equality,
 so copies of any length meet. As a passage may also begin or end within a line, word windows that start at
 content-chosen places are compared for equality; any run of SURE_WORDS words that two texts share holds at least one
-such window in common.
+such window in common. Equal windows outside removed lines and texts grow to the whole run of words that they are part
+of.
 """
 
 from __future__ import annotations
 
 import functools
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from xxhash import xxh64_intdigest
@@ -104,8 +106,9 @@ def band_keys(grams: np.ndarray, start: np.ndarray, stop: np.ndarray, bands: int
 
 
 def units(text: str, bands: int, shortest: int) -> tuple[np.ndarray, ...] | None:
-    """kind, start, stop (code points), words, two content hashes and band keys of a text's lines and windows and of
-    the text itself."""
+    """A text's lines and windows and the text itself: kind, start, stop (code points), words, number of the first word,
+    code points of the CHOICE words before and after a window, rows back to the line that a window lies in (or 0), rows
+    ahead to the text, two content hashes and band keys."""
     data = text.encode().lower()
     words = data.split()
     n = len(words)
@@ -133,17 +136,28 @@ def units(text: str, bands: int, shortest: int) -> tuple[np.ndarray, ...] | None
 
     # A window that would leave the text is moved back to its last words.
     at = np.unique(np.minimum(anchors(grams), n - WINDOW_WORDS)) if n >= WINDOW_WORDS else place[:0]
+    row = np.arange(len(keys) + len(at) + 1)
+    inside = np.zeros(len(row), int)
+    if len(keys) and len(at):
+        holder = np.maximum(np.searchsorted(start, at, "right") - 1, 0)
+        held = (start[holder] <= at) & (at + WINDOW_WORDS <= stop[holder])
+        inside[len(keys):-1] = np.where(held, row[len(keys):-1] - holder, 0)
     start, stop = np.concatenate([start, at, [0]]), np.concatenate([stop, at + WINDOW_WORDS, [n]])
     kind = np.repeat([LINE, WINDOW, TEXT], [len(keys), len(at), 1])
-    return kind, begin[start], end[stop - 1], stop - start, run(start, stop), run(start, stop, 1), keys
+    reach = np.where(kind == WINDOW, CHOICE, 0)
+    before = begin[start] - begin[np.maximum(start - reach, 0)]
+    after = end[np.minimum(stop + reach, n) - 1] - end[stop - 1]
+    return (kind, begin[start], end[stop - 1], stop - start, start, before, after, inside, row[::-1],
+            run(start, stop), run(start, stop, 1), keys)
 
 
-UNITS = "doc_id long, text_hash long, kind int, start long, stop long, words long, c1 long, c2 int, bands array<long>"
+UNITS = ("doc_id long, text_hash long, kind int, start long, stop long, words long, at int, before int, after int, "
+         "inside int, ahead int, c1 long, c2 int, bands array<long>")
 
 
 def text_units(docs: DataFrame, bands: int, shortest: int) -> DataFrame:
     """All lines and windows of all texts and the texts, with a number ``uid``; written once to the shared folder."""
-    names = ("kind", "start", "stop", "words")
+    longs, ints = ("start", "stop", "words"), ("at", "before", "after", "inside", "ahead")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -152,16 +166,16 @@ def text_units(docs: DataFrame, bands: int, shortest: int) -> DataFrame:
             if not found:
                 continue
             row = pa.array(np.concatenate([np.full(len(u[0]), k) for k, u in found]))
-            column = [np.concatenate([u[k] for _, u in found]) for k in range(len(names) + 2)]
+            column = [np.concatenate([u[k] for _, u in found]) for k in range(11)]
             sizes = np.where(column[0] == LINE, bands, 0)
-            flat = np.concatenate([u[6].ravel() for _, u in found])
+            flat = np.concatenate([u[11].ravel() for _, u in found])
             offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
             yield pa.RecordBatch.from_arrays([
                 batch["doc_id"].take(row), batch["text_hash"].take(row), pa.array(column[0].astype(np.int32)),
-                *(pa.array(c.astype(np.int64)) for c in column[1:4]), pa.array(column[4].view(np.int64)),
-                pa.array((column[5] >> np.uint64(33)).astype(np.int32)),
+                *(pa.array(c.astype(np.int64)) for c in column[1:4]), *(pa.array(c.astype(np.int32)) for c in column[4:9]),
+                pa.array(column[9].view(np.int64)), pa.array((column[10] >> np.uint64(33)).astype(np.int32)),
                 pa.ListArray.from_arrays(offsets, pa.array(flat.view(np.int64)))],
-                ["doc_id", "text_hash", *names, "c1", "c2", "bands"])
+                ["doc_id", "text_hash", "kind", *longs, *ints, "c1", "c2", "bands"])
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                          F.xxhash64(F.col("text").cast("string")).alias("text_hash"))
@@ -250,19 +264,121 @@ def _near_lines(docs: DataFrame, lines: DataFrame, threshold: float, band_limit:
     return contents.join(component, "node").select("c1", "c2", "component")
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """uid and text of the wanted stretches (uid, low, high) of each text."""
+    for batch in batches:
+        for text, wanted in zip(batch["text"], batch["wanted"], strict=True):
+            text = text.as_py()
+            spans = wanted.values
+            uid, low, high = (spans.field(name) for name in ("uid", "low", "high"))
+            for k in range(0, len(spans), 4096):
+                some = [text[a:b] for a, b in zip(low[k:k + 4096].to_pylist(), high[k:k + 4096].to_pylist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([uid[k:k + 4096], pa.array(some, pa.string())], ["uid", "context"])
+
+
+WORD = re.compile(r"[^ \t\n\r\x0b\x0c]+")
+
+
+def shared_words(a: str, b: str, ahead: bool) -> tuple[int, int, int]:
+    """How many words ``a`` and ``b`` have in common from their starts (``ahead``) or back from their ends, and how many
+    code points these take in each."""
+    found = [list(WORD.finditer(x)) for x in (a, b)]
+    if not ahead:
+        found = [x[::-1] for x in found]
+    n = 0
+    for x, y in zip(*found, strict=False):
+        if x[0].encode().lower() != y[0].encode().lower():
+            break
+        n += 1
+    if not n:
+        return 0, 0, 0
+    return n, *(x[n - 1].end() if ahead else len(t) - x[n - 1].start() for x, t in zip(found, (a, b), strict=True))
+
+
+GROWN = ("left", "right", "low", "high", "r_low", "r_high")
+
+
+def _grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batch with the words that a window and the first of its kind share to the left and right, and the code points
+    they take in both."""
+    for batch in batches:
+        out: list[tuple[int, ...]] = []
+        for mine, before, after, first, r_before, r_after in zip(
+                *(batch[c].to_pylist() for c in ("context", "before", "after", "r_context", "r_before", "r_after")),
+                strict=True):
+            left, low, r_low = shared_words(mine[:before], first[:r_before], False)
+            right, high, r_high = shared_words(mine[len(mine) - after:], first[len(first) - r_after:], True)
+            out.append((left, right, low, high, r_low, r_high))
+        kept = [c for c in batch.schema.names if c not in ("context", "r_context")]
+        grown = [pa.array([o[k] for o in out], pa.int64()) for k in range(len(GROWN))]
+        yield pa.RecordBatch.from_arrays([*(batch[c] for c in kept), *grown], [*kept, *GROWN])
+
+
+def _runs(docs: DataFrame, windows: DataFrame) -> DataFrame:
+    """doc_id, start, stop, words, component_id, removed: the whole runs of words around equal windows.
+
+    A run that goes on CHOICE places beyond a window shows another equal window, so CHOICE words on both sides of each
+    are enough, and what neighbouring windows of a run find overlaps. Runs are those shared with the first window of a
+    kind; each is a component with the places that share it, named by its first window.
+    """
+    wanted = stored(windows.groupBy("text_hash").agg(F.collect_list(F.struct(
+        "uid", (F.col("start") - F.col("before")).alias("low"), (F.col("stop") + F.col("after")).alias("high")))
+        .alias("wanted")), "passage-windows")
+    texts = docs.select(F.col("text").cast("string").alias("text")).withColumn("text_hash", F.xxhash64("text"))
+    copies = Window.partitionBy("text_hash").orderBy(F.lit(0))
+    once = texts.join(wanted, "text_hash").withColumn("copy", F.row_number().over(copies)).where("copy = 1")
+    context = cut(once.select("text", "wanted").mapInArrow(_slices, "uid long, context string"))
+    around = cut(windows.join(context, "uid").select(
+        "component_id", "first", "uid", (F.col("uid") + F.col("ahead")).alias("text_uid"), "doc_id", "at", "words", "start",
+        "stop", "before", "after", "context"))
+    first = around.where("uid = first").drop("first", "words")
+    pairs = around.where("uid != first").drop("first").join(
+        first.withColumnsRenamed({c: f"r_{c}" for c in first.columns if c != "component_id"}), "component_id")
+    kept = [f for f in pairs.schema if f.name not in ("context", "r_context")]
+    schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in kept), *(f"{c} long" for c in GROWN)])
+    grown = pairs.mapInArrow(_grow, schema).select(
+        "text_uid", "r_text_uid", (F.col("at") - F.col("r_at")).alias("shift"), "doc_id", "r_doc_id", "r_uid", "at",
+        (F.col("at") - F.col("left")).alias("from"), (F.col("at") + F.col("words") + F.col("right")).alias("until"),
+        (F.col("start") - F.col("low")).alias("start"), (F.col("stop") + F.col("high")).alias("stop"),
+        (F.col("r_start") - F.col("r_low")).alias("r_start"), (F.col("r_stop") + F.col("r_high")).alias("r_stop"))
+    place = Window.partitionBy("text_uid", "r_text_uid", "shift").orderBy("at")
+    reached = F.max("until").over(place.rowsBetween(Window.unboundedPreceding, -1))
+    runs = cut(grown.withColumn("opens", F.coalesce(F.col("from") > reached, F.lit(True)).cast("int"))
+               .withColumn("run", F.sum("opens").over(place)).groupBy("text_uid", "r_text_uid", "shift", "run")
+               .agg(F.min("r_uid").alias("component_id"), F.first("doc_id").alias("doc_id"),
+                    F.first("r_doc_id").alias("r_doc_id"), F.min("from").alias("from"), F.max("until").alias("until"),
+                    *(F.min(c).alias(c) for c in ("start", "r_start")), *(F.max(c).alias(c) for c in ("stop", "r_stop"))))
+    kinds = runs.groupBy("component_id").agg(
+        F.first("r_doc_id").alias("doc_id"), F.min("r_start").alias("start"), F.max("r_stop").alias("stop"),
+        (F.max(F.col("until") - F.col("shift")) - F.min(F.col("from") - F.col("shift"))).alias("words"))
+    columns = ["doc_id", "start", "stop", F.col("words").cast("long").alias("words"), "component_id"]
+    return (runs.withColumn("words", F.col("until") - F.col("from")).select(*columns, F.lit(True).alias("removed"))
+            .unionByName(kinds.select(*columns, F.lit(False).alias("removed"))))
+
+
+def _firsts(units: DataFrame, *keys: str) -> DataFrame:
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "start", "uid")
+    return cut(units.groupBy(*keys).agg(F.min_by("uid", order).alias("first"), F.count("*").alias("n")))
+
+
 def repeated_passages(docs: DataFrame, threshold: float = THRESHOLD, recall: float = 0.999,
                       band_limit: int = BAND_LIMIT, shortest: int = PARAGRAPH_WORDS) -> DataFrame:
     """One row per repeated unit: doc_id, kind, start, stop, words, component_id, removed.
 
     ``kind``: "line" (of ``shortest`` words or more and one shingle at least, in a component of lines with a Jaccard
-    similarity of ``threshold`` or more of their 5-word shingles), "window" (of WINDOW_WORDS words, equal to another
-    one) or "text" (a whole text of ``shortest`` words or more, equal to another one). Places are code
-    points; case of A-Z and the kind of white space do not count. Of each component, the unit with the smallest doc_id,
-    then place, stays and the others are to be removed. Two texts that share SURE_WORDS words in a row always show at
-    least one common window, and equal texts always meet as texts.
+    similarity of ``threshold`` or more of their 5-word shingles), "text" (a whole text of ``shortest`` words or more,
+    equal to another one) or "run" (of WINDOW_WORDS words or more). Places are code points; case of A-Z and the kind of
+    white space do not count. Of each component, the unit with the smallest doc_id, then place, stays and the others are
+    to be removed.
+
+    Runs are found among what removed lines and texts leave: where a window equals an earlier one, the whole run of
+    words that both places share is removed, and the earlier place stays. A window whose equals all lie in removed lines
+    stays, and is reported if it lies in no reported line or text. Two texts that share SURE_WORDS words in a row always
+    show at least one common window, and equal texts always meet as texts.
 
     Null and empty texts and those of fewer than ``shortest`` words have no units; 1 leaves no text out.
-    Repeated rows and repeats within one text count as repeats. Texts are read whole; columns other than doc_id and text are not read; an empty table gives no rows.
+    Repeated rows and repeats within one text count as repeats. Texts are read whole; columns other than doc_id and text
+    are not read; an empty table gives no rows.
     """
     all_units = text_units(docs, band_count(threshold, BAND_ROWS, recall), shortest)
     lines = all_units.where(F.col("kind") == LINE)
@@ -274,12 +390,31 @@ def repeated_passages(docs: DataFrame, threshold: float = THRESHOLD, recall: flo
                                        "component")))
     wanted = stored(both.groupBy("kind", "c1", "c2").agg(
         F.coalesce(F.max("component"), F.max("node")).alias("component_id")), "passage-contents")
-    members = cut(all_units.drop("bands", "text_hash").join(wanted, ["kind", "c1", "c2"]).drop("c1", "c2"))
-    first = cut(members.groupBy("component_id", "kind").agg(
-        F.min_by("uid", F.struct(F.col("doc_id").isNull(), "doc_id", "start", "uid")).alias("first")))
-    kind = F.element_at(F.array(*map(F.lit, ("line", "window", "text"))), F.col("kind") + 1)
-    return members.join(first, ["component_id", "kind"]).select(
-        "doc_id", kind.alias("kind"), "start", "stop", "words", "component_id", (F.col("uid") != F.col("first")).alias("removed"))
+    members = cut(all_units.drop("bands").join(wanted, ["kind", "c1", "c2"]).drop("c1", "c2"))
+    whole = members.where(F.col("kind") != WINDOW)
+    reported = whole.join(_firsts(whole, "component_id", "kind"), ["component_id", "kind"]).withColumn(
+        "removed", F.col("uid") != F.col("first")).drop("first", "n")
+
+    # Windows meet the line and the text they lie in by row number.
+    line = F.when(F.col("kind") == LINE, F.col("uid")).when(F.col("inside") > 0, F.col("uid") - F.col("inside"))
+    of_text = Window.partitionBy("text_uid")
+    of_line = Window.partitionBy("text_uid", "line_uid")
+
+    def lies_in(test: Column) -> Column:
+        return (F.max((F.col("kind") == TEXT) & test).over(of_text) | F.max((F.col("kind") == LINE) & test).over(of_line))
+
+    every = members.where(F.col("kind") == WINDOW).withColumn("removed", F.lit(False)).unionByName(reported)
+    left = cut(every.withColumn("text_uid", F.col("uid") + F.col("ahead")).withColumn("line_uid", line)
+               .withColumn("gone", lies_in(F.col("removed"))).withColumn("told", lies_in(F.lit(True)))
+               .where((F.col("kind") == WINDOW) & ~F.col("gone"))
+               .drop("text_uid", "line_uid", "gone", "kind", "removed"))
+    left = left.join(_firsts(left, "component_id"), "component_id")
+    alone = left.where("n = 1 AND NOT told")
+    columns = ["doc_id", "kind", "start", "stop", "words", "component_id", "removed"]
+    name = F.when(F.col("kind") == LINE, "line").otherwise("text")
+    return (reported.withColumn("kind", name).select(columns)
+            .unionByName(_runs(docs, left.where("n > 1")).withColumn("kind", F.lit("run")).select(columns))
+            .unionByName(alone.withColumn("kind", F.lit("run")).withColumn("removed", F.lit(False)).select(columns)))
 
 
 def without_repeats(docs: DataFrame, found: DataFrame) -> DataFrame:

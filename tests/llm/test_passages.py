@@ -70,17 +70,84 @@ def test_given_documents(spark):
     assert sharing(passages.SURE_WORDS) <= got <= sharing(5)
 
 
-def test_planted_passages_within_lines(spark):
-    shared = [words(51) for _ in range(12)]
-    texts = [f"{words(int(RNG.integers(0, 70)))}\n{words(9)} {shared[k % 12].upper()} {words(int(RNG.integers(0, 40)))}"
+def whole_run(a, b, n):
+    """Word places of the longest run that two lists of words share, if it has n words or more."""
+    places = collections.defaultdict(list)
+    for k in range(len(a) - n + 1):
+        places[tuple(a[k:k + n])].append(k)
+    best = None
+    for k in range(len(b) - n + 1):
+        for i in places.get(tuple(b[k:k + n]), ()):
+            size = n
+            while i + size < len(a) and k + size < len(b) and a[i + size] == b[k + size]:
+                size += 1
+            if best is None or size > best[2]:
+                best = (i, k, size)
+    return best
+
+
+@pytest.mark.parametrize("size", [51, 400])
+def test_planted_passages_within_lines(spark, size):
+    shared = [words(size) for _ in range(12)]
+    texts = [f"{words(int(RNG.integers(0, 70)))}\n{words(9)}  é {shared[k % 12].upper()} {words(int(RNG.integers(0, 40)))}"
              for k in range(36)]
     texts += [f"{words(100)}\n{words(50)}" for _ in range(30)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
     rows = passages.repeated_passages(docs).collect()
     assert {r["doc_id"] for r in rows} == set(range(36))
+    covered = collections.defaultdict(set)
     for r in rows:
-        assert shared[r["doc_id"] % 12].upper().find(texts[r["doc_id"]][r["start"]:r["stop"]]) >= 0 or r["kind"] == "line"
-    assert {r["doc_id"] for r in rows if not r["removed"]} <= set(range(12))
+        covered[r["doc_id"]].update(range(r["start"], r["stop"]))
+    for k in range(36):
+        at = texts[k].index(shared[k % 12].upper())
+        assert covered[k] >= set(range(at, at + len(shared[k % 12])))
+    runs = [r for r in rows if r["kind"] == "run"]
+    for r in runs:
+        # As far as the longest run shared with the first text that has it, no farther.
+        k = r["doc_id"]
+        if r["removed"]:
+            i, _, n = whole_run(texts[k].lower().split(), texts[k % 12].lower().split(), 20)
+            assert r["words"] == n
+            assert texts[k][r["start"]:r["stop"]].lower().split() == texts[k].lower().split()[i:i + n]
+    firsts = {r["component_id"]: r["doc_id"] for r in runs if not r["removed"]}
+    assert all(firsts[r["component_id"]] == r["doc_id"] % 12 for r in runs)
+    assert len([r for r in runs if r["removed"]]) == len({r["doc_id"] for r in runs if r["removed"]})
+
+
+def test_runs_are_what_lines_leave(spark):
+    line, other = words(60), words(55)
+    texts = [line, line, f"{words(5)} {line} {words(30)}", f"{other} {words(40)}", f"{words(40)} {other}"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = passages.repeated_passages(docs).collect()
+    runs = {(r["doc_id"], texts[r["doc_id"]][r["start"]:r["stop"]], r["removed"]) for r in rows if r["kind"] == "run"}
+    assert runs == {(0, line, False), (2, line, True), (3, other, False), (4, other, True)}
+    clean = {r["doc_id"]: r["text"] for r in
+             passages.without_repeats(docs, passages.repeated_passages(docs)).collect()}
+    everything = " ".join(clean.values()).split()
+    assert collections.Counter(" ".join(everything).count(x) for x in (line, other)) == {1: 2}
+
+
+def test_long_and_repeating_texts(spark):
+    song = words(40)
+    texts = [" ".join([words(30), song, words(30), song, words(30)]), "la " * 3000, f"{words(3)} {song}", None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = passages.repeated_passages(docs).collect()
+    found = {(r["doc_id"], texts[r["doc_id"]][r["start"]:r["stop"]], r["removed"]) for r in rows if r["doc_id"] != 1}
+    assert found <= {(0, song, False), (0, song, True), (2, song, True)} and found
+    clean = {r["doc_id"]: r["text"] for r in
+             passages.without_repeats(docs, passages.repeated_passages(docs)).collect()}
+    assert set(clean[1].split()) == {"la"} and len(clean[1].split()) < 60
+
+
+@given(st.lists(st.sampled_from(["a", "B", "b", "é", "É", "cc"]), max_size=9),
+       st.lists(st.sampled_from(["a", "b", "é", "cc"]), max_size=9), st.booleans())
+def test_shared_words(a, b, ahead):
+    x, y = " ".join(a), "\n".join(b)
+    n, low, high = passages.shared_words(x, y, ahead)
+    same = [p.encode().lower() == q.encode().lower() for p, q in (zip(a, b) if ahead else zip(a[::-1], b[::-1]))]
+    assert n == (same.index(False) if False in same else len(same))
+    parts = (x[:low], y[:high]) if ahead else (x[len(x) - low:], y[len(y) - high:])
+    assert all(len(p.split()) == n for p in parts)
 
 
 def test_near_copies_of_a_paragraph(spark):
@@ -115,8 +182,9 @@ def test_equal_texts_meet_at_any_length(spark):
     texts = [t for n in range(20, 50) for t in ["\n".join([words(n // 2), words(n - n // 2)])] * 2]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     rows = passages.repeated_passages(docs).collect()
-    for kind in ("text", "window"):
-        assert {r["doc_id"] for r in rows if r["kind"] == kind} == set(range(len(texts)))
+    assert {r["doc_id"] for r in rows if r["kind"] == "text"} == set(range(len(texts)))
+    # What lies in a removed text is not reported again.
+    assert {r["kind"] for r in rows} <= {"text", "line"}
 
 
 def test_odd_rows_and_empty_tables(spark):
