@@ -108,7 +108,7 @@ def band_keys(grams: np.ndarray, start: np.ndarray, stop: np.ndarray, bands: int
 def units(text: str, bands: int, shortest: int) -> tuple[np.ndarray, ...] | None:
     """A text's lines and windows and the text itself: kind, start, stop (code points), words, number of the first word,
     code points of the CHOICE words before and after a window, rows back to the line that a window lies in (or 0), rows
-    ahead to the text, two content hashes and band keys."""
+    ahead to the text, hash of the words between a window and the next, two content hashes and band keys."""
     data = text.encode().lower()
     words = data.split()
     n = len(words)
@@ -147,12 +147,15 @@ def units(text: str, bands: int, shortest: int) -> tuple[np.ndarray, ...] | None
     reach = np.where(kind == WINDOW, CHOICE, 0)
     before = begin[start] - begin[np.maximum(start - reach, 0)]
     after = end[np.minimum(stop + reach, n) - 1] - end[stop - 1]
-    return (kind, begin[start], end[stop - 1], stop - start, start, before, after, inside, row[::-1],
+    link = np.zeros(len(row), np.uint64)
+    if len(at) > 1:
+        link[len(keys):-2] = run(at[:-1] + WINDOW_WORDS, np.maximum(at[1:], at[:-1] + WINDOW_WORDS))
+    return (kind, begin[start], end[stop - 1], stop - start, start, before, after, inside, row[::-1], link,
             run(start, stop), run(start, stop, 1), keys)
 
 
 UNITS = ("doc_id long, text_hash long, kind int, start long, stop long, words long, at int, before int, after int, "
-         "inside int, ahead int, c1 long, c2 int, bands array<long>")
+         "inside int, ahead int, link long, c1 long, c2 int, bands array<long>")
 
 
 def text_units(docs: DataFrame, bands: int, shortest: int) -> DataFrame:
@@ -166,16 +169,17 @@ def text_units(docs: DataFrame, bands: int, shortest: int) -> DataFrame:
             if not found:
                 continue
             row = pa.array(np.concatenate([np.full(len(u[0]), k) for k, u in found]))
-            column = [np.concatenate([u[k] for _, u in found]) for k in range(11)]
+            column = [np.concatenate([u[k] for _, u in found]) for k in range(12)]
             sizes = np.where(column[0] == LINE, bands, 0)
-            flat = np.concatenate([u[11].ravel() for _, u in found])
+            flat = np.concatenate([u[12].ravel() for _, u in found])
             offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
             yield pa.RecordBatch.from_arrays([
                 batch["doc_id"].take(row), batch["text_hash"].take(row), pa.array(column[0].astype(np.int32)),
                 *(pa.array(c.astype(np.int64)) for c in column[1:4]), *(pa.array(c.astype(np.int32)) for c in column[4:9]),
-                pa.array(column[9].view(np.int64)), pa.array((column[10] >> np.uint64(33)).astype(np.int32)),
+                *(pa.array(c.view(np.int64)) for c in column[9:11]),
+                pa.array((column[11] >> np.uint64(33)).astype(np.int32)),
                 pa.ListArray.from_arrays(offsets, pa.array(flat.view(np.int64)))],
-                ["doc_id", "text_hash", "kind", *longs, *ints, "c1", "c2", "bands"])
+                ["doc_id", "text_hash", "kind", *longs, *ints, "link", "c1", "c2", "bands"])
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                          F.xxhash64(F.col("text").cast("string")).alias("text_hash"))
@@ -295,65 +299,91 @@ def shared_words(a: str, b: str, ahead: bool) -> tuple[int, int, int]:
     return n, *(x[n - 1].end() if ahead else len(t) - x[n - 1].start() for x, t in zip(found, (a, b), strict=True))
 
 
-GROWN = ("left", "right", "low", "high", "r_low", "r_high")
+GROWN = ("left", "low", "r_low", "right", "high", "r_high")
 
 
 def _grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The batch with the words that a window and the first of its kind share to the left and right, and the code points
-    they take in both."""
+    """chain, and how far its two places agree to the left and right: words, and code points in both places."""
     for batch in batches:
-        out: list[tuple[int, ...]] = []
-        for mine, before, after, first, r_before, r_after in zip(
-                *(batch[c].to_pylist() for c in ("context", "before", "after", "r_context", "r_before", "r_after")),
-                strict=True):
-            left, low, r_low = shared_words(mine[:before], first[:r_before], False)
-            right, high, r_high = shared_words(mine[len(mine) - after:], first[len(first) - r_after:], True)
-            out.append((left, right, low, high, r_low, r_high))
-        kept = [c for c in batch.schema.names if c not in ("context", "r_context")]
-        grown = [pa.array([o[k] for o in out], pa.int64()) for k in range(len(GROWN))]
-        yield pa.RecordBatch.from_arrays([*(batch[c] for c in kept), *grown], [*kept, *GROWN])
+        out = [(*shared_words(a, b, False), *shared_words(c, d, True)) for a, b, c, d in
+               zip(*(batch[f"c{k}"].to_pylist() for k in range(4)), strict=True)]
+        yield pa.RecordBatch.from_arrays(
+            [batch["chain"], *(pa.array([o[k] for o in out], pa.int64()) for k in range(len(GROWN)))], ["chain", *GROWN])
+
+
+def _chains(windows: DataFrame) -> DataFrame:
+    """Windows and their earlier equals (``r``: the last one of the same text, or else the first of all), in chains of
+    such pairs at one distance between which all words agree: the first and last pair of each, numbered by ``chain``."""
+    pair = F.struct("uid", "text_uid", "doc_id", "text_hash", "at", "words", "start", "stop", "before", "after", "link")
+    own = Window.partitionBy("text_uid", "component_id").orderBy("at")
+    paired = windows.select("component_id", "first", pair.alias("m"), F.lag(pair).over(own).alias("r"))
+    first = windows.where("uid = first").select("component_id", pair.alias("r"))
+    pairs = paired.where("r IS NOT NULL").unionByName(
+        paired.where("r IS NULL AND m.uid != first").drop("r").join(first, "component_id")).select(
+        "first", "m", "r", F.col("m.text_uid").alias("text_uid"), F.col("r.text_uid").alias("r_text_uid"),
+        (F.col("m.at") - F.col("r.at")).alias("shift"))
+    place = Window.partitionBy("text_uid", "r_text_uid", "shift").orderBy("m.at")
+    last = F.struct(*(F.lag(f"{side}.{c}").over(place).alias(f"{side}_{c}") for side in "mr" for c in ("uid", "at", "link")))
+    joined = F.expr("""m.at - last.m_at <= m.words OR m.uid = last.m_uid + 1 AND r.uid = last.r_uid + 1
+        AND last.m_link = last.r_link""")
+    chains = (pairs.withColumn("last", last).withColumn("opens", F.coalesce(~joined, F.lit(True)).cast("int"))
+              .withColumn("chain", F.sum("opens").over(place)).groupBy("text_uid", "r_text_uid", "shift", "chain")
+              .agg(F.min("first").alias("component_id"), F.min_by(F.struct("m", "r"), "m.at").alias("head"),
+                   F.max_by(F.struct("m", "r"), "m.at").alias("tail")))
+    return stored(chains.withColumn("chain", F.monotonically_increasing_id()), "passage-chains")
 
 
 def _runs(docs: DataFrame, windows: DataFrame) -> DataFrame:
     """doc_id, start, stop, words, component_id, removed: the whole runs of words around equal windows.
 
-    A run that goes on CHOICE places beyond a window shows another equal window, so CHOICE words on both sides of each
-    are enough, and what neighbouring windows of a run find overlaps. Runs are those shared with the first window of a
-    kind; each is a component with the places that share it, named by its first window.
+    A run that goes on CHOICE places beyond a window shows another equal window, so CHOICE words on both sides of a
+    chain are enough, and what neighbouring chains of a run find overlaps. A component is named by its first window.
     """
-    wanted = stored(windows.groupBy("text_hash").agg(F.collect_list(F.struct(
-        "uid", (F.col("start") - F.col("before")).alias("low"), (F.col("stop") + F.col("after")).alias("high")))
-        .alias("wanted")), "passage-windows")
+    chains = _chains(windows)
+    ends = stored(chains.select("chain", F.explode(F.array(*(
+        F.struct(F.lit(k).alias("role"), f"{end}.{side}.uid", f"{end}.{side}.text_hash", f"{end}.{side}.before",
+                 f"{end}.{side}.after", f"{end}.{side}.start", f"{end}.{side}.stop")
+        for k, (end, side) in enumerate((e, s) for e in ("head", "tail") for s in "mr")))).alias("e"))
+        .select("chain", "e.*"), "passage-ends")
+    wanted = stored(ends.select("text_hash", "uid", (F.col("start") - F.col("before")).alias("low"),
+                                (F.col("stop") + F.col("after")).alias("high")).distinct()
+                    .groupBy("text_hash").agg(F.collect_list(F.struct("uid", "low", "high")).alias("wanted")),
+                    "passage-windows")
     texts = docs.select(F.col("text").cast("string").alias("text")).withColumn("text_hash", F.xxhash64("text"))
     copies = Window.partitionBy("text_hash").orderBy(F.lit(0))
     once = texts.join(wanted, "text_hash").withColumn("copy", F.row_number().over(copies)).where("copy = 1")
-    context = cut(once.select("text", "wanted").mapInArrow(_slices, "uid long, context string"))
-    around = cut(windows.join(context, "uid").select(
-        "component_id", "first", "uid", (F.col("uid") + F.col("ahead")).alias("text_uid"), "doc_id", "at", "words", "start",
-        "stop", "before", "after", "context"))
-    first = around.where("uid = first").drop("first", "words")
-    pairs = around.where("uid != first").drop("first").join(
-        first.withColumnsRenamed({c: f"r_{c}" for c in first.columns if c != "component_id"}), "component_id")
-    kept = [f for f in pairs.schema if f.name not in ("context", "r_context")]
-    schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in kept), *(f"{c} long" for c in GROWN)])
-    grown = pairs.mapInArrow(_grow, schema).select(
-        "text_uid", "r_text_uid", (F.col("at") - F.col("r_at")).alias("shift"), "doc_id", "r_doc_id", "r_uid", "at",
-        (F.col("at") - F.col("left")).alias("from"), (F.col("at") + F.col("words") + F.col("right")).alias("until"),
-        (F.col("start") - F.col("low")).alias("start"), (F.col("stop") + F.col("high")).alias("stop"),
-        (F.col("r_start") - F.col("r_low")).alias("r_start"), (F.col("r_stop") + F.col("r_high")).alias("r_stop"))
-    place = Window.partitionBy("text_uid", "r_text_uid", "shift").orderBy("at")
+    context = stored(once.select("text", "wanted").mapInArrow(_slices, "uid long, context string"), "passage-context")
+    side = F.when(F.col("role") < 2, F.expr("substring(context, 1, before)")).otherwise(
+        F.expr("substring(context, length(context) - after + 1, after)"))
+    sides = ends.join(context, "uid").select("chain", "role", side.alias("side")).groupBy("chain").agg(
+        *(F.max(F.when(F.col("role") == k, F.col("side"))).alias(f"c{k}") for k in range(4)))
+    grown = chains.join(sides.mapInArrow(_grow, f"chain long, {', '.join(f'{c} long' for c in GROWN)}"), "chain").select(
+        "text_uid", "r_text_uid", "shift", "component_id", F.col("head.m.doc_id").alias("doc_id"),
+        F.col("head.r.doc_id").alias("r_doc_id"), F.col("head.r.uid").alias("r_uid"),
+        F.expr("head.m.at - left").alias("from"), F.expr("tail.m.at + tail.m.words + right").alias("until"),
+        F.expr("head.m.start - low").alias("start"), F.expr("tail.m.stop + high").alias("stop"),
+        F.expr("head.r.start - r_low").alias("r_start"), F.expr("tail.r.stop + r_high").alias("r_stop"))
+    place = Window.partitionBy("text_uid", "r_text_uid", "shift").orderBy("from", "until")
     reached = F.max("until").over(place.rowsBetween(Window.unboundedPreceding, -1))
     runs = cut(grown.withColumn("opens", F.coalesce(F.col("from") > reached, F.lit(True)).cast("int"))
                .withColumn("run", F.sum("opens").over(place)).groupBy("text_uid", "r_text_uid", "shift", "run")
-               .agg(F.min("r_uid").alias("component_id"), F.first("doc_id").alias("doc_id"),
-                    F.first("r_doc_id").alias("r_doc_id"), F.min("from").alias("from"), F.max("until").alias("until"),
-                    *(F.min(c).alias(c) for c in ("start", "r_start")), *(F.max(c).alias(c) for c in ("stop", "r_stop"))))
-    kinds = runs.groupBy("component_id").agg(
-        F.first("r_doc_id").alias("doc_id"), F.min("r_start").alias("start"), F.max("r_stop").alias("stop"),
-        (F.max(F.col("until") - F.col("shift")) - F.min(F.col("from") - F.col("shift"))).alias("words"))
-    columns = ["doc_id", "start", "stop", F.col("words").cast("long").alias("words"), "component_id"]
-    return (runs.withColumn("words", F.col("until") - F.col("from")).select(*columns, F.lit(True).alias("removed"))
-            .unionByName(kinds.select(*columns, F.lit(False).alias("removed"))))
+               .agg(F.first("doc_id").alias("doc_id"), F.first("r_doc_id").alias("r_doc_id"),
+                    F.max("until").alias("until"), F.max("stop").alias("stop"), F.max("r_stop").alias("r_stop"),
+                    *(F.min(c).alias(c) for c in ("component_id", "r_uid", "from", "start", "r_start"))))
+    # A run that overlaps its earlier place stays up to where the later place begins.
+    ends_at = F.when(F.col("text_uid") == F.col("r_text_uid"), F.least("r_stop", "start")).otherwise(F.col("r_stop"))
+    words_to = F.col("until") - F.col("shift")
+    words_to = F.when(F.col("text_uid") == F.col("r_text_uid"), F.least(words_to, "from")).otherwise(words_to)
+    kept = cut(runs.where("r_uid = component_id").groupBy("component_id").agg(
+        F.first("r_doc_id").alias("doc_id"), F.min("r_start").alias("start"), F.max(ends_at).alias("stop"),
+        (F.max(words_to) - F.min(F.col("from") - F.col("shift"))).cast("long").alias("words")))
+    bare = (windows.join(runs.select(F.col("component_id").alias("uid")).distinct(), "uid", "left_semi")
+            .join(kept.select(F.col("component_id").alias("uid")), "uid", "left_anti")
+            .select("doc_id", "start", "stop", "words", F.col("uid").alias("component_id")))
+    columns = ["doc_id", "start", "stop", "words", "component_id"]
+    return (runs.withColumn("words", (F.col("until") - F.col("from")).cast("long"))
+            .select(*columns, F.lit(True).alias("removed"))
+            .unionByName(kept.unionByName(bare).select(*columns, F.lit(False).alias("removed"))))
 
 
 def _firsts(units: DataFrame, *keys: str) -> DataFrame:
@@ -371,8 +401,9 @@ def repeated_passages(docs: DataFrame, threshold: float = THRESHOLD, recall: flo
     white space do not count. Of each component, the unit with the smallest doc_id, then place, stays and the others are
     to be removed.
 
-    Runs are found among what removed lines and texts leave: where a window equals an earlier one, the whole run of
-    words that both places share is removed, and the earlier place stays. A window whose equals all lie in removed lines
+    Runs are found among what removed lines and texts leave: where a window equals an earlier one (the last in its own
+    text, or else the first of all), the whole run of words that both places share is removed. The first place of a
+    component stays; of a text that repeats itself without a break, the first period. A window whose equals all lie in removed lines
     stays, and is reported if it lies in no reported line or text. Two texts that share SURE_WORDS words in a row always
     show at least one common window, and equal texts always meet as texts.
 
@@ -390,7 +421,7 @@ def repeated_passages(docs: DataFrame, threshold: float = THRESHOLD, recall: flo
                                        "component")))
     wanted = stored(both.groupBy("kind", "c1", "c2").agg(
         F.coalesce(F.max("component"), F.max("node")).alias("component_id")), "passage-contents")
-    members = cut(all_units.drop("bands").join(wanted, ["kind", "c1", "c2"]).drop("c1", "c2"))
+    members = stored(all_units.drop("bands").join(wanted, ["kind", "c1", "c2"]).drop("c1", "c2"), "passage-members")
     whole = members.where(F.col("kind") != WINDOW)
     reported = whole.join(_firsts(whole, "component_id", "kind"), ["component_id", "kind"]).withColumn(
         "removed", F.col("uid") != F.col("first")).drop("first", "n")
@@ -404,10 +435,10 @@ def repeated_passages(docs: DataFrame, threshold: float = THRESHOLD, recall: flo
         return (F.max((F.col("kind") == TEXT) & test).over(of_text) | F.max((F.col("kind") == LINE) & test).over(of_line))
 
     every = members.where(F.col("kind") == WINDOW).withColumn("removed", F.lit(False)).unionByName(reported)
-    left = cut(every.withColumn("text_uid", F.col("uid") + F.col("ahead")).withColumn("line_uid", line)
-               .withColumn("gone", lies_in(F.col("removed"))).withColumn("told", lies_in(F.lit(True)))
-               .where((F.col("kind") == WINDOW) & ~F.col("gone"))
-               .drop("text_uid", "line_uid", "gone", "kind", "removed"))
+    left = stored(every.withColumn("text_uid", F.col("uid") + F.col("ahead")).withColumn("line_uid", line)
+                  .withColumn("gone", lies_in(F.col("removed"))).withColumn("told", lies_in(F.lit(True)))
+                  .where((F.col("kind") == WINDOW) & ~F.col("gone"))
+                  .drop("line_uid", "gone", "kind", "removed"), "passage-left")
     left = left.join(_firsts(left, "component_id"), "component_id")
     alone = left.where("n = 1 AND NOT told")
     columns = ["doc_id", "kind", "start", "stop", "words", "component_id", "removed"]
