@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from lakemart.llm import (
     chat, language, licenses, manifest, mixing, packing, passages, pii, quality, sharding, simhash, vectors, whitening,
 )
-from lakemart.llm.common import documents, share_code
-from lakemart.session import own_scratch
+from lakemart.llm.common import documents, share_code, text_or_empty
+from lakemart.session import own_scratch, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -54,11 +54,25 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op5_flow_sharding")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """From the shards that a hash of the source would give, with one hot source, to 16 even ones."""
-    old = F.pmod(F.crc32(F.coalesce("source", F.lit("")).cast("binary")), F.lit(12))
-    return sharding.reshard(documents(spark, sf_dir), old).select(
+    """From the shards that a hash of the source would give, with one hot source, to 16 even ones, rewritten.
+
+    Rows of rewritten shards are read back from the new files: size, text_crc32, shard and slot are what lies there.
+    """
+    place = ["doc_id", "file_hash", "file_row"]
+    docs = documents(spark, sf_dir).select(
+        "*", F.xxhash64("_metadata.file_path").alias("file_hash"), F.col("_metadata.row_index").alias("file_row"))
+    old = F.pmod(F.crc32(F.coalesce("source", F.lit("")).cast("binary")), F.lit(12)).cast("int")
+    placed = sharding.reshard(docs, old, keys=place)
+    path = scratch_path(spark, "new-shards")
+    rewritten = sharding.rewrite_affected(docs, placed, path, place)
+    files = spark.read.schema(docs.withColumns({"slot": F.lit(0).cast("long"), "shard": F.lit(0)}).schema).parquet(path)
+    text = text_or_empty()
+    back = files.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"),
+                        F.crc32(text.cast("binary")).alias("text_crc32"), old.alias("old_shard"), "shard", "slot")
+    same = placed.where(~F.col("shard").isin(rewritten)).select(back.columns)
+    return back.unionByName(same).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
-        F.lit(None).cast("int").alias("grown_shard"), "old_shard")
+        F.lit(None).cast("int").alias("grown_shard"), "old_shard", F.col("shard").isin(rewritten).alias("rewritten"))
 
 
 @query("op6_nn_descent_dedup")
