@@ -56,16 +56,29 @@ def fingerprints(docs: DataFrame, words: int = 4, keys: tuple[str, ...] = ("doc_
     return source.mapInArrow(run, out)
 
 
-def _bands(radius: int) -> list[Column]:
-    """A key for every two of radius + 2 blocks of bits: within the radius, at least two blocks are equal."""
-    n = radius + 2
-    edges = [k * BITS // n for k in range(n + 1)]
+def equal_blocks(n: int, radius: int) -> int:
+    """How many blocks of bits must be equal for a band to hold some 64 of ``n`` random fingerprints at most: 2, 3 or 4.
+
+    More fingerprints take wider bands, and more of them, so the comparisons grow in proportion and not with the square.
+    """
+    return next((k for k in (2, 3) if n <= LANES << (BITS * k // (radius + k))), 4)
 
-    def block(k: int) -> Column:
-        return F.shiftrightunsigned("fp", edges[k]).bitwiseAND(F.lit((1 << (edges[k + 1] - edges[k])) - 1))
 
-    return [F.lit(number << 48).bitwiseOR(F.shiftleft(block(p), edges[q + 1] - edges[q])).bitwiseOR(block(q))
-            for number, (p, q) in enumerate(combinations(range(n), 2))]
+def _bands(radius: int, equal: int = 2) -> list[Column]:
+    """A key for every ``equal`` of radius + ``equal`` blocks of bits: within the radius, that many blocks are equal."""
+    n = radius + equal
+    edges = [k * BITS // n for k in range(n + 1)]
+    chosen = list(combinations(range(n), equal))
+    keys = []
+    for number, blocks in enumerate(chosen):
+        # The lowest bits tell the choices apart; they and the blocks fit 64 bits.
+        key, at = F.lit(number).cast("long"), (len(chosen) - 1).bit_length()
+        for k in blocks:
+            width = edges[k + 1] - edges[k]
+            block = F.shiftrightunsigned("fp", edges[k]).bitwiseAND(F.lit((1 << width) - 1))
+            key, at = key.bitwiseOR(F.shiftleft(block, at)), at + width
+        keys.append(key)
+    return keys
 
 
 def near_edges(fps: np.ndarray, starts: np.ndarray, radius: int, step: int = 1 << 16) -> tuple[np.ndarray, np.ndarray]:
@@ -159,15 +172,17 @@ def _link(radius: int, enough: int = 1 << 16):
     return run
 
 
-def near_links(fps: DataFrame, radius: int = 4, band_limit: int = BAND_LIMIT) -> DataFrame:
+def near_links(fps: DataFrame, radius: int = 4, band_limit: int = BAND_LIMIT, equal: int | None = None) -> DataFrame:
     """a, b: pairs of the distinct fingerprints in ``fps`` that join them just as all pairs within the radius do.
 
-    The radius is 0 to 7. A band of more than ``band_limit`` fingerprints is dealt out by pairs of its parts, so no
-    task holds more than two parts and no pair is lost.
+    The radius is 0 to 7. Bands are as wide as the number of fingerprints asks for (:func:`equal_blocks`), or are made
+    of ``equal`` blocks, 2 to 4; every width finds all pairs. A band of more than ``band_limit`` fingerprints is dealt
+    out by pairs of its parts, so no task holds more than two parts and no pair is lost.
     """
     if not 0 <= radius <= 7:
         raise ValueError("the radius must be 0 to 7")
-    bands = fps.select("fp", F.explode(F.array(*_bands(radius))).alias("key"))
+    equal = equal or equal_blocks(fps.count(), radius)
+    bands = fps.select("fp", F.explode(F.array(*_bands(radius, equal))).alias("key"))
     crowded = bands.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     parts = F.ceil(F.col("n") / F.lit(band_limit)).cast("int")
     met = bands.join(crowded, "key").withColumn("parts", parts)

@@ -108,6 +108,29 @@ def test_large_bands_go_by_pairs_of_parts(spark):
     assert plain_components([tuple(r) for r in few], nodes) == plain_components([tuple(r) for r in many], nodes)
 
 
+@pytest.mark.parametrize("radius", [0, 1, 4, 7])
+def test_bands_of_any_width_find_all_pairs(spark, radius):
+    rng = np.random.default_rng(radius)
+    fps = set()
+    for base in rng.integers(0, 2**63, 40, dtype=np.uint64).tolist():
+        for _ in range(rng.integers(1, 7)):
+            for bit in rng.choice(64, rng.integers(0, radius + 2), replace=False).tolist():
+                base ^= 1 << bit
+            fps.add(base - 2**64 if base >= 2**63 else base)
+    fps = sorted(fps)
+    near = [(a, b) for a in fps for b in fps if a < b and ((a ^ b) & (2**64 - 1)).bit_count() <= radius]
+    expected = plain_components(near, fps)
+    prints = spark.createDataFrame([(f,) for f in fps], "fp long")
+    for equal in (2, 3, 4):
+        found = [tuple(r) for r in simhash.near_links(prints, radius, equal=equal).collect()]
+        assert plain_components(found, fps) == expected
+
+
+def test_band_width_follows_the_number_of_fingerprints():
+    assert [simhash.equal_blocks(n, 4) for n in (0, 10**6, 10**8, 10**9, 10**10, 10**11)] == [2, 2, 2, 3, 4, 4]
+    assert simhash.equal_blocks(10**11, 0) == 2
+
+
 def test_odd_rows(spark):
     docs = odd(spark)
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
