@@ -32,9 +32,9 @@ class Kind:
 
 
 DIGITS = "regexp_replace(v, '[^0-9]', '')"
-LUHN = f"""aggregate(sequence(1, length({DIGITS})), 0, (a, i) -> a + (
-    case when i % 2 = 1 then int(substring({DIGITS}, -i, 1)) when int(substring({DIGITS}, -i, 1)) > 4
-    then 2 * int(substring({DIGITS}, -i, 1)) - 9 else 2 * int(substring({DIGITS}, -i, 1)) end)) % 10 = 0"""
+LUHN = f"""aggregate(split(reverse({DIGITS}), ''), named_struct('sum', 0, 'twice', false), (a, c) -> if(c = '', a,
+    named_struct('sum', a.sum + case when not a.twice then int(c) when int(c) > 4 then 2 * int(c) - 9 else 2 * int(c) end,
+        'twice', not a.twice)), a -> a.sum % 10 = 0)"""
 MOD_97 = """aggregate(split(concat(substring(replace(v, ' ', ''), 5), substring(replace(v, ' ', ''), 1, 4)), ''), 0,
     (a, c) -> case when c = '' then a when c between '0' and '9' then (a * 10 + int(c)) % 97
     else (a * 100 + ascii(c) - 55) % 97 end) = 1"""
@@ -59,27 +59,43 @@ KINDS = (
 )
 #: Words that speak against personal data.
 AGAINST = r"version|isbn|serial|order|invoice|\bsku\b|example only"
+PIECE = "struct<v:string,gap:int,score:double>"
 SPAN = "struct<kind:string,start:int,stop:int,value:string,score:double,rank:int>"
 
+#: Matches whose places are summed up in one array.
+RUN = 256
+
 
 def _literal(pattern: str) -> str:
     return "r'" + pattern.replace("'", r"\x27") + "'"
 
 
-def _spans(rank: int, kind: Kind) -> Column:
-    """Spans of one kind from its matches and the pieces between them, in columns m_<name> and p_<name>."""
-    m, p = f"m_{kind.name}", f"p_{kind.name}"
-    near = f"lower(concat(right({p}[i], 40), ' ', left({p}[i + 1], 20)))"
+def _pieces(kind: Kind) -> Column:
+    """Matches of one kind with the length of the text before each and a score, from columns m_<name> and p_<name>;
+    in runs of RUN, as a running sum in an array copies the array for each element."""
+    m, p, at = f"m_{kind.name}", f"p_{kind.name}", f"int(b * {RUN} + k)"
+    near = f"lower(concat(right({p}[{at}], 40), ' ', left({p}[{at} + 1], 20)))"
     score = (f"{kind.score}D + if({near} rlike {_literal(kind.near)}, 0.2D, 0D)"
              f" - if({near} rlike {_literal(AGAINST)}, 0.2D, 0D)")
-    walk = f"""aggregate(transform({m}, (v, i) -> named_struct('v', v, 'gap', length({p}[i]), 'score', {score})),
-        named_struct('pos', 0, 'out', cast(array() as array<{SPAN}>)),
+    run = f"slice({m}, int(b * {RUN} + 1), {RUN})"
+    return F.expr(f"""if(size({m}) = 0, cast(array() as array<array<{PIECE}>>),
+        transform(sequence(0, (size({m}) - 1) div {RUN}), b -> transform({run},
+            (v, k) -> named_struct('v', v, 'gap', length({p}[{at}]), 'score', {score}))))""")
+
+
+def _spans(rank: int, kind: Kind) -> Column:
+    """Spans of one kind from its runs of matches in column r_<name>."""
+    runs = f"r_{kind.name}"
+    begins = f"""aggregate(transform({runs}, r -> aggregate(r, 0, (n, x) -> n + x.gap + length(x.v))),
+        named_struct('pos', 0, 'out', cast(array() as array<int>)),
+        (a, n) -> named_struct('pos', a.pos + n, 'out', array_append(a.out, a.pos)), a -> a.out)"""
+    walk = f"""flatten(zip_with({runs}, {begins}, (r, begin) -> aggregate(r,
+        named_struct('pos', begin, 'out', cast(array() as array<{SPAN}>)),
         (a, x) -> named_struct('pos', a.pos + x.gap + length(x.v), 'out', array_append(a.out, named_struct(
             'kind', '{kind.name}', 'start', a.pos + x.gap, 'stop', a.pos + x.gap + length(x.v), 'value', x.v,
-            'score', x.score, 'rank', {rank}))), a -> a.out)"""
+            'score', x.score, 'rank', {rank}))), a -> a.out)))"""
     valid = kind.valid.replace("(v,", "(s.value,").replace("v rlike", "s.value rlike")
-    kept = f"filter({walk}, s -> {valid})"
-    return F.expr(f"if(size({m}) = 0, cast(array() as array<{SPAN}>), {kept})")
+    return F.expr(f"if(size({runs}) = 0, cast(array() as array<{SPAN}>), filter({walk}, s -> {valid}))")
 
 
 def find_pii(docs: DataFrame, threshold: float = 0.5, into: str = "pii") -> DataFrame:
@@ -103,6 +119,7 @@ def find_pii(docs: DataFrame, threshold: float = 0.5, into: str = "pii") -> Data
                                  if k.needs else match)
     found = found.withColumns({f"p_{k.name}": F.when(F.size(f"m_{k.name}") > 0, F.split("t", k.pattern, -1))
                                for k in KINDS})
+    found = found.withColumns({f"r_{k.name}": _pieces(k) for k in KINDS})
     found = found.withColumns({f"s_{k.name}": _spans(n, k) for n, k in enumerate(KINDS)})
     found = found.withColumn("base", F.concat(*(f"s_{k.name}" for k in KINDS if k.base)))
     added = F.concat(*(f"s_{k.name}" for k in KINDS if not k.base))

@@ -74,6 +74,17 @@ def test_given_documents(spark):
     assert any(spans.values())
 
 
+def test_texts_with_many_matches(spark):
+    """More matches than one run holds, at and around its borders."""
+    cards = ["4111 1111 1111 1111", "4111 1111 1111 1112", "378282246310005"]
+    texts = [" ".join(f"é{'x' * (k % 5)} a{k}@b.co 10.0.{k % 300}.1 {cards[k % 3]} +1 743 555 {1000 + k};" for k in range(n))
+             for n in (1, pii.RUN - 1, pii.RUN, pii.RUN + 1, 3 * pii.RUN + 7)]
+    found = report(spark, texts)
+    for k, text in enumerate(texts):
+        assert found[k]["base_sha256"] == digest(base_spans(text))
+        assert found[k]["n_email"] == text.count("@")
+
+
 def test_checksums_and_words_nearby_add_spans(spark):
     texts = ["IBAN GB82 WEST 1234 5698 7654 32.", "IBAN GB83 WEST 1234 5698 7654 32.", "konto DE89370400440532013000",
              "phone (743) 555-3824", "order (743) 555-3824", "+1 (743) 555-3824"]
