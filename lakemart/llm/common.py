@@ -23,6 +23,14 @@ def share_code(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join(filter(None, (root, known)))
 
 
+def bound_batches(spark: SparkSession, size: str = "8m") -> None:
+    """Bound the bytes of rows that a Python worker gets at a time, where the session sets no bound: texts are long, and
+    a batch is held several times."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, size)
+
+
 def set_checkpoint_dir(spark: SparkSession) -> None:
     """Point Spark's checkpoints at the shared folder of ``spark.checkpoint.dir``; an error if there is none."""
     context = spark.sparkContext
