@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from lakemart.llm import mixing, packing, pii, quality, simhash  # noqa: E402
-from lakemart.llm.common import share_code, stored  # noqa: E402
+from lakemart.llm.common import bound_batches, share_code, stored  # noqa: E402
 from lakemart.llm.queries import MIX_EPOCHS, MIX_SEED, MIX_SHARE, MIX_WEIGHTS, with_domain  # noqa: E402
 from lakemart.session import own_scratch  # noqa: E402
 
@@ -25,12 +25,14 @@ from lakemart.session import own_scratch  # noqa: E402
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are too short, too repetitive or probably bad go."""
     share_code(spark)
+    bound_batches(spark)
     return quality.keep_good(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
     share_code(spark)
+    bound_batches(spark)
     return simhash.drop_near_duplicates(docs)
 
 
@@ -48,6 +50,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def best_fit(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents with their places in sequences."""
     share_code(spark)
+    bound_batches(spark)
     return packing.pack_documents(docs)
 
 
