@@ -198,3 +198,13 @@ def test_null_pad_and_star_plus(spark):
 
     padded = cols.null_pad(spark.range(1), StructType.fromDDL("ID bigint, fee double"))
     assert padded.schema.simpleString() == "struct<id:bigint,fee:double>"
+
+
+@pytest.mark.parametrize("salts", [2, 5, 8])
+def test_both_sides_share_the_repeats(spark, salts):
+    left, right = (spark.range(0, 60, 1, 3).withColumnRenamed("id", n) for n in ("l", "r"))
+    dealt, other = joins.deal_out_both(left, right, salts, 2)
+    pairs = dealt.join(other, joins.SALT).groupBy("l", "r").count()
+    assert pairs.count() == 3600 and pairs.agg({"count": "max"}).first()[0] == 1
+    assert dealt.count() + 2 * other.count() <= 60 * {2: 4, 5: 7, 8: 8}[salts]  # 8 salts: 17 before
+    assert dealt.select(joins.SALT).distinct().count() >= salts
