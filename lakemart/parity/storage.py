@@ -222,12 +222,16 @@ def _(t: Tables):
     return union_by_name(*[df.withColumn("kind", F.lit(k)) for k, df in kept.items()])
 
 
+#: Raw text is packed, and quoted in full, so that an empty text stays one and blanks around codes survive.
+RAW_CSV = {"header": True, "quoteAll": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+           "compression": "gzip"}
+
+
 def raw_crime_files(t: Tables) -> str:
-    """The three raw tables as CSV; quoted in full, so that an empty text stays one and blanks around codes survive."""
+    """The three raw tables as CSV."""
     raw = scratch_path(t.spark, "raw")
     for name, frame in (("crimes", t.crimes_raw()), ("arrests", t.arrests_raw()), ("iucr", t.codes_raw())):
-        frame.write.options(header=True, quoteAll=True, ignoreLeadingWhiteSpace=False,
-                            ignoreTrailingWhiteSpace=False).csv(f"{raw}/{name}")
+        frame.write.options(**RAW_CSV).csv(f"{raw}/{name}")
     return raw
 
 
@@ -263,10 +267,10 @@ def raw_taxi_files(t: Tables) -> str:
     """Both colours as Parquet, the zones as CSV; some yellow files hold passengers as doubles."""
     root = scratch_path(t.spark, "taxi")
     yellow = t.raw_trips("yellow")
-    yellow.filter("order_key % 2 = 0").write.parquet(f"{root}/yellow")
+    yellow.filter("order_key % 2 = 0").write.options(**sinks.PACKED).parquet(f"{root}/yellow")
     doubled = yellow.filter("order_key % 2 = 1").withColumn("passenger_count", F.col("passenger_count").cast("double"))
-    doubled.write.mode("append").parquet(f"{root}/yellow")
-    t.raw_trips("green").write.parquet(f"{root}/green")
+    doubled.write.mode("append").options(**sinks.PACKED).parquet(f"{root}/yellow")
+    t.raw_trips("green").write.options(**sinks.PACKED).parquet(f"{root}/green")
     t.zones().withColumnsRenamed({"location_id": "LocationID", "zone": "Zone", "borough": "Borough"}).write.option(
         "header", True).csv(f"{root}/zones")
     return root

@@ -219,6 +219,25 @@ def test_bronze_appends_and_replaces(spark, folder):
     assert "source_file" not in spark.read.parquet(folder("out", "iucr")).columns
 
 
+def test_bronze_rows_are_written_as_they_are_read(spark, folder):
+    for name in "abc":
+        put(folder("many", f"{name}.csv"), "ID\n" + "".join(f"{name}{i}\n" for i in range(40)))
+    tracker = spark.sparkContext.statusTracker()
+    rows = provenance_columns(files.scan_csv(spark, folder("many")), datetime(2024, 1, 1))
+    spark.sparkContext.setJobGroup("bronze", "one append")
+    try:
+        sinks.bronze_append(rows, folder("bronze"))
+        jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup("bronze")]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert sum(len(j.stageIds) for j in jobs) == 1  # no shuffle
+    written = spark.read.parquet(folder("bronze"))
+    assert written.count() == 120 and written.select("source_file").distinct().count() == 3
+    runs = written.select("ID", "source_file", F.spark_partition_id().alias("p")).collect()
+    changes = sum(a["source_file"] != b["source_file"] and a["p"] == b["p"] for a, b in zip(runs, runs[1:]))
+    assert changes <= 2  # a file's rows lie together
+
+
 class Recorder:
     """Stands in for a Spark reader or writer and keeps the options it is given."""
 
