@@ -196,3 +196,10 @@ def test_states_of_loads_are_merged(spark):
         ("01-01", 8, 3, 3.0, 4.0, 2), ("01-02", 9, 1, 1.0, 1.0, 1)]
     by_hour = chg.finished_hourly_stats(spark.table("hourly_states"), ["pickup_hour"])
     assert rows(by_hour, "pickup_hour", "total_trips") == [(8, 3), (9, 1)]
+
+
+def test_a_first_version_is_all_inserted(spark):
+    new = spark.createDataFrame([(1, None), (1, None), (2, "b")], "x int, s string")
+    got = chg.all_inserted(new)
+    assert rows(got) == rows(chg.table_changes(new.limit(0), new))
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()

@@ -6,6 +6,7 @@ import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from lakemart.operators.ranking import drop_duplicates
 from lakemart.plans import crime
 from lakemart.sources import increments as inc
 from tests.conftest import rows
@@ -101,3 +102,34 @@ def test_known_keys_are_not_shuffled(spark, folder):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
         spark.sql("DROP DATABASE known CASCADE")
+
+
+def test_deduplicated_rows_are_shuffled_once_on_their_way_into_the_buckets(spark, folder):
+    spark.sql(f"CREATE DATABASE onceonly LOCATION '{folder('onceonly')}'")
+    kept = {n: spark.conf.get(n) for n in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    for n in kept:
+        spark.conf.set(n, "-1")
+    try:
+        inc.append_new_keys(spark.range(400).withColumn("v", F.lit("a" * 9)), "onceonly.t", "id", 0, buckets=4)
+        assert inc.bucket_count(spark, "onceonly.t") == 4
+        tracker = spark.sparkContext.statusTracker()
+        spark.sparkContext.setJobGroup("onceonly", "one increment")
+        new = spark.range(0, 900, 1, 3).withColumn("v", F.lit("b")).unionByName(spark.range(0, 900, 1, 3).withColumn("v", F.lit("c")))
+        inc.append_new_keys(drop_duplicates(new, ["id"], ["v"]), "onceonly.t", "id", 1, buckets=16)
+        stages = {s for j in tracker.getJobIdsForGroup("onceonly") for s in tracker.getJobInfo(j).stageIds}
+        assert len([s for s in map(tracker.getStageInfo, stages) if s and s.numCompletedTasks == 6]) == 1  # the rows' one shuffle
+        assert {s.numTasks for s in map(tracker.getStageInfo, stages) if s and s.numCompletedTasks} <= {1, 4, 6}
+        assert rows(spark.table("onceonly.t").groupBy("v").count()) == [("aaaaaaaaa", 400), ("b", 500)]
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "2"
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for n, v in kept.items():
+            spark.conf.set(n, v)
+        spark.sql("DROP DATABASE onceonly CASCADE")
+
+
+def test_buckets_follow_the_size_of_the_files(spark, folder, monkeypatch):
+    spark.range(50_000).write.parquet(folder("sized"))
+    assert inc.buckets_for(spark, folder("sized")) == 8
+    monkeypatch.setattr(inc, "BUCKET_BYTES", 4096)
+    assert inc.buckets_for(spark, folder("sized")) > 20
