@@ -133,3 +133,40 @@ def test_buckets_follow_the_size_of_the_files(spark, folder, monkeypatch):
     assert inc.buckets_for(spark, folder("sized")) == 8
     monkeypatch.setattr(inc, "BUCKET_BYTES", 4096)
     assert inc.buckets_for(spark, folder("sized")) > 20
+
+
+def test_arriving_rows_meet_their_key_without_a_shuffle(spark, folder, monkeypatch):
+    """The typed rows of an increment are dealt into buckets as they are read; the rest of the way has no shuffle."""
+    spark.sql(f"CREATE DATABASE dealt LOCATION '{folder('dealt')}'")
+    odd = [crime_row(i) for i in (1, 2, 2, 3, 3)] + [(None, *crime_row(4)[1:]), (None, *crime_row(5)[1:])]
+    raw = spark.createDataFrame(odd, CRIME_COLUMNS)
+    plain = rows(crime.silver_crimes(raw), "crime_id", "case_number")
+    dealt = crime.silver_crimes(raw, lambda typed: inc.deal_by_key(typed, "dealt.arriving", "crime_id", 4))
+    tree = dealt._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in tree and "Exchange" not in tree
+    assert rows(dealt, "crime_id", "case_number") == plain and len(plain) == 4
+    monkeypatch.setattr(inc, "MOST_FILES", 3)
+    frame = spark.range(9)
+    assert inc.deal_by_key(frame, "dealt.too_many", "id", 4) is frame
+    assert not spark.catalog.tableExists("dealt.too_many")
+    spark.sql("DROP DATABASE dealt CASCADE")
+
+
+def test_a_run_leaves_no_arriving_rows_and_joins_arrests_by_bucket(spark, folder):
+    load(spark, folder, "a", (1, 2, 3), 12)
+    crime.run_crime(spark, folder("bronze"), "left_s", "left_g", buckets=3)
+    assert not [t.name for t in spark.catalog.listTables("left_s") if "arriving" in t.name]
+    assert [inc.bucket_count(spark, f"left_g.{n}") for n in ("stg_arrests", "fact_crimes", "fact_arrests")] == [3, 3, None]
+    assert rows(spark.table("left_g.fact_arrests"), "arrest_id", "iucr_code") == [("1", "0110"), ("2", "0110"), ("3", "0110")]
+    for name in ("left_s", "left_g"):
+        spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+def test_daily_crimes_are_shuffled_once(spark):
+    crimes = spark.createDataFrame(
+        [("k1", "2024-01-01", "Theft", True, False), ("k1", "2024-01-01", "Theft", False, True), ("k2", "2024-01-01", "Theft", True, None),
+         (None, "2024-01-01", "Theft", True, True)], "location_key string, crime_date string, primary_type string, is_arrest boolean, is_domestic boolean")
+    places = spark.createDataFrame([("k1", 1, 7), ("k2", 1, 7)], "location_key string, district_id int, community_area_id int")
+    daily = crime.agg_daily_crimes(crimes, F.broadcast(places))
+    assert daily._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert set(rows(daily)) == {("2024-01-01", "Theft", None, None, 1, 1, 1), ("2024-01-01", "Theft", 1, 7, 3, 2, 1)}
