@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from lakemart.operators.ranking import drop_duplicates
 from lakemart.plans import crime
+from lakemart.session import SORTED_SPLIT
 from lakemart.sources import increments as inc
+from lakemart.sources import sinks
 from tests.conftest import rows
 from tests.test_plans import CRIME_COLUMNS, crime_row
 
@@ -170,3 +172,37 @@ def test_daily_crimes_are_shuffled_once(spark):
     daily = crime.agg_daily_crimes(crimes, F.broadcast(places))
     assert daily._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
     assert set(rows(daily)) == {("2024-01-01", "Theft", None, None, 1, 1, 1), ("2024-01-01", "Theft", 1, 7, 3, 2, 1)}
+
+
+def test_increments_are_plain_scans_of_their_files(spark, folder):
+    """An increment reads the columns it uses, of its own files, and none of the rest."""
+    spark.range(4).withColumn("v", F.lit("x")).coalesce(1).write.mode("append").parquet(folder("a b"))
+    plans, seen = [], []
+
+    def take(raw, number):
+        plans.append(raw.select("id")._jdf.queryExecution().executedPlan().toString())
+        seen.append(rows(raw))
+
+    inc.consume_files(spark, folder("a b"), folder("ck"), take)
+    spark.range(4, 6).withColumn("v", F.lit("y")).coalesce(1).write.mode("append").parquet(folder("a b"))
+    inc.consume_files(spark, folder("a b"), folder("ck"), take)
+    assert seen == [[(i, "x") for i in range(4)], [(4, "y"), (5, "y")]]
+    assert all("FileScan parquet" in p and "ReadSchema: struct<id:bigint>" in p for p in plans)
+
+
+def test_rows_ask_for_buckets_and_row_groups_for_one_task(spark, folder, monkeypatch):
+    spark.range(50_000).write.parquet(folder("rows"))
+    monkeypatch.setattr(inc, "BUCKET_ROWS", 2_000)
+    assert inc.buckets_for(spark, folder("rows")) == 25
+    assert int(sinks.PACKED["parquet.block.size"]) < SORTED_SPLIT
+
+
+def test_dealt_rows_are_not_sorted_by_key(spark, folder):
+    spark.sql(f"CREATE DATABASE unsorted LOCATION '{folder('unsorted')}'")
+    inc.deal_by_key(spark.range(9), "unsorted.t", "id", 4)
+    sinks.save_table(spark.range(9), "unsorted.u", dealt=(4, "id"))
+    inc.append_new_keys(spark.range(9), "unsorted.v", "id", 0, 4)
+    for name in "tuv":
+        found = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED unsorted.{name}").collect()}
+        assert found["Num Buckets"] == "4" and found.get("Sort Columns", "[]") == "[]"
+    spark.sql("DROP DATABASE unsorted CASCADE")
